@@ -1,3 +1,143 @@
-"""Spatial binning queries (G-01..G-08)."""
+"""Spatial binning queries (G-01..G-08) and their DuckDB oracles.
+
+The oracle runs the same codec stages (``functions.geo``) as CTE chains in
+DuckDB over the fixture's report view.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import geo
+from ..functions.geo import DUCKDB
+from ..operators import binning, route
+from .oracle import with_reports
+from .queries import KEY, KEY_SQL, register, std_reports
+
+_VALID = ("latitude IS NOT NULL AND longitude IS NOT NULL AND NOT isnan(latitude) "
+          "AND NOT isnan(longitude)")
+
+
+def _valid(spark, sf):
+    return route.valid_positions(std_reports(spark, sf))
+
+
+def _chain(source: str, stages, prefix: str, body: str, extra: str = "") -> str:
+    ctes, last = geo.duckdb_chain(source, stages, prefix)
+    base = (f"vr AS (SELECT *, latitude AS LatReported, longitude AS LngReported FROM reports "
+            f"WHERE {_VALID}),\n{ctes}")
+    if extra:
+        base += ",\n" + extra.replace("{last}", last)
+    return with_reports(body.replace("{last}", last), base)
+
+
+_SNAP = geo.snap_stages(DUCKDB, "LatReported", "LngReported", "Lat", "Lng")
+_BIN = (_SNAP + geo.s2_cell_id(DUCKDB, "Lat", "Lng", binning.S2_LEVEL, "S2", "_S2_")
+        + geo.hex_stages("Lat", "Lng", "hex_q", "hex_r")
+        + geo.wkt_stages(DUCKDB, "Lat", "Lng", "WKT")
+        + geo.mgrs_stages(DUCKDB, "Lat", "Lng", "MGRS"))
+_S2TXT = geo.unsigned_text(DUCKDB, "S2")
+_HEX_ID = "'hex450:' || CAST(hex_q AS VARCHAR) || ':' || CAST(hex_r AS VARCHAR)"
+
+
+@register("g01_snap", _chain("vr", _SNAP, "sn",
+                             f"SELECT {KEY_SQL}, LatReported, LngReported, Lat, Lng FROM {{last}}"))
+def g01(spark, sf):
+    return binning.snap(_valid(spark, sf)).select(*KEY, "LatReported", "LngReported", "Lat", "Lng")
+
+
+@register("g02_s2_density", _chain(
+    "vr", _SNAP + geo.s2_cell_id(DUCKDB, "Lat", "Lng", binning.S2_LEVEL, "S2", "_S2_"), "s2",
+    f"SELECT S2, {_S2TXT} AS S2_text, count(*) AS reports, count(DISTINCT MMSI) AS vessels "
+    "FROM {last} GROUP BY ALL"))
+def g02(spark, sf):
+    b = binning.with_s2(binning.snap(_valid(spark, sf)))
+    return binning.s2_density(b)
+
+
+def _rollup_sql() -> str:
+    face = geo.s2_face_ij("Lat", "Lng", "_r_")
+    finest = max(binning.ROLLUP_LEVELS)
+    parts, ctes = [], []
+    leaf = (f"leaf AS (SELECT _r_face AS _f, _r_i >> {30 - finest} AS _ci, _r_j >> {30 - finest} "
+            "AS _cj, count(*) AS reports FROM {src} GROUP BY ALL)")
+    for level in binning.ROLLUP_LEVELS:
+        src = (f"lv{level} AS (SELECT _f AS _l_face, (_ci >> {finest - level}) << {30 - level} AS _l_i, "
+               f"(_cj >> {finest - level}) << {30 - level} AS _l_j, reports FROM leaf)")
+        stages = (geo.s2_hilbert(DUCKDB, "_l_", level)
+                  + [[("cell", DUCKDB.s2_id("_l_face", f"_l_pos{level}", level))]]
+                  + geo.s2_center(DUCKDB, "_l_", level, "center_lat", "center_lng"))
+        chain, last = geo.duckdb_chain(f"lv{level}", stages, f"h{level}_")
+        ctes.append(src)
+        ctes.append(chain)
+        parts.append(f"SELECT {level} AS level, cell, {geo.unsigned_text(DUCKDB, 'cell')} AS cell_text, "
+                     f"center_lat, center_lng, CAST(sum(reports) AS BIGINT) AS reports FROM {last} "
+                     "GROUP BY ALL")
+    fchain, flast = geo.duckdb_chain("sn_last", face, "fc")
+    return fchain, flast, leaf, ctes, " UNION ALL ".join(parts)
+
+
+def _g03_sql() -> str:
+    snap_chain, snap_last = geo.duckdb_chain("vr", _SNAP, "sn")
+    fchain, flast, leaf, ctes, body = _rollup_sql()
+    fchain = fchain.replace("FROM sn_last", f"FROM {snap_last}")
+    extra = ",\n".join([fchain, leaf.replace("{src}", flast)] + ctes)
+    base = (f"vr AS (SELECT *, latitude AS LatReported, longitude AS LngReported FROM reports "
+            f"WHERE {_VALID}),\n{snap_chain},\n{extra}")
+    return with_reports(body, base)
+
+
+@register("g03_s2_rollup", _g03_sql())
+def g03(spark, sf):
+    return binning.s2_rollup(binning.snap(_valid(spark, sf)))
+
+
+_HEX = _SNAP + geo.hex_stages("Lat", "Lng", "hex_q", "hex_r")
+
+
+@register("g04_hex_density", _chain(
+    "vr", _HEX, "hx", "SELECT hex_q, hex_r, reports, hex_lat, hex_lng FROM hc1",
+    "cnt AS (SELECT hex_q, hex_r, count(*) AS reports FROM {last} GROUP BY ALL), "
+    + geo.duckdb_chain("cnt", geo.hex_center_stages("hex_q", "hex_r", "hex_lat", "hex_lng"), "hc")[0]))
+def g04(spark, sf):
+    b = binning.with_hex(binning.snap(_valid(spark, sf)))
+    return binning.hex_density(b).select("hex_q", "hex_r", "reports", "hex_lat", "hex_lng")
+
+
+@register("g05_hex_center", _chain(
+    "vr", _HEX + geo.hex_center_stages("hex_q", "hex_r", "hex_lat", "hex_lng"), "hx",
+    f"SELECT {KEY_SQL}, {_HEX_ID} AS hex_id, hex_lat, hex_lng FROM {{last}}"))
+def g05(spark, sf):
+    b = binning.with_hex_center(binning.with_hex(binning.snap(_valid(spark, sf))))
+    return b.select(*KEY, "hex_id", "hex_lat", "hex_lng")
+
+
+@register("g06_wkt", _chain("vr", _SNAP + geo.wkt_stages(DUCKDB, "Lat", "Lng", "WKT"), "wk",
+                            f"SELECT {KEY_SQL}, WKT FROM {{last}}"))
+def g06(spark, sf):
+    return binning.with_wkt(binning.snap(_valid(spark, sf))).select(*KEY, "WKT")
+
+
+_MG = _SNAP + geo.mgrs_stages(DUCKDB, "Lat", "Lng", "MGRS")
+
+
+@register("g07_mgrs_density", _chain(
+    "vr", _MG, "mg", "SELECT MGRS AS square, count(*) AS reports FROM {last} GROUP BY ALL"))
+def g07(spark, sf):
+    return binning.mgrs_density(binning.with_mgrs(binning.snap(_valid(spark, sf))))
+
+
+@register("g07b_mgrs_100km", _chain(
+    "vr", _MG, "mg", "SELECT substr(MGRS, 1, 5) AS square, count(*) AS reports FROM {last} GROUP BY ALL"))
+def g07b(spark, sf):
+    return binning.mgrs_density(binning.with_mgrs(binning.snap(_valid(spark, sf))), prefix_only=True)
+
+
+@register("g08_binned_record", _chain(
+    "vr", _BIN, "bn",
+    f"SELECT {KEY_SQL}, LatReported AS lat_reported, LngReported AS lng_reported, Lat AS lat, "
+    f"Lng AS lng, {_HEX_ID} AS hex, S2 AS s2, {_S2TXT} AS s2_text, WKT AS wkt, MGRS AS mgrs "
+    "FROM {last}"))
+def g08(spark, sf):
+    b = binning.binned_record(_valid(spark, sf))
+    return b.select(*KEY, F.col("binned.*"))
