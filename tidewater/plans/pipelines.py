@@ -1,3 +1,206 @@
-"""Pipelines (compositions a user runs), registered as queries."""
+"""Pipelines (compositions a user runs), registered as batch queries.
+
+Each is one projection/aggregation chain over the decoded reports; the
+streaming forms of the same chains are in ``tidewater.streaming``.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import geo
+from ..functions.geo import DUCKDB
+from ..operators import (binning, decode, features, route, standardize,
+                         stateful)
+from ..sinks import topics as sinks
+from ..sources import fixture
+from ..sources import topics as sources
+from .oracle import POSITION_TYPES_SQL, with_envelopes, with_reports
+from .queries import KEY, KEY_SQL, raw, register, reports, wc
+
+ALL_TOPIC = "a_test_ais_streamio_all"
+TYPE_PREFIX = "ais_"
+
+_UUID_SQL = ("substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' "
+             "|| substr(h, 17, 4) || '-' || substr(h, 21, 12)")
+_HASH = ("sha256(topic || '|' || CAST(\"partition\" AS VARCHAR) || '|' || "
+         "CAST(\"offset\" AS VARCHAR) || '|' || CAST(pos AS VARCHAR))")
+_VALID = ("latitude IS NOT NULL AND longitude IS NOT NULL AND NOT isnan(latitude) "
+          "AND NOT isnan(longitude)")
+_STRIP = "regexp_replace(ShipName, '^\\s+|\\s+$', '', 'g')"
+
+
+def enrich_all(raw_rows: DataFrame) -> DataFrame:
+    """Q-01: decode -> UUID -> one topic (value = report JSON with UUID)."""
+    rep = standardize.with_uuid(decode.decode_reports(raw_rows))
+    value = sinks.report_json(rep.select("Message", "MessageType", "MetaData", "UUID"))
+    return rep.select(*KEY, "pos", "UUID", F.col("UUID").alias("key"), value.alias("value"),
+                      F.lit(ALL_TOPIC).alias("topic"))
+
+
+@register("q01_enrich_all", with_reports(
+    f"SELECT {KEY_SQL}, {_UUID_SQL} AS UUID, {_UUID_SQL} AS value_uuid, MessageType AS value_type, "
+    f"'{ALL_TOPIC}' AS topic FROM (SELECT *, {_HASH} AS h FROM reports)"))
+def q01(spark, sf):
+    out = enrich_all(raw(spark, sf))
+    return out.select(*KEY, "UUID", F.get_json_object("value", "$.UUID").alias("value_uuid"),
+                      F.get_json_object("value", "$.MessageType").alias("value_type"), "topic")
+
+
+def full_enrich(reports_df: DataFrame, scale: float = 10.0) -> DataFrame:
+    """Q-02: standardise -> bin -> features, one projection chain (the JSON
+    flatten for the sink is ``operators.flatten``)."""
+    df = features.calculate_features(decode.with_body(reports_df), scale=scale)
+    df = standardize.enrich_metadata(df)
+    return binning.bin_location(df)
+
+
+_Q02_COLS = ["UUID", "Timestamp", "MMSI", "ShipName", "LatReported", "LngReported", "Lat", "Lng",
+             "S2", "hex_id", "WKT", "MGRS", "CourseDegrees", "SpeedKnots", "RateOfTurn",
+             "SpecialManoeuvre", "MessageType"]
+
+
+def _q02_sql() -> str:
+    stages = (geo.snap_stages(DUCKDB, "LatReported", "LngReported", "Lat", "Lng")
+              + geo.s2_cell_id(DUCKDB, "Lat", "Lng", binning.S2_LEVEL, "S2", "_S2_")
+              + geo.hex_stages("Lat", "Lng", "hex_q", "hex_r")
+              + geo.wkt_stages(DUCKDB, "Lat", "Lng", "WKT")
+              + geo.mgrs_stages(DUCKDB, "Lat", "Lng", "MGRS"))
+    chain, last = geo.duckdb_chain("std", stages, "fe")
+    gate = f"MessageType IN {POSITION_TYPES_SQL}"
+    std = (
+        f"std AS (SELECT *, {_UUID_SQL} AS UUID, epoch_us(CAST(substr(time_utc, 1, 26) AS TIMESTAMP)) "
+        "/ 1000000.0 AS Timestamp, CAST(MMSI AS VARCHAR) AS MMSI_text, "
+        f"{_STRIP} AS ShipName_text, latitude AS LatReported, longitude AS LngReported, "
+        f"CASE WHEN {gate} THEN coalesce(round_even(Cog / 10.0, 2), 3600.0) END AS CourseDegrees, "
+        f"CASE WHEN {gate} THEN coalesce(round_even(Sog / 10.0, 1), 1023.0) END AS SpeedKnots, "
+        f"CASE WHEN {gate} THEN coalesce(RateOfTurn, -128) END AS RateOfTurn_f, "
+        f"CASE WHEN {gate} THEN coalesce(SMI <> 0, false) END AS SpecialManoeuvre "
+        f"FROM (SELECT *, {_HASH} AS h FROM reports))")
+    body = ("SELECT UUID, Timestamp, MMSI_text AS MMSI, ShipName_text AS ShipName, LatReported, "
+            "LngReported, Lat, Lng, S2, 'hex450:' || CAST(hex_q AS VARCHAR) || ':' || "
+            "CAST(hex_r AS VARCHAR) AS hex_id, WKT, MGRS, CourseDegrees, SpeedKnots, "
+            f"RateOfTurn_f AS RateOfTurn, SpecialManoeuvre, MessageType FROM {last}")
+    return with_reports(body, std + ",\n" + chain)
+
+
+@register("q02_full_enrich", _q02_sql())
+def q02(spark, sf):
+    return full_enrich(reports(spark, sf)).select(*_Q02_COLS)
+
+
+def route_by_type(raw_rows: DataFrame, prefix: str = TYPE_PREFIX) -> DataFrame:
+    """Q-03: decode -> known types -> key by MMSI -> topic per type."""
+    rep = decode.known_types(decode.decode_reports(raw_rows))
+    rep = route.with_route(rep, prefix, name="out_topic")
+    value = sinks.report_json(rep.select("Message", "MessageType", "MetaData"))
+    return rep.select(sinks.key_by_mmsi(F.col("MetaData.MMSI")).alias("key"), value.alias("value"),
+                      F.col("out_topic").alias("topic"))
+
+
+@register("q03_route_by_type", with_envelopes(
+    f"SELECT '{TYPE_PREFIX}' || lower(mtype) AS topic, count(*) AS messages, "
+    "count(DISTINCT CAST(mmsi AS VARCHAR)) AS keys FROM fx5 GROUP BY ALL"))
+def q03(spark, sf):
+    out = route_by_type(fixture.envelope_topic(spark, sf))
+    return out.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"),
+                                    F.countDistinct("key").alias("keys"))
+
+
+def live_positions(reports_df: DataFrame) -> DataFrame:
+    """Q-04: per vessel the current position (W-01), its label (P-19) and
+    how many of its valid reports moved it (W-02). Both sides are keyed by
+    MMSI, so the final join is 1:1."""
+    std = standardize.enrich_metadata(reports_df)
+    cur = stateful.current_positions(std, extra=["ShipName"])
+    moves = (stateful.change_status(std).groupBy("MMSI")
+             .agg(F.count(F.lit(1)).alias("n_positions"),
+                  F.sum(F.when(F.col("status") == "moved", 1).otherwise(0)).alias("n_moved")))
+    return cur.join(moves, "MMSI").select(
+        "MMSI", "Lat", "Lng", standardize.display_label(F.col("MMSI"), F.col("ShipName")).alias("label"),
+        "n_positions", "n_moved")
+
+
+@register("q04_live_positions", with_reports(
+    "SELECT c.MMSI, c.Lat, c.Lng, c.MMSI || ': ' || coalesce(nullif(c.ShipName, ''), 'Unknown Ship') "
+    "AS label, m.n_positions, m.n_moved FROM "
+    "(SELECT CAST(MMSI AS VARCHAR) AS MMSI, latitude AS Lat, longitude AS Lng, "
+    f"{_STRIP} AS ShipName FROM (SELECT *, row_number() OVER (PARTITION BY MMSI ORDER BY "
+    "arrival_ts DESC, \"offset\" DESC, \"partition\" DESC, pos DESC) AS rk FROM reports WHERE "
+    f"{_VALID}) WHERE rk = 1) c JOIN "
+    "(SELECT CAST(MMSI AS VARCHAR) AS MMSI, count(*) AS n_positions, CAST(sum(CASE WHEN pl IS NOT "
+    "NULL AND (latitude <> pl OR longitude <> pg) THEN 1 ELSE 0 END) AS BIGINT) AS n_moved FROM "
+    "(SELECT *, lag(latitude) OVER w AS pl, lag(longitude) OVER w AS pg FROM reports WHERE "
+    f"{_VALID} WINDOW w AS (PARTITION BY MMSI ORDER BY arrival_ts, \"offset\", \"partition\", pos)) "
+    "GROUP BY ALL) m ON c.MMSI = m.MMSI"))
+def q04(spark, sf):
+    return live_positions(reports(spark, sf))
+
+
+BATCH_REPORT_N = 100
+
+
+def batch_report(raw_rows: DataFrame, n: int = BATCH_REPORT_N) -> DataFrame:
+    """Q-05: first ``n`` good messages -> six-column table -> reports per
+    vessel (NULL dropped, ordered by MMSI)."""
+    first = sources.bounded_read(raw_rows, n)
+    six = standardize.six_columns(decode.decode_reports(first))
+    return (six.where(F.col("MMSI").isNotNull()).groupBy("MMSI")
+            .agg(F.count(F.lit(1)).alias("ReportCount")).orderBy("MMSI"))
+
+
+@register("q05_batch_report", with_reports(
+    "SELECT MMSI, count(*) AS ReportCount FROM (SELECT r.MMSI FROM reports r JOIN (SELECT "
+    "\"partition\", \"offset\" FROM raw_topic WHERE json_valid(value) ORDER BY timestamp, "
+    f"\"offset\", \"partition\" LIMIT {BATCH_REPORT_N}) f USING (\"partition\", \"offset\")) "
+    "WHERE MMSI IS NOT NULL GROUP BY MMSI ORDER BY MMSI"))
+def q05(spark, sf):
+    return batch_report(raw(spark, sf))
+
+
+def throughput_monitor(raw_rows: DataFrame, seconds: int = 60) -> DataFrame:
+    """Q-06: one aggregate per window: count, kilobytes (A-04) and the
+    per-second rates (A-08)."""
+    w = (raw_rows.groupBy(F.window("timestamp", f"{seconds} seconds").alias("w"))
+         .agg(F.count(F.lit(1)).alias("messages"), F.sum(F.octet_length("value")).alias("bytes")))
+    return w.select(F.col("w.start").alias("window_start"), "messages",
+                    F.bround(F.col("bytes") / F.lit(1024.0), 2).alias("kilobytes"),
+                    (F.col("messages") / F.lit(float(seconds))).alias("messages_per_s"),
+                    (F.col("bytes") / F.lit(float(seconds))).alias("bytes_per_s"))
+
+
+@register("q06_throughput_monitor", with_reports(
+    "SELECT make_timestamp(b * 60000000) AS window_start, count(*) AS messages, "
+    "round_even(sum(strlen(value)) / 1024.0, 2) AS kilobytes, count(*) / 60.0 AS messages_per_s, "
+    "sum(strlen(value)) / 60.0 AS bytes_per_s FROM (SELECT *, epoch_us(timestamp) // 60000000 AS b "
+    "FROM raw_topic) GROUP BY b"))
+def q06(spark, sf):
+    return throughput_monitor(raw(spark, sf)).select(
+        wc("window_start"), "messages", "kilobytes", "messages_per_s", "bytes_per_s")
+
+
+def reenvelope(raw_rows: DataFrame, max_bytes: int = stateful.MAX_ENVELOPE_BYTES) -> DataFrame:
+    """Q-07: flush batches (W-05) -> byte-bounded split (W-06) -> key each
+    envelope with a deterministic UUID (K-04 form)."""
+    batches = stateful.flush_batches(raw_rows)
+    pieces, _ = stateful.split_envelopes(batches, ["flush_start", "chunk"], max_bytes=max_bytes)
+    h = F.sha2(F.concat_ws("|", F.unix_micros("flush_start").cast("string"),
+                           F.col("chunk").cast("string"), F.col("path")), 256)
+    key = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
+                      F.substring(h, 17, 4), F.substring(h, 21, 12))
+    return pieces.withColumn("key", key)
+
+
+@register("q07_reenvelope", with_reports(
+    "SELECT flush_start, chunk, '' AS path, n_items, bytes, "
+    "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) "
+    "|| '-' || substr(h, 21, 12) AS key FROM (SELECT make_timestamp(fb * 250000) AS flush_start, "
+    "(rn - 1) // 1000 AS chunk, count(*) AS n_items, CAST(sum(strlen(value)) + count(*) + 1 AS "
+    "INTEGER) AS bytes, sha256(CAST(fb * 250000 AS VARCHAR) || '|' || CAST((rn - 1) // 1000 AS "
+    "VARCHAR) || '|') AS h FROM (SELECT *, epoch_us(timestamp) // 250000 AS fb, row_number() "
+    "OVER (PARTITION BY epoch_us(timestamp) // 250000 ORDER BY timestamp, \"offset\", "
+    "\"partition\") AS rn FROM raw_topic) GROUP BY fb, (rn - 1) // 1000)"))
+def q07(spark, sf):
+    out = reenvelope(raw(spark, sf))
+    return out.select(wc("flush_start"), "chunk", "path", "n_items", "bytes", "key")
