@@ -6,6 +6,8 @@ Batch forms here; the streaming forms (update-mode aggregates and
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +33,13 @@ def current_positions(df: DataFrame, key: str = "MMSI", lat: str = "Lat", lng: s
                       extra: list[str] | None = None,
                       order: list[str] | None = None) -> DataFrame:
     """W-01: the current position per vessel, last arrival wins. Invalid
-    positions are ignored. ``max_by`` is a partial aggregate: each task
-    keeps one row per vessel before the shuffle."""
+    positions and reports without a vessel id are ignored. ``max_by`` is a
+    partial aggregate: each task keeps one row per vessel before the
+    shuffle."""
     order = order or REPORT_ORDER
     cols = [lat, lng] + (extra or []) + order
     last = F.max_by(F.struct(*[F.col(c) for c in cols]), _order_struct(order)).alias("s")
-    return (valid_positions(df, lat, lng).groupBy(key).agg(last)
+    return (valid_positions(df, lat, lng).where(F.col(key).isNotNull()).groupBy(key).agg(last)
             .select(key, *[F.col(f"s.{c}").alias(c) for c in cols]))
 
 
@@ -44,10 +47,12 @@ def change_status(df: DataFrame, key: str = "MMSI", lat: str = "Lat", lng: str =
                   order: list[str] | None = None) -> DataFrame:
     """W-02: ``new`` for a vessel's first valid position, ``moved`` when
     latitude or longitude differs from the previous one, else ``unchanged``.
-    Invalid positions are dropped and make no state. The lag runs on the
-    skew-safe ordered helper, so one busy vessel is split across tasks."""
+    Invalid positions and reports without a vessel id are dropped and make
+    no state. The lag runs on the skew-safe ordered helper, so one busy
+    vessel is split across tasks."""
     order = order or REPORT_ORDER
-    lagged = ordering.lag(valid_positions(df, lat, lng), [key], order, [lat, lng])
+    tracked = valid_positions(df, lat, lng).where(F.col(key).isNotNull())
+    lagged = ordering.lag(tracked, [key], order, [lat, lng])
     plat, plng = F.col(f"prev_{lat}"), F.col(f"prev_{lng}")
     status = (F.when(plat.isNull() & plng.isNull(), F.lit("new"))
               .when((F.col(lat) != plat) | (F.col(lng) != plng), F.lit("moved"))
@@ -121,17 +126,19 @@ def flush_batches(messages: DataFrame, interval: str = FLUSH_INTERVAL,
 
 
 def split_envelopes(envelopes: DataFrame, batch_cols: list[str], items: str = "items",
-                    max_bytes: int = MAX_ENVELOPE_BYTES, max_rounds: int = 32,
+                    max_bytes: int = MAX_ENVELOPE_BYTES,
                     checkpoint_every: int = 4) -> tuple[DataFrame, DataFrame]:
     """W-06: keep every envelope within ``max_bytes``: an oversize envelope
     is halved at ``n // 2`` and each half checked again; a single report
     that alone exceeds the bound is rejected.
 
-    Items are exploded once with their index; each round works on groups
-    ``(batch, path)`` that are bounded by the envelope size, and appends
-    ``0``/``1`` to the path of the items of every oversize group. Rounds end
-    when no group is oversize (at most log2 of the envelope size). Lineage is
-    cut with reliable checkpoints in the shared checkpoint folder.
+    Items are exploded once with their index; a round works on groups
+    ``(batch, path)``, bounded by the envelope size, and appends ``0``/``1``
+    to the path of the items of every oversize group. Halving reaches single
+    items after ``ceil(log2(n))`` rounds, so the number of rounds comes from
+    one scalar (the largest envelope) and the rounds are planned without an
+    action each; rounds that find nothing to split change nothing. Lineage
+    is cut with reliable checkpoints in the shared checkpoint folder.
 
     Returns ``(pieces, rejected)``; pieces are in send order by ``path``.
     """
@@ -140,31 +147,24 @@ def split_envelopes(envelopes: DataFrame, batch_cols: list[str], items: str = "i
     from ..session import checkpoint_root
 
     checkpoint_root(envelopes.sparkSession)
+    largest = envelopes.select(F.max(F.size(items))).first()[0] or 0
+    rounds = math.ceil(math.log2(largest)) if largest > 1 else 0
     flat = envelopes.select(*batch_cols, F.posexplode(items).alias("idx", "item")) \
         .withColumn("item_bytes", F.octet_length("item").cast("long")) \
         .withColumn("path", F.lit(""))
     grp = Window.partitionBy(*batch_cols, "path")
-    for round_no in range(max_rounds):
-        stats = flat.withColumns({
-            "_n": F.count(F.lit(1)).over(grp),
-            "_size": F.sum("item_bytes").over(grp) + F.count(F.lit(1)).over(grp) + 1,
-            "_lo": F.min("idx").over(grp),
-        })
+    for round_no in range(rounds):
+        n, size = F.count(F.lit(1)).over(grp), F.sum("item_bytes").over(grp)
+        stats = flat.withColumns({"_n": n, "_size": size + n + 1, "_lo": F.min("idx").over(grp)})
         split = (F.col("_size") > max_bytes) & (F.col("_n") > 1)
-        nxt = stats.withColumn("path", F.when(
-            split, F.concat("path", F.when(F.col("idx") - F.col("_lo") < F.floor(F.col("_n") / 2),
-                                           F.lit("0")).otherwise(F.lit("1"))))
-            .otherwise(F.col("path")))
-        pending = nxt.where(split).limit(1).count()
-        flat = nxt.drop("_n", "_size", "_lo")
-        if (round_no + 1) % checkpoint_every == 0:
+        half = F.when(F.col("idx") - F.col("_lo") < F.floor(F.col("_n") / 2), F.lit("0")) \
+            .otherwise(F.lit("1"))
+        flat = stats.withColumn("path", F.when(split, F.concat("path", half))
+                                .otherwise(F.col("path"))).drop("_n", "_size", "_lo")
+        if (round_no + 1) % checkpoint_every == 0 and round_no + 1 < rounds:
             flat = flat.checkpoint()
-        if pending == 0:
-            break
-    sized = flat.withColumns({
-        "_n": F.count(F.lit(1)).over(grp),
-        "_size": F.sum("item_bytes").over(grp) + F.count(F.lit(1)).over(grp) + 1,
-    })
+    n = F.count(F.lit(1)).over(grp)
+    sized = flat.withColumns({"_n": n, "_size": F.sum("item_bytes").over(grp) + n + 1})
     rejected = sized.where((F.col("_size") > max_bytes) & (F.col("_n") == 1)) \
         .select(*batch_cols, "idx", "item_bytes", "item")
     keep = sized.where(F.col("_size") <= max_bytes)

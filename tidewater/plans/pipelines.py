@@ -128,11 +128,11 @@ def live_positions(reports_df: DataFrame) -> DataFrame:
     "(SELECT CAST(MMSI AS VARCHAR) AS MMSI, latitude AS Lat, longitude AS Lng, "
     f"{_STRIP} AS ShipName FROM (SELECT *, row_number() OVER (PARTITION BY MMSI ORDER BY "
     "arrival_ts DESC, \"offset\" DESC, \"partition\" DESC, pos DESC) AS rk FROM reports WHERE "
-    f"{_VALID}) WHERE rk = 1) c JOIN "
+    f"{_VALID} AND MMSI IS NOT NULL) WHERE rk = 1) c JOIN "
     "(SELECT CAST(MMSI AS VARCHAR) AS MMSI, count(*) AS n_positions, CAST(sum(CASE WHEN pl IS NOT "
     "NULL AND (latitude <> pl OR longitude <> pg) THEN 1 ELSE 0 END) AS BIGINT) AS n_moved FROM "
     "(SELECT *, lag(latitude) OVER w AS pl, lag(longitude) OVER w AS pg FROM reports WHERE "
-    f"{_VALID} WINDOW w AS (PARTITION BY MMSI ORDER BY arrival_ts, \"offset\", \"partition\", pos)) "
+    f"{_VALID} AND MMSI IS NOT NULL WINDOW w AS (PARTITION BY MMSI ORDER BY arrival_ts, \"offset\", \"partition\", pos)) "
     "GROUP BY ALL) m ON c.MMSI = m.MMSI"))
 def q04(spark, sf):
     return live_positions(reports(spark, sf))

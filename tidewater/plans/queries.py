@@ -346,7 +346,7 @@ _VALID_SQL = ("latitude IS NOT NULL AND longitude IS NOT NULL AND NOT isnan(lati
     "SELECT CAST(MMSI AS VARCHAR) AS MMSI, latitude AS Lat, longitude AS Lng, "
     "regexp_replace(ShipName, '^\\s+|\\s+$', '', 'g') AS ShipName, arrival_ts FROM "
     "(SELECT *, row_number() OVER (PARTITION BY MMSI ORDER BY arrival_ts DESC, \"offset\" DESC, "
-    f"\"partition\" DESC, pos DESC) AS rk FROM reports WHERE {_VALID_SQL}) WHERE rk = 1"))
+    f"\"partition\" DESC, pos DESC) AS rk FROM reports WHERE {_VALID_SQL} AND MMSI IS NOT NULL) WHERE rk = 1"))
 def w01(spark, sf):
     df = stateful.current_positions(std_reports(spark, sf), extra=["ShipName"])
     return df.select("MMSI", "Lat", "Lng", "ShipName", wc("arrival_ts"))
@@ -356,7 +356,7 @@ def w01(spark, sf):
     f"SELECT {KEY_SQL}, CAST(MMSI AS VARCHAR) AS MMSI, CASE WHEN pl IS NULL THEN 'new' "
     "WHEN latitude <> pl OR longitude <> pg THEN 'moved' ELSE 'unchanged' END AS status FROM "
     "(SELECT *, lag(latitude) OVER w AS pl, lag(longitude) OVER w AS pg FROM reports "
-    f"WHERE {_VALID_SQL} WINDOW w AS (PARTITION BY MMSI ORDER BY arrival_ts, \"offset\", "
+    f"WHERE {_VALID_SQL} AND MMSI IS NOT NULL WINDOW w AS (PARTITION BY MMSI ORDER BY arrival_ts, \"offset\", "
     "\"partition\", pos))"))
 def w02(spark, sf):
     return stateful.change_status(std_reports(spark, sf)).select(*KEY, "MMSI", "status")

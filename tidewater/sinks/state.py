@@ -55,19 +55,26 @@ def _versions(root: str) -> list[int]:
                   and os.path.exists(os.path.join(path, d, "_SUCCESS")))
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame | None:
-    versions = _versions(root)
+def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """The newest complete version (older than ``before`` when given)."""
+    versions = [v for v in _versions(root) if before is None or v < before]
     if not versions:
         return None
     return spark.read.parquet(f"{root}/v={versions[-1]}")
 
 
-def write_upsert(spark: SparkSession, root: str, reports: DataFrame) -> str:
-    """Merge a batch into the state at ``root`` and publish a new version."""
+def write_upsert(spark: SparkSession, root: str, reports: DataFrame,
+                 version: int | None = None) -> str:
+    """Merge a batch into the state at ``root`` and publish a new version.
+
+    With ``version`` (a stream's batch id) the merge reads the newest version
+    below it and overwrites ``v=<version>``: a retried batch rewrites the
+    same version from the same input, so the state stays exact."""
     versions = _versions(root)
-    nxt = (versions[-1] + 1) if versions else 0
-    merged = upsert_positions(read_state(spark, root), reports)
-    out = f"{root}/v={nxt}"
+    if version is None:
+        version = (versions[-1] + 1) if versions else 0
+    merged = upsert_positions(read_state(spark, root, before=version), reports)
+    out = f"{root}/v={version}"
     merged.write.mode("overwrite").parquet(out)
     return out
 
