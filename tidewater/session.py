@@ -48,6 +48,27 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def spread(df, min_factor: int = 2):
+    """Spread an under-partitioned source over the cluster.
+
+    A small table stored as one file with one row group scans as a single
+    task, and every row-wise stage after it then runs on one core. When the
+    scan has fewer partitions than the cluster has cores, the rows are
+    redistributed round-robin (deterministic on retry: Spark sorts before a
+    round-robin repartition) and kept as a cached relation. The cache is the
+    optimizer barrier: without it Catalyst pushes later filters (for example
+    on parsed JSON) below the exchange, back into the single scan task.
+    Only inputs small enough to scan as fewer partitions than cores take
+    this path; lost cached blocks are recomputed from the source.
+    """
+    from pyspark import StorageLevel
+
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores * min_factor).persist(StorageLevel.MEMORY_AND_DISK)
+    return df
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_utc
+from ..session import ensure_utc, spread
 
 ENVELOPE_SIZE = 23
 BAD_EVERY = 101
@@ -165,7 +165,7 @@ def report_objects(events: DataFrame) -> DataFrame:
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def raw_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
