@@ -69,6 +69,9 @@ class Dialect:
     def shr(self, a: str, n: int | str) -> str:
         return f"shiftright({a}, {n})" if self.name == "spark" else f"({a} >> {n})"
 
+    def shl(self, a: str, n: int | str) -> str:
+        return f"shiftleft({a}, {n})" if self.name == "spark" else f"({a} << {n})"
+
     def xor(self, a: str, b: str) -> str:
         return f"({a} ^ {b})" if self.name == "spark" else f"xor({a}, {b})"
 
@@ -144,9 +147,12 @@ def s2_cell_id(d: Dialect, lat: str, lng: str, level: int, out: str, p: str) ->
     return stages
 
 
-def s2_center(d: Dialect, p: str, level: int, lat_out: str, lng_out: str) -> list[Stage]:
-    """Centre (degrees) of the level cell holding leaf (face, i, j)."""
-    size = 1 << (S2_MAX_LEVEL - level)
+def s2_center(d: Dialect, p: str, level: int | None, lat_out: str, lng_out: str,
+              size_sql: str | None = None) -> list[Stage]:
+    """Centre (degrees) of the level cell holding leaf (face, i, j); the
+    cell size in leaf units is ``2^(30 - level)`` or the SQL ``size_sql``
+    (for a level held in a column)."""
+    size = size_sql if size_sql is not None else str(1 << (S2_MAX_LEVEL - level))
     half = _d(0.5 / S2_MAX_SIZE)
     third = _d(1.0 / 3.0)
 
@@ -172,12 +178,21 @@ def s2_center(d: Dialect, p: str, level: int, lat_out: str, lng_out: str) -> lis
     ]
 
 
-def s2_parent(d: Dialect, cell: str, level: int) -> str:
-    """Parent id at ``level`` of a finer cell id (same bit pattern rules)."""
-    lsb = 1 << (2 * (S2_MAX_LEVEL - level))
-    if d.name == "spark":
-        return f"(({cell} & {-lsb}) | {lsb})"
-    return f"(({cell} & CAST({-lsb} AS BIGINT)) | CAST({lsb} AS BIGINT))"
+def s2_parent(d: Dialect, cell: str, level: int | str) -> str:
+    """Parent id at ``level`` (a constant or a column) of a finer cell id:
+    ``(id & -lsb) | lsb`` with ``lsb = 1 << 2*(30 - level)``."""
+    if isinstance(level, int):
+        lsb = 1 << (2 * (S2_MAX_LEVEL - level))
+        if d.name == "spark":
+            return f"(({cell} & {-lsb}) | {lsb})"
+        return f"(({cell} & CAST({-lsb} AS BIGINT)) | CAST({lsb} AS BIGINT))"
+    lsb = d.shl("CAST(1 AS BIGINT)", f"(2 * ({S2_MAX_LEVEL} - {level}))")
+    return f"(({cell} & -{lsb}) | {lsb})"
+
+
+def cell_size(d: Dialect, level: str) -> str:
+    """Cell size in leaf units for a level held in a column."""
+    return d.shl("CAST(1 AS BIGINT)", f"({S2_MAX_LEVEL} - {level})")
 
 
 def unsigned_text(d: Dialect, cell: str) -> str:
@@ -306,15 +321,29 @@ def wkt_stages(d: Dialect, lat: str, lng: str, out: str, p: str = "_wk_") -> lis
 
 # -------------------------------------------------------------- running --
 
+STAGES_PER_STATEMENT = 24
+
+
 def apply_stages(df: DataFrame, stages: list[Stage], keep: list[str] | None = None) -> DataFrame:
     """Run stages as a projection chain on a Spark frame; temporary columns
-    (prefix ``_``) are dropped unless listed in ``keep``."""
+    (prefix ``_``) are dropped unless listed in ``keep``.
+
+    Stages are applied as SQL statements of nested projections over the
+    frame (passed as a parameter, no temporary view), up to
+    ``STAGES_PER_STATEMENT`` per statement: the plan is analysed once per
+    statement instead of once per stage, and each statement stays within
+    the analyzer's iteration limit (one pass per nesting level)."""
     before = set(df.columns)
-    for stage in stages:
-        df = df.selectExpr("*", *[f"{expr} AS `{name}`" for name, expr in stage])
+    out = df
+    for start in range(0, len(stages), STAGES_PER_STATEMENT):
+        sql = "SELECT * FROM {df}"
+        for stage in stages[start:start + STAGES_PER_STATEMENT]:
+            cols = ", ".join(f"{expr} AS `{name}`" for name, expr in stage)
+            sql = f"SELECT *, {cols} FROM ({sql})"
+        out = out.sparkSession.sql(sql, df=out)
     keep = set(keep or [])
-    drop = [c for c in df.columns if c not in before and c.startswith("_") and c not in keep]
-    return df.drop(*drop)
+    drop = [c for c in out.columns if c not in before and c.startswith("_") and c not in keep]
+    return out.drop(*drop)
 
 
 def duckdb_chain(source: str, stages: list[Stage], prefix: str) -> tuple[str, str]:

@@ -90,35 +90,30 @@ def s2_rollup(snapped: DataFrame, levels: tuple[int, ...] = ROLLUP_LEVELS,
               lat: str = "Lat", lng: str = "Lng") -> DataFrame:
     """G-03: report counts per S2 cell at several levels, with each cell's
     centre. Counted once at the finest level (by face and truncated i, j),
-    then every coarser level is derived from that table."""
+    the finest cell id is computed on that (much smaller) table, and every
+    level is derived from it in one pass: parent id by bit mask, centre from
+    the truncated i, j. No per-level re-scan, no union."""
     finest = max(levels)
     shift = geo.S2_MAX_LEVEL - finest
     ij = geo.apply_stages(snapped.select(lat, lng), geo.s2_face_ij(lat, lng, "_r_"),
                           keep=["_r_face", "_r_i", "_r_j"])
-    leaf = (ij.groupBy(F.col("_r_face").alias("_f"),
-                       F.shiftright("_r_i", shift).alias("_ci"),
-                       F.shiftright("_r_j", shift).alias("_cj"))
+    leaf = (ij.groupBy(F.col("_r_face").alias("_l_face"),
+                       F.shiftleft(F.shiftright("_r_i", shift), shift).alias("_l_i"),
+                       F.shiftleft(F.shiftright("_r_j", shift), shift).alias("_l_j"))
             .agg(F.count(F.lit(1)).alias("reports")))
-    parts = []
-    for level in levels:
-        d = leaf.select(F.col("_f").alias("_l_face"),
-                        F.shiftleft(F.shiftright("_ci", finest - level), geo.S2_MAX_LEVEL - level)
-                        .alias("_l_i"),
-                        F.shiftleft(F.shiftright("_cj", finest - level), geo.S2_MAX_LEVEL - level)
-                        .alias("_l_j"),
-                        "reports")
-        stages = (geo.s2_hilbert(SPARK, "_l_", level)
-                  + [[("cell", SPARK.s2_id("_l_face", f"_l_pos{level}", level))]]
-                  + geo.s2_center(SPARK, "_l_", level, "center_lat", "center_lng"))
-        d = geo.apply_stages(d, stages)
-        parts.append(d.groupBy("cell", "center_lat", "center_lng")
-                     .agg(F.sum("reports").alias("reports"))
-                     .withColumn("level", F.lit(level)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("level", "cell", F.expr(geo.unsigned_text(SPARK, "cell")).alias("cell_text"),
-                      "center_lat", "center_lng", "reports")
+    fine = geo.apply_stages(
+        leaf, geo.s2_hilbert(SPARK, "_l_", finest)
+        + [[("_cell_f", SPARK.s2_id("_l_face", f"_l_pos{finest}", finest))]],
+        keep=["_l_face", "_l_i", "_l_j", "_cell_f"])
+    per_level = fine.select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("level"))
+    stages = ([[("cell", geo.s2_parent(SPARK, "_cell_f", "level"))]]
+              + geo.s2_center(SPARK, "_l_", None, "center_lat", "center_lng",
+                              size_sql=geo.cell_size(SPARK, "level")))
+    cells = geo.apply_stages(per_level, stages)
+    return (cells.groupBy("level", "cell", "center_lat", "center_lng")
+            .agg(F.sum("reports").alias("reports"))
+            .select("level", "cell", F.expr(geo.unsigned_text(SPARK, "cell")).alias("cell_text"),
+                    "center_lat", "center_lng", "reports"))
 
 
 def hex_density(binned: DataFrame) -> DataFrame:

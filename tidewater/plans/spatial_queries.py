@@ -55,35 +55,28 @@ def g02(spark, sf):
     return binning.s2_density(b)
 
 
-def _rollup_sql() -> str:
-    face = geo.s2_face_ij("Lat", "Lng", "_r_")
-    finest = max(binning.ROLLUP_LEVELS)
-    parts, ctes = [], []
-    leaf = (f"leaf AS (SELECT _r_face AS _f, _r_i >> {30 - finest} AS _ci, _r_j >> {30 - finest} "
-            "AS _cj, count(*) AS reports FROM {src} GROUP BY ALL)")
-    for level in binning.ROLLUP_LEVELS:
-        src = (f"lv{level} AS (SELECT _f AS _l_face, (_ci >> {finest - level}) << {30 - level} AS _l_i, "
-               f"(_cj >> {finest - level}) << {30 - level} AS _l_j, reports FROM leaf)")
-        stages = (geo.s2_hilbert(DUCKDB, "_l_", level)
-                  + [[("cell", DUCKDB.s2_id("_l_face", f"_l_pos{level}", level))]]
-                  + geo.s2_center(DUCKDB, "_l_", level, "center_lat", "center_lng"))
-        chain, last = geo.duckdb_chain(f"lv{level}", stages, f"h{level}_")
-        ctes.append(src)
-        ctes.append(chain)
-        parts.append(f"SELECT {level} AS level, cell, {geo.unsigned_text(DUCKDB, 'cell')} AS cell_text, "
-                     f"center_lat, center_lng, CAST(sum(reports) AS BIGINT) AS reports FROM {last} "
-                     "GROUP BY ALL")
-    fchain, flast = geo.duckdb_chain("sn_last", face, "fc")
-    return fchain, flast, leaf, ctes, " UNION ALL ".join(parts)
-
-
 def _g03_sql() -> str:
+    finest = max(binning.ROLLUP_LEVELS)
+    shift = 30 - finest
     snap_chain, snap_last = geo.duckdb_chain("vr", _SNAP, "sn")
-    fchain, flast, leaf, ctes, body = _rollup_sql()
-    fchain = fchain.replace("FROM sn_last", f"FROM {snap_last}")
-    extra = ",\n".join([fchain, leaf.replace("{src}", flast)] + ctes)
+    face_chain, face_last = geo.duckdb_chain(snap_last, geo.s2_face_ij("Lat", "Lng", "_r_"), "fc")
+    leaf = (f"leaf AS (SELECT _r_face AS _l_face, (_r_i >> {shift}) << {shift} AS _l_i, "
+            f"(_r_j >> {shift}) << {shift} AS _l_j, count(*) AS reports FROM {face_last} GROUP BY ALL)")
+    fine_chain, fine_last = geo.duckdb_chain(
+        "leaf", geo.s2_hilbert(DUCKDB, "_l_", finest)
+        + [[("_cell_f", DUCKDB.s2_id("_l_face", f"_l_pos{finest}", finest))]], "hf")
+    levels = ", ".join(f"({v})" for v in binning.ROLLUP_LEVELS)
+    per_level = (f"pl AS (SELECT f.*, CAST(lv.level AS INTEGER) AS level FROM {fine_last} f "
+                 f"CROSS JOIN (VALUES {levels}) lv(level))")
+    cell_chain, cell_last = geo.duckdb_chain(
+        "pl", [[("cell", geo.s2_parent(DUCKDB, "_cell_f", "level"))]]
+        + geo.s2_center(DUCKDB, "_l_", None, "center_lat", "center_lng",
+                        size_sql=geo.cell_size(DUCKDB, "level")), "cc")
     base = (f"vr AS (SELECT *, latitude AS LatReported, longitude AS LngReported FROM reports "
-            f"WHERE {_VALID}),\n{snap_chain},\n{extra}")
+            f"WHERE {_VALID}),\n" + ",\n".join([snap_chain, face_chain, leaf, fine_chain,
+                                                  per_level, cell_chain]))
+    body = (f"SELECT level, cell, {geo.unsigned_text(DUCKDB, 'cell')} AS cell_text, center_lat, "
+            f"center_lng, CAST(sum(reports) AS BIGINT) AS reports FROM {cell_last} GROUP BY ALL")
     return with_reports(body, base)
 
 
