@@ -5,7 +5,8 @@ empty objects/arrays and nulls are leaves. The value is parsed once to
 VARIANT; each level is one higher-order ``transform`` over the current
 entries (cast to ``MAP<STRING,VARIANT>`` / ``ARRAY<VARIANT>``), so the whole
 flatten is row-wise: no explode-and-regroup, no shuffle, same code for
-streams. A fixed depth bounds the work; deeper documents fail loudly.
+streams. A fixed depth bounds the work (each level copies the entries
+through one projection); deeper documents fail loudly.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 8
+# AIS reports nest at most 5 levels (Message, type, PositionAccuracy, slot,
+# field); deeper documents fail loudly instead of being cut.
+MAX_DEPTH = 6
 SEPARATOR = "_"
 
 
@@ -27,31 +30,71 @@ def _kind(v: Column) -> Column:
             .otherwise(F.lit("number")))
 
 
-def _children(x: Column, sep: str) -> Column:
-    """Entries one level below ``x`` (a struct ``path, v``), or ``[x]``."""
-    v, path = x["v"], x["path"]
-    obj = F.try_variant_get(v, "$", "map<string,variant>")
-    arr = F.try_variant_get(v, "$", "array<variant>")
-    obj_entries = F.transform(F.map_entries(obj), lambda e: F.struct(
-        F.concat(path, F.lit(sep), e["key"]).alias("path"), e["value"].alias("v")))
-    arr_entries = F.transform(arr, lambda e, i: F.struct(
-        F.concat(path, F.lit(sep), i.cast("string")).alias("path"), e.alias("v")))
-    return (F.when(obj.isNotNull() & (F.size(obj) > 0), obj_entries)
-            .when(arr.isNotNull() & (F.size(arr) > 0), arr_entries)
-            .otherwise(F.array(x)))
+def _entry(path: Column, v: Column, leaf: Column) -> Column:
+    return F.struct(path.alias("path"), v.alias("v"), leaf.alias("leaf"))
+
+
+def _annotate(entries: Column) -> Column:
+    """Cast each entry's value once: as an object map and as an array
+    (NULL when it is not one). Entries already known to be leaves are not
+    cast again."""
+    def cast(x: Column, t: str) -> Column:
+        return F.when(~x["leaf"], F.try_variant_get(x["v"], "$", t))
+    return F.transform(entries, lambda x: F.struct(
+        x["path"].alias("path"), x["v"].alias("v"),
+        cast(x, "map<string,variant>").alias("m"), cast(x, "array<variant>").alias("a")))
+
+
+def _expand(annotated: Column, sep: str) -> Column:
+    """One level down: non-empty containers give their children, everything
+    else stays as a leaf."""
+    def children(y: Column) -> Column:
+        from_obj = F.transform(F.map_entries(y["m"]), lambda e: _entry(
+            F.concat(y["path"], F.lit(sep), e["key"]), e["value"], F.lit(False)))
+        from_arr = F.transform(y["a"], lambda e, i: _entry(
+            F.concat(y["path"], F.lit(sep), i.cast("string")), e, F.lit(False)))
+        leaf = F.array(_entry(y["path"], y["v"], F.lit(True)))
+        return (F.when(F.coalesce(F.size(y["m"]), F.lit(0)) > 0, from_obj)
+                .when(F.coalesce(F.size(y["a"]), F.lit(0)) > 0, from_arr)
+                .otherwise(leaf))
+    return F.flatten(F.transform(annotated, children))
+
+
+def _is_container(y: Column) -> Column:
+    return (F.coalesce(F.size(y["m"]), F.lit(0)) + F.coalesce(F.size(y["a"]), F.lit(0))) > 0
 
 
 def flat_entries(value: Column, max_depth: int = MAX_DEPTH, sep: str = SEPARATOR) -> Column:
-    """``ARRAY<STRUCT<path, v VARIANT>>`` of the leaves of a JSON text."""
+    """``ARRAY<STRUCT<path, v VARIANT>>`` of the leaves of a JSON text
+    (``max_depth`` levels; see ``checked`` for the depth guard). One
+    expression; ``with_flat_entries`` is the faster staged form."""
     root = F.try_parse_json(value)
     top = F.try_variant_get(root, "$", "map<string,variant>")
-    entries = F.transform(F.map_entries(top), lambda e: F.struct(
-        e["key"].alias("path"), e["value"].alias("v")))
+    entries = F.transform(F.map_entries(top), lambda e: _entry(e["key"], e["value"], F.lit(False)))
     for _ in range(max_depth - 1):
-        entries = F.flatten(F.transform(entries, lambda x: _children(x, sep)))
-    deeper = F.exists(entries, lambda x: (
-        F.coalesce(F.size(F.try_variant_get(x["v"], "$", "map<string,variant>")), F.lit(0))
-        + F.coalesce(F.size(F.try_variant_get(x["v"], "$", "array<variant>")), F.lit(0))) > 0)
+        entries = _expand(_annotate(entries), sep)
+    return entries
+
+
+def with_flat_entries(df: DataFrame, value: str, out: str, max_depth: int = MAX_DEPTH,
+                      sep: str = SEPARATOR) -> DataFrame:
+    """Staged flatten: one projection per level, each level expands only
+    rows that still hold a non-empty container (a shallow report stops
+    after its own depth)."""
+    root = F.try_parse_json(F.col(value))
+    top = F.try_variant_get(root, "$", "map<string,variant>")
+    df = df.withColumn(out, F.transform(F.map_entries(top),
+                                        lambda e: _entry(e["key"], e["value"], F.lit(False))))
+    for _ in range(max_depth - 1):
+        df = df.withColumn("_flat_a", _annotate(F.col(out)))
+        df = df.withColumn(out, F.when(F.exists("_flat_a", _is_container),
+                                       _expand(F.col("_flat_a"), sep)).otherwise(F.col(out)))
+    return df.drop("_flat_a")
+
+
+def checked(entries: Column, max_depth: int = MAX_DEPTH) -> Column:
+    """Fail when a non-empty container is left after ``max_depth`` levels."""
+    deeper = F.exists(_annotate(entries), _is_container)
     return F.when(deeper, F.raise_error(F.lit(f"JSON nested deeper than {max_depth} levels"))) \
         .otherwise(entries)
 
@@ -71,15 +114,18 @@ def leaf_columns(v: Column) -> dict[str, Column]:
 def flatten_map(df: DataFrame, value: str = "value", out: str = "flat",
                 max_depth: int = MAX_DEPTH) -> DataFrame:
     """One map per row: ``path -> leaf JSON text`` (strings unquoted)."""
-    entries = flat_entries(F.col(value), max_depth)
-    return df.withColumn(out, F.map_from_entries(F.transform(entries, lambda x: F.struct(
-        x["path"], F.coalesce(F.try_variant_get(x["v"], "$", "string"), F.to_json(x["v"]))))))
+    staged = with_flat_entries(df, value, "_flat_e", max_depth)
+    return staged.withColumn(out, F.map_from_entries(F.transform(
+        checked(F.col("_flat_e"), max_depth), lambda x: F.struct(
+            x["path"], F.coalesce(F.try_variant_get(x["v"], "$", "string"), F.to_json(x["v"]))))))\
+        .drop("_flat_e")
 
 
 def flatten_rows(df: DataFrame, keys: list[str], value: str = "value",
                  max_depth: int = MAX_DEPTH) -> DataFrame:
     """One row per leaf: ``keys, path, kind, text, num``."""
-    rows = df.select(*keys, F.explode(flat_entries(F.col(value), max_depth)).alias("e"))
+    staged = with_flat_entries(df.select(*keys, value), value, "_flat_e", max_depth)
+    rows = staged.select(*keys, F.explode(checked(F.col("_flat_e"), max_depth)).alias("e"))
     leaf = leaf_columns(F.col("e.v"))
     return rows.select(*keys, F.col("e.path").alias("path"),
                        *[c.alias(n) for n, c in leaf.items()])

@@ -125,54 +125,67 @@ def flush_batches(messages: DataFrame, interval: str = FLUSH_INTERVAL,
                     "items"))
 
 
+def _halving_tree(items: Column, max_bytes: int, depth: int) -> Column:
+    """Final intervals ``struct(lo, hi, path)`` of the recursive halving of
+    an item array: an interval is split at ``n // 2`` while its JSON array
+    bytes (``sum(len) + n + 1``) exceed ``max_bytes`` and it holds more than
+    one item. ``depth`` levels are planned (enough for ``2^depth`` items)."""
+    sizes = F.transform(items, lambda x: F.octet_length(x).cast("long"))
+
+    def size(iv: Column) -> Column:
+        n = iv["hi"] - iv["lo"]
+        return F.aggregate(F.slice(sizes, iv["lo"] + 1, n), F.lit(0).cast("long"),
+                           lambda acc, b: acc + b) + n + 1
+
+    def node(lo: Column, hi: Column, path: Column) -> Column:
+        return F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"), path.alias("path"))
+
+    ivs = F.array(node(F.lit(0), F.size(items), F.lit("")))
+    for _ in range(depth):
+        ivs = F.flatten(F.transform(ivs, lambda iv: F.when(
+            (size(iv) > max_bytes) & (iv["hi"] - iv["lo"] > 1),
+            F.array(node(iv["lo"], iv["lo"] + F.floor((iv["hi"] - iv["lo"]) / 2), F.concat(iv["path"], F.lit("0"))),
+                    node(iv["lo"] + F.floor((iv["hi"] - iv["lo"]) / 2), iv["hi"], F.concat(iv["path"], F.lit("1")))))
+            .otherwise(F.array(iv))))
+    unfinished = F.exists(ivs, lambda iv: (size(iv) > max_bytes) & (iv["hi"] - iv["lo"] > 1))
+    return F.when(unfinished, F.raise_error(F.lit("envelope needs more halving levels"))) \
+        .otherwise(F.transform(ivs, lambda iv: F.struct(iv["lo"].alias("lo"), iv["hi"].alias("hi"),
+                                                       iv["path"].alias("path"),
+                                                       size(iv).alias("bytes"))))
+
+
 def split_envelopes(envelopes: DataFrame, batch_cols: list[str], items: str = "items",
                     max_bytes: int = MAX_ENVELOPE_BYTES,
-                    checkpoint_every: int = 4) -> tuple[DataFrame, DataFrame]:
+                    max_items: int | None = None) -> tuple[DataFrame, DataFrame]:
     """W-06: keep every envelope within ``max_bytes``: an oversize envelope
     is halved at ``n // 2`` and each half checked again; a single report
     that alone exceeds the bound is rejected.
 
-    Items are exploded once with their index; a round works on groups
-    ``(batch, path)``, bounded by the envelope size, and appends ``0``/``1``
-    to the path of the items of every oversize group. Halving reaches single
-    items after ``ceil(log2(n))`` rounds, so the number of rounds comes from
-    one scalar (the largest envelope) and the rounds are planned without an
-    action each; rounds that find nothing to split change nothing. Lineage
-    is cut with reliable checkpoints in the shared checkpoint folder.
+    Each envelope row already holds its (bounded) item array, so the whole
+    halving tree is computed inside the row with higher-order functions:
+    interval sizes are sums over array slices, one planned level per
+    halving. No shuffle, no iteration of jobs, no lineage to cut, and the
+    same expression works on a stream. ``max_items`` bounds the envelope
+    size (the flush cap, 1000); when not given it is read with one scalar
+    aggregate. An envelope beyond the bound fails loudly.
 
     Returns ``(pieces, rejected)``; pieces are in send order by ``path``.
     """
-    from pyspark.sql import Window
-
-    from ..session import checkpoint_root
-
-    checkpoint_root(envelopes.sparkSession)
-    largest = envelopes.select(F.max(F.size(items))).first()[0] or 0
-    rounds = math.ceil(math.log2(largest)) if largest > 1 else 0
-    flat = envelopes.select(*batch_cols, F.posexplode(items).alias("idx", "item")) \
-        .withColumn("item_bytes", F.octet_length("item").cast("long")) \
-        .withColumn("path", F.lit(""))
-    grp = Window.partitionBy(*batch_cols, "path")
-    for round_no in range(rounds):
-        n, size = F.count(F.lit(1)).over(grp), F.sum("item_bytes").over(grp)
-        stats = flat.withColumns({"_n": n, "_size": size + n + 1, "_lo": F.min("idx").over(grp)})
-        split = (F.col("_size") > max_bytes) & (F.col("_n") > 1)
-        half = F.when(F.col("idx") - F.col("_lo") < F.floor(F.col("_n") / 2), F.lit("0")) \
-            .otherwise(F.lit("1"))
-        flat = stats.withColumn("path", F.when(split, F.concat("path", half))
-                                .otherwise(F.col("path"))).drop("_n", "_size", "_lo")
-        if (round_no + 1) % checkpoint_every == 0 and round_no + 1 < rounds:
-            flat = flat.checkpoint()
-    n = F.count(F.lit(1)).over(grp)
-    sized = flat.withColumns({"_n": n, "_size": F.sum("item_bytes").over(grp) + n + 1})
-    rejected = sized.where((F.col("_size") > max_bytes) & (F.col("_n") == 1)) \
-        .select(*batch_cols, "idx", "item_bytes", "item")
-    keep = sized.where(F.col("_size") <= max_bytes)
-    pieces = (keep.groupBy(*batch_cols, "path")
-              .agg(F.sort_array(F.collect_list(F.struct("idx", "item"))).alias("_items"),
-                   F.count(F.lit(1)).alias("n_items"), F.min("idx").alias("first_idx"))
-              .withColumn("value", F.concat(F.lit("["), F.array_join(
-                  F.transform("_items", lambda x: x["item"]), ","), F.lit("]")))
-              .withColumn("bytes", F.octet_length("value"))
-              .drop("_items"))
+    if max_items is None:
+        max_items = envelopes.select(F.max(F.size(items))).first()[0] or 0
+    depth = math.ceil(math.log2(max_items)) if max_items > 1 else 0
+    tree = envelopes.select(*batch_cols, items,
+                            F.explode(_halving_tree(F.col(items), max_bytes, depth)).alias("iv"))
+    n = F.col("iv.hi") - F.col("iv.lo")
+    part = F.slice(items, F.col("iv.lo") + 1, n)
+    sized = tree.select(*batch_cols, F.col("iv.path").alias("path"), n.alias("n_items"),
+                        F.col("iv.lo").alias("first_idx"), F.col("iv.bytes").alias("_size"), part.alias("_part"))
+    pieces = (sized.where(F.col("_size") <= max_bytes)
+              .select(*batch_cols, "path", "n_items", "first_idx",
+                      F.concat(F.lit("["), F.array_join("_part", ","), F.lit("]")).alias("value"))
+              .withColumn("bytes", F.octet_length("value")))
+    rejected = (sized.where(F.col("_size") > max_bytes)
+                .select(*batch_cols, F.col("first_idx").alias("idx"),
+                        F.octet_length(F.col("_part")[0]).cast("long").alias("item_bytes"),
+                        F.col("_part")[0].alias("item")))
     return pieces, rejected

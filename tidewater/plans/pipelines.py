@@ -184,7 +184,8 @@ def reenvelope(raw_rows: DataFrame, max_bytes: int = stateful.MAX_ENVELOPE_BYTES
     """Q-07: flush batches (W-05) -> byte-bounded split (W-06) -> key each
     envelope with a deterministic UUID (K-04 form)."""
     batches = stateful.flush_batches(raw_rows)
-    pieces, _ = stateful.split_envelopes(batches, ["flush_start", "chunk"], max_bytes=max_bytes)
+    pieces, _ = stateful.split_envelopes(batches, ["flush_start", "chunk"], max_bytes=max_bytes,
+                                         max_items=stateful.FLUSH_MAX_ITEMS)
     h = F.sha2(F.concat_ws("|", F.unix_micros("flush_start").cast("string"),
                            F.col("chunk").cast("string"), F.col("path")), 256)
     key = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),

@@ -428,7 +428,8 @@ _W06_CTES = (
     _W06_CTES))
 def w06(spark, sf):
     items = fixture.envelope_items(spark, sf)
-    pieces, _ = stateful.split_envelopes(items, KEY, max_bytes=W06_MAX_BYTES)
+    pieces, _ = stateful.split_envelopes(items, KEY, max_bytes=W06_MAX_BYTES,
+                                         max_items=fixture.ENVELOPE_SIZE)
     return pieces.select(*KEY, "path", "n_items", "first_idx", "bytes")
 
 

@@ -8,13 +8,10 @@ a consistent snapshot. Lookups are filters on ``key`` (pushed to the scan).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.stateful import REPORT_ORDER, current_positions
-from ..session import local_path
 
 STATE_COLUMNS = ["key", "latitude", "longitude", "arrival_ts"]
 
@@ -47,17 +44,28 @@ def upsert_positions(state: DataFrame | None, reports: DataFrame) -> DataFrame:
           for c in STATE_COLUMNS])
 
 
-def _versions(root: str) -> list[int]:
-    path = local_path(root)
-    if not os.path.isdir(path):
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Complete versions (``v=<n>`` folders with ``_SUCCESS``) under ``root``,
+    listed through the Hadoop file system of the path (local, HDFS, object
+    stores), the same one Spark writes with."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
         return []
-    return sorted(int(d[2:]) for d in os.listdir(path) if d.startswith("v=") and d[2:].isdigit()
-                  and os.path.exists(os.path.join(path, d, "_SUCCESS")))
+    out = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("v=") and name[2:].isdigit() and fs.exists(
+                jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            out.append(int(name[2:]))
+    return sorted(out)
 
 
 def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
     """The newest complete version (older than ``before`` when given)."""
-    versions = [v for v in _versions(root) if before is None or v < before]
+    versions = [v for v in _versions(spark, root) if before is None or v < before]
     if not versions:
         return None
     return spark.read.parquet(f"{root}/v={versions[-1]}")
@@ -70,7 +78,7 @@ def write_upsert(spark: SparkSession, root: str, reports: DataFrame,
     With ``version`` (a stream's batch id) the merge reads the newest version
     below it and overwrites ``v=<version>``: a retried batch rewrites the
     same version from the same input, so the state stays exact."""
-    versions = _versions(root)
+    versions = _versions(spark, root)
     if version is None:
         version = (versions[-1] + 1) if versions else 0
     merged = upsert_positions(read_state(spark, root, before=version), reports)
