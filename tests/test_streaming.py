@@ -99,3 +99,37 @@ def test_change_status_stream(spark, topic_dir, scratch):
         decode.decode_reports(_batch(spark, topic_dir))))
     cols = ["partition", "offset", "status"]
     assert _rows(got, cols) == _rows(ref, cols)
+
+
+def test_full_enrich_stream(spark, topic_dir, scratch):
+    q = streams.full_enrich_stream(_stream(spark, topic_dir), trigger=NOW,
+                                   checkpoint=f"{scratch}/ck")
+    q.awaitTermination()
+    got = spark.table("q02_full_enrich")
+    ref = batch.full_enrich(decode.decode_reports(_batch(spark, topic_dir)))
+    assert got.count() == ref.count()
+    keys = {r["key"] for r in got.select("key").collect()}
+    assert keys == {r["UUID"] for r in ref.select("UUID").collect()}
+    one = got.select(F.get_json_object("value", "$.MGRS").alias("m")).where("m IS NOT NULL")
+    assert one.count() > 0
+
+
+def test_latest_message_stream(spark, topic_dir, scratch):
+    q = streams.latest_message_stream(_stream(spark, topic_dir), trigger=NOW,
+                                      checkpoint=f"{scratch}/ck")
+    q.awaitTermination()
+    got = spark.table("w03_latest_message").collect()
+    ref = stateful.latest_message(decode.decode_reports(_batch(spark, topic_dir)),
+                                  ["MessageType", "partition", "offset"], ["arrival_ts", "pos"]).collect()
+    assert (got[-1]["partition"], got[-1]["offset"]) == (ref[0]["partition"], ref[0]["offset"])
+
+
+def test_reenvelope_stream(spark, topic_dir, scratch):
+    out = f"{scratch}/env"
+    q = streams.reenvelope_stream(_stream(spark, topic_dir), out, trigger=NOW,
+                                  checkpoint=f"{scratch}/ck")
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    n_good = _batch(spark, topic_dir).count()
+    assert got.agg(F.sum("n_items")).first()[0] == n_good
+    assert got.where(F.col("bytes") > 1_000_000).count() == 0

@@ -400,6 +400,16 @@ def w05(spark, sf):
     return df.select(wc("flush_start"), "chunk", "n_items", "bytes")
 
 
+@register("w04b_timed_collect", with_envelopes(
+    "SELECT 'ALL' AS key, make_timestamp((epoch_us(timestamp) // 10000000) * 10000000) AS "
+    "window_start, count(*) AS n_items, CAST(sum(json_array_length(value)) AS BIGINT) AS sum_items "
+    "FROM env_topic GROUP BY ALL"))
+def w04b(spark, sf):
+    e = env(spark, sf)
+    df = stateful.timed_collect(e, F.size(decode.parsed("value")))
+    return df.select("key", wc("window_start"), "n_items", F.col("sum_items").cast("long").alias("sum_items"))
+
+
 W06_MAX_BYTES = 4000
 
 _W06_CTES = (
