@@ -165,7 +165,8 @@ def report_objects(events: DataFrame) -> DataFrame:
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread(events.select("event_id", "ts", "user_id", "event_type", "props"))
 
 
 def raw_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
