@@ -63,8 +63,12 @@ def spread(df, min_factor: int = 2):
     """
     from pyspark import StorageLevel
 
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no classic context, e.g. Spark Connect)
+        return df
+    if parts < cores:
         return df.repartition(cores * min_factor).persist(StorageLevel.MEMORY_AND_DISK)
     return df
 
@@ -77,13 +81,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     the folder the cluster names.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (no classic context, e.g. Spark Connect)
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
