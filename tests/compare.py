@@ -24,9 +24,9 @@ def norm(v):
     if isinstance(v, bool):
         return (4, str(v))
     if isinstance(v, float):
-        return (1, "nan") if math.isnan(v) else (1, f"{v:.9g}")
+        return (1, "nan") if math.isnan(v) else (1, repr(v))
     if isinstance(v, int):
-        return (1, f"{float(v):.9g}") if abs(v) < 2**53 else (5, str(v))
+        return (1, repr(float(v))) if abs(v) < 2**53 else (5, str(v))
     if hasattr(v, "isoformat"):
         return (2, v.isoformat(sep=" ").replace("+00:00", ""))
     if isinstance(v, (list, tuple)):

@@ -42,6 +42,10 @@ MGRS_ROWS = "ABCDEFGHJKLMNPQRSTUV"
 HEX_EARTH_RADIUS = 6371007.2
 HEX_EDGE_METERS = 450.0
 
+# Cell centres are reported to 9 decimals (about 0.1 mm): trig results may
+# differ in the last bit between math libraries; the rounded text does not.
+CENTER_DIGITS = 9
+
 
 def _packed_hilbert_table() -> int:
     """16 nibbles, index ``4*orientation + ij``: ``pos << 2 | new_orientation``."""
@@ -72,6 +76,9 @@ class Dialect:
     def shl(self, a: str, n: int | str) -> str:
         return f"shiftleft({a}, {n})" if self.name == "spark" else f"({a} << {n})"
 
+    def round_even(self, x: str, digits: int) -> str:
+        return f"bround({x}, {digits})" if self.name == "spark" else f"round_even({x}, {digits})"
+
     def xor(self, a: str, b: str) -> str:
         return f"({a} ^ {b})" if self.name == "spark" else f"xor({a}, {b})"
 
@@ -296,14 +303,16 @@ def hex_stages(lat: str, lng: str, q_out: str, r_out: str, p: str = "_hx_",
     ]
 
 
-def hex_center_stages(q: str, r: str, lat_out: str, lng_out: str, p: str = "_hc_",
+def hex_center_stages(d: Dialect, q: str, r: str, lat_out: str, lng_out: str, p: str = "_hc_",
                       edge: float = HEX_EDGE_METERS) -> list[Stage]:
-    """G-05: centre (degrees) of hexagon (q, r)."""
+    """G-05: centre (degrees, ``CENTER_DIGITS`` decimals) of hexagon (q, r)."""
     return [
         [(f"{p}x", f"{_d(edge * math.sqrt(3))} * ({q} + {r} / 2.0)"),
          (f"{p}y", f"{_d(edge * 1.5)} * {r}")],
-        [(lat_out, f"degrees(asin(least(1.0, greatest(-1.0, {p}y / {_d(HEX_EARTH_RADIUS)}))))"),
-         (lng_out, f"degrees({p}x / {_d(HEX_EARTH_RADIUS)})")],
+        [(f"{p}lat", f"degrees(asin(least(1.0, greatest(-1.0, {p}y / {_d(HEX_EARTH_RADIUS)}))))"),
+         (f"{p}lng", f"degrees({p}x / {_d(HEX_EARTH_RADIUS)})")],
+        [(lat_out, d.round_even(f"{p}lat", CENTER_DIGITS)),
+         (lng_out, d.round_even(f"{p}lng", CENTER_DIGITS))],
     ]
 
 

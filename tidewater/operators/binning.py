@@ -46,7 +46,7 @@ def with_hex(df: DataFrame, lat: str = "Lat", lng: str = "Lng") -> DataFrame:
 
 def with_hex_center(df: DataFrame, q: str = "hex_q", r: str = "hex_r") -> DataFrame:
     """G-05: centre of each hexagon."""
-    return geo.apply_stages(df, geo.hex_center_stages(q, r, "hex_lat", "hex_lng"))
+    return geo.apply_stages(df, geo.hex_center_stages(SPARK, q, r, "hex_lat", "hex_lng"))
 
 
 def with_wkt(df: DataFrame, lat: str = "Lat", lng: str = "Lng", out: str = "WKT") -> DataFrame:
@@ -107,8 +107,10 @@ def s2_rollup(snapped: DataFrame, levels: tuple[int, ...] = ROLLUP_LEVELS,
         keep=["_l_face", "_l_i", "_l_j", "_cell_f"])
     per_level = fine.select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("level"))
     stages = ([[("cell", geo.s2_parent(SPARK, "_cell_f", "level"))]]
-              + geo.s2_center(SPARK, "_l_", None, "center_lat", "center_lng",
-                              size_sql=geo.cell_size(SPARK, "level")))
+              + geo.s2_center(SPARK, "_l_", None, "_c_lat", "_c_lng",
+                              size_sql=geo.cell_size(SPARK, "level"))
+              + [[("center_lat", SPARK.round_even("_c_lat", geo.CENTER_DIGITS)),
+                  ("center_lng", SPARK.round_even("_c_lng", geo.CENTER_DIGITS))]])
     cells = geo.apply_stages(per_level, stages)
     return (cells.groupBy("level", "cell", "center_lat", "center_lng")
             .agg(F.sum("reports").alias("reports"))

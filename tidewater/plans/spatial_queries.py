@@ -70,8 +70,10 @@ def _g03_sql() -> str:
                  f"CROSS JOIN (VALUES {levels}) lv(level))")
     cell_chain, cell_last = geo.duckdb_chain(
         "pl", [[("cell", geo.s2_parent(DUCKDB, "_cell_f", "level"))]]
-        + geo.s2_center(DUCKDB, "_l_", None, "center_lat", "center_lng",
-                        size_sql=geo.cell_size(DUCKDB, "level")), "cc")
+        + geo.s2_center(DUCKDB, "_l_", None, "_c_lat", "_c_lng",
+                        size_sql=geo.cell_size(DUCKDB, "level"))
+        + [[("center_lat", DUCKDB.round_even("_c_lat", geo.CENTER_DIGITS)),
+            ("center_lng", DUCKDB.round_even("_c_lng", geo.CENTER_DIGITS))]], "cc")
     base = (f"vr AS (SELECT *, latitude AS LatReported, longitude AS LngReported FROM reports "
             f"WHERE {_VALID}),\n" + ",\n".join([snap_chain, face_chain, leaf, fine_chain,
                                                   per_level, cell_chain]))
@@ -88,17 +90,20 @@ def g03(spark, sf):
 _HEX = _SNAP + geo.hex_stages("Lat", "Lng", "hex_q", "hex_r")
 
 
+_HC_CHAIN, _HC_LAST = geo.duckdb_chain(
+    "cnt", geo.hex_center_stages(DUCKDB, "hex_q", "hex_r", "hex_lat", "hex_lng"), "hc")
+
+
 @register("g04_hex_density", _chain(
-    "vr", _HEX, "hx", "SELECT hex_q, hex_r, reports, hex_lat, hex_lng FROM hc1",
-    "cnt AS (SELECT hex_q, hex_r, count(*) AS reports FROM {last} GROUP BY ALL), "
-    + geo.duckdb_chain("cnt", geo.hex_center_stages("hex_q", "hex_r", "hex_lat", "hex_lng"), "hc")[0]))
+    "vr", _HEX, "hx", f"SELECT hex_q, hex_r, reports, hex_lat, hex_lng FROM {_HC_LAST}",
+    "cnt AS (SELECT hex_q, hex_r, count(*) AS reports FROM {last} GROUP BY ALL), " + _HC_CHAIN))
 def g04(spark, sf):
     b = binning.with_hex(binning.snap(_valid(spark, sf)))
     return binning.hex_density(b).select("hex_q", "hex_r", "reports", "hex_lat", "hex_lng")
 
 
 @register("g05_hex_center", _chain(
-    "vr", _HEX + geo.hex_center_stages("hex_q", "hex_r", "hex_lat", "hex_lng"), "hx",
+    "vr", _HEX + geo.hex_center_stages(DUCKDB, "hex_q", "hex_r", "hex_lat", "hex_lng"), "hx",
     f"SELECT {KEY_SQL}, {_HEX_ID} AS hex_id, hex_lat, hex_lng FROM {{last}}"))
 def g05(spark, sf):
     b = binning.with_hex_center(binning.with_hex(binning.snap(_valid(spark, sf))))
