@@ -29,14 +29,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEG = "_seg"
+MAX_SEGMENTS = 4096
 MAX_BROADCAST_SEGMENTS = 100_000
 
 
 def _segments(df: DataFrame, n: int | None) -> int:
+    """Segment count: the shuffle partition count, capped so the quantile
+    sketch (relative error 1/(4n)) and the bucket expression stay small."""
     if n:
-        return n
+        return min(n, MAX_SEGMENTS)
     conf = df.sparkSession.conf
-    return int(conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(int(conf.get("spark.sql.shuffle.partitions", "200")), MAX_SEGMENTS)
 
 
 def _cols(order: list) -> list[Column]:
@@ -69,7 +72,7 @@ def segment_column(df: DataFrame, order: list, n: int) -> Column:
     probe = df.select(first.alias("_o"))
     x = _numeric(F.col("_o"), probe.schema["_o"].dataType.simpleString())
     bounds = probe.select(x.alias("_x")).approxQuantile(
-        "_x", [i / n for i in range(1, n)], 1.0 / (10 * n)) if n > 1 else []
+        "_x", [i / n for i in range(1, n)], 1.0 / (4 * n)) if n > 1 else []
     bounds = sorted({b for b in bounds if b is not None})
     xv = _numeric(first, probe.schema["_o"].dataType.simpleString())
     return F.coalesce(_bucket(xv, bounds), F.lit(0))
