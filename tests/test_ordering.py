@@ -52,3 +52,14 @@ def test_segments_split_hot_key(spark):
     per = seg.where(F.col("k") == "hot").groupBy(ordering.SEG).count().collect()
     assert len(per) > 8
     assert max(r["count"] for r in per) < 1000 / 4
+
+
+def test_cumulative_rate_two_level_equals_global_rank(spark):
+    from tidewater.operators import aggregates
+    from tidewater.sources import fixture
+    raw = fixture.raw_topic(spark, "/root/testdata/sf0.001")
+    got = {r["n"]: r["arrival_ts"] for r in aggregates.cumulative_rate(raw, every=7).collect()}
+    w = Window.orderBy("timestamp", "offset", "partition")
+    ref = raw.select("timestamp", F.row_number().over(w).alias("n")).where(F.col("n") % 7 == 0)
+    want = {r["n"]: r["timestamp"] for r in ref.collect()}
+    assert got == want and len(want) > 100

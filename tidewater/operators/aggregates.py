@@ -61,14 +61,30 @@ def _seconds_between(later, earlier):
 
 
 def cumulative_rate(raw: DataFrame, every: int = RATE_EVERY, ts: str = "timestamp",
-                    order: list[str] | None = None) -> DataFrame:
+                    order: list[str] | None = None, bucket_seconds: int = 1) -> DataFrame:
     """A-06: at every ``every``-th message in arrival order, the count and
-    the rate since the first arrival (NULL when no time has passed)."""
+    the rate since the first arrival (NULL when no time has passed).
+
+    Two-level counting instead of a global sort: messages are counted per
+    ``bucket_seconds`` of arrival time (hash aggregate), a running total over
+    that small bucket table gives each bucket's first rank, and exact ranks
+    are computed (skew-safe, per bucket) only inside the buckets that hold a
+    multiple of ``every``.
+    """
     order = order or [ts, "offset", "partition"]
-    ranked = ordering.row_number(raw.select(*dict.fromkeys(order + [ts])), [], order, out="n")
+    us = bucket_seconds * 1_000_000
+    rows = raw.select(*dict.fromkeys(order + [ts])).withColumn(
+        "_b", F.floor(F.unix_micros(ts) / us).cast("long"))
+    counts = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    cum = ordering.running(counts, [], ["_b"], "_cnt", "_end")
+    hits = (cum.withColumn("_start", F.col("_end") - F.col("_cnt"))
+            .where(F.floor(F.col("_end") / every) > F.floor(F.col("_start") / every))
+            .select("_b", "_start"))
+    ranked = ordering.row_number(rows.join(hits, "_b"), ["_b"], order, out="_rn")
     start = raw.select(F.min(ts)).scalar()
     elapsed = _seconds_between(F.col(ts), start)
-    return (ranked.where(F.col("n") % every == 0)
+    return (ranked.withColumn("n", F.col("_start") + F.col("_rn"))
+            .where(F.col("n") % every == 0)
             .select("n", F.col(ts).alias("arrival_ts"), elapsed.alias("elapsed_s"))
             .withColumn("rate", F.when(F.col("elapsed_s") > 0, F.col("n") / F.col("elapsed_s"))))
 
