@@ -107,14 +107,14 @@ def s09(spark, sf):
 # --------------------------------------------------------------- sinks --
 
 @register("k01_topic_rows", with_reports(
-    f"SELECT {KEY_SQL}, 'a_test_ais_streamio_all' AS topic, MMSI AS value_mmsi, "
+    f"SELECT {KEY_SQL}, 'ais_reports_enriched' AS topic, MMSI AS value_mmsi, "
     "MessageType AS value_type, Cog AS value_cog FROM reports"))
 def k01(spark, sf):
     rep = reports(spark, sf)
     value = sinks.report_json(rep.select("Message", "MessageType", "MetaData"))
     rows = rep.select(*KEY, "MessageType", value.alias("value"))
     return rows.select(
-        *KEY, F.lit("a_test_ais_streamio_all").alias("topic"),
+        *KEY, F.lit("ais_reports_enriched").alias("topic"),
         F.get_json_object("value", "$.MetaData.MMSI").cast("bigint").alias("value_mmsi"),
         F.get_json_object("value", "$.MessageType").alias("value_type"),
         F.expr("get_json_object(value, concat('$.Message.', MessageType, '.Cog'))")

@@ -19,7 +19,7 @@ from ..sources import topics as sources
 from .oracle import POSITION_TYPES_SQL, with_envelopes, with_reports
 from .queries import KEY, KEY_SQL, raw, register, reports, wc
 
-ALL_TOPIC = "a_test_ais_streamio_all"
+ALL_TOPIC = "ais_reports_enriched"
 TYPE_PREFIX = "ais_"
 
 _UUID_SQL = ("substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' "
