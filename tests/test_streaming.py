@@ -133,3 +133,25 @@ def test_reenvelope_stream(spark, topic_dir, scratch):
     n_good = _batch(spark, topic_dir).count()
     assert got.agg(F.sum("n_items")).first()[0] == n_good
     assert got.where(F.col("bytes") > 1_000_000).count() == 0
+
+
+@pytest.mark.parametrize("timeout", [10, 3600])
+def test_keyed_collect_stream_equals_batch(spark, topic_dir, scratch, timeout):
+    out, root = f"{scratch}/lists", f"{scratch}/carry"
+    item = F.coalesce(F.size(decode.parsed("value")), F.lit(0))
+    q = streams.keyed_collect_stream(_stream(spark, topic_dir), item, root, out, max_items=7,
+                                     timeout_seconds=timeout, trigger=NOW,
+                                     checkpoint=f"{scratch}/ck")
+    q.awaitTermination()
+    from tidewater.sinks import state as state_sink
+    written = spark.read.parquet(out).select("session", "chunk", "n_items")
+    carry = state_sink.read_version(spark, root).first()
+    got = _rows(written, ["session", "chunk", "n_items"])
+    if len(carry["open"]) > 0:
+        got = sorted(got + [tuple(norm(v) for v in (carry["session"], carry["emitted"] // 7,
+                                                    len(carry["open"])))])
+    ref = stateful.keyed_collect(_batch(spark, topic_dir), item, max_items=7,
+                                 timeout_seconds=timeout)
+    assert got == _rows(ref, ["session", "chunk", "n_items"])
+    if timeout == 3600:
+        assert max(r[2] for r in got) == (1, "7.0")

@@ -90,3 +90,15 @@ def write_upsert(spark: SparkSession, root: str, reports: DataFrame,
 def lookup(state: DataFrame, mmsi: str) -> DataFrame:
     """Point lookup by vessel."""
     return state.where(F.col("key") == F.lit(f"mmsi:{mmsi}"))
+
+
+def read_version(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """Newest complete version of any small versioned table (``v=<n>``)."""
+    return read_state(spark, root, before)
+
+
+def write_version(df: DataFrame, root: str, version: int) -> str:
+    """Write ``df`` as version ``v=<version>`` (overwrite: retries are exact)."""
+    out = f"{root}/v={version}"
+    df.write.mode("overwrite").parquet(out)
+    return out

@@ -165,3 +165,73 @@ def reenvelope_stream(raw: DataFrame, out_path: str, name: str = "q07_reenvelope
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def keyed_collect_stream(raw: DataFrame, item, state_root: str, out_path: str,
+                         name: str = "w04_keyed_collect", max_items: int = stateful.COLLECT_MAX_ITEMS,
+                         timeout_seconds: int = stateful.COLLECT_TIMEOUT_SECONDS,
+                         trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """W-04 as a stream (``foreachBatch``): lists of at most ``max_items``
+    items in arrival order, cut by gaps longer than ``timeout_seconds``.
+
+    A one-row carried state (current session id, items of it already
+    written, last arrival, the open list of fewer than ``max_items`` items)
+    is prepended to each micro-batch; every closed list is written under
+    ``batch_id=<n>`` and the new state as version ``v=<n>``, so a retried
+    batch rewrites both exactly. A list closes when it is full or when a
+    later message opens a new session.
+    """
+    spark = raw.sparkSession
+    order = stateful.MESSAGE_ORDER
+    ts = order[0]
+
+    def process(batch_df: DataFrame, batch_id: int) -> None:
+        s = batch_df.sparkSession
+        msgs = batch_df.select(*order, item.alias("_item"))
+        carry = state_sink.read_version(s, state_root, before=batch_id)
+        session0, chunk0 = 1, 0          # numbering of the first local session
+        if carry is not None:
+            c = carry.first()
+            opened = carry.select(F.explode("open").alias("o")).select(
+                *[F.col(f"o.{k}").alias(k) for k in order], F.col("o._item").alias("_item"))
+            first_new = msgs.agg(F.min(ts)).first()[0]
+            gap_ok = first_new is not None and \
+                (first_new - c["last_ts"]).total_seconds() <= timeout_seconds
+            if len(c["open"]) > 0 or gap_ok:
+                session0, chunk0 = c["session"], c["emitted"] // max_items
+            else:
+                session0 = c["session"] + 1
+            msgs = opened.unionByName(msgs)
+        lists = stateful.keyed_collect(msgs, F.struct(*order, "_item"), max_items=max_items,
+                                       timeout_seconds=timeout_seconds)
+        lists = lists.withColumns({
+            "chunk": F.col("chunk") + F.when(F.col("session") == 1, F.lit(chunk0)).otherwise(0),
+            "session": F.col("session") + F.lit(session0 - 1),
+        })
+        last = lists.agg(F.max_by(F.struct("session", "chunk", "n_items", "last_arrival"),
+                                  F.struct("session", "chunk")).alias("l")).first()["l"]
+        if last is None:
+            return
+        is_open = ((F.col("session") == last["session"]) & (F.col("chunk") == last["chunk"])
+                   & (F.col("n_items") < max_items))
+        (lists.where(~is_open)
+         .select("key", "session", "chunk", "n_items", "first_arrival", "last_arrival",
+                 F.transform("items", lambda x: x["_item"]).alias("items"),
+                 F.lit(batch_id).alias("batch_id"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out_path))
+        full = last["n_items"] >= max_items
+        state = lists.where(F.col("session") == last["session"]) \
+            .where(F.col("chunk") == last["chunk"]).select(
+                F.lit(last["session"]).cast("long").alias("session"),
+                F.lit(last["chunk"] * max_items + (max_items if full else 0)).cast("long")
+                .alias("emitted"),
+                F.col("last_arrival").alias("last_ts"),
+                (F.filter("items", lambda x: F.lit(False)) if full else F.col("items")).alias("open"))
+        state_sink.write_version(state, state_root, batch_id)
+
+    w = (raw.writeStream.queryName(name).foreachBatch(process)
+         .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
