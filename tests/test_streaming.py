@@ -155,3 +155,15 @@ def test_keyed_collect_stream_equals_batch(spark, topic_dir, scratch, timeout):
     assert got == _rows(ref, ["session", "chunk", "n_items"])
     if timeout == 3600:
         assert max(r[2] for r in got) == (1, "7.0")
+
+
+def test_cumulative_rate_stream_equals_batch(spark, topic_dir, scratch):
+    from tidewater.operators import aggregates
+    out, root = f"{scratch}/marks", f"{scratch}/count"
+    q = streams.cumulative_rate_stream(_stream(spark, topic_dir), root, out, every=37,
+                                       trigger=NOW, checkpoint=f"{scratch}/ck")
+    q.awaitTermination()
+    got = _rows(spark.read.parquet(out), ["n", "arrival_ts", "elapsed_s"])
+    ref = _rows(aggregates.cumulative_rate(_batch(spark, topic_dir), every=37),
+                ["n", "arrival_ts", "elapsed_s"])
+    assert got == ref and len(ref) > 20

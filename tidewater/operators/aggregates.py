@@ -61,7 +61,8 @@ def _seconds_between(later, earlier):
 
 
 def cumulative_rate(raw: DataFrame, every: int = RATE_EVERY, ts: str = "timestamp",
-                    order: list[str] | None = None, bucket_seconds: int = 1) -> DataFrame:
+                    order: list[str] | None = None, bucket_seconds: int = 1,
+                    offset: int = 0, start=None) -> DataFrame:
     """A-06: at every ``every``-th message in arrival order, the count and
     the rate since the first arrival (NULL when no time has passed).
 
@@ -69,7 +70,8 @@ def cumulative_rate(raw: DataFrame, every: int = RATE_EVERY, ts: str = "timestam
     ``bucket_seconds`` of arrival time (hash aggregate), a running total over
     that small bucket table gives each bucket's first rank, and exact ranks
     are computed (skew-safe, per bucket) only inside the buckets that hold a
-    multiple of ``every``.
+    multiple of ``every``. ``offset`` (messages counted before this input)
+    and ``start`` (first arrival) let a stream continue the count.
     """
     order = order or [ts, "offset", "partition"]
     us = bucket_seconds * 1_000_000
@@ -77,11 +79,12 @@ def cumulative_rate(raw: DataFrame, every: int = RATE_EVERY, ts: str = "timestam
         "_b", F.floor(F.unix_micros(ts) / us).cast("long"))
     counts = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     cum = ordering.running(counts, [], ["_b"], "_cnt", "_end")
-    hits = (cum.withColumn("_start", F.col("_end") - F.col("_cnt"))
+    hits = (cum.withColumn("_end", F.col("_end") + F.lit(offset))
+            .withColumn("_start", F.col("_end") - F.col("_cnt"))
             .where(F.floor(F.col("_end") / every) > F.floor(F.col("_start") / every))
             .select("_b", "_start"))
     ranked = ordering.row_number(rows.join(hits, "_b"), ["_b"], order, out="_rn")
-    start = raw.select(F.min(ts)).scalar()
+    start = raw.select(F.min(ts)).scalar() if start is None else F.lit(start)
     elapsed = _seconds_between(F.col(ts), start)
     return (ranked.withColumn("n", F.col("_start") + F.col("_rn"))
             .where(F.col("n") % every == 0)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import decode, standardize, stateful
+from ..operators import aggregates, decode, standardize, stateful
 from ..plans import pipelines as batch
 from ..session import checkpoint_root
 from ..sinks import state as state_sink
@@ -235,3 +235,36 @@ def keyed_collect_stream(raw: DataFrame, item, state_root: str, out_path: str,
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def cumulative_rate_stream(raw: DataFrame, state_root: str, out_path: str,
+                           every: int = aggregates.RATE_EVERY, name: str = "a06_cumulative_rate",
+                           trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """A-06 as a stream (``foreachBatch``): the message count and the first
+    arrival are carried as a one-row state (version ``v=<batch id>``); each
+    micro-batch continues the count and reports every ``every``-th
+    message with its rate since the first arrival."""
+    spark = raw.sparkSession
+
+    def process(batch_df: DataFrame, batch_id: int) -> None:
+        s = batch_df.sparkSession
+        carry = state_sink.read_version(s, state_root, before=batch_id)
+        stats = batch_df.agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("t0")).first()
+        count, first = 0, stats["t0"]
+        if carry is not None:
+            c = carry.first()
+            count, first = c["count"], c["first_ts"] or stats["t0"]
+        if stats["n"]:
+            marks = aggregates.cumulative_rate(batch_df, every=every, offset=count, start=first)
+            (marks.withColumn("batch_id", F.lit(batch_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(out_path))
+        state = s.range(1).select(F.lit(count + stats["n"]).cast("long").alias("count"),
+                                  F.lit(first).cast("timestamp").alias("first_ts"))
+        state_sink.write_version(state, state_root, batch_id)
+
+    w = (raw.writeStream.queryName(name).foreachBatch(process)
+         .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
