@@ -147,13 +147,13 @@ def running(df: DataFrame, keys: list[str], order: list, value: Column | str,
     d = segmented(df.withColumn("_v", v), keys, order, n)
     w = (Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.withColumn("_run", fn("_v").over(w))
+    local = d.withColumn("_run_local", fn("_v").over(w))
     tot = d.groupBy(SEG, *keys).agg(fn("_v").alias("_tot"))
     base = tot.select(SEG, *keys, fn("_tot").over(
         _seg_window(keys).rowsBetween(Window.unboundedPreceding, -1)).alias("_base"))
     j = _join_summary(local, base, keys, n)
     if how == "sum":
-        res = F.coalesce(F.col("_base") + F.col("_run"), F.col("_run"))
+        res = F.coalesce(F.col("_base") + F.col("_run_local"), F.col("_run_local"))
     else:
-        res = F.greatest(F.col("_base"), F.col("_run"))
-    return j.withColumn(out, res).drop("_v", "_run", "_base", SEG)
+        res = F.greatest(F.col("_base"), F.col("_run_local"))
+    return j.withColumn(out, res).drop("_v", "_run_local", "_base", SEG)

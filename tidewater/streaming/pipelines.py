@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import aggregates, decode, standardize, stateful
+from ..operators import aggregates, decode, ordering, standardize, stateful
 from ..plans import pipelines as batch
 from ..session import checkpoint_root
 from ..sinks import state as state_sink
@@ -268,3 +268,60 @@ def cumulative_rate_stream(raw: DataFrame, state_root: str, out_path: str,
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def interval_stats_stream(raw: DataFrame, state_root: str, out_path: str, seconds: int = 60,
+                          flush: str = stateful.FLUSH_INTERVAL, watermark: str = WATERMARK,
+                          name: str = "a07_interval_stats", trigger: dict | None = None,
+                          checkpoint: str | None = None) -> StreamingQuery:
+    """A-07 as a stream: two chained event-time window aggregations (flush
+    windows, then intervals over their ``window_time``) in append mode with
+    a watermark; the running total and the first arrival are carried across
+    micro-batches in ``foreachBatch`` (one-row state, version per batch)."""
+    spark = raw.sparkSession
+    flushes = (raw.withWatermark("timestamp", watermark)
+               .groupBy(F.window("timestamp", flush).alias("f"))
+               .agg(F.count(F.lit(1)).alias("flush_count"), F.min("timestamp").alias("first_ts")))
+    intervals = (flushes.groupBy(F.window(F.window_time("f"), f"{seconds} seconds").alias("w"))
+                 .agg(F.sum("flush_count").alias("messages"),
+                      F.max_by(F.struct(F.col("f.end").alias("end"), "flush_count"), F.col("f.end"))
+                      .alias("last"),
+                      F.min("first_ts").alias("first_ts"))
+                 .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                         "messages", F.col("last.flush_count").alias("last_flush_count"),
+                         F.col("last.end").alias("last_flush_end"), "first_ts"))
+
+    def process(batch_df: DataFrame, batch_id: int) -> None:
+        s = batch_df.sparkSession
+        carry = state_sink.read_version(s, state_root, before=batch_id)
+        stats = batch_df.agg(F.min("first_ts").alias("t0"), F.sum("messages").alias("n")).first()
+        total, first = 0, stats["t0"]
+        if carry is not None:
+            c = carry.first()
+            total = c["total"]
+            first = min(x for x in (c["first_ts"], stats["t0"]) if x is not None) \
+                if (c["first_ts"] or stats["t0"]) else None
+        if stats["n"]:
+            run = ordering.running(batch_df, [], ["window_start"], "messages", "_run")
+            since_start = (F.unix_micros("window_end") - F.unix_micros(F.lit(first))) / F.lit(1e6)
+            since_flush = (F.unix_micros("window_end") - F.unix_micros("last_flush_end")) / F.lit(1e6)
+            out = run.select(
+                "window_start", "window_end", "messages",
+                (F.col("_run") + F.lit(total)).alias("total_messages"),
+                F.when(since_start > 0, (F.col("_run") + F.lit(total)) / since_start)
+                .otherwise(F.lit(0.0)).alias("overall_rate"),
+                "last_flush_count",
+                F.when(since_flush > 0, F.col("last_flush_count") / since_flush)
+                .otherwise(F.lit(0.0)).alias("last_flush_rate"),
+                F.lit(batch_id).alias("batch_id"))
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(out_path))
+        state = s.range(1).select(F.lit(total + (stats["n"] or 0)).cast("long").alias("total"),
+                                  F.lit(first).cast("timestamp").alias("first_ts"))
+        state_sink.write_version(state, state_root, batch_id)
+
+    w = (intervals.writeStream.queryName(name).outputMode("append").foreachBatch(process)
+         .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
