@@ -18,7 +18,6 @@ from ..operators import (aggregates, decode, features, route, standardize,
                          stateful)
 from ..schemas import MESSAGE_TYPES
 from ..sources import fixture
-from . import oracle
 from .oracle import POSITION_TYPES_SQL, SAR, with_envelopes, with_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -461,4 +460,4 @@ def all_oracles() -> dict[str, str]:
     return dict(ORACLE)
 
 
-__all__ = ["QUERIES", "ORACLE", "register", "all_queries", "all_oracles", "oracle"]
+__all__ = ["QUERIES", "ORACLE", "register", "all_queries", "all_oracles"]
