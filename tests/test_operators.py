@@ -121,3 +121,22 @@ def test_bounded_and_offset_reads(spark):
     rng = sources.offset_range(raw, 1, 10, 5000).orderBy("offset").collect()
     assert rng[0]["offset"] == 10 and rng[-1]["running_bytes"] <= 5000
     assert [r["offset"] for r in rng] == list(range(10, 10 + len(rng)))
+
+
+def test_strict_decode_fails_on_bad_value(spark):
+    import pytest
+    raw = fixture.raw_topic(spark, SF_SMALL)
+    bad_only = raw.where(F.col("value") == "{bad")
+    assert bad_only.count() > 0
+    with pytest.raises(Exception):
+        decode.strict_decode(bad_only).collect()
+    assert decode.strict_decode(raw.where(F.col("value") != "{bad")).count() == raw.count() - bad_only.count()
+
+
+def test_envelope_sizes_and_known_types(spark):
+    env = fixture.envelope_topic(spark, SF_SMALL)
+    sizes = {r["n_reports"] for r in decode.envelope_sizes(env).collect()}
+    assert sizes <= set(range(1, fixture.ENVELOPE_SIZE + 1)) and fixture.ENVELOPE_SIZE in sizes
+    rep = decode.decode_reports(env)
+    assert decode.known_types(rep, ["PositionReport"]).count() == \
+        rep.where(F.col("MessageType") == "PositionReport").count()
