@@ -60,3 +60,25 @@ def test_special_utm_zones(spark):
                                "Lat double, Lng double")
     got = [r["MGRS"][:3] for r in binning.with_mgrs(df).collect()]
     assert got == ["32V", "33X", "31X", "35X"]
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(POINT, min_size=50, max_size=200))
+def test_hexagon_is_nearest_center(spark, points):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(points)],
+                               "id int, Lat double, Lng double")
+    rows = binning.with_hex(df).collect()
+    r_e, s = geo.HEX_EARTH_RADIUS, geo.HEX_EDGE_METERS
+
+    def center(q, r):
+        return s * math.sqrt(3) * (q + r / 2), s * 1.5 * r
+
+    for row in rows:
+        x = r_e * math.radians(row["Lng"])
+        y = r_e * math.sin(math.radians(row["Lat"]))
+        q, r = row["hex_q"], row["hex_r"]
+        cx, cy = center(q, r)
+        own = math.hypot(x - cx, y - cy)
+        for dq, dr in [(1, 0), (-1, 0), (0, 1), (0, -1), (1, -1), (-1, 1)]:
+            nx, ny = center(q + dq, r + dr)
+            assert own <= math.hypot(x - nx, y - ny) + 1e-6
