@@ -65,11 +65,17 @@ def _bucket(x: Column, bounds: list[float], lo: int = 0, hi: int | None = None)
         .otherwise(_bucket(x, bounds, mid + 1, hi))
 
 
-def segment_column(df: DataFrame, order: list, n: int) -> Column:
+def segment_column(df: DataFrame, order: list, n: int,
+                   bounds_from: DataFrame | None = None) -> Column:
     """Segment of each row: bucket of the leading order column between
-    ``n - 1`` approximate quantiles (NULL sorts first, into segment 0)."""
+    ``n - 1`` approximate quantiles (NULL sorts first, into segment 0).
+
+    ``bounds_from`` (a frame with the leading order column under the same
+    name) lets the quantile pass read a cheaper source, e.g. the raw topic's
+    arrival times instead of decoded and filtered reports: the bounds only
+    need to be roughly right, results are exact whatever they are."""
     first = _cols(order)[0]
-    probe = df.select(first.alias("_o"))
+    probe = (bounds_from if bounds_from is not None else df).select(first.alias("_o"))
     x = _numeric(F.col("_o"), probe.schema["_o"].dataType.simpleString())
     bounds = probe.select(x.alias("_x")).approxQuantile(
         "_x", [i / n for i in range(1, n)], 1.0 / (4 * n)) if n > 1 else []
@@ -78,9 +84,10 @@ def segment_column(df: DataFrame, order: list, n: int) -> Column:
     return F.coalesce(_bucket(xv, bounds), F.lit(0))
 
 
-def segmented(df: DataFrame, keys: list[str], order: list, n: int | None = None) -> DataFrame:
+def segmented(df: DataFrame, keys: list[str], order: list, n: int | None = None,
+              bounds_from: DataFrame | None = None) -> DataFrame:
     """Tag each row with its order segment (deterministic, no exchange)."""
-    return df.withColumn(SEG, segment_column(df, order, _segments(df, n)))
+    return df.withColumn(SEG, segment_column(df, order, _segments(df, n), bounds_from))
 
 
 def _join_summary(rows: DataFrame, summary: DataFrame, keys: list[str], n: int) -> DataFrame:
@@ -118,12 +125,13 @@ def row_number(df: DataFrame, keys: list[str], order: list, out: str = "rn",
 
 
 def lag(df: DataFrame, keys: list[str], order: list, cols: list[str],
-        prefix: str = "prev_", n: int | None = None) -> DataFrame:
+        prefix: str = "prev_", n: int | None = None,
+        bounds_from: DataFrame | None = None) -> DataFrame:
     """Previous row's ``cols`` within the key (or globally) in ``order``;
     NULL for the first row. The first row of a segment takes the last row of
     the key's nearest earlier segment."""
     n = _segments(df, n)
-    d = segmented(df, keys, order, n)
+    d = segmented(df, keys, order, n, bounds_from)
     w = Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
     local = d.withColumns({f"_l_{c}": F.lag(c).over(w) for c in cols}) \
              .withColumn("_first", F.row_number().over(w) == 1)

@@ -44,15 +44,17 @@ def current_positions(df: DataFrame, key: str = "MMSI", lat: str = "Lat", lng: s
 
 
 def change_status(df: DataFrame, key: str = "MMSI", lat: str = "Lat", lng: str = "Lng",
-                  order: list[str] | None = None) -> DataFrame:
+                  order: list[str] | None = None,
+                  bounds_from: DataFrame | None = None) -> DataFrame:
     """W-02: ``new`` for a vessel's first valid position, ``moved`` when
     latitude or longitude differs from the previous one, else ``unchanged``.
     Invalid positions and reports without a vessel id are dropped and make
     no state. The lag runs on the skew-safe ordered helper, so one busy
-    vessel is split across tasks."""
+    vessel is split across tasks. ``bounds_from``: a cheap frame with the
+    leading order column for the segment bounds (see ``ordering``)."""
     order = order or REPORT_ORDER
     tracked = valid_positions(df, lat, lng).where(F.col(key).isNotNull())
-    lagged = ordering.lag(tracked, [key], order, [lat, lng])
+    lagged = ordering.lag(tracked, [key], order, [lat, lng], bounds_from=bounds_from)
     plat, plng = F.col(f"prev_{lat}"), F.col(f"prev_{lng}")
     status = (F.when(plat.isNull() & plng.isNull(), F.lit("new"))
               .when((F.col(lat) != plat) | (F.col(lng) != plng), F.lit("moved"))

@@ -108,13 +108,14 @@ def q03(spark, sf):
                                     F.countDistinct("key").alias("keys"))
 
 
-def live_positions(reports_df: DataFrame) -> DataFrame:
+def live_positions(reports_df: DataFrame, arrivals: DataFrame | None = None) -> DataFrame:
     """Q-04: per vessel the current position (W-01), its label (P-19) and
     how many of its valid reports moved it (W-02). Both sides are keyed by
-    MMSI, so the final join is 1:1."""
+    MMSI, so the final join is 1:1. ``arrivals``: raw arrival times for the
+    segment bounds of W-02."""
     std = standardize.enrich_metadata(reports_df)
     cur = stateful.current_positions(std, extra=["ShipName"])
-    moves = (stateful.change_status(std).groupBy("MMSI")
+    moves = (stateful.change_status(std, bounds_from=arrivals).groupBy("MMSI")
              .agg(F.count(F.lit(1)).alias("n_positions"),
                   F.sum(F.when(F.col("status") == "moved", 1).otherwise(0)).alias("n_moved")))
     return cur.join(moves, "MMSI").select(
@@ -135,7 +136,8 @@ def live_positions(reports_df: DataFrame) -> DataFrame:
     f"{_VALID} AND MMSI IS NOT NULL WINDOW w AS (PARTITION BY MMSI ORDER BY arrival_ts, \"offset\", \"partition\", pos)) "
     "GROUP BY ALL) m ON c.MMSI = m.MMSI"))
 def q04(spark, sf):
-    return live_positions(reports(spark, sf))
+    arrivals = raw(spark, sf).select(F.col("timestamp").alias("arrival_ts"))
+    return live_positions(reports(spark, sf), arrivals)
 
 
 BATCH_REPORT_N = 100

@@ -358,7 +358,9 @@ def w01(spark, sf):
     f"WHERE {_VALID_SQL} AND MMSI IS NOT NULL WINDOW w AS (PARTITION BY MMSI ORDER BY arrival_ts, \"offset\", "
     "\"partition\", pos))"))
 def w02(spark, sf):
-    return stateful.change_status(std_reports(spark, sf)).select(*KEY, "MMSI", "status")
+    arrivals = raw(spark, sf).select(F.col("timestamp").alias("arrival_ts"))
+    return stateful.change_status(std_reports(spark, sf), bounds_from=arrivals) \
+        .select(*KEY, "MMSI", "status")
 
 
 @register("w03_latest_message", with_reports(
