@@ -48,7 +48,7 @@ def test_running_sum_and_max(spark):
 
 def test_segments_split_hot_key(spark):
     df = _frame(spark)
-    seg = ordering.segmented(df, ["k"], ["t", "id"], n=16)
+    seg, _ = ordering.segmented(df, ["k"], ["t", "id"], n=16)
     per = seg.where(F.col("k") == "hot").groupBy(ordering.SEG).count().collect()
     assert len(per) > 8
     assert max(r["count"] for r in per) < 1000 / 4
@@ -63,3 +63,21 @@ def test_cumulative_rate_two_level_equals_global_rank(spark):
     ref = raw.select("timestamp", F.row_number().over(w).alias("n")).where(F.col("n") % 7 == 0)
     want = {r["n"]: r["timestamp"] for r in ref.collect()}
     assert got == want and len(want) > 100
+
+
+def test_two_level_segments_on_large_input(spark, monkeypatch):
+    """With few rows allowed per segment the quantile ranges are cut into
+    sub-ranges; results still equal plain windows."""
+    monkeypatch.setattr(ordering, "ROWS_PER_SEGMENT", 20)
+    df = _frame(spark)
+    seg, count = ordering.segmented(df, [], ["t", "id"], n=8)
+    assert count > 8
+    sizes = [r["count"] for r in seg.groupBy(ordering.SEG).count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 3000 / 8
+    got = ordering.row_number(df, [], ["t", "id"], out="rn", n=8)
+    ref = df.withColumn("rn2", F.row_number().over(Window.orderBy("t", "id")))
+    assert got.join(ref, "id").where(F.col("rn") != F.col("rn2")).count() == 0
+    lagged = ordering.lag(df, ["k"], ["t", "id"], ["v"], n=8)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    lref = df.select("id", F.lag("v").over(w).alias("pv"))
+    assert lagged.join(lref, "id").where(~F.col("prev_v").eqNullSafe(F.col("pv"))).count() == 0

@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 SEG = "_seg"
 MAX_SEGMENTS = 4096
+MAX_SUBSEGMENTS = 1024
+ROWS_PER_SEGMENT = 1_000_000
 MAX_BROADCAST_SEGMENTS = 100_000
 
 
@@ -66,28 +68,56 @@ def _bucket(x: Column, bounds: list[float], lo: int = 0, hi: int | None = None)
 
 
 def segment_column(df: DataFrame, order: list, n: int,
-                   bounds_from: DataFrame | None = None) -> Column:
-    """Segment of each row: bucket of the leading order column between
-    ``n - 1`` approximate quantiles (NULL sorts first, into segment 0).
+                   bounds_from: DataFrame | None = None,
+                   rows_per_segment: int | None = None) -> tuple[Column, int]:
+    """Segment of each row, from the leading order column.
+
+    Level 1: bucket between ``n - 1`` approximate quantiles (a balanced CASE
+    tree over literal bounds). Level 2, only when the input holds more than
+    ``n * rows_per_segment`` rows: each quantile range is cut into ``k``
+    equal sub-ranges (its low/high edges come from literal arrays with
+    ``element_at``, constant cost per row), so a global order over a huge
+    input still gets segments of about ``rows_per_segment`` rows. NULL sorts
+    first, into segment 0.
 
     ``bounds_from`` (a frame with the leading order column under the same
     name) lets the quantile pass read a cheaper source, e.g. the raw topic's
     arrival times instead of decoded and filtered reports: the bounds only
-    need to be roughly right, results are exact whatever they are."""
+    need to be roughly right, results are exact whatever they are.
+
+    Returns the segment column and the number of segments."""
     first = _cols(order)[0]
     probe = (bounds_from if bounds_from is not None else df).select(first.alias("_o"))
-    x = _numeric(F.col("_o"), probe.schema["_o"].dataType.simpleString())
-    bounds = probe.select(x.alias("_x")).approxQuantile(
-        "_x", [i / n for i in range(1, n)], 1.0 / (4 * n)) if n > 1 else []
-    bounds = sorted({b for b in bounds if b is not None})
-    xv = _numeric(first, probe.schema["_o"].dataType.simpleString())
-    return F.coalesce(_bucket(xv, bounds), F.lit(0))
+    dtype = probe.schema["_o"].dataType.simpleString()
+    xs = probe.select(_numeric(F.col("_o"), dtype).alias("_x"))
+    xv = _numeric(first, dtype)
+    if n <= 1:
+        return F.lit(0), 1
+    rows_per_segment = rows_per_segment or ROWS_PER_SEGMENT
+    rows = xs.count()
+    k = min(MAX_SUBSEGMENTS, max(1, -(-rows // (n * rows_per_segment))))
+    probs = [0.0] + [i / n for i in range(1, n)] + [1.0]
+    q = xs.approxQuantile("_x", probs, 1.0 / (4 * n))
+    if not q:
+        return F.lit(0), 1
+    lo_all, hi_all, inner = q[0], q[-1], sorted({b for b in q[1:-1] if b is not None})
+    coarse = F.coalesce(_bucket(xv, inner), F.lit(0))
+    if k == 1:
+        return coarse, len(inner) + 1
+    los = F.array(*[F.lit(float(v)) for v in [lo_all] + inner])
+    his = F.array(*[F.lit(float(v)) for v in inner + [hi_all]])
+    lo, hi = F.element_at(los, coarse + 1), F.element_at(his, coarse + 1)
+    frac = F.when(hi > lo, (xv - lo) / (hi - lo)).otherwise(F.lit(0.0))
+    fine = F.least(F.lit(k - 1), F.greatest(F.lit(0), F.floor(frac * k).cast("int")))
+    return coarse * k + F.coalesce(fine, F.lit(0)), (len(inner) + 1) * k
 
 
 def segmented(df: DataFrame, keys: list[str], order: list, n: int | None = None,
-              bounds_from: DataFrame | None = None) -> DataFrame:
-    """Tag each row with its order segment (deterministic, no exchange)."""
-    return df.withColumn(SEG, segment_column(df, order, _segments(df, n), bounds_from))
+              bounds_from: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """Tag each row with its order segment (deterministic, no exchange);
+    also returns the number of segments."""
+    col, count = segment_column(df, order, _segments(df, n), bounds_from)
+    return df.withColumn(SEG, col), count
 
 
 def _join_summary(rows: DataFrame, summary: DataFrame, keys: list[str], n: int) -> DataFrame:
@@ -112,8 +142,7 @@ def row_number(df: DataFrame, keys: list[str], order: list, out: str = "rn",
                n: int | None = None) -> DataFrame:
     """1-based row number of each row within its key (or globally when
     ``keys`` is empty) in ``order``; ``order`` must be a total order."""
-    n = _segments(df, n)
-    d = segmented(df, keys, order, n)
+    d, n = segmented(df, keys, order, n)
     w = Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
     local = d.withColumn("_rn_local", F.row_number().over(w))
     counts = d.groupBy(SEG, *keys).agg(F.count(F.lit(1)).alias("_cnt"))
@@ -130,8 +159,7 @@ def lag(df: DataFrame, keys: list[str], order: list, cols: list[str],
     """Previous row's ``cols`` within the key (or globally) in ``order``;
     NULL for the first row. The first row of a segment takes the last row of
     the key's nearest earlier segment."""
-    n = _segments(df, n)
-    d = segmented(df, keys, order, n, bounds_from)
+    d, n = segmented(df, keys, order, n, bounds_from)
     w = Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
     local = d.withColumns({f"_l_{c}": F.lag(c).over(w) for c in cols}) \
              .withColumn("_first", F.row_number().over(w) == 1)
@@ -150,9 +178,8 @@ def running(df: DataFrame, keys: list[str], order: list, value: Column | str,
     """Running ``sum`` or ``max`` of ``value`` up to and including each row,
     within the key (or globally) in ``order``."""
     fn = {"sum": F.sum, "max": F.max}[how]
-    n = _segments(df, n)
     v = F.col(value) if isinstance(value, str) else value
-    d = segmented(df.withColumn("_v", v), keys, order, n)
+    d, n = segmented(df.withColumn("_v", v), keys, order, n)
     w = (Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = d.withColumn("_run_local", fn("_v").over(w))
