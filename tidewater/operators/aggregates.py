@@ -78,12 +78,13 @@ def cumulative_rate(raw: DataFrame, every: int = RATE_EVERY, ts: str = "timestam
     rows = raw.select(*dict.fromkeys(order + [ts])).withColumn(
         "_b", F.floor(F.unix_micros(ts) / us).cast("long"))
     counts = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = ordering.running(counts, [], ["_b"], "_cnt", "_end")
+    cum = ordering.running(counts, [], ["_b"], "_cnt", "_end", fine=False)
     hits = (cum.withColumn("_end", F.col("_end") + F.lit(offset))
             .withColumn("_start", F.col("_end") - F.col("_cnt"))
             .where(F.floor(F.col("_end") / every) > F.floor(F.col("_start") / every))
             .select("_b", "_start"))
-    ranked = ordering.row_number(rows.join(hits, "_b"), ["_b"], order, out="_rn")
+    ranked = ordering.row_number(rows.join(hits, "_b"), ["_b"], order, out="_rn",
+                                 bounds_from=rows)
     start = raw.select(F.min(ts)).scalar() if start is None else F.lit(start)
     elapsed = _seconds_between(F.col(ts), start)
     return (ranked.withColumn("n", F.col("_start") + F.col("_rn"))
@@ -112,7 +113,8 @@ def interval_stats(raw: DataFrame, seconds: int = 60, flush: str = FLUSH_INTERVA
                  .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                          "messages", F.col("last.flush_count").alias("last_flush_count"),
                          F.col("last.flush_end").alias("last_flush_end")))
-    run = ordering.running(intervals, [], ["window_start"], "messages", "total_messages")
+    run = ordering.running(intervals, [], ["window_start"], "messages", "total_messages",
+                           fine=False)
     start = raw.select(F.min(ts)).scalar()
     since_start = _seconds_between(F.col("window_end"), start)
     since_flush = _seconds_between(F.col("window_end"), F.col("last_flush_end"))

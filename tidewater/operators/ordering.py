@@ -67,9 +67,21 @@ def _bucket(x: Column, bounds: list[float], lo: int = 0, hi: int | None = None)
         .otherwise(_bucket(x, bounds, mid + 1, hi))
 
 
+def _may_exceed(xs: DataFrame, rows: int) -> bool:
+    """Whether the one-column probe may hold more than ``rows`` rows, from
+    Catalyst's size estimate (8 bytes per value at least); no job runs. An
+    unknown estimate counts as large."""
+    try:
+        size = int(xs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001
+        return True
+    return size >= rows * 8
+
+
 def segment_column(df: DataFrame, order: list, n: int,
                    bounds_from: DataFrame | None = None,
-                   rows_per_segment: int | None = None) -> tuple[Column, int]:
+                   rows_per_segment: int | None = None,
+                   fine: bool = True) -> tuple[Column, int]:
     """Segment of each row, from the leading order column.
 
     Level 1: bucket between ``n - 1`` approximate quantiles (a balanced CASE
@@ -94,8 +106,10 @@ def segment_column(df: DataFrame, order: list, n: int,
     if n <= 1:
         return F.lit(0), 1
     rows_per_segment = rows_per_segment or ROWS_PER_SEGMENT
-    rows = xs.count()
-    k = min(MAX_SUBSEGMENTS, max(1, -(-rows // (n * rows_per_segment))))
+    k = 1
+    if fine and _may_exceed(xs, n * rows_per_segment):
+        rows = xs.count()
+        k = min(MAX_SUBSEGMENTS, max(1, -(-rows // (n * rows_per_segment))))
     probs = [0.0] + [i / n for i in range(1, n)] + [1.0]
     q = xs.approxQuantile("_x", probs, 1.0 / (4 * n))
     if not q:
@@ -113,10 +127,11 @@ def segment_column(df: DataFrame, order: list, n: int,
 
 
 def segmented(df: DataFrame, keys: list[str], order: list, n: int | None = None,
-              bounds_from: DataFrame | None = None) -> tuple[DataFrame, int]:
+              bounds_from: DataFrame | None = None, fine: bool = True) -> tuple[DataFrame, int]:
     """Tag each row with its order segment (deterministic, no exchange);
-    also returns the number of segments."""
-    col, count = segment_column(df, order, _segments(df, n), bounds_from)
+    also returns the number of segments. ``fine=False`` keeps one level
+    (for tables that are small by construction)."""
+    col, count = segment_column(df, order, _segments(df, n), bounds_from, fine=fine)
     return df.withColumn(SEG, col), count
 
 
@@ -139,10 +154,11 @@ def _seg_window(keys: list[str]):
 
 
 def row_number(df: DataFrame, keys: list[str], order: list, out: str = "rn",
-               n: int | None = None) -> DataFrame:
+               n: int | None = None, bounds_from: DataFrame | None = None,
+               fine: bool = True) -> DataFrame:
     """1-based row number of each row within its key (or globally when
     ``keys`` is empty) in ``order``; ``order`` must be a total order."""
-    d, n = segmented(df, keys, order, n)
+    d, n = segmented(df, keys, order, n, bounds_from, fine)
     w = Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
     local = d.withColumn("_rn_local", F.row_number().over(w))
     counts = d.groupBy(SEG, *keys).agg(F.count(F.lit(1)).alias("_cnt"))
@@ -155,11 +171,11 @@ def row_number(df: DataFrame, keys: list[str], order: list, out: str = "rn",
 
 def lag(df: DataFrame, keys: list[str], order: list, cols: list[str],
         prefix: str = "prev_", n: int | None = None,
-        bounds_from: DataFrame | None = None) -> DataFrame:
+        bounds_from: DataFrame | None = None, fine: bool = True) -> DataFrame:
     """Previous row's ``cols`` within the key (or globally) in ``order``;
     NULL for the first row. The first row of a segment takes the last row of
     the key's nearest earlier segment."""
-    d, n = segmented(df, keys, order, n, bounds_from)
+    d, n = segmented(df, keys, order, n, bounds_from, fine)
     w = Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
     local = d.withColumns({f"_l_{c}": F.lag(c).over(w) for c in cols}) \
              .withColumn("_first", F.row_number().over(w) == 1)
@@ -174,12 +190,13 @@ def lag(df: DataFrame, keys: list[str], order: list, cols: list[str],
 
 
 def running(df: DataFrame, keys: list[str], order: list, value: Column | str,
-            out: str, how: str = "sum", n: int | None = None) -> DataFrame:
+            out: str, how: str = "sum", n: int | None = None,
+            bounds_from: DataFrame | None = None, fine: bool = True) -> DataFrame:
     """Running ``sum`` or ``max`` of ``value`` up to and including each row,
     within the key (or globally) in ``order``."""
     fn = {"sum": F.sum, "max": F.max}[how]
     v = F.col(value) if isinstance(value, str) else value
-    d, n = segmented(df.withColumn("_v", v), keys, order, n)
+    d, n = segmented(df.withColumn("_v", v), keys, order, n, bounds_from, fine)
     w = (Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = d.withColumn("_run_local", fn("_v").over(w))

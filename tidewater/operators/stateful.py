@@ -82,13 +82,14 @@ def keyed_collect(messages: DataFrame, item: Column, max_items: int = COLLECT_MA
     """
     order = order or MESSAGE_ORDER
     df = messages.withColumn("_item", item)
-    lagged = ordering.lag(df, [], order, [ts], prefix="_prev_")
+    src = df.select(*order)
+    lagged = ordering.lag(df, [], order, [ts], prefix="_prev_", bounds_from=src)
     gap_us = F.unix_micros(F.col(ts)) - F.unix_micros(F.col(f"_prev_{ts}"))
     flagged = lagged.withColumn(
         "_start", F.when(F.col(f"_prev_{ts}").isNull() | (gap_us > timeout_seconds * 1_000_000), 1)
         .otherwise(0))
-    sess = ordering.running(flagged, [], order, "_start", "session")
-    ranked = ordering.row_number(sess, ["session"], order, out="_rn")
+    sess = ordering.running(flagged, [], order, "_start", "session", bounds_from=src)
+    ranked = ordering.row_number(sess, ["session"], order, out="_rn", bounds_from=src)
     chunked = ranked.withColumn("chunk", F.floor((F.col("_rn") - 1) / max_items).cast("long"))
     return (chunked.groupBy(F.lit("ALL").alias("key"), "session", "chunk")
             .agg(F.count(F.lit(1)).alias("n_items"),
@@ -114,7 +115,8 @@ def flush_batches(messages: DataFrame, interval: str = FLUSH_INTERVAL,
     envelope with its item values (JSON texts) and the envelope text."""
     order = order or MESSAGE_ORDER
     win = messages.withColumn("flush_start", F.window(ts, interval).start)
-    ranked = ordering.row_number(win, ["flush_start"], order, out="_rn")
+    ranked = ordering.row_number(win, ["flush_start"], order, out="_rn",
+                                 bounds_from=messages.select(*order))
     chunked = ranked.withColumn("chunk", F.floor((F.col("_rn") - 1) / max_items).cast("long"))
     return (chunked.groupBy("flush_start", "chunk")
             .agg(F.sort_array(F.collect_list(F.struct("_rn", "value"))).alias("_items"))

@@ -101,7 +101,7 @@ def offset_range(raw: DataFrame, partition: int, offset: int, max_bytes: int,
     if topic is not None:
         rows = rows.where(F.col("topic") == topic)
     run = ordering.running(rows.withColumn("_b", F.octet_length("value").cast("long")),
-                           [], ["offset"], "_b", "running_bytes")
+                           [], ["offset"], "_b", "running_bytes", bounds_from=rows.select("offset"))
     return run.where(F.col("running_bytes") <= max_bytes).drop("_b")
 
 

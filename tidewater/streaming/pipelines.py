@@ -302,7 +302,7 @@ def interval_stats_stream(raw: DataFrame, state_root: str, out_path: str, second
             first = min(x for x in (c["first_ts"], stats["t0"]) if x is not None) \
                 if (c["first_ts"] or stats["t0"]) else None
         if stats["n"]:
-            run = ordering.running(batch_df, [], ["window_start"], "messages", "_run")
+            run = ordering.running(batch_df, [], ["window_start"], "messages", "_run", fine=False)
             since_start = (F.unix_micros("window_end") - F.unix_micros(F.lit(first))) / F.lit(1e6)
             since_flush = (F.unix_micros("window_end") - F.unix_micros("last_flush_end")) / F.lit(1e6)
             out = run.select(
