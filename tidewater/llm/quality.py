@@ -9,7 +9,8 @@ which gives the expected grade and the tail probability of a grade or
 better, by which documents are selected. Features of a chunk between white
 space are its lower-cased letters and digits, and its shape (runs of
 capitals, small letters, digits and other characters); counts are damped by
-a logarithm and scaled to unit length. Trained here in numpy.
+a logarithm and scaled to one length. One more feature is the share of chunks
+that repeat the one before. Trained here in numpy.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from itertools import islice
+from operator import eq
 from typing import NamedTuple
 
 import numpy as np
@@ -26,8 +29,14 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import Kept, map_lists, pick
 
 BITS = 18
+#: The place of the share of repeated chunks, after the hashed features.
+REPEATED = 1 << BITS
+#: Length of a document's vector of hashed features.
+SCALE = 3.0
+#: Features that fewer of the fitted documents have get no weight.
+LEAST_DOCS = 10
 #: Rated documents that the classifier is fitted on, at most.
-FIT_DOCS = 4_000
+FIT_DOCS = 12_000
 #: Chunks whose features a task keeps.
 KEPT_CHUNKS = 400_000
 _CORE = re.compile(r"[^\W_]+")
@@ -52,13 +61,18 @@ def features_of(chunk: str) -> tuple[int, ...]:
 
 def vector(text: str | None, known: dict) -> tuple[np.ndarray, np.ndarray]:
     """Places and values of a whole text's features; none for an empty one."""
+    chunks = text.split() if text else []
     tally: Counter = Counter()
-    for chunk, n in Counter(text.split() if text else ()).items():
+    for chunk, n in Counter(chunks).items():
         for f in known[chunk]:
             tally[f] += n
     at = np.fromiter(tally.keys(), dtype=np.int64, count=len(tally))
     x = np.log1p(np.fromiter(tally.values(), dtype=np.float64, count=len(tally)))
-    return at, x / max(1e-12, float(np.sqrt(x @ x)))
+    x *= SCALE / max(1e-12, float(np.sqrt(x @ x)))
+    if chunks:   # the share of chunks that repeat the one before, damped
+        again = sum(map(eq, chunks, islice(chunks, 1, None))) / len(chunks)
+        at, x = np.append(at, REPEATED), np.append(x, np.sqrt(again))
+    return at, x
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -70,14 +84,19 @@ def tails(scores: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return _sigmoid(scores[:, None] - thresholds[None, :])
 
 
-def train(vectors: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int, epochs: int = 12,
-          rate: float = 0.3, decay: float = 1e-5, batch: int = 64, seed: int = 3) -> Model:
+def train(vectors: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int, epochs: int = 15,
+          rate: float = 0.6, decay: float = 3e-4, batch: int = 64, seed: int = 3) -> Model:
     """AdaGrad on the mean negative log likelihood. The thresholds are the
     first and the exponentials of the gaps after it, so they stay ordered."""
     rng = np.random.default_rng(seed)
-    w, seen_w = np.zeros(1 << BITS), np.full(1 << BITS, 1e-6)
+    size = REPEATED + 1
+    w, seen_w = np.zeros(size), np.full(size, 1e-6)
+    common = np.bincount(np.concatenate([at for at, _ in vectors]), minlength=size) >= LEAST_DOCS
+    vectors = [(at[common[at]], x[common[at]]) for at, x in vectors]
     share = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades)) / len(grades), 0.01, 0.99)[:-1]
     start = np.log(share / (1 - share))
+    scale = np.bincount(grades, minlength=n_grades) / len(grades)
+    scale = np.sqrt(1 / np.maximum(scale, 1e-3) / n_grades)      # rare grades weigh more
     cuts = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 0.1))])
     seen_c = np.full(len(cuts), 1e-6)
     for _ in range(epochs):
@@ -90,6 +109,7 @@ def train(vectors: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_gr
             hi, lo = _sigmoid(theta[y + 1] - score), _sigmoid(theta[y] - score)
             mass = np.maximum(hi - lo, 1e-9)
             d_hi, d_lo = -hi * (1 - hi) / mass, lo * (1 - lo) / mass     # of the loss, by the two thresholds
+            d_hi, d_lo = d_hi * scale[y], d_lo * scale[y]
             d_score = -(d_hi + d_lo)
             d_theta = np.zeros(n_grades + 1)
             np.add.at(d_theta, y + 1, d_hi)
@@ -104,7 +124,7 @@ def train(vectors: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_gr
             later = np.cumsum(d_theta[::-1])[::-1]      # a gap moves all thresholds after it
             d_cuts = np.concatenate([later[:1], later[1:] * gaps])
             seen_c += d_cuts * d_cuts
-            cuts -= 0.1 * rate * d_cuts / np.sqrt(seen_c)
+            cuts -= 0.3 * rate * d_cuts / np.sqrt(seen_c)
     return Model(w, cuts[0] + np.concatenate([[0], np.cumsum(np.exp(cuts[1:]))]))
 
 
