@@ -118,7 +118,7 @@ def test_bounded_and_offset_reads(spark):
     raw = fixture.raw_topic(spark, SF_SMALL)
     first = sources.bounded_read(raw, 10).collect()
     assert len(first) == 10 and all(r["value"] != "{bad" for r in first)
-    rng = sources.offset_range(raw, 1, 10, 5000).orderBy("offset").collect()
+    rng = sources.offset_range(raw, "raw", 1, 10, 5000).orderBy("offset").collect()
     assert rng[0]["offset"] == 10 and rng[-1]["running_bytes"] <= 5000
     assert [r["offset"] for r in rng] == list(range(10, 10 + len(rng)))
 

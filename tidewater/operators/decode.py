@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import BODY, ENVELOPE, MESSAGE_TYPES
+from ..schemas import BODY, ENVELOPE, MESSAGE_TYPES, METADATA
 
 # Columns carried from the topic row onto every decoded report.
 TOPIC_COLUMNS = ["topic", "partition", "offset"]
@@ -52,15 +52,28 @@ def strict_decode(raw: DataFrame) -> DataFrame:
     return decode_reports(raw, strict=True)
 
 
+#: Every field as text, whatever its type in the value.
+_AS_TEXT = "array<struct<Message:map<string,string>,MessageType:string,MetaData:map<string,string>>>"
+
+
+def fault(value: Column | str = "value") -> Column:
+    """Why a value does not decode whole; NULL if it does. A metadata field
+    that is there but not of its type would be lost as NULL."""
+    lost = F.exists(F.arrays_zip(F.from_json(value, _AS_TEXT).alias("t"), parsed(value).alias("r")), lambda z: F.coalesce(
+        F.array_max(F.array(*[
+            z["t"]["MetaData"][f.name].isNotNull() & z["r"]["MetaData"][f.name].isNull() for f in METADATA.fields])),
+        F.lit(False)))
+    return F.when(parsed(value).isNull(), F.lit("undecodable JSON")).when(lost, F.lit("mistyped field"))
+
+
 def split_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """D-03: lenient policy. Returns ``(reports, quarantine)``; the second
-    frame holds the raw rows whose value did not parse, with a reason."""
-    tagged = raw.withColumn("_parsed", parsed("value"))
-    good = tagged.where(F.col("_parsed").isNotNull()).drop("_parsed")
-    bad = (tagged.where(F.col("_parsed").isNull())
-           .select(*TOPIC_COLUMNS, F.col("timestamp").alias("arrival_ts"), "value",
-                   F.lit("undecodable JSON").alias("reason")))
-    return decode_reports(good), bad
+    frame holds the raw rows whose value does not decode whole, with a
+    reason; their reports are not in the first."""
+    tagged = raw.withColumn("reason", fault("value"))
+    bad = tagged.where(F.col("reason").isNotNull()).select(
+        *TOPIC_COLUMNS, F.col("timestamp").alias("arrival_ts"), "value", "reason")
+    return decode_reports(tagged.where(F.col("reason").isNull())), bad
 
 
 def envelope_sizes(raw: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@ VARIANT; each level is one higher-order ``transform`` over the current
 entries (cast to ``MAP<STRING,VARIANT>`` / ``ARRAY<VARIANT>``), so the whole
 flatten is row-wise: no explode-and-regroup, no shuffle, same code for
 streams. A fixed depth bounds the work (each level copies the entries
-through one projection); deeper documents fail loudly.
+through one projection). A value that cannot be flattened whole (no JSON
+object or array, deeper than the plan, or key paths that collide) costs its
+own row only: ``split_flattenable`` puts it in quarantine with the reason.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # AIS reports nest at most 5 levels (Message, type, PositionAccuracy, slot,
-# field); deeper documents fail loudly instead of being cut.
+# field), six in an array envelope; deeper ones go to quarantine, uncut.
 MAX_DEPTH = 6
 SEPARATOR = "_"
 
@@ -64,13 +66,20 @@ def _is_container(y: Column) -> Column:
     return (F.coalesce(F.size(y["m"]), F.lit(0)) + F.coalesce(F.size(y["a"]), F.lit(0))) > 0
 
 
+def _top(root: Column) -> Column:
+    """First-level entries of an object (its keys) or an array (positions);
+    NULL for anything else."""
+    obj = F.try_variant_get(root, "$", "map<string,variant>")
+    arr = F.try_variant_get(root, "$", "array<variant>")
+    return F.coalesce(F.transform(F.map_entries(obj), lambda e: _entry(e["key"], e["value"], F.lit(False))),
+                      F.transform(arr, lambda e, i: _entry(i.cast("string"), e, F.lit(False))))
+
+
 def flat_entries(value: Column, max_depth: int = MAX_DEPTH, sep: str = SEPARATOR) -> Column:
     """``ARRAY<STRUCT<path, v VARIANT>>`` of the leaves of a JSON text
-    (``max_depth`` levels; see ``checked`` for the depth guard). One
+    (``max_depth`` levels; see ``flat_fault``). One
     expression; ``with_flat_entries`` is the faster staged form."""
-    root = F.try_parse_json(value)
-    top = F.try_variant_get(root, "$", "map<string,variant>")
-    entries = F.transform(F.map_entries(top), lambda e: _entry(e["key"], e["value"], F.lit(False)))
+    entries = _top(F.try_parse_json(value))
     for _ in range(max_depth - 1):
         entries = _expand(_annotate(entries), sep)
     return entries
@@ -81,10 +90,7 @@ def with_flat_entries(df: DataFrame, value: str, out: str, max_depth: int = MAX_
     """Staged flatten: one projection per level, each level expands only
     rows that still hold a non-empty container (a shallow report stops
     after its own depth)."""
-    root = F.try_parse_json(F.col(value))
-    top = F.try_variant_get(root, "$", "map<string,variant>")
-    df = df.withColumn(out, F.transform(F.map_entries(top),
-                                        lambda e: _entry(e["key"], e["value"], F.lit(False))))
+    df = df.withColumn(out, _top(F.try_parse_json(F.col(value))))
     for _ in range(max_depth - 1):
         df = df.withColumn("_flat_a", _annotate(F.col(out)))
         df = df.withColumn(out, F.when(F.exists("_flat_a", _is_container),
@@ -92,11 +98,26 @@ def with_flat_entries(df: DataFrame, value: str, out: str, max_depth: int = MAX_
     return df.drop("_flat_a")
 
 
-def checked(entries: Column, max_depth: int = MAX_DEPTH) -> Column:
-    """Fail when a non-empty container is left after ``max_depth`` levels."""
-    deeper = F.exists(_annotate(entries), _is_container)
-    return F.when(deeper, F.raise_error(F.lit(f"JSON nested deeper than {max_depth} levels"))) \
-        .otherwise(entries)
+def flat_fault(value: Column, entries: Column) -> Column:
+    """Why a value cannot be flattened whole; NULL if it can."""
+    paths = F.transform(entries, lambda x: x["path"])
+    return (F.when(entries.isNull(), F.when(F.try_parse_json(value).isNull(), F.lit("undecodable JSON"))
+                   .otherwise(F.lit("no JSON object or array")))
+            .when(F.exists(_annotate(entries), _is_container), F.lit("nested too deeply"))
+            .when(F.size(F.array_distinct(paths)) < F.size(paths), F.lit("colliding key paths")))
+
+
+def split_flattenable(df: DataFrame, value: str = "value",
+                      max_depth: int = MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
+    """``(good, quarantine)``: rows with ``_flat_e`` (their leaf entries),
+    and the rows that cannot be flattened, with a ``reason``."""
+    staged = with_flat_entries(df, value, "_flat_e", max_depth)
+    # a generator of one row: else the optimizer would move a filter on the
+    # reason below the levels, each of which it would then repeat many times
+    one = F.array(F.struct(F.col("_flat_e").alias("e"), flat_fault(F.col(value), F.col("_flat_e")).alias("reason")))
+    staged = staged.select(*df.columns, F.explode(one).alias("_s"))
+    good = staged.where(F.col("_s.reason").isNull()).select(*df.columns, F.col("_s.e").alias("_flat_e"))
+    return good, staged.where(F.col("_s.reason").isNotNull()).select(*df.columns, F.col("_s.reason").alias("reason"))
 
 
 def leaf_columns(v: Column) -> dict[str, Column]:
@@ -113,19 +134,19 @@ def leaf_columns(v: Column) -> dict[str, Column]:
 
 def flatten_map(df: DataFrame, value: str = "value", out: str = "flat",
                 max_depth: int = MAX_DEPTH) -> DataFrame:
-    """One map per row: ``path -> leaf JSON text`` (strings unquoted)."""
-    staged = with_flat_entries(df, value, "_flat_e", max_depth)
-    return staged.withColumn(out, F.map_from_entries(F.transform(
-        checked(F.col("_flat_e"), max_depth), lambda x: F.struct(
-            x["path"], F.coalesce(F.try_variant_get(x["v"], "$", "string"), F.to_json(x["v"]))))))\
-        .drop("_flat_e")
+    """One map per flattenable row: ``path -> leaf JSON text`` (strings
+    unquoted). The others are in ``split_flattenable``'s quarantine."""
+    good, _ = split_flattenable(df, value, max_depth)
+    return good.withColumn(out, F.map_from_entries(F.transform("_flat_e", lambda x: F.struct(
+        x["path"], F.coalesce(F.try_variant_get(x["v"], "$", "string"), F.to_json(x["v"])))))).drop("_flat_e")
 
 
 def flatten_rows(df: DataFrame, keys: list[str], value: str = "value",
                  max_depth: int = MAX_DEPTH) -> DataFrame:
-    """One row per leaf: ``keys, path, kind, text, num``."""
-    staged = with_flat_entries(df.select(*keys, value), value, "_flat_e", max_depth)
-    rows = staged.select(*keys, F.explode(checked(F.col("_flat_e"), max_depth)).alias("e"))
+    """One row per leaf of a flattenable row: ``keys, path, kind, text, num``.
+    The others are in ``split_flattenable``'s quarantine."""
+    good, _ = split_flattenable(df.select(*keys, value), value, max_depth)
+    rows = good.select(*keys, F.explode("_flat_e").alias("e"))
     leaf = leaf_columns(F.col("e.v"))
     return rows.select(*keys, F.col("e.path").alias("path"),
                        *[c.alias(n) for n, c in leaf.items()])

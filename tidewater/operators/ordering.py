@@ -205,7 +205,8 @@ def running(df: DataFrame, keys: list[str], order: list, value: Column | str,
         _seg_window(keys).rowsBetween(Window.unboundedPreceding, -1)).alias("_base"))
     j = _join_summary(local, base, keys, n)
     if how == "sum":
-        res = F.coalesce(F.col("_base") + F.col("_run_local"), F.col("_run_local"))
+        # NULLs add nothing; NULL only until the first value
+        res = F.coalesce(F.col("_base") + F.col("_run_local"), F.col("_run_local"), F.col("_base"))
     else:
         res = F.greatest(F.col("_base"), F.col("_run_local"))
     return j.withColumn(out, res).drop("_v", "_run_local", "_base", SEG)

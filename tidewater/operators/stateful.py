@@ -112,21 +112,35 @@ def flush_batches(messages: DataFrame, interval: str = FLUSH_INTERVAL,
                   ts: str = "timestamp") -> DataFrame:
     """W-05: the collector's flush: every ``interval`` all queued messages,
     at most ``max_items`` per envelope, in arrival order. Returns one row per
-    envelope with its item values (JSON texts) and the envelope text."""
+    envelope with its item values (JSON texts), the envelope text and the
+    topic place of its first item. Only values that are JSON are queued, so
+    every envelope decodes; the others are ``flush_rejects``."""
     order = order or MESSAGE_ORDER
+    messages = messages.where(queueable(F.col("value")))
     win = messages.withColumn("flush_start", F.window(ts, interval).start)
     ranked = ordering.row_number(win, ["flush_start"], order, out="_rn",
                                  bounds_from=messages.select(*order))
     chunked = ranked.withColumn("chunk", F.floor((F.col("_rn") - 1) / max_items).cast("long"))
     return (chunked.groupBy("flush_start", "chunk")
-            .agg(F.sort_array(F.collect_list(F.struct("_rn", "value"))).alias("_items"))
+            .agg(F.sort_array(F.collect_list(F.struct("_rn", "value"))).alias("_items"),
+                 F.min(F.struct("_rn", "topic", "partition", "offset")).alias("_first"))
             .withColumn("items", F.transform("_items", lambda x: x["value"]))
             .select("flush_start", "chunk", F.size("items").alias("n_items"),
                     (F.aggregate("items", F.lit(0).cast("long"),
                                  lambda acc, x: acc + F.octet_length(x)) + F.size("items") + 1)
                     .alias("bytes"),
                     F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("value"),
-                    "items"))
+                    "items", F.concat_ws("|", "_first.topic", "_first.partition", "_first.offset").alias("first_item")))
+
+
+def queueable(value: Column) -> Column:
+    return F.coalesce(F.try_parse_json(value).isNotNull(), F.lit(False))
+
+
+def flush_rejects(messages: DataFrame) -> DataFrame:
+    """W-05: the topic rows whose value is missing or no JSON, with a reason."""
+    return messages.where(~queueable(F.col("value"))).withColumn(
+        "reason", F.when(F.col("value").isNull(), "no value").otherwise("undecodable JSON"))
 
 
 def _halving_tree(items: Column, max_bytes: int, depth: int) -> Column:

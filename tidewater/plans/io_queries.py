@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import flatten, route
+from ..operators import decode, flatten, route, stateful
 from ..sinks import topics as sinks
+from ..sources import fixture
 from ..sources import topics as sources
 from .oracle import with_reports
 from .queries import KEY, KEY_SQL, raw, register, reports, std_reports
@@ -32,6 +33,57 @@ def p18(spark, sf):
     return flatten.flatten_rows(raw(spark, sf), KEY)
 
 
+# -------------------------------------------- nothing is lost silently --
+
+
+def _awkward(body: str) -> str:
+    return f"WITH {fixture.duckdb_awkward_cte()}\n{body}"
+
+
+@register("d03b_awkward_fates", _awkward(
+    f"SELECT {KEY_SQL}, CAST(CASE event_id % 8 WHEN 1 THEN 2 WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 4 THEN 0 ELSE 1 END "
+    "AS BIGINT) AS reports, CASE event_id % 8 WHEN 2 THEN 'undecodable JSON' WHEN 3 THEN 'undecodable JSON' "
+    "WHEN 4 THEN 'mistyped field' END AS reason FROM awkward_topic"))
+def d03b(spark, sf):
+    """Every topic row, as its reports or in quarantine, never neither."""
+    good, bad = decode.split_quarantine(fixture.awkward_topic(spark, sf))
+    counted = good.groupBy(*KEY).agg(F.count(F.lit(1)).alias("reports")).withColumn("reason", F.lit(None).cast("string"))
+    return counted.unionByName(bad.select(*KEY, F.lit(0).cast("long").alias("reports"), "reason"))
+
+
+@register("p18b_flatten_fates", _awkward(
+    f"SELECT {KEY_SQL}, CASE event_id % 8 WHEN 2 THEN 'undecodable JSON' WHEN 3 THEN 'undecodable JSON' "
+    "WHEN 6 THEN 'nested too deeply' WHEN 7 THEN 'colliding key paths' END AS reason FROM awkward_topic"))
+def p18b(spark, sf):
+    """Every topic row, flattened (no reason) or in quarantine."""
+    good, bad = flatten.split_flattenable(fixture.awkward_topic(spark, sf).select(*KEY, "value"))
+    return good.select(*KEY, F.lit(None).cast("string").alias("reason")).unionByName(bad.select(*KEY, "reason"))
+
+
+@register("w05b_queue_fates", _awkward(
+    "SELECT CASE WHEN value IS NULL THEN 'no value' WHEN NOT json_valid(value) THEN 'undecodable JSON' "
+    "ELSE 'queued' END AS fate, count(*) AS messages FROM awkward_topic GROUP BY ALL"))
+def w05b(spark, sf):
+    """Every message is in one envelope or rejected with a reason."""
+    topic = fixture.awkward_topic(spark, sf)
+    queued = stateful.flush_batches(topic).agg(F.sum("n_items").alias("messages")) \
+        .select(F.lit("queued").alias("fate"), "messages")
+    return queued.unionByName(stateful.flush_rejects(topic).groupBy(F.col("reason").alias("fate"))
+                              .agg(F.count(F.lit(1)).alias("messages")))
+
+
+@register("k01b_whole_messages", _awkward(
+    f"SELECT {KEY_SQL}, CASE WHEN event_id % 8 = 5 THEN '{{\"Other\":{{\"a\":1}}}}' WHEN event_id % 8 = 4 THEN '{{}}' END AS message "
+    "FROM awkward_topic WHERE event_id % 8 IN (4, 5)"))
+def k01b(spark, sf):
+    """The sink's value keeps a body under any key and is never NULL."""
+    rep = decode.decode_reports(fixture.awkward_topic(spark, sf))
+    value = sinks.report_json(rep.select("Message", "MessageType", "MetaData"))
+    return rep.withColumn("v", value).where(F.col("MessageType").isin("T", "PositionReport") & F.col("v").isNotNull()) \
+        .where("MetaData.MMSI IS NULL AND MessageType = 'T' OR MetaData.MMSI = 1") \
+        .select(*KEY, F.get_json_object("v", "$.Message").alias("message"))
+
+
 # ------------------------------------------------------------- sources --
 
 BOUNDED_N = 100
@@ -54,7 +106,7 @@ S05_PARTITION, S05_OFFSET, S05_MAX_BYTES = 0, 1000, 100_000
     f"WHERE \"partition\" = {S05_PARTITION} AND \"offset\" >= {S05_OFFSET}) "
     f"WHERE running_bytes <= {S05_MAX_BYTES}"))
 def s05(spark, sf):
-    df = sources.offset_range(raw(spark, sf), S05_PARTITION, S05_OFFSET, S05_MAX_BYTES)
+    df = sources.offset_range(raw(spark, sf), "raw", S05_PARTITION, S05_OFFSET, S05_MAX_BYTES)
     return df.select(*KEY, "running_bytes")
 
 

@@ -182,28 +182,61 @@ def q06(spark, sf):
         wc("window_start"), "messages", "kilobytes", "messages_per_s", "bytes_per_s")
 
 
-def reenvelope(raw_rows: DataFrame, max_bytes: int = stateful.MAX_ENVELOPE_BYTES) -> DataFrame:
+def reenvelope(raw_rows: DataFrame,
+               max_bytes: int = stateful.MAX_ENVELOPE_BYTES) -> tuple[DataFrame, DataFrame]:
     """Q-07: flush batches (W-05) -> byte-bounded split (W-06) -> key each
-    envelope with a deterministic UUID (K-04 form)."""
+    envelope with a deterministic UUID (K-04 form) of its window and the
+    topic place of its first item, so no two envelopes share one.
+
+    Returns ``(envelopes, rejected)``; rejected holds ``item`` and
+    ``reason`` of every message that is in no envelope: no value, no JSON,
+    or larger than ``max_bytes`` by itself."""
     batches = stateful.flush_batches(raw_rows)
-    pieces, _ = stateful.split_envelopes(batches, ["flush_start", "chunk"], max_bytes=max_bytes,
-                                         max_items=stateful.FLUSH_MAX_ITEMS)
-    h = F.sha2(F.concat_ws("|", F.unix_micros("flush_start").cast("string"),
-                           F.col("chunk").cast("string"), F.col("path")), 256)
+    pieces, large = stateful.split_envelopes(batches, ["flush_start", "chunk", "first_item"], max_bytes=max_bytes,
+                                             max_items=stateful.FLUSH_MAX_ITEMS)
+    h = F.sha2(F.concat_ws("|", F.unix_micros("flush_start").cast("string"), F.col("chunk").cast("string"),
+                           F.col("path"), F.col("first_item")), 256)
     key = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
                       F.substring(h, 17, 4), F.substring(h, 21, 12))
-    return pieces.withColumn("key", key)
+    rejected = stateful.flush_rejects(raw_rows).select(F.col("value").alias("item"), "reason") \
+        .unionByName(large.select("item", F.lit("too large").alias("reason")))
+    return pieces.withColumn("key", key).drop("first_item"), rejected
+
+
+# low enough that envelopes of two messages split and single large ones go
+Q07_MAX_BYTES = 560
+
+_Q07_CTES = (
+    "queued AS (SELECT *, epoch_us(timestamp) // 250000 AS fb, row_number() OVER (PARTITION BY "
+    "epoch_us(timestamp) // 250000 ORDER BY timestamp, \"offset\", \"partition\") AS rn "
+    "FROM raw_topic WHERE json_valid(value)),\n"
+    "halves(fb, chunk, first_item, path, idx, items) AS ("
+    "SELECT fb, (rn - 1) // 1000, arg_min(topic || '|' || \"partition\" || '|' || \"offset\", rn), '', 0, "
+    "list(value ORDER BY rn) FROM queued GROUP BY fb, (rn - 1) // 1000 "
+    "UNION ALL SELECT fb, chunk, first_item, path || s.bit, idx + s.skip, s.part FROM (SELECT *, len(items) // 2 AS h FROM halves "
+    f"WHERE strlen(array_to_string(items, ',')) + 2 > {Q07_MAX_BYTES} AND len(items) > 1) p, "
+    "LATERAL (SELECT unnest([{'bit': '0', 'skip': 0, 'part': items[:h]}, "
+    "{'bit': '1', 'skip': h, 'part': items[h + 1:]}], recursive := true)) s)")
 
 
-@register("q07_reenvelope", with_reports(
-    "SELECT flush_start, chunk, '' AS path, n_items, bytes, "
+def _q07_sql(body: str) -> str:
+    return with_reports(body, _Q07_CTES).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("q07_reenvelope", _q07_sql(
+    "SELECT make_timestamp(fb * 250000) AS flush_start, chunk, path, n_items, bytes, value, "
     "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) "
-    "|| '-' || substr(h, 21, 12) AS key FROM (SELECT make_timestamp(fb * 250000) AS flush_start, "
-    "(rn - 1) // 1000 AS chunk, count(*) AS n_items, CAST(sum(strlen(value)) + count(*) + 1 AS "
-    "INTEGER) AS bytes, sha256(CAST(fb * 250000 AS VARCHAR) || '|' || CAST((rn - 1) // 1000 AS "
-    "VARCHAR) || '|') AS h FROM (SELECT *, epoch_us(timestamp) // 250000 AS fb, row_number() "
-    "OVER (PARTITION BY epoch_us(timestamp) // 250000 ORDER BY timestamp, \"offset\", "
-    "\"partition\") AS rn FROM raw_topic) GROUP BY fb, (rn - 1) // 1000)"))
+    "|| '-' || substr(h, 21, 12) AS key FROM (SELECT *, len(items) AS n_items, "
+    "'[' || array_to_string(items, ',') || ']' AS value, CAST(strlen(array_to_string(items, ',')) + 2 AS INTEGER) AS bytes, "
+    "sha256((fb * 250000) || '|' || chunk || '|' || path || '|' || first_item) AS h FROM halves) "
+    f"WHERE bytes <= {Q07_MAX_BYTES}"))
 def q07(spark, sf):
-    out = reenvelope(raw(spark, sf))
-    return out.select(wc("flush_start"), "chunk", "path", "n_items", "bytes", "key")
+    out, _ = reenvelope(raw(spark, sf), Q07_MAX_BYTES)
+    return out.select(wc("flush_start"), "chunk", "path", "n_items", "bytes", "value", "key")
+
+
+@register("q07b_rejects", _q07_sql(
+    "SELECT value AS item, 'undecodable JSON' AS reason FROM raw_topic WHERE NOT json_valid(value) "
+    f"UNION ALL SELECT items[1], 'too large' FROM halves WHERE len(items) = 1 AND strlen(items[1]) + 2 > {Q07_MAX_BYTES}"))
+def q07b(spark, sf):
+    return reenvelope(raw(spark, sf), Q07_MAX_BYTES)[1]

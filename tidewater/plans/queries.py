@@ -395,7 +395,7 @@ def w04(spark, sf):
     "CAST(count(*) AS INTEGER) AS n_items, sum(strlen(value)) + count(*) + 1 AS bytes "
     "FROM (SELECT *, epoch_us(timestamp) // 250000 AS fb, row_number() OVER (PARTITION BY "
     "epoch_us(timestamp) // 250000 ORDER BY timestamp, \"offset\", \"partition\") AS rn "
-    "FROM raw_topic) GROUP BY ALL"))
+    "FROM raw_topic WHERE json_valid(value)) GROUP BY ALL"))
 def w05(spark, sf):
     df = stateful.flush_batches(raw(spark, sf))
     return df.select(wc("flush_start"), "chunk", "n_items", "bytes")

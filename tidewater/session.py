@@ -8,7 +8,6 @@ is unset (tests, local benches).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -48,31 +47,6 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def spread(df, min_factor: int = 2):
-    """Spread an under-partitioned source over the cluster.
-
-    A small table stored as one file with one row group scans as a single
-    task, and every row-wise stage after it then runs on one core. When the
-    scan has fewer partitions than the cluster has cores, the rows are
-    redistributed round-robin (deterministic on retry: Spark sorts before a
-    round-robin repartition) and kept as a cached relation. The cache is the
-    optimizer barrier: without it Catalyst pushes later filters (for example
-    on parsed JSON) below the exchange, back into the single scan task.
-    Only inputs small enough to scan as fewer partitions than cores take
-    this path; lost cached blocks are recomputed from the source.
-    """
-    from pyspark import StorageLevel
-
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no classic context, e.g. Spark Connect)
-        return df
-    if parts < cores:
-        return df.repartition(cores * min_factor).persist(StorageLevel.MEMORY_AND_DISK)
-    return df
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -88,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -98,12 +74,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem checks."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -53,16 +53,20 @@ def producer_options(profile: dict[str, str]) -> dict[str, str]:
 
 
 def report_json(df: DataFrame, exclude: tuple[str, ...] = ()) -> Column:
-    """The report as JSON text; the body map is written back as an object
-    (``Message`` holds the body JSON text per type)."""
+    """The report as JSON text, never NULL; the body map is written back as
+    an object with all its keys (``Message`` holds a JSON text per key)."""
     cols = [c for c in df.columns if c not in exclude and c != "Message"]
     rest = F.to_json(F.struct(*[F.col(c) for c in cols]))
     if "Message" not in df.columns:
         return rest
-    message = F.concat(F.lit('{"'), F.col("MessageType"), F.lit('":'),
-                       F.try_element_at("Message", F.col("MessageType")), F.lit("}"))
+    def member(e: Column) -> Column:
+        name = F.regexp_replace(e["key"], r'(["\\])', r"\\$1")
+        return F.concat(F.lit('"'), name, F.lit('":'), F.coalesce(e["value"], F.lit("null")))
+
+    message = F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries("Message"), member), ","), F.lit("}"))
     return F.when(F.col("Message").isNull(), rest).otherwise(
-        F.concat(F.lit('{"Message":'), message, F.lit(","), rest.substr(F.lit(2), F.length(rest))))
+        F.concat(F.lit('{"Message":'), message, F.when(rest == "{}", F.lit("")).otherwise(F.lit(",")),
+                 rest.substr(F.lit(2), F.length(rest))))
 
 
 def to_topic_rows(df: DataFrame, key: Column | None, topic: Column | str,

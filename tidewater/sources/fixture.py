@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_utc, spread
+from ..session import ensure_utc
 
 ENVELOPE_SIZE = 23
 BAD_EVERY = 101
@@ -155,6 +155,31 @@ def form_a_columns(dialect: str) -> list[tuple[str, str]]:
     ]
 
 
+#: Values that must not be lost, by ``event_id % 8``: a report, an array of
+#: two, no value, no JSON, a mistyped field, a body under another key, nesting
+#: beyond the flatten's plan, and key paths that collide.
+AWKWARD = ["obj", "'[' || obj || ',' || obj || ']'", "NULL", "'{bad'",
+           """'{"Message":{},"MessageType":"T","MetaData":{"MMSI":"x","latitude":1.5}}'""",
+           """'{"Message":{"Other":{"a":1}},"MessageType":"PositionReport","MetaData":{"MMSI":1}}'""",
+           "'" + '{"a":' * 9 + "1" + "}" * 9 + "'", """'{"a_b":1,"a":{"b":2}}'"""]
+
+
+def awkward_columns(dialect: str) -> list[tuple[str, str]]:
+    value = "CASE event_id % 8 " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(AWKWARD)) + " END"
+    return [(a, value if a == "value" else e) for a, e in form_a_columns(dialect)]
+
+
+def awkward_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic rows with awkward values, one per event."""
+    objs = report_objects(read_events(spark, sf_dir))
+    return objs.selectExpr(*[f"{expr} AS `{alias}`" for alias, expr in awkward_columns("spark")])
+
+
+def duckdb_awkward_cte(name: str = "awkward_topic") -> str:
+    cols = ", ".join(f'{expr} AS "{alias}"' for alias, expr in awkward_columns("duckdb"))
+    return duckdb_objects_cte() + f",\n{name} AS (SELECT event_id, {cols} FROM fx5)"
+
+
 def report_objects(events: DataFrame) -> DataFrame:
     """Events with every derived column of the fixture (Spark)."""
     df = events.select("event_id", "ts", "user_id", "event_type", "props")
@@ -166,7 +191,7 @@ def report_objects(events: DataFrame) -> DataFrame:
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return spread(events.select("event_id", "ts", "user_id", "event_type", "props"))
+    return events.select("event_id", "ts", "user_id", "event_type", "props")
 
 
 def raw_topic(spark: SparkSession, sf_dir: str) -> DataFrame:

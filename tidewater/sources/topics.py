@@ -40,15 +40,15 @@ def read_reports(spark: SparkSession, topics: str | Sequence[str], *, start: str
                  max_per_trigger: int | None = None, bootstrap: str | None = None,
                  path: str | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """S-01 (``start='latest'``) / S-02 (``start='earliest'``): a streaming
-    frame of topic rows. ``bootstrap`` selects Kafka; ``path`` the offline
+    frame of topic rows. Lost offsets stop the query unless ``options`` say
+    otherwise. ``bootstrap`` selects Kafka; ``path`` the offline
     file source of Kafka-shaped parquet rows (always from the beginning)."""
     names = [topics] if isinstance(topics, str) else list(topics)
     if bootstrap:
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", bootstrap)
                   .option("subscribe", ",".join(names))
-                  .option("startingOffsets", start)
-                  .option("failOnDataLoss", "false"))
+                  .option("startingOffsets", start))
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
         for k, v in (options or {}).items():
@@ -92,15 +92,13 @@ def bounded_read(raw: DataFrame, n: int, order: list[str] | None = None) -> Data
     return raw.where(parsed("value").isNotNull()).orderBy(*order).limit(n)
 
 
-def offset_range(raw: DataFrame, partition: int, offset: int, max_bytes: int,
-                 topic: str | None = None) -> DataFrame:
-    """S-05: records of one partition from ``offset`` on, in offset order,
+def offset_range(raw: DataFrame, topic: str, partition: int, offset: int, max_bytes: int) -> DataFrame:
+    """S-05: records of one topic partition from ``offset`` on, in offset order,
     while their running byte total stays within ``max_bytes``. The running
-    sum uses the skew-safe ordered helper (one partition can be huge)."""
-    rows = raw.where((F.col("partition") == partition) & (F.col("offset") >= offset))
-    if topic is not None:
-        rows = rows.where(F.col("topic") == topic)
-    run = ordering.running(rows.withColumn("_b", F.octet_length("value").cast("long")),
+    sum uses the skew-safe ordered helper (one partition can be huge). A
+    record without a value (a tombstone) counts no bytes and is returned."""
+    rows = raw.where((F.col("topic") == topic) & (F.col("partition") == partition) & (F.col("offset") >= offset))
+    run = ordering.running(rows.withColumn("_b", F.coalesce(F.octet_length("value"), F.lit(0)).cast("long")),
                            [], ["offset"], "_b", "running_bytes", bounds_from=rows.select("offset"))
     return run.where(F.col("running_bytes") <= max_bytes).drop("_b")
 

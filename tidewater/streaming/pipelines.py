@@ -88,21 +88,23 @@ def latest_message_stream(raw: DataFrame, name: str = "w03_latest_message",
                           **kw) -> StreamingQuery:
     """W-03 as a stream: the newest report overall, updated per trigger."""
     rep = decode.decode_reports(raw)
-    latest = stateful.latest_message(rep, ["MessageType", "partition", "offset"],
-                                     ["arrival_ts", "pos"])
+    latest = stateful.latest_message(rep, ["MessageType", "partition", "offset"], stateful.REPORT_ORDER)
     return _start(latest, name, mode="complete", **kw)
 
 
 def throughput_stream(raw: DataFrame, seconds: int = 60, name: str = "q06_throughput",
-                      watermark: str = WATERMARK, **kw) -> StreamingQuery:
-    """Q-06 / A-04 as a stream: tumbling windows on arrival time with a
-    watermark, emitted once per window in append mode."""
-    w = (raw.withWatermark("timestamp", watermark)
-         .groupBy(F.window("timestamp", f"{seconds} seconds").alias("w"))
+                      watermark: str | None = None, **kw) -> StreamingQuery:
+    """Q-06 / A-04 as a stream: tumbling windows on arrival time. No message
+    is ever late: each trigger emits the windows it changed (update mode; the
+    last row of a window holds), and the state keeps one row per window.
+    With a ``watermark`` a window is emitted once, after it, and what
+    arrives later than that is dropped."""
+    rows = raw.withWatermark("timestamp", watermark) if watermark else raw
+    w = (rows.groupBy(F.window("timestamp", f"{seconds} seconds").alias("w"))
          .agg(F.count(F.lit(1)).alias("messages"), F.sum(F.octet_length("value")).alias("bytes"))
          .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                  "messages", F.bround(F.col("bytes") / F.lit(1024.0), 2).alias("kilobytes")))
-    return _start(w, name, mode="append", **kw)
+    return _start(w, name, mode="append" if watermark else "update", **kw)
 
 
 def change_status_stream(raw: DataFrame, state_root: str, out_path: str,
@@ -145,20 +147,30 @@ def change_status_stream(raw: DataFrame, state_root: str, out_path: str,
 
 def reenvelope_stream(raw: DataFrame, out_path: str, name: str = "q07_reenvelope",
                       max_bytes: int = stateful.MAX_ENVELOPE_BYTES, trigger: dict | None = None,
-                      checkpoint: str | None = None) -> StreamingQuery:
+                      checkpoint: str | None = None, rejects_path: str | None = None) -> StreamingQuery:
     """Q-07 as a stream (``foreachBatch``): each micro-batch is flushed in
     250 ms windows of at most 1000 messages (W-05), every envelope is kept
     within ``max_bytes`` (W-06) and keyed by a deterministic UUID; a
     micro-batch boundary is also a flush point. Output per batch id is
-    overwritten, so a retried batch writes the same envelopes."""
+    overwritten, so a retried batch writes the same envelopes. Messages that
+    are in no envelope go to ``rejects_path`` (default: beside ``out_path``,
+    ending in ``-rejected``) with the reason."""
     spark = raw.sparkSession
+    aside = rejects_path or out_path.rstrip("/") + "-rejected"
+
+    def put(df: DataFrame, batch_id: int, path: str) -> None:
+        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        pieces = batch.reenvelope(batch_df, max_bytes=max_bytes)
-        (pieces.select("key", "value", F.lit(batch.ALL_TOPIC).alias("topic"), "n_items", "bytes",
-                       F.lit(batch_id).alias("batch_id"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
+        batch_df.persist()   # read several times below
+        try:
+            pieces, rejected = batch.reenvelope(batch_df, max_bytes=max_bytes)
+            put(pieces.select("key", "value", F.lit(batch.ALL_TOPIC).alias("topic"), "n_items", "bytes"),
+                batch_id, out_path)
+            put(rejected, batch_id, aside)
+        finally:
+            batch_df.unpersist()
 
     w = (raw.writeStream.queryName(name).foreachBatch(process)
          .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
