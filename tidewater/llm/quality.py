@@ -150,15 +150,15 @@ def fit(docs: DataFrame, graded: DataFrame, n_grades: int = 3, fit_docs: int = F
 
         def apply(grades, texts):
             vectors = [vector(t, known) for t in texts]
-            return [grades, [v[0].astype(np.int32) for v in vectors], [v[1].astype(np.float32).tobytes() for v in vectors]]
+            return [grades, [v[0].astype(np.int32).tobytes() for v in vectors], [v[1].astype(np.float32).tobytes() for v in vectors]]
         return apply
 
-    found = map_lists(rows, make, "grade int, places array<int>, amounts binary").toPandas()
+    found = map_lists(rows, make, "grade int, places binary, amounts binary").toPandas()
     if not len(found):
         return None
     # in one order, whatever the partitions
-    found = found.assign(key=[p.tobytes() for p in found["places"]]).sort_values(["grade", "key"], kind="stable")
-    vectors = [(np.asarray(p, dtype=np.int64), np.frombuffer(x, dtype=np.float32).astype(np.float64))
+    found = found.assign(key=[bytes(p) for p in found["places"]]).sort_values(["grade", "key"], kind="stable")
+    vectors = [(np.frombuffer(p, dtype=np.int32).astype(np.int64), np.frombuffer(x, dtype=np.float32).astype(np.float64))
                for p, x in zip(found["places"], found["amounts"], strict=True)]
     return train(vectors, found["grade"].to_numpy(), n_grades)
 
