@@ -204,7 +204,7 @@ def reenvelope(raw_rows: DataFrame,
 
 
 # low enough that envelopes of two messages split and single large ones go
-Q07_MAX_BYTES = 560
+Q07_MAX_BYTES = 450
 
 _Q07_CTES = (
     "queued AS (SELECT *, epoch_us(timestamp) // 250000 AS fb, row_number() OVER (PARTITION BY "
