@@ -4,11 +4,12 @@ check the driver runs at sf0.01."""
 import pytest
 
 import __spark_entry__ as entry
+from tidewater.plans.queries import all_oracles, all_queries
 from compare import duck, same_rows
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = all_queries()   # the training-data queries have tests of their own
+ORACLES = all_oracles()
 
 
 def test_every_query_has_an_oracle():

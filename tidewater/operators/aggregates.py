@@ -6,7 +6,7 @@ a hot vessel or a busy minute is pre-combined per task before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ordering
@@ -61,34 +61,27 @@ def _seconds_between(later, earlier):
 
 
 def cumulative_rate(raw: DataFrame, every: int = RATE_EVERY, ts: str = "timestamp",
-                    order: list[str] | None = None, bucket_seconds: int = 1,
-                    offset: int = 0, start=None) -> DataFrame:
+                    order: list[str] | None = None, offset: int = 0, start=None) -> DataFrame:
     """A-06: at every ``every``-th message in arrival order, the count and
     the rate since the first arrival (NULL when no time has passed).
 
-    Two-level counting instead of a global sort: messages are counted per
-    ``bucket_seconds`` of arrival time (hash aggregate), a running total over
-    that small bucket table gives each bucket's first rank, and exact ranks
-    are computed (skew-safe, per bucket) only inside the buckets that hold a
-    multiple of ``every``. ``offset`` (messages counted before this input)
-    and ``start`` (first arrival) let a stream continue the count.
+    Counting instead of a global sort: messages are counted per segment of
+    the order (see ``ordering``), and rows are put in order only inside the
+    segments that hold a multiple of ``every``. ``offset`` (messages counted
+    before this input) and ``start`` (first arrival) let a stream continue
+    the count.
     """
     order = order or [ts, "offset", "partition"]
-    us = bucket_seconds * 1_000_000
-    rows = raw.select(*dict.fromkeys(order + [ts])).withColumn(
-        "_b", F.floor(F.unix_micros(ts) / us).cast("long"))
-    counts = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    cum = ordering.running(counts, [], ["_b"], "_cnt", "_end", fine=False)
-    hits = (cum.withColumn("_end", F.col("_end") + F.lit(offset))
-            .withColumn("_start", F.col("_end") - F.col("_cnt"))
-            .where(F.floor(F.col("_end") / every) > F.floor(F.col("_start") / every))
-            .select("_b", "_start"))
-    ranked = ordering.row_number(rows.join(hits, "_b"), ["_b"], order, out="_rn",
-                                 bounds_from=rows)
+    rows = ordering.segmented(raw.select(*dict.fromkeys(order + [ts])), [], order)
+    segs = ordering.before_segments(rows, [], F.count(F.lit(1)))
+    first = F.coalesce("_before", F.lit(0)) + F.lit(offset)
+    hits = segs.select(ordering.SEG, first.alias("_first"), (first + F.col("_own")).alias("_end")) \
+        .where(F.floor(F.col("_end") / every) > F.floor(F.col("_first") / every))
+    here = Window.partitionBy(ordering.SEG).orderBy(*order)
+    ranked = rows.join(hits, ordering.SEG).withColumn("n", F.col("_first") + F.row_number().over(here))
     start = raw.select(F.min(ts)).scalar() if start is None else F.lit(start)
     elapsed = _seconds_between(F.col(ts), start)
-    return (ranked.withColumn("n", F.col("_start") + F.col("_rn"))
-            .where(F.col("n") % every == 0)
+    return (ranked.where(F.col("n") % every == 0)
             .select("n", F.col(ts).alias("arrival_ts"), elapsed.alias("elapsed_s"))
             .withColumn("rate", F.when(F.col("elapsed_s") > 0, F.col("n") / F.col("elapsed_s"))))
 
@@ -100,23 +93,23 @@ def interval_stats(raw: DataFrame, seconds: int = 60, flush: str = FLUSH_INTERVA
     up to the interval end (0 when the denominator is not positive).
 
     Flushes are pre-aggregated per ``flush`` window, then rolled up per
-    interval; the running total runs over the (small) interval table with
-    the skew-safe ordered helper.
+    interval. One read: the running total and the first arrival come from a
+    window over the interval table, one row a minute.
     """
     flushes = (raw.groupBy(F.window(ts, flush).alias("f"))
-               .agg(F.count(F.lit(1)).alias("flush_count"))
+               .agg(F.count(F.lit(1)).alias("flush_count"), F.min(ts).alias("first_ts"))
                .select(F.col("f.start").alias("flush_start"), F.col("f.end").alias("flush_end"),
-                       "flush_count"))
+                       "flush_count", "first_ts"))
     intervals = (flushes.groupBy(F.window("flush_start", f"{seconds} seconds").alias("w"))
-                 .agg(F.sum("flush_count").alias("messages"),
+                 .agg(F.sum("flush_count").alias("messages"), F.min("first_ts").alias("first_ts"),
                       F.max_by(F.struct("flush_end", "flush_count"), "flush_end").alias("last"))
                  .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                         "messages", F.col("last.flush_count").alias("last_flush_count"),
+                         "messages", "first_ts", F.col("last.flush_count").alias("last_flush_count"),
                          F.col("last.flush_end").alias("last_flush_end")))
-    run = ordering.running(intervals, [], ["window_start"], "messages", "total_messages",
-                           fine=False)
-    start = raw.select(F.min(ts)).scalar()
-    since_start = _seconds_between(F.col("window_end"), start)
+    so_far = Window.partitionBy().orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
+    run = intervals.withColumns({"total_messages": F.sum("messages").over(so_far),
+                                 "_start": F.min("first_ts").over(so_far)})
+    since_start = _seconds_between(F.col("window_end"), F.col("_start"))
     since_flush = _seconds_between(F.col("window_end"), F.col("last_flush_end"))
     return run.select(
         "window_start", "window_end", "messages", "total_messages",

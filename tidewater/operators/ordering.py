@@ -2,211 +2,129 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key in one
 task; with no key at all (a global order) everything lands in one task. The
-helpers here cut the order into segments first: quantile bounds of the
-leading order column (``approxQuantile``, one pass over one column, bounded
-memory) are baked into the plan as a literal bucket expression, so a hot key
-or a global order is spread over many ``(segment, key)`` groups. The window
-runs inside each group (one hash shuffle), and what earlier segments
-contribute (row counts, last row, running total) is carried through a small
-per-segment summary.
-
-Segments are a pure function of the row, so the two branches that read them
-(the local window and the summary) always agree, also when a stage is
-recomputed after an executor loss. A range exchange with
-``spark_partition_id()`` would not give that guarantee: each exchange samples
-its own bounds.
-
-The summary holds one row per ``(segment, key)`` pair that occurs; without
-keys it has at most ``#segments`` rows and is broadcast (bounded by the
-segment count, which is checked).
+helpers here cut the order twice by plain arithmetic on the order columns:
+
+* a segment holds one value of the leading order column and one block of
+  65,536 values of the next one, so rows that tie on a time are split by
+  their offset. (An order of one column is cut into blocks of its values.)
+* a span holds the segments of one minute (65,536 values of a number).
+
+Rows meet only within their (key, segment). What earlier segments contribute
+(row counts, last row, running total) is added up over the segment table
+within each (key, span), then over the span table, which has one row a minute.
+
+Segments are a pure function of the row, so the two reads of the input (the
+rows and their segment table) always agree, also when a stage is recomputed
+after an executor loss, and no job runs before the query's own action.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEG = "_seg"
-MAX_SEGMENTS = 4096
-MAX_SUBSEGMENTS = 1024
-ROWS_PER_SEGMENT = 1_000_000
-MAX_BROADCAST_SEGMENTS = 100_000
-
+SPAN = "_span"
+BLOCK = 65_536
+SPAN_SECONDS = 60
 
-def _segments(df: DataFrame, n: int | None) -> int:
-    """Segment count: the shuffle partition count, capped so the quantile
-    sketch (relative error 1/(4n)) and the bucket expression stay small."""
-    if n:
-        return min(n, MAX_SEGMENTS)
-    conf = df.sparkSession.conf
-    return min(int(conf.get("spark.sql.shuffle.partitions", "200")), MAX_SEGMENTS)
+_FOLDS = {"sum": F.sum, "max": F.max, "last": F.last}
 
 
 def _cols(order: list) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _numeric(c: Column, dtype: str) -> Column:
+def _block(c: Column, dtype: str, seconds: int = 1) -> Column:
+    """A column of the order cut into ranges; NULL stays NULL, the first."""
     if dtype.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
     if dtype == "date":
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
-
-
-def _bucket(x: Column, bounds: list[float], lo: int = 0, hi: int | None = None) -> Column:
-    """Balanced CASE tree: the number of ``bounds`` that are <= x."""
-    if hi is None:
-        hi = len(bounds)
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(x < F.lit(bounds[mid]), _bucket(x, bounds, lo, mid)) \
-        .otherwise(_bucket(x, bounds, mid + 1, hi))
-
-
-def _may_exceed(xs: DataFrame, rows: int) -> bool:
-    """Whether the one-column probe may hold more than ``rows`` rows, from
-    Catalyst's size estimate (8 bytes per value at least); no job runs. An
-    unknown estimate counts as large."""
-    try:
-        size = int(xs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001
-        return True
-    return size >= rows * 8
-
-
-def segment_column(df: DataFrame, order: list, n: int,
-                   bounds_from: DataFrame | None = None,
-                   rows_per_segment: int | None = None,
-                   fine: bool = True) -> tuple[Column, int]:
-    """Segment of each row, from the leading order column.
-
-    Level 1: bucket between ``n - 1`` approximate quantiles (a balanced CASE
-    tree over literal bounds). Level 2, only when the input holds more than
-    ``n * rows_per_segment`` rows: each quantile range is cut into ``k``
-    equal sub-ranges (its low/high edges come from literal arrays with
-    ``element_at``, constant cost per row), so a global order over a huge
-    input still gets segments of about ``rows_per_segment`` rows. NULL sorts
-    first, into segment 0.
-
-    ``bounds_from`` (a frame with the leading order column under the same
-    name) lets the quantile pass read a cheaper source, e.g. the raw topic's
-    arrival times instead of decoded and filtered reports: the bounds only
-    need to be roughly right, results are exact whatever they are.
-
-    Returns the segment column and the number of segments."""
-    first = _cols(order)[0]
-    probe = (bounds_from if bounds_from is not None else df).select(first.alias("_o"))
-    dtype = probe.schema["_o"].dataType.simpleString()
-    xs = probe.select(_numeric(F.col("_o"), dtype).alias("_x"))
-    xv = _numeric(first, dtype)
-    if n <= 1:
-        return F.lit(0), 1
-    rows_per_segment = rows_per_segment or ROWS_PER_SEGMENT
-    k = 1
-    if fine and _may_exceed(xs, n * rows_per_segment):
-        rows = xs.count()
-        k = min(MAX_SUBSEGMENTS, max(1, -(-rows // (n * rows_per_segment))))
-    probs = [0.0] + [i / n for i in range(1, n)] + [1.0]
-    q = xs.approxQuantile("_x", probs, 1.0 / (4 * n))
-    if not q:
-        return F.lit(0), 1
-    lo_all, hi_all, inner = q[0], q[-1], sorted({b for b in q[1:-1] if b is not None})
-    coarse = F.coalesce(_bucket(xv, inner), F.lit(0))
-    if k == 1:
-        return coarse, len(inner) + 1
-    los = F.array(*[F.lit(float(v)) for v in [lo_all] + inner])
-    his = F.array(*[F.lit(float(v)) for v in inner + [hi_all]])
-    lo, hi = F.element_at(los, coarse + 1), F.element_at(his, coarse + 1)
-    frac = F.when(hi > lo, (xv - lo) / (hi - lo)).otherwise(F.lit(0.0))
-    fine = F.least(F.lit(k - 1), F.greatest(F.lit(0), F.floor(frac * k).cast("int")))
-    return coarse * k + F.coalesce(fine, F.lit(0)), (len(inner) + 1) * k
-
-
-def segmented(df: DataFrame, keys: list[str], order: list, n: int | None = None,
-              bounds_from: DataFrame | None = None, fine: bool = True) -> tuple[DataFrame, int]:
-    """Tag each row with its order segment (deterministic, no exchange);
-    also returns the number of segments. ``fine=False`` keeps one level
-    (for tables that are small by construction)."""
-    col, count = segment_column(df, order, _segments(df, n), bounds_from, fine=fine)
-    return df.withColumn(SEG, col), count
-
-
-def _join_summary(rows: DataFrame, summary: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """Join a per-(segment, key) summary back; null-safe on keys."""
-    s = summary
-    for k in keys:
-        s = s.withColumnRenamed(k, f"_s_{k}")
-    s = s.withColumnRenamed(SEG, "_s_seg")
-    if not keys and n <= MAX_BROADCAST_SEGMENTS:
-        s = F.broadcast(s)
-    cond = [rows[SEG] == s["_s_seg"]] + [rows[k].eqNullSafe(s[f"_s_{k}"]) for k in keys]
-    out = rows.join(s, reduce(lambda a, b: a & b, cond), "left")
-    return out.drop("_s_seg", *[f"_s_{k}" for k in keys])
-
-
-def _seg_window(keys: list[str]):
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    return w.orderBy(SEG)
-
-
-def row_number(df: DataFrame, keys: list[str], order: list, out: str = "rn",
-               n: int | None = None, bounds_from: DataFrame | None = None,
-               fine: bool = True) -> DataFrame:
+        return F.unix_date(c).cast("long")
+    if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal"):
+        return F.floor(c / F.lit(BLOCK)).cast("long")
+    return F.lit(0).cast("long")
+
+
+def segmented(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """Tag each row with its (key, segment) and (key, span), as structs: they
+    compare like their fields, a NULL key equal to itself."""
+    cols = _cols(order)
+    types = [f.dataType.simpleString() for f in df.select(*[c.alias(f"o{i}") for i, c in enumerate(cols)]).schema]
+    key = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    if len(cols) > 1:
+        lead, cut = cols[0], [cols[0].alias("a"), _block(cols[1], types[1]).alias("b")]
+        span = _block(lead, types[0], SPAN_SECONDS)
+    else:
+        block = _block(cols[0], types[0])
+        cut = [block.alias("a")]
+        span = F.floor(block / F.lit(BLOCK)).cast("long")
+    return df.withColumns({SEG: F.struct(*key, *cut), SPAN: F.struct(*key, span.alias("s"))})
+
+
+def _join_folds(how: str, earlier: Column, later: Column) -> Column:
+    if how == "sum":     # NULLs add nothing; NULL only until the first value
+        return F.coalesce(earlier + later, later, earlier)
+    return F.greatest(earlier, later) if how == "max" else F.coalesce(later, earlier)
+
+
+def before_segments(rows: DataFrame, keys: list[str], value: Column, how: str = "sum") -> DataFrame:
+    """One row per segment of ``segmented`` rows: ``_own``, the aggregate
+    ``value`` over its rows, and ``_before``, the fold of ``_own`` over the
+    earlier segments of its key (NULL for the first)."""
+    fold = _FOLDS[how]
+    inside = Window.partitionBy(SPAN).orderBy(SEG)
+    segs = rows.groupBy(SPAN, SEG).agg(value.alias("_own")) \
+        .withColumn("_upto", fold("_own").over(inside.rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumns({"_in": F.lag("_upto").over(inside), "_next": F.lead(SEG).over(inside)})
+    # the last segment of a span holds the span's total: the same exchange again
+    ends = segs.where(F.col("_next").isNull()).select(
+        F.col(SPAN).alias("_at"), F.col("_upto"), *[F.col(f"{SPAN}.k{i}").alias(f"_k{i}") for i in range(len(keys))])
+    across = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_at") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select("_at", fold("_upto").over(across).alias("_start"))
+    return segs.join(starts, segs[SPAN] == starts["_at"]).select(
+        SEG, "_own", _join_folds(how, F.col("_start"), F.col("_in")).alias("_before"))
+
+
+def _with_before(rows: DataFrame, segs: DataFrame) -> DataFrame:
+    """Rows with what comes before their segment."""
+    return rows.drop(SPAN).join(segs.drop("_own"), SEG)
+
+
+def row_number(df: DataFrame, keys: list[str], order: list, out: str = "rn") -> DataFrame:
     """1-based row number of each row within its key (or globally when
     ``keys`` is empty) in ``order``; ``order`` must be a total order."""
-    d, n = segmented(df, keys, order, n, bounds_from, fine)
-    w = Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
-    local = d.withColumn("_rn_local", F.row_number().over(w))
-    counts = d.groupBy(SEG, *keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    base = counts.select(SEG, *keys, F.coalesce(
-        F.sum("_cnt").over(_seg_window(keys).rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_base"))
-    j = _join_summary(local, base, keys, n)
-    return j.withColumn(out, F.col("_base") + F.col("_rn_local")).drop("_rn_local", "_base", SEG)
-
-
-def lag(df: DataFrame, keys: list[str], order: list, cols: list[str],
-        prefix: str = "prev_", n: int | None = None,
-        bounds_from: DataFrame | None = None, fine: bool = True) -> DataFrame:
+    rows = segmented(df, keys, order)
+    here = Window.partitionBy(SEG).orderBy(*_cols(order))
+    return _with_before(rows, before_segments(rows, keys, F.count(F.lit(1)))) \
+        .withColumn(out, F.coalesce("_before", F.lit(0)) + F.row_number().over(here)).drop(SEG, "_before")
+
+
+def lag(df: DataFrame, keys: list[str], order: list, cols: list[str], prefix: str = "prev_") -> DataFrame:
     """Previous row's ``cols`` within the key (or globally) in ``order``;
     NULL for the first row. The first row of a segment takes the last row of
     the key's nearest earlier segment."""
-    d, n = segmented(df, keys, order, n, bounds_from, fine)
-    w = Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
-    local = d.withColumns({f"_l_{c}": F.lag(c).over(w) for c in cols}) \
-             .withColumn("_first", F.row_number().over(w) == 1)
-    last = d.groupBy(SEG, *keys).agg(
-        F.max_by(F.struct(*cols), F.struct(*_cols(order))).alias("_last"))
-    carry = last.select(SEG, *keys, F.lag("_last").over(_seg_window(keys)).alias("_carry"))
-    j = _join_summary(local, carry, keys, n)
-    return j.withColumns({
-        f"{prefix}{c}": F.when(F.col("_first"), F.col(f"_carry.{c}")).otherwise(F.col(f"_l_{c}"))
-        for c in cols
-    }).drop("_first", "_carry", SEG, *[f"_l_{c}" for c in cols])
-
-
-def running(df: DataFrame, keys: list[str], order: list, value: Column | str,
-            out: str, how: str = "sum", n: int | None = None,
-            bounds_from: DataFrame | None = None, fine: bool = True) -> DataFrame:
+    rows = segmented(df, keys, order)
+    row = F.struct(*cols)
+    segs = before_segments(rows, keys, F.max_by(row, F.struct(*_cols(order))), "last")
+    here = Window.partitionBy(SEG).orderBy(*_cols(order))
+    joined = _with_before(rows, segs).withColumn("_prev", F.coalesce(F.lag(row).over(here), F.col("_before")))
+    return joined.withColumns({f"{prefix}{c}": F.col(f"_prev.{c}") for c in cols}).drop(SEG, "_before", "_prev")
+
+
+def running(df: DataFrame, keys: list[str], order: list, value: Column | str, out: str,
+            how: str = "sum", at_most: Column | None = None) -> DataFrame:
     """Running ``sum`` or ``max`` of ``value`` up to and including each row,
-    within the key (or globally) in ``order``."""
-    fn = {"sum": F.sum, "max": F.max}[how]
+    within the key (or globally) in ``order``. With ``at_most`` only rows
+    whose result is at most that (of a sum that never falls): segments that
+    start beyond it are left out before their rows are put in order."""
     v = F.col(value) if isinstance(value, str) else value
-    d, n = segmented(df.withColumn("_v", v), keys, order, n, bounds_from, fine)
-    w = (Window.partitionBy(SEG, *keys).orderBy(*_cols(order))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.withColumn("_run_local", fn("_v").over(w))
-    tot = d.groupBy(SEG, *keys).agg(fn("_v").alias("_tot"))
-    base = tot.select(SEG, *keys, fn("_tot").over(
-        _seg_window(keys).rowsBetween(Window.unboundedPreceding, -1)).alias("_base"))
-    j = _join_summary(local, base, keys, n)
-    if how == "sum":
-        # NULLs add nothing; NULL only until the first value
-        res = F.coalesce(F.col("_base") + F.col("_run_local"), F.col("_run_local"), F.col("_base"))
-    else:
-        res = F.greatest(F.col("_base"), F.col("_run_local"))
-    return j.withColumn(out, res).drop("_v", "_run_local", "_base", SEG)
+    rows = segmented(df.withColumn("_v", v), keys, order)
+    segs = before_segments(rows, keys, _FOLDS[how]("_v"), how)
+    if at_most is not None:
+        segs = segs.where(F.col("_before").isNull() | (F.col("_before") <= at_most))
+    here = Window.partitionBy(SEG).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    done = _with_before(rows, segs).withColumn(
+        out, _join_folds(how, F.col("_before"), _FOLDS[how]("_v").over(here))).drop(SEG, "_v", "_before")
+    return done if at_most is None else done.where(F.col(out) <= at_most)

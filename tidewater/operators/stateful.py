@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ordering
@@ -44,17 +44,15 @@ def current_positions(df: DataFrame, key: str = "MMSI", lat: str = "Lat", lng: s
 
 
 def change_status(df: DataFrame, key: str = "MMSI", lat: str = "Lat", lng: str = "Lng",
-                  order: list[str] | None = None,
-                  bounds_from: DataFrame | None = None) -> DataFrame:
+                  order: list[str] | None = None) -> DataFrame:
     """W-02: ``new`` for a vessel's first valid position, ``moved`` when
     latitude or longitude differs from the previous one, else ``unchanged``.
     Invalid positions and reports without a vessel id are dropped and make
     no state. The lag runs on the skew-safe ordered helper, so one busy
-    vessel is split across tasks. ``bounds_from``: a cheap frame with the
-    leading order column for the segment bounds (see ``ordering``)."""
+    vessel is split across tasks."""
     order = order or REPORT_ORDER
     tracked = valid_positions(df, lat, lng).where(F.col(key).isNotNull())
-    lagged = ordering.lag(tracked, [key], order, [lat, lng], bounds_from=bounds_from)
+    lagged = ordering.lag(tracked, [key], order, [lat, lng])
     plat, plng = F.col(f"prev_{lat}"), F.col(f"prev_{lng}")
     status = (F.when(plat.isNull() & plng.isNull(), F.lit("new"))
               .when((F.col(lat) != plat) | (F.col(lng) != plng), F.lit("moved"))
@@ -76,21 +74,16 @@ def keyed_collect(messages: DataFrame, item: Column, max_items: int = COLLECT_MA
     order into lists that close after ``max_items`` items or when no item
     arrives for ``timeout_seconds`` (gap sessions, each cut in chunks).
 
-    Session starts come from a global lag, session ids from a global running
-    count, positions from a per-session row number: all on the skew-safe
-    ordered helpers, never one task for the whole key.
+    All messages of a segment (see ``ordering``) share their arrival time, so
+    sessions come from the segment table alone: the gap to the segment before,
+    the number of starts so far and the count at the last start, within each
+    minute and then over the minutes. Messages meet only within their segment.
     """
     order = order or MESSAGE_ORDER
-    df = messages.withColumn("_item", item)
-    src = df.select(*order)
-    lagged = ordering.lag(df, [], order, [ts], prefix="_prev_", bounds_from=src)
-    gap_us = F.unix_micros(F.col(ts)) - F.unix_micros(F.col(f"_prev_{ts}"))
-    flagged = lagged.withColumn(
-        "_start", F.when(F.col(f"_prev_{ts}").isNull() | (gap_us > timeout_seconds * 1_000_000), 1)
-        .otherwise(0))
-    sess = ordering.running(flagged, [], order, "_start", "session", bounds_from=src)
-    ranked = ordering.row_number(sess, ["session"], order, out="_rn", bounds_from=src)
-    chunked = ranked.withColumn("chunk", F.floor((F.col("_rn") - 1) / max_items).cast("long"))
+    rows = ordering.segmented(messages.select(*order, item.alias("_item")), [], order)
+    chunked = rows.drop(ordering.SPAN).join(_sessions(rows, timeout_seconds), ordering.SEG) \
+        .withColumn("_rn", F.col("_skip") + F.row_number().over(Window.partitionBy(ordering.SEG).orderBy(*order))) \
+        .withColumn("chunk", F.floor((F.col("_rn") - 1) / max_items).cast("long"))
     return (chunked.groupBy(F.lit("ALL").alias("key"), "session", "chunk")
             .agg(F.count(F.lit(1)).alias("n_items"),
                  F.min(ts).alias("first_arrival"), F.max(ts).alias("last_arrival"),
@@ -99,6 +92,42 @@ def keyed_collect(messages: DataFrame, item: Column, max_items: int = COLLECT_MA
             .drop("_items"))
 
 
+def _sessions(rows: DataFrame, timeout_seconds: int) -> DataFrame:
+    """Per segment its ``session`` (from 1) and ``_skip``, the messages of
+    that session before it."""
+    seg, span = ordering.SEG, ordering.SPAN
+    inside = Window.partitionBy(span).orderBy(seg)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    at = F.unix_micros(F.col(f"{seg}.a"))
+
+    def starts(prev: Column, here: Column) -> Column:
+        return F.when(prev.isNull() | (here - prev > timeout_seconds * 1_000_000), 1).otherwise(0)
+
+    segs = rows.groupBy(span, seg).agg(F.count(F.lit(1)).alias("_n")).select(
+        span, seg, at.alias("_at"), F.sum("_n").over(upto).alias("_upto"), "_n",
+        F.lag(at).over(inside).alias("_prev"), F.first(at).over(upto).alias("_first"),
+        F.lead(seg).over(inside).alias("_next"))
+    inner = F.when(F.col("_prev").isNotNull(), starts(F.col("_prev"), F.col("_at"))).otherwise(0)
+    segs = segs.withColumn("_inner", inner).withColumns({
+        "_starts": F.sum("_inner").over(upto),
+        "_mark": F.max(F.when(F.col("_inner") == 1, F.col("_upto") - F.col("_n"))).over(upto)})
+    # over the minutes: each minute's last segment holds its totals
+    minutes = Window.partitionBy().orderBy("_m")
+    earlier = minutes.rowsBetween(Window.unboundedPreceding, -1)
+    ends = segs.where(F.col("_next").isNull()).withColumnRenamed(span, "_m").select(
+        "_m", "_upto", "_starts", "_mark",
+        starts(F.lag("_at").over(minutes), F.col("_first")).alias("_opens"),
+        F.coalesce(F.sum("_upto").over(earlier), F.lit(0)).alias("_base"))
+    mark = F.coalesce(F.col("_mark") + F.col("_base"), F.when(F.col("_opens") == 1, F.col("_base")))
+    ends = ends.select(
+        "_m", "_base", "_opens", F.coalesce(F.sum(F.col("_opens") + F.col("_starts")).over(earlier), F.lit(0)).alias("_opened"),
+        F.max(mark).over(earlier).alias("_since"))
+    since = F.coalesce(F.col("_base") + F.col("_mark"), F.when(F.col("_opens") == 1, F.col("_base")), F.col("_since"))
+    return segs.join(ends.withColumnRenamed("_m", span), span).select(
+        seg, (F.col("_opened") + F.col("_opens") + F.col("_starts")).alias("session"),
+        (F.col("_base") + F.col("_upto") - F.col("_n") - since).alias("_skip"))
+
+
 def timed_collect(messages: DataFrame, item: Column, seconds: int = COLLECT_TIMEOUT_SECONDS,
                   ts: str = "timestamp") -> DataFrame:
     """W-04, time mode: lists per clock-aligned ``seconds`` window."""
@@ -118,8 +147,7 @@ def flush_batches(messages: DataFrame, interval: str = FLUSH_INTERVAL,
     order = order or MESSAGE_ORDER
     messages = messages.where(queueable(F.col("value")))
     win = messages.withColumn("flush_start", F.window(ts, interval).start)
-    ranked = ordering.row_number(win, ["flush_start"], order, out="_rn",
-                                 bounds_from=messages.select(*order))
+    ranked = ordering.row_number(win, ["flush_start"], order, out="_rn")
     chunked = ranked.withColumn("chunk", F.floor((F.col("_rn") - 1) / max_items).cast("long"))
     return (chunked.groupBy("flush_start", "chunk")
             .agg(F.sort_array(F.collect_list(F.struct("_rn", "value"))).alias("_items"),

@@ -95,12 +95,11 @@ def bounded_read(raw: DataFrame, n: int, order: list[str] | None = None) -> Data
 def offset_range(raw: DataFrame, topic: str, partition: int, offset: int, max_bytes: int) -> DataFrame:
     """S-05: records of one topic partition from ``offset`` on, in offset order,
     while their running byte total stays within ``max_bytes``. The running
-    sum uses the skew-safe ordered helper (one partition can be huge). A
-    record without a value (a tombstone) counts no bytes and is returned."""
+    sum uses the skew-safe ordered helper (one partition can be huge) and
+    passes only the segments that start within the bound. A record without a value (a tombstone) counts no bytes and is returned."""
     rows = raw.where((F.col("topic") == topic) & (F.col("partition") == partition) & (F.col("offset") >= offset))
-    run = ordering.running(rows.withColumn("_b", F.coalesce(F.octet_length("value"), F.lit(0)).cast("long")),
-                           [], ["offset"], "_b", "running_bytes", bounds_from=rows.select("offset"))
-    return run.where(F.col("running_bytes") <= max_bytes).drop("_b")
+    size = F.coalesce(F.octet_length("value"), F.lit(0)).cast("long")
+    return ordering.running(rows, [], ["offset"], size, "running_bytes", at_most=F.lit(max_bytes))
 
 
 def topic_catalogue(raw: DataFrame) -> DataFrame:
