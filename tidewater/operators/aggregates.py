@@ -88,7 +88,7 @@ def cumulative_rate(raw: DataFrame, every: int = RATE_EVERY, ts: str = "timestam
 
 def interval_stats(raw: DataFrame, seconds: int = 60, flush: str = FLUSH_INTERVAL,
                    ts: str = "timestamp") -> DataFrame:
-    """A-07: per interval, messages, running total, overall rate since the
+    """A-07: per interval, messages and bytes, running total, overall rate since the
     first arrival, size of the interval's last flush and that flush's rate
     up to the interval end (0 when the denominator is not positive).
 
@@ -97,14 +97,15 @@ def interval_stats(raw: DataFrame, seconds: int = 60, flush: str = FLUSH_INTERVA
     window over the interval table, one row a minute.
     """
     flushes = (raw.groupBy(F.window(ts, flush).alias("f"))
-               .agg(F.count(F.lit(1)).alias("flush_count"), F.min(ts).alias("first_ts"))
+               .agg(F.count(F.lit(1)).alias("flush_count"), F.min(ts).alias("first_ts"),
+                    F.sum(F.octet_length("value")).alias("bytes"))
                .select(F.col("f.start").alias("flush_start"), F.col("f.end").alias("flush_end"),
-                       "flush_count", "first_ts"))
+                       "flush_count", "first_ts", "bytes"))
     intervals = (flushes.groupBy(F.window("flush_start", f"{seconds} seconds").alias("w"))
-                 .agg(F.sum("flush_count").alias("messages"), F.min("first_ts").alias("first_ts"),
+                 .agg(F.sum("flush_count").alias("messages"), F.min("first_ts").alias("first_ts"), F.sum("bytes").alias("bytes"),
                       F.max_by(F.struct("flush_end", "flush_count"), "flush_end").alias("last"))
                  .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                         "messages", "first_ts", F.col("last.flush_count").alias("last_flush_count"),
+                         "messages", "first_ts", "bytes", F.col("last.flush_count").alias("last_flush_count"),
                          F.col("last.flush_end").alias("last_flush_end")))
     so_far = Window.partitionBy().orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
     run = intervals.withColumns({"total_messages": F.sum("messages").over(so_far),
@@ -112,7 +113,7 @@ def interval_stats(raw: DataFrame, seconds: int = 60, flush: str = FLUSH_INTERVA
     since_start = _seconds_between(F.col("window_end"), F.col("_start"))
     since_flush = _seconds_between(F.col("window_end"), F.col("last_flush_end"))
     return run.select(
-        "window_start", "window_end", "messages", "total_messages",
+        "window_start", "window_end", "messages", "bytes", "total_messages",
         F.when(since_start > 0, F.col("total_messages") / since_start).otherwise(F.lit(0.0))
         .alias("overall_rate"),
         "last_flush_count",

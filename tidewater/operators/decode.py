@@ -39,6 +39,27 @@ def decode_reports(raw: DataFrame, strict: bool = False) -> DataFrame:
                      "r.Message", "r.MessageType", "r.MetaData")
 
 
+def report_texts(value: Column | str = "value") -> Column:
+    """The JSON text of each report of a value, all its fields kept. A single
+    report is its value as it came; those of an array are written anew (keys
+    sorted, numbers exact; as doubles where an object repeats a key)."""
+    value = F.col(value) if isinstance(value, str) else value
+    parts = F.try_variant_get(F.try_parse_json(value), "$", "array<variant>")
+    return F.when(F.ltrim(value).startswith("["), F.coalesce(
+        F.transform(parts, lambda v: F.to_json(v)), F.from_json(value, "array<string>"))).otherwise(F.array(value))
+
+
+def decode_whole(raw: DataFrame) -> DataFrame:
+    """D-01 with the message kept: besides the columns of ``decode_reports``
+    the message's ``key`` and ``report``, the report's own JSON text with
+    every field it came with, known or not."""
+    both = F.arrays_zip(parsed("value").alias("r"), report_texts().alias("text"))
+    df = raw.select("key", *TOPIC_COLUMNS, F.col("timestamp").alias("arrival_ts"),
+                    F.posexplode(both).alias("pos", "z"))
+    return df.select("key", *TOPIC_COLUMNS, "pos", "arrival_ts", F.col("z.text").alias("report"),
+                     "z.r.Message", "z.r.MessageType", "z.r.MetaData")
+
+
 def with_body(reports: DataFrame, name: str = "body") -> DataFrame:
     """Parse the body of each report (``Message[MessageType]``) with the
     union body schema; missing fields give NULL. Catalyst prunes the parse

@@ -141,6 +141,13 @@ def flatten_map(df: DataFrame, value: str = "value", out: str = "flat",
         x["path"], F.coalesce(F.try_variant_get(x["v"], "$", "string"), F.to_json(x["v"])))))).drop("_flat_e")
 
 
+def flat_json(entries: Column) -> Column:
+    """Leaf entries as one flat JSON object, each leaf of its own type."""
+    return F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda x: F.concat(
+        F.lit('"'), F.regexp_replace(x["path"], r'(["\\])', r"\\$1"), F.lit('":'),
+        F.coalesce(F.to_json(x["v"]), F.lit("null")))), ","), F.lit("}"))
+
+
 def flatten_rows(df: DataFrame, keys: list[str], value: str = "value",
                  max_depth: int = MAX_DEPTH) -> DataFrame:
     """One row per leaf of a flattenable row: ``keys, path, kind, text, num``.

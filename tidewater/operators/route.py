@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .decode import TOPIC_COLUMNS, parsed, report_texts
+
 FRESH_SECONDS = 30
 
 
@@ -47,6 +49,19 @@ def fresh(df: DataFrame, now: datetime | Column | None = None,
     return df.where(F.col(col) >= now_col - F.make_dt_interval(secs=F.lit(seconds)))
 
 
+def latest_arrival(raw: DataFrame) -> Column:
+    """F-04's ``now`` in a batch: the latest arrival of the raw topic rows, a
+    scalar subquery that parses nothing."""
+    return raw.select(F.max("timestamp")).scalar()
+
+
+def fresh_listing(raw: DataFrame, now: datetime | Column | None = None,
+                  seconds: int = FRESH_SECONDS) -> DataFrame:
+    """F-04: the fresh topic rows in arrival order."""
+    now = latest_arrival(raw) if now is None else now
+    return fresh(raw, now, seconds, "timestamp").orderBy("timestamp", "offset", "partition")
+
+
 def route_topic(message_type: Column, prefix: str = "ais_") -> Column:
     """F-05: destination topic ``prefix + lower(MessageType)``."""
     return F.concat(F.lit(prefix), F.lower(message_type))
@@ -58,13 +73,14 @@ def with_route(df: DataFrame, prefix: str = "ais_", name: str = "out_topic") ->
     return df.withColumn(name, route_topic(F.col("MessageType"), prefix))
 
 
-def categorize(reports: DataFrame, batch_cols: list[str] | None = None,
-               item: Column | None = None) -> DataFrame:
-    """F-06: per batch (topic value) and type, the list of its reports and
-    their count; types with no report do not appear. A batch is one
-    envelope, so each list is bounded by the envelope size."""
-    keys = batch_cols or ["topic", "partition", "offset"]
-    it = item if item is not None else F.col("pos")
-    return (reports.groupBy(*keys, "MessageType")
-            .agg(F.count(F.lit(1)).alias("n_reports"),
-                 F.sort_array(F.collect_list(it)).alias("items")))
+def categorize(raw: DataFrame) -> DataFrame:
+    """F-06: per batch (topic value) and type, the reports of that type in
+    order (their JSON texts) and their count; types with no report do not
+    appear. Row-wise: a batch is one row, so nothing is shuffled and each
+    list is bounded by its envelope."""
+    pairs = F.arrays_zip(F.transform(parsed("value"), lambda r: r["MessageType"]).alias("t"), report_texts().alias("report"))
+    batches = raw.select(*TOPIC_COLUMNS, pairs.alias("_p")).select(
+        *TOPIC_COLUMNS, "_p", F.explode(F.array_distinct(F.transform("_p", lambda p: p["t"]))).alias("MessageType"))
+    items = F.expr("transform(filter(_p, p -> p.t <=> MessageType), p -> p.report)")
+    return batches.select(*TOPIC_COLUMNS, "MessageType", items.alias("items")) \
+        .withColumn("n_reports", F.size("items").cast("long"))

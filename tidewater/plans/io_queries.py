@@ -138,7 +138,7 @@ def s07(spark, sf):
     return sources.area_filter(std_reports(spark, sf), boxes).select(*KEY, "Lat", "Lng")
 
 
-SUBSCRIBED_MMSI = ["368207620", "367719770", "211476060", "200000046", "2000010"]
+SUBSCRIBED_MMSI = ["200000001", "200000007", "200000012", "200000046", "2000010"]
 SUBSCRIBED_TYPES = ["PositionReport"]
 
 
@@ -160,13 +160,12 @@ def s09(spark, sf):
 
 @register("k01_topic_rows", with_reports(
     f"SELECT {KEY_SQL}, 'ais_reports_enriched' AS topic, MMSI AS value_mmsi, "
-    "MessageType AS value_type, Cog AS value_cog FROM reports"))
+    "MessageType AS value_type, Cog AS value_cog, value AS whole, 'k' || \"offset\" AS key FROM reports"))
 def k01(spark, sf):
-    rep = reports(spark, sf)
-    value = sinks.report_json(rep.select("Message", "MessageType", "MetaData"))
-    rows = rep.select(*KEY, "MessageType", value.alias("value"))
+    keyed = raw(spark, sf).withColumn("key", F.concat(F.lit("k"), "offset"))
+    rows = decode.decode_whole(keyed).select("key", *KEY, "MessageType", F.col("report").alias("value"))
     return rows.select(
-        *KEY, F.lit("ais_reports_enriched").alias("topic"),
+        "key", F.col("value").alias("whole"), *KEY, F.lit("ais_reports_enriched").alias("topic"),
         F.get_json_object("value", "$.MetaData.MMSI").cast("bigint").alias("value_mmsi"),
         F.get_json_object("value", "$.MessageType").alias("value_type"),
         F.expr("get_json_object(value, concat('$.Message.', MessageType, '.Cog'))")

@@ -30,6 +30,10 @@ reports AS (
   FROM fx5 WHERE event_id % {fixture.BAD_EVERY} <> {fixture.BAD_EVERY - 1})"""
 
 
+#: A report's JSON as one of an array is written: numbers without trailing zeros.
+WRITTEN_SQL = "regexp_replace(regexp_replace(obj, '(\\.\\d*?)0+([,}])', '\\1\\2', 'g'), '\\.([,}])', '\\1', 'g')"
+
+
 def with_reports(body: str, extra_ctes: str = "") -> str:
     """``WITH`` fixture CTEs, ``raw_topic``, ``reports`` [+ extra] ``body``."""
     ctes = fixture.duckdb_raw_topic_cte() + "," + REPORTS_CTE

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import DUCKDB
-from ..operators import (binning, decode, features, route, standardize,
-                         stateful)
+from ..operators import (aggregates, binning, decode, features, flatten, route,
+                         standardize, stateful)
 from ..sinks import topics as sinks
 from ..sources import fixture
 from ..sources import topics as sources
-from .oracle import POSITION_TYPES_SQL, with_envelopes, with_reports
+from .oracle import POSITION_TYPES_SQL, WRITTEN_SQL, with_envelopes, with_reports
 from .queries import KEY, KEY_SQL, raw, register, reports, wc
 
 ALL_TOPIC = "ais_reports_enriched"
@@ -32,25 +32,25 @@ _STRIP = "regexp_replace(ShipName, '^\\s+|\\s+$', '', 'g')"
 
 
 def enrich_all(raw_rows: DataFrame) -> DataFrame:
-    """Q-01: decode -> UUID -> one topic (value = report JSON with UUID)."""
-    rep = standardize.with_uuid(decode.decode_reports(raw_rows))
-    value = sinks.report_json(rep.select("Message", "MessageType", "MetaData", "UUID"))
-    return rep.select(*KEY, "pos", "UUID", F.col("UUID").alias("key"), value.alias("value"),
+    """Q-01: decode -> UUID -> one topic. The message's key and every field
+    of a report stay; its UUID is added to the value."""
+    rep = standardize.with_uuid(decode.decode_whole(raw_rows))
+    return rep.select(*KEY, "pos", "UUID", "key", sinks.with_member(F.col("report"), "UUID", F.col("UUID")).alias("value"),
                       F.lit(ALL_TOPIC).alias("topic"))
 
 
 @register("q01_enrich_all", with_reports(
     f"SELECT {KEY_SQL}, {_UUID_SQL} AS UUID, {_UUID_SQL} AS value_uuid, MessageType AS value_type, "
-    f"'{ALL_TOPIC}' AS topic FROM (SELECT *, {_HASH} AS h FROM reports)"))
+    f"'{ALL_TOPIC}' AS topic, 'k' || \"offset\" AS key, left(value, length(value) - 1) || ',\"UUID\":\"' || {_UUID_SQL} "
+    f"|| '\"}}' AS value FROM (SELECT *, {_HASH} AS h FROM reports)"))
 def q01(spark, sf):
-    out = enrich_all(raw(spark, sf))
-    return out.select(*KEY, "UUID", F.get_json_object("value", "$.UUID").alias("value_uuid"),
+    out = enrich_all(raw(spark, sf).withColumn("key", F.concat(F.lit("k"), "offset")))
+    return out.select(*KEY, "UUID", "key", "value", F.get_json_object("value", "$.UUID").alias("value_uuid"),
                       F.get_json_object("value", "$.MessageType").alias("value_type"), "topic")
 
 
 def full_enrich(reports_df: DataFrame, scale: float = 10.0) -> DataFrame:
-    """Q-02: standardise -> bin -> features, one projection chain (the JSON
-    flatten for the sink is ``operators.flatten``)."""
+    """Q-02's rows: standardise -> bin -> features, one projection chain."""
     df = features.calculate_features(decode.with_body(reports_df), scale=scale)
     df = standardize.enrich_metadata(df)
     return binning.bin_location(df)
@@ -61,7 +61,19 @@ _Q02_COLS = ["UUID", "Timestamp", "MMSI", "ShipName", "LatReported", "LngReporte
              "SpecialManoeuvre", "MessageType"]
 
 
-def _q02_sql() -> str:
+def flat_topic(reports_df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Q-02 whole: the enriched reports flattened (P-18) for one topic, keyed
+    by UUID. Returns ``(rows, quarantine)``; the second holds the reports
+    that cannot be flattened, with a reason."""
+    rep = full_enrich(reports_df)
+    text = rep.select(*KEY, "pos", F.col("UUID").alias("key"),
+                      sinks.report_json(rep.select("Message", *_Q02_COLS)).alias("value"))
+    good, bad = flatten.split_flattenable(text)
+    return good.select(*KEY, "pos", "key", flatten.flat_json(F.col("_flat_e")).alias("value"),
+                       F.lit(ALL_TOPIC).alias("topic")), bad
+
+
+def _q02_sql(flat: bool = False) -> str:
     stages = (geo.snap_stages(DUCKDB, "LatReported", "LngReported", "Lat", "Lng")
               + geo.s2_cell_id(DUCKDB, "Lat", "Lng", binning.S2_LEVEL, "S2", "_S2_")
               + geo.hex_stages("Lat", "Lng", "hex_q", "hex_r")
@@ -82,6 +94,9 @@ def _q02_sql() -> str:
             "LngReported, Lat, Lng, S2, 'hex450:' || CAST(hex_q AS VARCHAR) || ':' || "
             "CAST(hex_r AS VARCHAR) AS hex_id, WKT, MGRS, CourseDegrees, SpeedKnots, "
             f"RateOfTurn_f AS RateOfTurn, SpecialManoeuvre, MessageType FROM {last}")
+    if flat:
+        body = (f"SELECT {KEY_SQL}, UUID AS key, '{ALL_TOPIC}' AS topic, UUID, MMSI_text AS MMSI, ShipName_text AS ShipName, "
+                f"MGRS, S2, MessageType, Lat, Cog, SpeedKnots, 'false' AS nested FROM {last}")
     return with_reports(body, std + ",\n" + chain)
 
 
@@ -90,54 +105,86 @@ def q02(spark, sf):
     return full_enrich(reports(spark, sf)).select(*_Q02_COLS)
 
 
+@register("q02b_flat_topic", _q02_sql(flat=True))
+def q02b(spark, sf):
+    rows, _ = flat_topic(reports(spark, sf))
+    fields = F.from_json("value", "UUID string, MMSI string, ShipName string, MGRS string, S2 bigint, "
+                         "MessageType string, Lat double, SpeedKnots double")
+    leaves = F.from_json("value", "map<string,string>")
+    return rows.select(*KEY, "key", "topic", fields.alias("f"), leaves.alias("m")).select(
+        *KEY, "key", "topic", "f.*",
+        F.expr("try_element_at(m, concat('Message_', f.MessageType, '_Cog'))").cast("double").alias("Cog"),
+        F.exists(F.map_values("m"), lambda v: v.startswith("{")).cast("string").alias("nested"))
+
+
 def route_by_type(raw_rows: DataFrame, prefix: str = TYPE_PREFIX) -> DataFrame:
     """Q-03: decode -> known types -> key by MMSI -> topic per type."""
-    rep = decode.known_types(decode.decode_reports(raw_rows))
+    rep = decode.known_types(decode.decode_whole(raw_rows))
     rep = route.with_route(rep, prefix, name="out_topic")
-    value = sinks.report_json(rep.select("Message", "MessageType", "MetaData"))
-    return rep.select(sinks.key_by_mmsi(F.col("MetaData.MMSI")).alias("key"), value.alias("value"),
+    return rep.select(sinks.key_by_mmsi(F.col("MetaData.MMSI")).alias("key"), F.col("report").alias("value"),
                       F.col("out_topic").alias("topic"))
 
 
 @register("q03_route_by_type", with_envelopes(
     f"SELECT '{TYPE_PREFIX}' || lower(mtype) AS topic, count(*) AS messages, "
-    "count(DISTINCT CAST(mmsi AS VARCHAR)) AS keys FROM fx5 GROUP BY ALL"))
+    f"count(DISTINCT CAST(mmsi AS VARCHAR)) AS keys, min({WRITTEN_SQL}) AS least, max({WRITTEN_SQL}) AS greatest FROM fx5 GROUP BY ALL"))
 def q03(spark, sf):
     out = route_by_type(fixture.envelope_topic(spark, sf))
     return out.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"),
-                                    F.countDistinct("key").alias("keys"))
+                                    F.countDistinct("key").alias("keys"),
+                                    F.min("value").alias("least"), F.max("value").alias("greatest"))
 
 
-def live_positions(reports_df: DataFrame, arrivals: DataFrame | None = None) -> DataFrame:
+def live_positions(reports_df: DataFrame) -> DataFrame:
     """Q-04: per vessel the current position (W-01), its label (P-19) and
-    how many of its valid reports moved it (W-02). Both sides are keyed by
-    MMSI, so the final join is 1:1. ``arrivals``: raw arrival times for the
-    segment bounds of W-02."""
-    std = standardize.enrich_metadata(reports_df)
-    cur = stateful.current_positions(std, extra=["ShipName"])
-    moves = (stateful.change_status(std).groupBy("MMSI")
-             .agg(F.count(F.lit(1)).alias("n_positions"),
-                  F.sum(F.when(F.col("status") == "moved", 1).otherwise(0)).alias("n_moved")))
-    return cur.join(moves, "MMSI").select(
-        "MMSI", "Lat", "Lng", standardize.display_label(F.col("MMSI"), F.col("ShipName")).alias("label"),
-        "n_positions", "n_moved")
-
-
-@register("q04_live_positions", with_reports(
-    "SELECT c.MMSI, c.Lat, c.Lng, c.MMSI || ': ' || coalesce(nullif(c.ShipName, ''), 'Unknown Ship') "
-    "AS label, m.n_positions, m.n_moved FROM "
-    "(SELECT CAST(MMSI AS VARCHAR) AS MMSI, latitude AS Lat, longitude AS Lng, "
-    f"{_STRIP} AS ShipName FROM (SELECT *, row_number() OVER (PARTITION BY MMSI ORDER BY "
-    "arrival_ts DESC, \"offset\" DESC, \"partition\" DESC, pos DESC) AS rk FROM reports WHERE "
-    f"{_VALID} AND MMSI IS NOT NULL) WHERE rk = 1) c JOIN "
-    "(SELECT CAST(MMSI AS VARCHAR) AS MMSI, count(*) AS n_positions, CAST(sum(CASE WHEN pl IS NOT "
-    "NULL AND (latitude <> pl OR longitude <> pg) THEN 1 ELSE 0 END) AS BIGINT) AS n_moved FROM "
-    "(SELECT *, lag(latitude) OVER w AS pl, lag(longitude) OVER w AS pg FROM reports WHERE "
-    f"{_VALID} AND MMSI IS NOT NULL WINDOW w AS (PARTITION BY MMSI ORDER BY arrival_ts, \"offset\", \"partition\", pos)) "
-    "GROUP BY ALL) m ON c.MMSI = m.MMSI"))
+    how many of its valid reports moved it (W-02), in one grouping of the
+    classified reports."""
+    moves = stateful.change_status(standardize.enrich_metadata(reports_df))
+    order = F.struct(*stateful.REPORT_ORDER)
+    last = F.max_by(F.struct("Lat", "Lng", "ShipName"), order)
+    return (moves.groupBy("MMSI")
+            .agg(last.alias("s"), F.count(F.lit(1)).alias("n_positions"),
+                 F.sum(F.when(F.col("status") == "moved", 1).otherwise(0)).alias("n_moved"))
+            .select("MMSI", "s.Lat", "s.Lng",
+                    standardize.display_label(F.col("MMSI"), F.col("s.ShipName")).alias("label"),
+                    "n_positions", "n_moved"))
+
+
+def live_feed(raw_rows: DataFrame, now=None, seconds: int = route.FRESH_SECONDS) -> DataFrame:
+    """Q-04 with F-04: the same over the messages that are fresh by their
+    arrival; the others are left out before anything is parsed."""
+    now = route.latest_arrival(raw_rows) if now is None else now
+    return live_positions(decode.decode_reports(route.fresh(raw_rows, now, seconds, "timestamp")))
+
+
+def _q04_sql(source: str) -> str:
+    return with_reports(
+        
+        "SELECT c.MMSI, c.Lat, c.Lng, c.MMSI || ': ' || coalesce(nullif(c.ShipName, ''), 'Unknown Ship') "
+        "AS label, m.n_positions, m.n_moved FROM "
+        "(SELECT CAST(MMSI AS VARCHAR) AS MMSI, latitude AS Lat, longitude AS Lng, "
+        f"{_STRIP} AS ShipName FROM (SELECT *, row_number() OVER (PARTITION BY MMSI ORDER BY "
+        f"arrival_ts DESC, \"offset\" DESC, \"partition\" DESC, pos DESC) AS rk FROM {source} WHERE "
+        f"{_VALID} AND MMSI IS NOT NULL) WHERE rk = 1) c JOIN "
+        "(SELECT CAST(MMSI AS VARCHAR) AS MMSI, count(*) AS n_positions, CAST(sum(CASE WHEN pl IS NOT "
+        "NULL AND (latitude <> pl OR longitude <> pg) THEN 1 ELSE 0 END) AS BIGINT) AS n_moved FROM "
+        f"(SELECT *, lag(latitude) OVER w AS pl, lag(longitude) OVER w AS pg FROM {source} WHERE "
+        f"{_VALID} AND MMSI IS NOT NULL WINDOW w AS (PARTITION BY MMSI ORDER BY arrival_ts, \"offset\", \"partition\", pos)) "
+        "GROUP BY ALL) m ON c.MMSI = m.MMSI")
+
+
+@register("q04_live_positions", _q04_sql("reports"))
 def q04(spark, sf):
-    arrivals = raw(spark, sf).select(F.col("timestamp").alias("arrival_ts"))
-    return live_positions(reports(spark, sf), arrivals)
+    return live_positions(reports(spark, sf))
+
+
+LIVE_SECONDS = 3600
+
+
+@register("q04b_live_feed", _q04_sql(
+    f"(SELECT * FROM reports WHERE arrival_ts >= (SELECT max(timestamp) FROM raw_topic) - INTERVAL {LIVE_SECONDS} SECOND)"))
+def q04b(spark, sf):
+    return live_feed(raw(spark, sf), seconds=LIVE_SECONDS)
 
 
 BATCH_REPORT_N = 100
@@ -162,24 +209,30 @@ def q05(spark, sf):
 
 
 def throughput_monitor(raw_rows: DataFrame, seconds: int = 60) -> DataFrame:
-    """Q-06: one aggregate per window: count, kilobytes (A-04) and the
-    per-second rates (A-08)."""
-    w = (raw_rows.groupBy(F.window("timestamp", f"{seconds} seconds").alias("w"))
-         .agg(F.count(F.lit(1)).alias("messages"), F.sum(F.octet_length("value")).alias("bytes")))
-    return w.select(F.col("w.start").alias("window_start"), "messages",
-                    F.bround(F.col("bytes") / F.lit(1024.0), 2).alias("kilobytes"),
-                    (F.col("messages") / F.lit(float(seconds))).alias("messages_per_s"),
-                    (F.col("bytes") / F.lit(float(seconds))).alias("bytes_per_s"))
+    """Q-06: per window count and kilobytes (A-04), rates per second (A-08)
+    and the running totals and last flush (A-07), from one read."""
+    stats = aggregates.interval_stats(raw_rows, seconds)
+    return stats.select("window_start", "messages",
+                        F.bround(F.col("bytes") / F.lit(1024.0), 2).alias("kilobytes"),
+                        (F.col("messages") / F.lit(float(seconds))).alias("messages_per_s"),
+                        (F.col("bytes") / F.lit(float(seconds))).alias("bytes_per_s"),
+                        "total_messages", "overall_rate", "last_flush_count", "last_flush_rate")
 
 
 @register("q06_throughput_monitor", with_reports(
-    "SELECT make_timestamp(b * 60000000) AS window_start, count(*) AS messages, "
-    "round_even(sum(strlen(value)) / 1024.0, 2) AS kilobytes, count(*) / 60.0 AS messages_per_s, "
-    "sum(strlen(value)) / 60.0 AS bytes_per_s FROM (SELECT *, epoch_us(timestamp) // 60000000 AS b "
-    "FROM raw_topic) GROUP BY b"))
+    "SELECT make_timestamp(wb * 60000000) AS window_start, messages, round_even(bytes / 1024.0, 2) AS kilobytes, "
+    "messages / 60.0 AS messages_per_s, bytes / 60.0 AS bytes_per_s, total_messages, "
+    "total_messages / (((wb + 1) * 60000000 - s0) / 1e6) AS overall_rate, last_flush_count, "
+    "CASE WHEN (wb + 1) * 60000000 > (lfb + 1) * 250000 THEN "
+    "last_flush_count / (((wb + 1) * 60000000 - (lfb + 1) * 250000) / 1e6) ELSE 0.0 END AS last_flush_rate "
+    "FROM (SELECT *, CAST(sum(messages) OVER (ORDER BY wb ROWS UNBOUNDED PRECEDING) AS BIGINT) "
+    "AS total_messages, (SELECT epoch_us(min(timestamp)) FROM raw_topic) AS s0 FROM iv)",
+    "fl AS (SELECT epoch_us(timestamp) // 250000 AS fb, count(*) AS fc, sum(strlen(value)) AS fbytes FROM raw_topic GROUP BY 1), "
+    "iv AS (SELECT (fb * 250000) // 60000000 AS wb, CAST(sum(fc) AS BIGINT) AS messages, sum(fbytes) AS bytes, "
+    "arg_max(fc, fb) AS last_flush_count, max(fb) AS lfb FROM fl GROUP BY 1)"))
 def q06(spark, sf):
-    return throughput_monitor(raw(spark, sf)).select(
-        wc("window_start"), "messages", "kilobytes", "messages_per_s", "bytes_per_s")
+    df = throughput_monitor(raw(spark, sf))
+    return df.select(wc("window_start"), *df.columns[1:])
 
 
 def reenvelope(raw_rows: DataFrame,

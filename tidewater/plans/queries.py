@@ -18,7 +18,7 @@ from ..operators import (aggregates, decode, features, route, standardize,
                          stateful)
 from ..schemas import MESSAGE_TYPES
 from ..sources import fixture
-from .oracle import POSITION_TYPES_SQL, SAR, with_envelopes, with_reports
+from .oracle import POSITION_TYPES_SQL, SAR, WRITTEN_SQL, with_envelopes, with_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -238,9 +238,9 @@ def f03(spark, sf):
 
 @register("f04_fresh", with_reports(
     f"SELECT {KEY_SQL}, arrival_ts FROM reports WHERE arrival_ts >= "
-    "(SELECT max(arrival_ts) FROM reports) - INTERVAL 30 SECOND"))
+    "(SELECT max(timestamp) FROM raw_topic) - INTERVAL 30 SECOND"))
 def f04(spark, sf):
-    return route.fresh(reports(spark, sf)).select(*KEY, wc("arrival_ts"))
+    return decode.decode_reports(route.fresh_listing(raw(spark, sf))).select(*KEY, wc("arrival_ts"))
 
 
 @register("f05_route_topic", with_reports(
@@ -252,11 +252,11 @@ def f05(spark, sf):
 @register("f06_categorize", with_envelopes(
     f'SELECT CAST((event_id // {fixture.ENVELOPE_SIZE}) % 3 AS INTEGER) AS "partition", '
     f'(event_id // {fixture.ENVELOPE_SIZE}) // 3 AS "offset", mtype AS MessageType, '
-    f"count(*) AS n_reports, min(CAST(event_id % {fixture.ENVELOPE_SIZE} AS INTEGER)) AS first_pos "
+    f"count(*) AS n_reports, string_agg({WRITTEN_SQL}, ',' ORDER BY event_id) AS reports "
     "FROM fx5 GROUP BY ALL"))
 def f06(spark, sf):
-    cats = route.categorize(decode.decode_reports(env(spark, sf)))
-    return cats.select(*KEY, "MessageType", "n_reports", F.col("items")[0].alias("first_pos"))
+    return route.categorize(env(spark, sf)).select(*KEY, "MessageType", "n_reports",
+                                                   F.array_join("items", ",").alias("reports"))
 
 
 # ------------------------------------------------------------ aggregates --
@@ -452,6 +452,46 @@ def w07(spark, sf):
     return upsert_positions(None, std_reports(spark, sf)).select("key", "latitude", "longitude")
 
 
+def _two_halves(spark, sf):
+    """Reports that arrived before and from the middle of the topic's time."""
+    rows = raw(spark, sf)
+    std = std_reports(spark, sf)
+    middle = rows.select(F.timestamp_micros(F.floor((F.unix_micros(F.min("timestamp"))
+                                                     + F.unix_micros(F.max("timestamp"))) / 2))).scalar()
+    return std.where(F.col("arrival_ts") < middle), std.where(F.col("arrival_ts") >= middle)
+
+
+def _stored(spark, sf):
+    """The state table after an upsert of each half, in reverse order too:
+    the older arrivals of a late batch change nothing."""
+    from ..session import scratch_path
+    from ..sinks import state
+    root = scratch_path(spark, "w07-state")
+    early, late = _two_halves(spark, sf)
+    for batch in (early, late, early):
+        state.write_upsert(spark, root, batch, keep=2)
+    return state.read_state(spark, root)
+
+
+_W07_SQL = (
+    "SELECT 'mmsi:' || CAST(MMSI AS VARCHAR) AS key, latitude, longitude, arrival_ts FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY MMSI ORDER BY arrival_ts DESC, \"offset\" DESC, "
+    f"\"partition\" DESC, pos DESC) AS rk FROM reports WHERE {_VALID_SQL} AND MMSI IS NOT NULL) "
+    "WHERE rk = 1")
+W07_VESSEL = "200000046"
+
+
+@register("w07b_merged_state", with_reports(_W07_SQL))
+def w07b(spark, sf):
+    return _stored(spark, sf).select("key", "latitude", "longitude", wc("arrival_ts"))
+
+
+@register("w07c_lookup", with_reports(f"{_W07_SQL} AND MMSI = {W07_VESSEL}"))
+def w07c(spark, sf):
+    from ..sinks.state import lookup
+    return lookup(_stored(spark, sf), W07_VESSEL).select("key", "latitude", "longitude", wc("arrival_ts"))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.stateful import REPORT_ORDER, current_positions
 
+KEEP_VERSIONS = 5
 STATE_COLUMNS = ["key", "latitude", "longitude", "arrival_ts"]
 
 
@@ -71,19 +72,29 @@ def read_state(spark: SparkSession, root: str, before: int | None = None) -> Dat
     return spark.read.parquet(f"{root}/v={versions[-1]}")
 
 
+def _keep_newest(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove all but the ``keep`` newest complete versions."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for version in _versions(spark, root)[:-keep]:
+        fs.delete(path(f"{root}/v={version}"), True)
+
+
 def write_upsert(spark: SparkSession, root: str, reports: DataFrame,
-                 version: int | None = None) -> str:
+                 version: int | None = None, keep: int = KEEP_VERSIONS) -> str:
     """Merge a batch into the state at ``root`` and publish a new version.
 
     With ``version`` (a stream's batch id) the merge reads the newest version
     below it and overwrites ``v=<version>``: a retried batch rewrites the
-    same version from the same input, so the state stays exact."""
+    same version from the same input, so the state stays exact. The ``keep``
+    (2 or more) newest versions stay, for retries and readers."""
     versions = _versions(spark, root)
     if version is None:
         version = (versions[-1] + 1) if versions else 0
     merged = upsert_positions(read_state(spark, root, before=version), reports)
     out = f"{root}/v={version}"
     merged.write.mode("overwrite").parquet(out)
+    _keep_newest(spark, root, keep)
     return out
 
 

@@ -69,6 +69,15 @@ def report_json(df: DataFrame, exclude: tuple[str, ...] = ()) -> Column:
                  rest.substr(F.lit(2), F.length(rest))))
 
 
+def with_member(report: Column, name: str, value: Column) -> Column:
+    """A report's JSON text with one more member of text at its end; the
+    rest of the text stays as it came."""
+    text = F.rtrim(F.coalesce(report, F.lit("{}")))
+    open_ = F.rtrim(text.substr(F.lit(1), F.length(text) - 1))
+    return F.concat(open_, F.when(open_.endswith("{"), F.lit("")).otherwise(F.lit(",")),
+                    F.lit(f'"{name}":"'), value, F.lit('"}'))
+
+
 def to_topic_rows(df: DataFrame, key: Column | None, topic: Column | str,
                   value: Column | None = None) -> DataFrame:
     """K-01: Kafka-shaped ``key, value, topic`` rows."""

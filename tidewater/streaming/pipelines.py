@@ -30,9 +30,13 @@ def checkpoint_for(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/streams/{name}"
 
 
-def _start(df: DataFrame, name: str, *, mode: str = "append", sink: str = "memory",
+def _start(df: DataFrame, name: str, *, sink: str | None = None, mode: str = "append",
            path: str | None = None, trigger: dict | None = None,
            checkpoint: str | None = None) -> StreamingQuery:
+    """``sink`` is asked for: ``memory`` holds all output in the driver and
+    is for tests, as is ``console``; any other is a format written to ``path``."""
+    if sink is None:
+        raise ValueError(f"name the sink of {name}")
     spark = df.sparkSession
     w = (df.writeStream.queryName(name).outputMode(mode)
          .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
@@ -52,11 +56,10 @@ def enrich_all_stream(raw: DataFrame, **kw) -> StreamingQuery:
 
 
 def full_enrich_stream(raw: DataFrame, **kw) -> StreamingQuery:
-    """Q-02 as a stream: standardise, bin, features; rows keyed by UUID."""
-    rep = batch.full_enrich(decode.decode_reports(raw))
-    rows = sinks.to_topic_rows(rep.drop("body", "LatReported", "LngReported"),
-                               F.col("UUID"), batch.ALL_TOPIC)
-    return _stream_rows(rows, "q02_full_enrich", **kw)
+    """Q-02 as a stream: standardise, bin, features, flatten; rows
+    keyed by UUID."""
+    rows, _ = batch.flat_topic(decode.decode_reports(raw))
+    return _stream_rows(rows.select("key", "value", "topic"), "q02_full_enrich", **kw)
 
 
 def route_stream(raw: DataFrame, **kw) -> StreamingQuery:
@@ -65,7 +68,7 @@ def route_stream(raw: DataFrame, **kw) -> StreamingQuery:
 
 
 def _stream_rows(rows: DataFrame, name: str, *, bootstrap: str | None = None,
-                 path: str | None = None, sink: str = "memory", trigger: dict | None = None,
+                 path: str | None = None, sink: str | None = None, trigger: dict | None = None,
                  checkpoint: str | None = None, profile: dict | None = None) -> StreamingQuery:
     spark = rows.sparkSession
     ckpt = checkpoint or checkpoint_for(spark, name)
@@ -119,6 +122,13 @@ def change_status_stream(raw: DataFrame, state_root: str, out_path: str,
     std = standardize.enrich_metadata(decode.decode_reports(raw))
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()   # read several times below
+        try:
+            classify(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
+
+    def classify(batch_df: DataFrame, batch_id: int) -> None:
         s = batch_df.sparkSession
         prev = state_sink.read_state(s, state_root, before=batch_id)
         statuses = stateful.change_status(batch_df)
@@ -199,7 +209,13 @@ def keyed_collect_stream(raw: DataFrame, item, state_root: str, out_path: str,
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         s = batch_df.sparkSession
-        msgs = batch_df.select(*order, item.alias("_item"))
+        msgs = batch_df.select(*order, item.alias("_item")).persist()   # read several times below
+        try:
+            collect(s, msgs, batch_id)
+        finally:
+            msgs.unpersist()
+
+    def collect(s: SparkSession, msgs: DataFrame, batch_id: int) -> None:
         carry = state_sink.read_version(s, state_root, before=batch_id)
         session0, chunk0 = 1, 0          # numbering of the first local session
         if carry is not None:
@@ -261,6 +277,7 @@ def cumulative_rate_stream(raw: DataFrame, state_root: str, out_path: str,
     def process(batch_df: DataFrame, batch_id: int) -> None:
         s = batch_df.sparkSession
         carry = state_sink.read_version(s, state_root, before=batch_id)
+        batch_df = batch_df.select("timestamp", "offset", "partition")
         stats = batch_df.agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("t0")).first()
         count, first = 0, stats["t0"]
         if carry is not None:
