@@ -57,9 +57,11 @@ def enrich_all_stream(raw: DataFrame, **kw) -> StreamingQuery:
 
 def full_enrich_stream(raw: DataFrame, **kw) -> StreamingQuery:
     """Q-02 as a stream: standardise, bin, features, flatten; rows
-    keyed by UUID."""
-    rows, _ = batch.flat_topic(decode.decode_reports(raw))
-    return _stream_rows(rows.select("key", "value", "topic"), "q02_full_enrich", **kw)
+    keyed by UUID. Reports that cannot be flattened go, as they are, to a
+    topic of the same name ending in ``_rejected``."""
+    rows, bad = batch.flat_topic(decode.decode_reports(raw))
+    rejected = bad.select("key", "value", F.lit(batch.ALL_TOPIC + "_rejected").alias("topic"))
+    return _stream_rows(rows.select("key", "value", "topic").unionByName(rejected), "q02_full_enrich", **kw)
 
 
 def route_stream(raw: DataFrame, **kw) -> StreamingQuery:
