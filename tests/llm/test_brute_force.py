@@ -215,6 +215,44 @@ def test_pii_own_kinds_and_redaction():
     assert redacted("clean", []) == "clean"
 
 
+IBAN_NUMBER = "GB82 WEST 1234 5698 7654 32"
+GAP = r"(?:[\W_]|(?<![^\W_])(?:numbers?|num|no|nr|is|code)(?![^\W_]))*"
+
+
+@pytest.mark.parametrize("text, number", [
+    ("Social Security Number: 078-05-1120", "078-05-1120"), ("SSN Number 078-05-1120", "078-05-1120"),
+    ("Social Security Number (SSN): 078-05-1120", "078-05-1120"), ("SSN 078-05-1120 2 Main St", "078-05-1120"),
+    ("SOCIAL Security no. is 078 05 1120.", "078-05-1120"), (f"IBAN Number: {IBAN_NUMBER}", IBAN_NUMBER),
+    (f"IBAN no. {IBAN_NUMBER}", IBAN_NUMBER), (f"IBAN (code) ------------------ {IBAN_NUMBER}", IBAN_NUMBER),
+    ("SSN 078-05-11203", None), ("SSN nobody 078-05-1120", None), ("IBAN NO93 8601 1117 947", "NO93 8601 1117 947")])
+def test_pii_account_wordings(text, number):
+    from tidewater.llm.pii import _anchors, redacted, spans
+    hits = spans(text, _anchors())
+    found = [text[s:e].replace(" ", "-") for k, s, e in hits if k == "account"]
+    assert found == ([number.replace(" ", "-")] if number else [])
+    if number:
+        assert "1120" not in redacted(text, hits) and "5698" not in redacted(text, hits)
+
+
+def test_pii_accounts_against_a_pattern():
+    from tidewater.llm.pii import _anchors, spans
+    a, rng = _anchors(), np.random.default_rng(3)
+    ssn = re.compile(r"(?i:ssn|social security)(?i:" + GAP + r")([0-9]{3}[ -][0-9]{2}[ -][0-9]{4})(?![0-9])")
+    iban = re.compile(r"(?i:iban)(?i:" + GAP + r")(" + IBAN_NUMBER + ")(?![A-Za-z0-9]| [A-Za-z0-9])")
+    parts = ["SSN", "ssn", "Social Security", "social SECURITY", "IBAN", "Iban", " Number", " NO", " nr", " Is", " code", " nobody",
+             ":", "#", ".", "(", ")", " ", "  ", "\n", "\t", "_", " 078-05-1120", " 078 05 1120", "078-05-1120", " 2", "3", " é",
+             f" {IBAN_NUMBER}", ";"]
+    seen = 0
+    for _ in range(20000):
+        text = " " + "".join(rng.choice(parts, rng.integers(1, 9)))
+        want = sorted({m.span(1) for p in (ssn, iban) for m in p.finditer(text)})
+        got = [(s, e) for k, s, e in spans(text, a) if k == "account"]
+        got_plain = [g for g in got if text[slice(*g)] != IBAN_NUMBER or g in want]   # an IBAN may also end before further words
+        assert got_plain == want, text
+        seen += len(want)
+    assert seen > 1000
+
+
 # BPE
 
 def test_bpe_is_the_library(spark):

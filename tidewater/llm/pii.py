@@ -10,11 +10,14 @@ Base kinds are email, ip, card and phone. The method adds ``url`` (an
 address with a scheme whose authority names a user, as in
 ``ftp://ann:pw@host``) and ``account`` (after a cue such as IBAN: a bank
 account number whose check digits hold; after an SSN cue: a grouped social
-security number).
+security number). Between a cue and its identifier may stand words such as
+"number", "no" or "is", punctuation and white space.
 """
 
 from __future__ import annotations
 
+from itertools import product
+
 import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +35,9 @@ _PHONE = _DIGITS | frozenset(" ().-")
 _NOT_URL = frozenset(" \t\n\r\x0b\x0c<>\"'`|\\^{}")
 _SCHEMES = ("http://", "https://", "ftp://", "sftp://", "ssh://", "mailto:")
 _CUES = ("iban", "ssn", "social security")
-#: Characters between a cue and its identifier.
-_CUE_GAP = frozenset(" :#=.-\t") | frozenset("numberis")
-_CUE_REACH = 16
+#: Words that may stand between a cue and its identifier, in any case, as may
+#: all that is neither letter nor digit.
+_GAP_WORDS = frozenset(("number", "numbers", "num", "no", "nr", "is", "code", "s"))
 
 
 def _anchors() -> ahocorasick.Automaton:
@@ -47,8 +50,8 @@ def _anchors() -> ahocorasick.Automaton:
         for form in (s, s.upper(), s.capitalize()):
             a.add_word(form, ("url", len(s)))
     for c in _CUES:
-        for form in (c, c.upper(), c.capitalize(), c.title()):
-            a.add_word(form, ("account", len(c)))
+        for words in product(*[(w, w.upper(), w.capitalize()) for w in c.split(" ")]):
+            a.add_word(" ".join(words), ("account", len(c)))
     a.make_automaton()
     return a
 
@@ -128,10 +131,21 @@ def _url(text: str, start: int, host: int) -> tuple[tuple[int, int] | None, int]
     return ((start, end) if sign and user and name else None), reach
 
 
+def _after_gap(text: str, at: int) -> int:
+    """Past gap words and whatever is neither letter nor digit."""
+    n, longest = len(text), max(map(len, _GAP_WORDS))
+    while at < n:
+        end = at
+        while end < n and end <= at + longest and text[end].isalnum():
+            end += 1
+        if end > at and text[at:end].lower() not in _GAP_WORDS:
+            break
+        at = max(end, at + 1)
+    return at
+
+
 def _account(text: str, cue_end: int, cue: str) -> tuple[int, int] | None:
-    at = cue_end
-    while at < len(text) and at < cue_end + _CUE_REACH and text[at] in _CUE_GAP:
-        at += 1
+    at = _after_gap(text, cue_end)
     if cue == "iban":
         taken, end = [], at
         while end < len(text) and len(taken) < 34:
@@ -147,9 +161,9 @@ def _account(text: str, cue_end: int, cue: str) -> tuple[int, int] | None:
                 return taken[0], taken[k - 1] + 1
         return None
     if at < len(text) and text[at] in _DIGITS:
-        groups, end = _digit_groups(text, at, " -")
-        if [e - s for s, e in groups[:3]] == [3, 2, 4] and len(groups) == 3:
-            return at, end
+        groups = _digit_groups(text, at, " -")[0][:3]   # more digits may follow: a house number
+        if [e - s for s, e in groups] == [3, 2, 4]:
+            return at, groups[2][1]
     return None
 
 
