@@ -363,6 +363,43 @@ def test_language_id(spark):
         assert (r["lang_pred"] == "und") == (not letters)
 
 
+def test_language_windows_label_every_byte_once():
+    from tidewater.llm import langid
+    sizes = np.array([0, 1, langid.OWN, langid.OWN + 1, 0, 7 * langid.OWN - 3, 50_000])
+    w = langid.windows(sizes)
+    for k, n in enumerate(sizes):
+        mine = w.text == k
+        at = [i for s, a, b in zip(w.start[mine], w.first[mine], w.last[mine], strict=True) for i in range(s + a, s + b)]
+        assert at == list(range(n))
+        assert all(a >= min(langid.CONTEXT, s + a) for s, a in zip(w.start[mine], w.first[mine], strict=True))
+    rng = np.random.default_rng(5)
+    net = langid.Network(*[rng.standard_normal(s).astype(np.float32) for s in ((2, 256, 12), (2, 4, 12), (8, 3), (3,))])
+    label = langid.Labeller(net, ["a", "b", "c"])
+    texts = ["हिन्दी १२३, 42!", "e\u0301le\u0300ve", "x" * 3000, "İ\ud800", "漢字" * 500]
+    pooled = label.pooled(texts)
+    assert np.allclose(pooled.sum(axis=1), [len(langid.coded(t)) for t in texts], rtol=1e-4)
+    short = np.frombuffer(langid.coded(texts[0]), dtype=np.uint8)[None]
+    fill = np.concatenate([short, np.full((1, -len(short[0]) % langid.STEP), langid.PAD, np.uint8)], axis=1)
+    whole = langid.position_probabilities(net, fill)[0][:short.shape[1], 0].sum(axis=0)
+    assert np.allclose(pooled[0], whole, rtol=1e-4)
+    assert label([None, "", "12 ?!", "\u0301"]) == (["und"] * 4, [0.0] * 4)
+
+
+def test_languages_told_apart_by_marks(spark):
+    """Texts of equal letters, whose languages differ in combining marks (NFD accents, Indic vowel signs)."""
+    from tidewater.llm.langid import held_out, identify_languages
+    rng = np.random.default_rng(6)
+    words = {"acute": ["e\u0301le", "me\u0301re", "te\u0301"], "grave": ["e\u0300le", "me\u0300re", "te\u0300"],
+             "i": ["हि", "नि", "दि", "कि"], "u": ["हु", "नु", "दु", "कु"]}
+    data = [(i, " ".join(rng.choice(words[k], rng.integers(20, 90))), k) for i, k in enumerate(list(words) * 60)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in rows(identify_languages(df))}
+    held = [r["doc_id"] for r in rows(df.filter(held_out(df["doc_id"])))]
+    for k in words:
+        mine = [d for d in held if data[d][2] == k]
+        assert len(mine) > 8 and np.mean([got[d] == k for d in mine]) > 0.9, k
+
+
 def test_gru_gradients_by_difference():
     from tidewater.llm.langid import Network, gradients
     rng = np.random.default_rng(2)

@@ -53,7 +53,7 @@ def spread(df: DataFrame, *keys: str, rows_per_task: int | None = None) -> DataF
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
           "boolean": pa.bool_(), "binary": pa.binary(), "float": pa.float32(),
           "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
-          "array<string>": pa.list_(pa.string())}
+          "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary())}
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
