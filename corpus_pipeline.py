@@ -30,13 +30,10 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each group the document of the smallest doc_id
-    stays; of rows that repeat a doc_id, one. Rows without a doc_id cannot be
-    told apart and stay."""
-    docs = _documents(docs)
-    kept = simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    """SimHash near-dedup: of each group of near copies one row stays, that
+    of the smallest doc_id; a row without a doc_id stays only if none of its
+    group has one. Rows of one doc_id and unlike texts are different rows."""
+    return simhash.one_of_each(_documents(docs), list(COLUMNS))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

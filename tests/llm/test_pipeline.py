@@ -62,6 +62,30 @@ def test_stages(spark):
     assert all(len(r["ids"]) == r["n_tokens"] for r in now)
 
 
+def test_near_dedup_keeps_rows_not_ids(spark):
+    text = {c: " ".join(f"{c}{i * i % 97}" for i in range(60)) for c in "abcdef"}
+    given = [(7, text["a"]), (7, text["b"]), (3, text["b"]),      # one id, unlike texts; one of them a copy of a smaller id
+             (None, text["c"]), (None, text["c"]), (None, text["d"]), (None, text["b"]),
+             (9, text["e"]), (9, text["e"]), (8, text["f"]), (8, None), (None, "")]
+    docs = spark.createDataFrame([(d, t, "en", s, 1) for s in ("s", None) for d, t in given],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"], r["text"]) for r in rows(cp.keep_one_of_each(spark, docs, SF))), key=str)
+    assert got == sorted([(7, text["a"]), (3, text["b"]), (None, text["c"]), (None, text["d"]), (9, text["e"]),
+                          (8, text["f"]), (8, None)], key=str)
+
+
+def test_near_copies_without_ids_link(spark, monkeypatch):
+    """Unnamed rows near one another, and near a named one, are one class."""
+    from tidewater.llm import simhash
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, shingle: docs.select("doc_id", "text").selectExpr(
+        "doc_id", "cast(text as bigint) AS fp"))
+    docs = spark.createDataFrame([(None, "1"), (None, "3"), (4, "15"), (None, "1023"), (None, "1022"), (5, "255000000")],
+                                 "doc_id long, text string")
+    got = sorted((r["fingerprint"][-3:], r["component_id"]) for r in rows(simhash.near_duplicates(docs, max_bits=2)))
+    assert [c for f, c in got if f in ("001", "003", "00f")] == [4, 4, 4]
+    assert [c for f, c in got if f in ("3ff", "3fe")] == [None, None]
+
+
 def test_empty_tables(spark):
     from tidewater.llm import bpe, chat, langid, license, mixing, pii, queries, rp_forest, simhash
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)

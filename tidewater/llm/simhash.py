@@ -139,6 +139,19 @@ def links(prints: DataFrame, max_bits: int = 3, group_bytes: int = 3) -> DataFra
     return by_group(tiled(rows, "posting", "fp"), "posting", compare, "a bigint, b bigint")
 
 
+def _classes(prints: DataFrame, max_bits: int, group_bytes: int) -> DataFrame:
+    """(_fp, part, component_id) of every fingerprint: part names its class,
+    component_id is the smallest doc_id of it, null where it has none."""
+    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    # one doc_id may stand in rows of unlike texts, and a row may have none;
+    # so the graph's nodes are fingerprints and doc_ids join them after
+    joined = components(links(nodes.select("fp", F.col("fp").alias("node")), max_bits, group_bytes))
+    classes = cut(nodes.join(joined, nodes["fp"] == joined["node"], "left")
+                  .select(nodes["fp"], "least", F.coalesce("component", nodes["fp"]).alias("part")))
+    least = cut(classes.groupBy("part").agg(F.min("least").alias("component_id")))
+    return cut(classes.join(least, "part").select(F.col("fp").alias("_fp"), "part", "component_id"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, group_bytes: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of documents:
     the fingerprint as 16 lowercase hex digits, the smallest doc_id reachable
@@ -146,21 +159,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, group_
 
     Null, empty and blank texts have fingerprint zero and link like any
     other. Equal fingerprints are one node, so copies are never expanded into
-    pairs. Repeated rows each give a row. A null doc_id is a row with its
-    fingerprint; where it is the only doc_id of its class the component is
-    null. An empty table gives an empty result; other columns are ignored.
+    pairs. Repeated rows each give a row. A row with a null doc_id links like
+    any other; where its class has no doc_id the component is null. An empty
+    table gives an empty result; other columns are ignored.
     """
     prints = cut(fingerprints(docs, shingle))
-    # a class of fingerprints without any doc_id links nothing anyone could name
-    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    # one doc_id may stand in rows of unlike texts; nodes must not be confused
-    # then, so the graph's nodes are fingerprints and doc_ids join them after
-    joined = components(links(nodes.filter("node IS NOT NULL").select("fp", F.col("fp").alias("node")),
-                              max_bits, group_bytes))
-    classes = nodes.join(joined, nodes["fp"] == joined["node"], "left") \
-        .select(nodes["fp"], nodes["node"].alias("least"), F.coalesce("component", nodes["fp"]).alias("part"))
-    classes = cut(classes)
-    least = cut(classes.groupBy("part").agg(F.min("least").alias("component_id")))
-    classes = cut(classes.join(least, "part").select(F.col("fp").alias("_fp"), "component_id"))
-    return prints.join(classes, F.col("fp") == F.col("_fp")).select(
+    return prints.join(_classes(prints, max_bits, group_bytes), F.col("fp") == F.col("_fp")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, columns: list[str], shingle: int = 3, max_bits: int = 3,
+                group_bytes: int = 3) -> DataFrame:
+    """One row of each class, in the given columns (doc_id and text among
+    them): the smallest by doc_id, nulls last, then by a hash of the row.
+    Rows are known by two hashes of all their columns, so neither rows that
+    share a doc_id nor rows without one are confused."""
+    flagged = [x for c in columns for x in (F.col(c), F.col(c).isNull())]   # hashes skip nulls
+    rows = docs.select(*columns, F.xxhash64(*flagged).alias("_h1"), F.xxhash64(F.lit(1), *flagged).alias("_h2"))
+
+    def make():
+        return lambda ids, texts, h1, h2: [
+            ids, np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64), h1, h2]
+
+    prints = cut(map_lists(rows.select("doc_id", "text", "_h1", "_h2"), make,
+                           "doc_id bigint, fp bigint, _h1 bigint, _h2 bigint"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_h1", "_h2")
+    # least by fingerprint, then by class: both are partial aggregates
+    least = prints.groupBy("fp").agg(F.min(place).alias("row"))
+    kept = least.join(_classes(prints, max_bits, group_bytes), F.col("fp") == F.col("_fp")) \
+        .groupBy("part").agg(F.min("row").alias("row")).select("row._h1", "row._h2")
+    return rows.dropDuplicates(["_h1", "_h2"]).join(kept, ["_h1", "_h2"], "left_semi").select(*columns)
