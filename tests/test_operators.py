@@ -140,3 +140,18 @@ def test_envelope_sizes_and_known_types(spark):
     rep = decode.decode_reports(env)
     assert decode.known_types(rep, ["PositionReport"]).count() == \
         rep.where(F.col("MessageType") == "PositionReport").count()
+
+
+def test_timed_collect_lists_items_in_arrival_order(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tidewater.operators import stateful
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(t0 + dt.timedelta(seconds=s), i, 0, f"m{i}") for i, s in enumerate([1] * 250 + [9, 10, 10, 35])]
+    df = spark.createDataFrame(data, "timestamp timestamp, offset long, partition int, value string")
+    got = {(r["window_start"].second, r["chunk"]): r["items"] for r in stateful.timed_collect(df, F.col("value")).collect()}
+    names = [d[3] for d in data]
+    assert got == {(0, 0): names[:120], (0, 1): names[120:240], (0, 2): names[240:251], (10, 0): names[251:253],
+                   (30, 0): names[253:]}

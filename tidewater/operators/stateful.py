@@ -129,11 +129,19 @@ def _sessions(rows: DataFrame, timeout_seconds: int) -> DataFrame:
 
 
 def timed_collect(messages: DataFrame, item: Column, seconds: int = COLLECT_TIMEOUT_SECONDS,
-                  ts: str = "timestamp") -> DataFrame:
-    """W-04, time mode: lists per clock-aligned ``seconds`` window."""
-    return (messages.groupBy(F.lit("ALL").alias("key"), F.window(ts, f"{seconds} seconds").alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_items"), F.sum(item).alias("sum_items"))
-            .select("key", F.col("w.start").alias("window_start"), "n_items", "sum_items"))
+                  ts: str = "timestamp", max_items: int = COLLECT_MAX_ITEMS,
+                  order: list[str] | None = None) -> DataFrame:
+    """W-04, time mode: the items of each clock-aligned ``seconds`` window in
+    arrival order, in lists of at most ``max_items``."""
+    order = order or MESSAGE_ORDER
+    win = messages.select(*order, F.window(ts, f"{seconds} seconds").start.alias("window_start"), item.alias("_item"))
+    ranked = ordering.row_number(win, ["window_start"], order, out="_rn")
+    chunked = ranked.withColumn("chunk", F.floor((F.col("_rn") - 1) / max_items).cast("long"))
+    return (chunked.groupBy(F.lit("ALL").alias("key"), "window_start", "chunk")
+            .agg(F.count(F.lit(1)).alias("n_items"),
+                 F.sort_array(F.collect_list(F.struct("_rn", "_item"))).alias("_items"))
+            .withColumn("items", F.transform("_items", lambda x: x["_item"]))
+            .drop("_items"))
 
 
 def flush_batches(messages: DataFrame, interval: str = FLUSH_INTERVAL,

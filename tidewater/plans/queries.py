@@ -405,8 +405,22 @@ def w05(spark, sf):
     "FROM env_topic GROUP BY ALL"))
 def w04b(spark, sf):
     e = env(spark, sf)
-    df = stateful.timed_collect(e, F.size(decode.parsed("value")))
-    return df.select("key", wc("window_start"), "n_items", F.col("sum_items").cast("long").alias("sum_items"))
+    df = stateful.timed_collect(e, F.size(decode.parsed("value"))).groupBy("key", "window_start").agg(
+        F.sum("n_items").alias("n_items"),
+        F.sum(F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + x)).alias("sum_items"))
+    return df.select("key", wc("window_start"), "n_items", "sum_items")
+
+
+@register("w04c_timed_lists", with_envelopes(
+    "SELECT 'ALL' AS key, make_timestamp(w * 10000000) AS window_start, (rn - 1) // 120 AS chunk, "
+    "count(*) AS n_items, string_agg(item, '|' ORDER BY rn) AS items FROM r GROUP BY ALL",
+    "m AS (SELECT *, epoch_us(timestamp) // 10000000 AS w, \"partition\" || ':' || \"offset\" || ':' || "
+    "json_array_length(value) AS item FROM env_topic), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY timestamp, \"offset\", \"partition\") AS rn FROM m)"))
+def w04c(spark, sf):
+    item = F.concat_ws(":", "partition", "offset", F.size(decode.parsed("value")))
+    df = stateful.timed_collect(env(spark, sf), item)
+    return df.select("key", wc("window_start"), "chunk", "n_items", F.array_join("items", "|").alias("items"))
 
 
 W06_MAX_BYTES = 4000
