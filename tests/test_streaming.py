@@ -112,6 +112,20 @@ def test_full_enrich_stream(spark, topic_dir, scratch):
     assert got.where(F.get_json_object("value", "$.MGRS").isNotNull()).count() > 0
 
 
+def test_undecoded_values_reach_the_rejected_topic(spark, topic_dir, scratch):
+    mistyped = _batch(spark, topic_dir).limit(1).withColumns({
+        "value": F.lit('{"MessageType": "PositionReport", "MetaData": {"MMSI": [1]}}'), "offset": F.lit(-5).cast("long")})
+    mistyped = mistyped.selectExpr([f"cast({f.name} as {f.dataType.simpleString()}) {f.name}" for f in _batch(spark, topic_dir).schema])
+    whole = _batch(spark, topic_dir).unionByName(mistyped)
+    whole.write.parquet(f"{scratch}/raw")
+    streams.undecoded_stream(_stream(spark, f"{scratch}/raw"), sink="memory", trigger=NOW, checkpoint=f"{scratch}/ck").awaitTermination()
+    bad = decode.split_quarantine(whole)[1]
+    got = spark.table("q02_undecoded")
+    assert _rows(got, ["value"]) == _rows(bad, ["value"]) and got.count() == bad.count() > 1
+    assert got.where("key LIKE '%|-5'").count() == 1
+    assert [r["topic"] for r in got.select("topic").distinct().collect()] == [batch.ALL_TOPIC + "_rejected"]
+
+
 def test_a_sink_is_asked_for(spark, topic_dir, scratch):
     with pytest.raises(ValueError, match="sink"):
         streams.throughput_stream(_stream(spark, topic_dir), trigger=NOW, checkpoint=f"{scratch}/ck")
