@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, chat, langid, license, mixing, pii, quality, rp_forest, simhash, topk
+from tidewater.llm import bpe, chat, fim, langid, license, mixing, pii, quality, rp_forest, simhash, topk
 from tidewater.llm.common import table
 
 #: The vocabulary of op5 among the public tokenizers' files.
@@ -66,6 +66,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), graded)
 
 
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(fim.fill_in_middle(table(spark, sf_dir, "documents"), seed=1, plain_percent=10, spm_percent=20))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,8 +78,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_simhash, op3_pii, op4_chat, op5_bpe, op6_topk, op7_mixing, op8_embedding_dedup,
-    op9_langid, op10_quality, pipeline)}
+    op9_langid, op10_quality, op13_fim, pipeline)}
 
 #: Language models, fingerprints, spans and token ids are beyond SQL; those
 #: queries are tested against brute force.
-ORACLE = {"op4_chat": chat.ORACLE_SQL, "op6_topk": topk.ORACLE_SQL, "op7_mixing": mixing.ORACLE_SQL}
+ORACLE = {"op4_chat": chat.ORACLE_SQL, "op6_topk": topk.ORACLE_SQL, "op7_mixing": mixing.ORACLE_SQL,
+          "op13_fim": fim.ORACLE_SQL}
