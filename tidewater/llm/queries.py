@@ -6,17 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, chat, fim, langid, license, mixing, pii, quality, rp_forest, simhash, topk
+from tidewater.llm import align, bpe, chat, fim, langid, license, mixing, pii, quality, rp_forest, simhash, topk
 from tidewater.llm.common import table
 
 #: The vocabulary of op5 among the public tokenizers' files.
 VOCABULARY = "word_bpe_49k.json"
+#: The two tokenizers of op12.
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +68,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), graded)
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_tokenizers(table(spark, sf_dir, "documents"), *map(vocabulary_path, ALIGNED))
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digest(fim.fill_in_middle(table(spark, sf_dir, "documents"), seed=1, plain_percent=10, spm_percent=20))
 
@@ -78,7 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_simhash, op3_pii, op4_chat, op5_bpe, op6_topk, op7_mixing, op8_embedding_dedup,
-    op9_langid, op10_quality, op13_fim, pipeline)}
+    op9_langid, op10_quality, op12_align, op13_fim, pipeline)}
 
 #: Language models, fingerprints, spans and token ids are beyond SQL; those
 #: queries are tested against brute force.
