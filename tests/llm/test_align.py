@@ -51,11 +51,17 @@ def brute(paths, texts):
             parts = ([bytes(letters[c] for c in a.id_to_token(i)) for i in ids[0]], [piece(i) for i in ids[1]])
             if b"".join(parts[0]) == b"".join(parts[1]) == (" " + text).encode():
                 ends = [np.cumsum([len(x) for x in p]).tolist() for p in parts]
-                stops = sorted(set(ends[0]) & set(ends[1]))
-                low = 0
-                for stop in stops:
-                    groups.append(tuple([i for i, e in zip(ids[k], ends[k], strict=True) if low < e <= stop] for k in (0, 1)))
-                    low = stop
+                both = set(ends[0]) & set(ends[1])
+                for k in (0, 1):
+                    at_group, group = 0, []
+                    for i, e in zip(ids[k], ends[k], strict=True):
+                        group.append(i)
+                        if e in both:
+                            if k == 0:
+                                groups.append((group, []))
+                            else:
+                                groups[at_group][1].extend(group)
+                            at_group, group = at_group + 1, []
         for x, y in groups:
             for i in set(x):
                 for j in set(y):

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import align, bpe, chat, fim, langid, license, mixing, pii, quality, rp_forest, simhash, topk
+from tidewater.llm import align, bpe, chat, fim, langid, license, line_dedup, mixing, pii, quality, rp_forest, simhash, topk
 from tidewater.llm.common import table
 
 #: The vocabulary of op5 among the public tokenizers' files.
@@ -68,6 +68,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), graded)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.drop_repeated_lines(
+        table(spark, sf_dir, "documents"), least_chars=20, least_docs=3))
+
+
 def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_tokenizers(table(spark, sf_dir, "documents"), *map(vocabulary_path, ALIGNED))
 
@@ -84,9 +89,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_simhash, op3_pii, op4_chat, op5_bpe, op6_topk, op7_mixing, op8_embedding_dedup,
-    op9_langid, op10_quality, op12_align, op13_fim, pipeline)}
+    op9_langid, op10_quality, op11_line_dedup, op12_align, op13_fim, pipeline)}
 
 #: Language models, fingerprints, spans and token ids are beyond SQL; those
 #: queries are tested against brute force.
 ORACLE = {"op4_chat": chat.ORACLE_SQL, "op6_topk": topk.ORACLE_SQL, "op7_mixing": mixing.ORACLE_SQL,
-          "op13_fim": fim.ORACLE_SQL}
+          "op11_line_dedup": line_dedup.ORACLE_SQL, "op13_fim": fim.ORACLE_SQL}
