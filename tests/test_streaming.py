@@ -103,27 +103,29 @@ def test_change_status_stream(spark, topic_dir, scratch):
 
 
 def test_full_enrich_stream(spark, topic_dir, scratch):
-    q = streams.full_enrich_stream(_stream(spark, topic_dir), sink="memory", trigger=NOW,
-                                   checkpoint=f"{scratch}/ck")
-    q.awaitTermination()
+    body = '"MessageType": "PositionReport", "MetaData": {"MMSI": 1}}'
+    odd = [(-5, '{"MessageType": "PositionReport", "MetaData": {"MMSI": [1]}}'), (-6, '{"Message": {"PositionReport": {"Cog": "abc"}}, ' + body),
+           (-7, '{"Message": {"PositionReport": {"a_b": 1, "a": {"b": 2}}}, ' + body), (-8, None), (-9, "3"), (-10, "[]")]
+    shape = _batch(spark, topic_dir)
+    first = shape.limit(1).drop("value", "offset")
+    odd = first.crossJoin(spark.createDataFrame(odd, "offset long, value string")).select(*shape.columns)
+    whole = shape.unionByName(odd)
+    whole.selectExpr([f"cast({f.name} as {f.dataType.simpleString()}) {f.name}" for f in shape.schema]).write.parquet(f"{scratch}/raw")
+    streams.full_enrich_stream(_stream(spark, f"{scratch}/raw"), sink="memory", trigger=NOW, checkpoint=f"{scratch}/ck").awaitTermination()
     got = spark.table("q02_full_enrich")
-    ref, _ = batch.flat_topic(decode.decode_reports(_batch(spark, topic_dir)))
-    assert _rows(got, ["key", "value", "topic"]) == _rows(ref, ["key", "value", "topic"])
-    assert got.where(F.get_json_object("value", "$.MGRS").isNotNull()).count() > 0
-
-
-def test_undecoded_values_reach_the_rejected_topic(spark, topic_dir, scratch):
-    mistyped = _batch(spark, topic_dir).limit(1).withColumns({
-        "value": F.lit('{"MessageType": "PositionReport", "MetaData": {"MMSI": [1]}}'), "offset": F.lit(-5).cast("long")})
-    mistyped = mistyped.selectExpr([f"cast({f.name} as {f.dataType.simpleString()}) {f.name}" for f in _batch(spark, topic_dir).schema])
-    whole = _batch(spark, topic_dir).unionByName(mistyped)
-    whole.write.parquet(f"{scratch}/raw")
-    streams.undecoded_stream(_stream(spark, f"{scratch}/raw"), sink="memory", trigger=NOW, checkpoint=f"{scratch}/ck").awaitTermination()
-    bad = decode.split_quarantine(whole)[1]
-    got = spark.table("q02_undecoded")
-    assert _rows(got, ["value"]) == _rows(bad, ["value"]) and got.count() == bad.count() > 1
-    assert got.where("key LIKE '%|-5'").count() == 1
-    assert [r["topic"] for r in got.select("topic").distinct().collect()] == [batch.ALL_TOPIC + "_rejected"]
+    ref, _ = batch.flat_topic(decode.decode_reports(shape))
+    sent = got.where(F.col("topic") == batch.ALL_TOPIC)
+    assert _rows(sent, ["key", "value", "topic"]) == _rows(ref, ["key", "value", "topic"])
+    assert sent.where(F.get_json_object("value", "$.MGRS").isNotNull()).count() > 0
+    rejected = got.where(F.col("topic") == batch.REJECTED_TOPIC)
+    good, bad = decode.split_quarantine(whole)
+    unflat = batch.flat_topic(good)[1]
+    assert _rows(rejected, ["value"]) == _rows(bad.select("value").unionByName(unflat.select("value")), ["value"])
+    assert unflat.count() == 1 and unflat.first()["reason"] == "colliding key paths"
+    reasons = {r["offset"]: r["reason"] for r in bad.where("offset < 0").collect()}
+    assert reasons == {-5: "mistyped field: MetaData.MMSI", -6: "mistyped field: Message.PositionReport.Cog",
+                       -8: "undecodable JSON", -9: "no report"}
+    assert rejected.where("key LIKE '%|-5'").count() == 1
 
 
 def test_a_sink_is_asked_for(spark, topic_dir, scratch):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from ..schemas import BODY, ENVELOPE, MESSAGE_TYPES, METADATA
 
@@ -63,7 +64,9 @@ def decode_whole(raw: DataFrame) -> DataFrame:
 def with_body(reports: DataFrame, name: str = "body") -> DataFrame:
     """Parse the body of each report (``Message[MessageType]``) with the
     union body schema; missing fields give NULL. Catalyst prunes the parse
-    schema to the fields used downstream."""
+    schema to the fields used downstream. A body that is there stays."""
+    if name in reports.columns:
+        return reports
     return reports.withColumn(
         name, F.from_json(F.try_element_at("Message", F.col("MessageType")), BODY))
 
@@ -73,28 +76,107 @@ def strict_decode(raw: DataFrame) -> DataFrame:
     return decode_reports(raw, strict=True)
 
 
-#: Every field as text, whatever its type in the value.
-_AS_TEXT = "array<struct<Message:map<string,string>,MessageType:string,MetaData:map<string,string>>>"
+# ------------------------------------------------- checked decode (D-03) --
 
 
-def fault(value: Column | str = "value") -> Column:
-    """Why a value does not decode whole; NULL if it does. A metadata field
-    that is there but not of its type would be lost as NULL."""
-    lost = F.exists(F.arrays_zip(F.from_json(value, _AS_TEXT).alias("t"), parsed(value).alias("r")), lambda z: F.coalesce(
-        F.array_max(F.array(*[
-            z["t"]["MetaData"][f.name].isNotNull() & z["r"]["MetaData"][f.name].isNull() for f in METADATA.fields])),
-        F.lit(False)))
-    return F.when(parsed(value).isNull(), F.lit("undecodable JSON")).when(lost, F.lit("mistyped field"))
+def _as(v: Column, kind: str) -> Column:
+    """A VARIANT as another type, NULL if it is not; as ``string`` a JSON
+    string is its own text, any other value its JSON."""
+    return F.try_variant_get(v, "$", kind)
+
+
+_INT = 2**31 - 1
+
+
+def _mistyped(members: Column, fields: StructType) -> Column:
+    """Names of the members (``MAP<STRING,VARIANT>``) that are not of the type
+    of the field of their name: by the kind of their value, or too large an
+    integer. Null is of any type, and so is any value of a text field. One
+    small expression whatever the number of fields, so that it is compiled."""
+    wanted = F.create_map(*[F.lit(x) for f in fields if f.dataType.typeName() != "string"
+                            for x in (f.name, f.dataType.typeName())])
+
+    def looked_at(e: Column) -> Column:
+        return F.struct(e["key"].alias("name"), F.try_element_at(wanted, e["key"]).alias("type"), e["value"].alias("v"),
+                        F.schema_of_variant(e["value"]).alias("kind"))
+
+    def wrong(x: Column) -> Column:
+        whole = x["kind"] == "BIGINT"
+        ok = (F.when(x["type"] == "double", whole | (x["kind"] == "DOUBLE") | x["kind"].startswith("DECIMAL"))
+              .when(x["type"] == "boolean", x["kind"] == "BOOLEAN").when(x["type"] == "long", whole)
+              .otherwise(whole & F.coalesce(_as(x["v"], "bigint").between(-_INT - 1, _INT), F.lit(False))))
+        return x["type"].isNotNull() & (x["kind"] != "VOID") & ~ok
+
+    return F.transform(F.filter(F.transform(F.map_entries(members), looked_at), wrong), lambda x: x["name"])
+
+
+def decode_or_reject(raw: DataFrame) -> DataFrame:
+    """D-03 in one frame: each report of each topic row, decoded whole (the
+    columns of D-01 and the typed ``body``) or with a ``reason``: no JSON, no
+    report (neither an object nor an array of them), or the fields of the
+    envelope, the metadata or the body that are there but not of their type,
+    named. With a reason comes the ``value``: the row's, as it came, or in an
+    envelope the report's own JSON. An empty array has no reports.
+
+    The value is parsed once, to VARIANT; every field is looked at by its
+    kind, so nothing becomes a legitimate "not available" code. Fields
+    unknown to the schemas are neither typed nor checked.
+    """
+    df = raw.select(*TOPIC_COLUMNS, F.col("timestamp").alias("arrival_ts"), "value", F.try_parse_json("value").alias("_v"))
+    single = F.ltrim("value", F.lit(" \t\r\n")).startswith("{")
+    many = F.when(F.col("_v").isNotNull(), F.when(single, F.array("_v")).otherwise(_as(F.col("_v"), "array<variant>")))
+    df = df.select("*", many.isNull().alias("_none"), F.posexplode_outer(many).alias("pos", "_r")) \
+        .where(F.col("_none") | F.col("pos").isNotNull())
+    # types are read off the report itself, by path: to take a part out as
+    # VARIANT would encode it anew
+    def at(path: str | Column, kind: str) -> Column:
+        return F.try_variant_get(F.col("_r"), path, kind)
+
+    df = df.withColumns({"_type": at("$.MessageType", "string"), "_m": at("$.Message", "map<string,string>"),
+                         "_d": at("$.MetaData", "map<string,variant>")})
+    place = F.concat(F.lit("$.Message['"), F.col("_type"), F.lit("']"))
+    plain = F.col("_type").rlike(r"^\w+$")
+
+    def body(kind: str) -> Column:
+        return F.when(plain, at(place, kind)).otherwise(
+            _as(F.try_element_at(at("$.Message", "map<string,variant>"), "_type"), kind))
+
+    df = df.withColumn("_b", body("map<string,variant>"))
+
+    def lost(part: str, whole: Column, name: Column) -> Column:
+        return F.when(F.col(part).isNull(), F.when(whole.isNotNull(), name))
+
+    def named(prefix: Column, names: Column) -> Column:
+        return F.transform(names, lambda n: F.concat(prefix, n))
+
+    path = F.concat(F.lit("Message."), F.col("_type"))
+    faults = F.concat_ws(
+        ", ", F.when(at("$", "struct<MessageType:string>").isNull(), F.lit("report")),
+        lost("_m", at("$.Message", "string"), F.lit("Message")), lost("_d", at("$.MetaData", "string"), F.lit("MetaData")),
+        lost("_b", F.try_element_at("_m", "_type"), path), named(F.lit("MetaData."), _mistyped(F.col("_d"), METADATA)),
+        named(F.concat(path, F.lit(".")), _mistyped(F.col("_b"), BODY)))
+    df = df.withColumn("_f", faults)
+    reason = F.when(F.col("_v").isNull(), F.lit("undecodable JSON")).when(F.col("_none"), F.lit("no report")) \
+        .when(F.col("_f") != "", F.concat(F.lit("mistyped field: "), F.col("_f")))
+    df = df.withColumn("_reason", reason)
+    good = F.col("_reason").isNull()
+    # a generator of one row: a filter on the reason must not repeat the steps above
+    one = F.struct(
+        F.when(good, F.col("_m")).alias("Message"), F.when(good, F.col("_type")).alias("MessageType"),
+        F.when(good, at("$.MetaData", METADATA.simpleString())).alias("MetaData"),
+        F.when(good, body(BODY.simpleString())).alias("body"), F.col("_reason").alias("reason"),
+        F.when(~good, F.when(F.col("_none") | single, F.col("value")).otherwise(F.to_json("_r"))).alias("value"))
+    return df.select(*TOPIC_COLUMNS, "pos", "arrival_ts", F.explode(F.array(one)).alias("_s")).select(
+        *TOPIC_COLUMNS, "pos", "arrival_ts", "_s.*")
 
 
 def split_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """D-03: lenient policy. Returns ``(reports, quarantine)``; the second
-    frame holds the raw rows whose value does not decode whole, with a
-    reason; their reports are not in the first."""
-    tagged = raw.withColumn("reason", fault("value"))
-    bad = tagged.where(F.col("reason").isNotNull()).select(
-        *TOPIC_COLUMNS, F.col("timestamp").alias("arrival_ts"), "value", "reason")
-    return decode_reports(tagged.where(F.col("reason").isNull())), bad
+    """D-03: lenient policy. Returns ``(reports, quarantine)`` of
+    ``decode_or_reject``; the second frame holds what does not decode whole,
+    with its value and a reason, and none of it is in the first."""
+    rows = decode_or_reject(raw)
+    good = rows.where(F.col("reason").isNull()).drop("reason", "value")
+    return good, rows.where(F.col("reason").isNotNull()).select(*TOPIC_COLUMNS, "pos", "arrival_ts", "value", "reason")
 
 
 def envelope_sizes(raw: DataFrame) -> DataFrame:

@@ -1,14 +1,17 @@
-"""P-18: flatten nested JSON into ``_``-joined key paths.
+"""P-18: flatten nested JSON of any depth into ``_``-joined key paths.
 
 Objects contribute their keys, arrays their positions (``a_0``, ``a_1``);
 empty objects/arrays and nulls are leaves. The value is parsed once to
-VARIANT; each level is one higher-order ``transform`` over the current
-entries (cast to ``MAP<STRING,VARIANT>`` / ``ARRAY<VARIANT>``), so the whole
-flatten is row-wise: no explode-and-regroup, no shuffle, same code for
-streams. A fixed depth bounds the work (each level copies the entries
-through one projection). A value that cannot be flattened whole (no JSON
-object or array, deeper than the plan, or key paths that collide) costs its
-own row only: ``split_flattenable`` puts it in quarantine with the reason.
+VARIANT. One level is a higher-order ``transform`` over the current entries
+(cast to ``MAP<STRING,VARIANT>`` / ``ARRAY<VARIANT>``); the levels are a fold
+(``aggregate``) inside the row, over as many steps as the text has opening
+brackets, so each row is taken down to its own depth and the plan holds one
+level, not one for each. A leaf is flagged when it is found and never cast
+again, and a row without open entries passes its remaining steps untouched.
+The whole flatten is row-wise: no explode-and-regroup, no shuffle, same code
+for streams. A value that cannot be flattened whole (no JSON object or array,
+or key paths that collide) costs its own row only: ``split_flattenable`` puts
+it in quarantine with the reason. (Spark's own JSON parser takes 1,000 levels.)
 """
 
 from __future__ import annotations
@@ -16,9 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# AIS reports nest at most 5 levels (Message, type, PositionAccuracy, slot,
-# field), six in an array envelope; deeper ones go to quarantine, uncut.
-MAX_DEPTH = 6
 SEPARATOR = "_"
 
 
@@ -32,92 +32,89 @@ def _kind(v: Column) -> Column:
             .otherwise(F.lit("number")))
 
 
-def _entry(path: Column, v: Column, leaf: Column) -> Column:
-    return F.struct(path.alias("path"), v.alias("v"), leaf.alias("leaf"))
+def _entry(path: Column, v: Column, leaf: bool) -> Column:
+    return F.struct(path.alias("path"), v.alias("v"), F.lit(leaf).alias("leaf"))
 
 
-def _annotate(entries: Column) -> Column:
-    """Cast each entry's value once: as an object map and as an array
-    (NULL when it is not one). Entries already known to be leaves are not
-    cast again."""
-    def cast(x: Column, t: str) -> Column:
-        return F.when(~x["leaf"], F.try_variant_get(x["v"], "$", t))
-    return F.transform(entries, lambda x: F.struct(
-        x["path"].alias("path"), x["v"].alias("v"),
-        cast(x, "map<string,variant>").alias("m"), cast(x, "array<variant>").alias("a")))
+def _as(v: Column, kind: str) -> Column:
+    return F.try_variant_get(v, "$", kind)
+
+
+def _members(m: Column, prefix: Column | None = None) -> Column:
+    return F.transform(F.map_entries(m), lambda e: _entry(
+        e["key"] if prefix is None else F.concat(prefix, e["key"]), e["value"], False))
 
 
-def _expand(annotated: Column, sep: str) -> Column:
+def _items(a: Column, prefix: Column | None = None) -> Column:
+    def path(i: Column) -> Column:
+        return i.cast("string") if prefix is None else F.concat(prefix, i.cast("string"))
+    return F.transform(a, lambda e, i: _entry(path(i), e, False))
+
+
+def _next_level(entries: Column, sep: str) -> Column:
     """One level down: non-empty containers give their children, everything
-    else stays as a leaf."""
+    else is a leaf from now on. Leaves are not cast again."""
+    cast = F.transform(entries, lambda x: F.struct(
+        x["path"].alias("path"), x["v"].alias("v"),
+        F.when(~x["leaf"], _as(x["v"], "map<string,variant>")).alias("m"),
+        F.when(~x["leaf"], _as(x["v"], "array<variant>")).alias("a")))
+
     def children(y: Column) -> Column:
-        from_obj = F.transform(F.map_entries(y["m"]), lambda e: _entry(
-            F.concat(y["path"], F.lit(sep), e["key"]), e["value"], F.lit(False)))
-        from_arr = F.transform(y["a"], lambda e, i: _entry(
-            F.concat(y["path"], F.lit(sep), i.cast("string")), e, F.lit(False)))
-        leaf = F.array(_entry(y["path"], y["v"], F.lit(True)))
-        return (F.when(F.coalesce(F.size(y["m"]), F.lit(0)) > 0, from_obj)
-                .when(F.coalesce(F.size(y["a"]), F.lit(0)) > 0, from_arr)
-                .otherwise(leaf))
-    return F.flatten(F.transform(annotated, children))
-
-
-def _is_container(y: Column) -> Column:
-    return (F.coalesce(F.size(y["m"]), F.lit(0)) + F.coalesce(F.size(y["a"]), F.lit(0))) > 0
-
-
-def _top(root: Column) -> Column:
-    """First-level entries of an object (its keys) or an array (positions);
-    NULL for anything else."""
-    obj = F.try_variant_get(root, "$", "map<string,variant>")
-    arr = F.try_variant_get(root, "$", "array<variant>")
-    return F.coalesce(F.transform(F.map_entries(obj), lambda e: _entry(e["key"], e["value"], F.lit(False))),
-                      F.transform(arr, lambda e, i: _entry(i.cast("string"), e, F.lit(False))))
-
-
-def flat_entries(value: Column, max_depth: int = MAX_DEPTH, sep: str = SEPARATOR) -> Column:
-    """``ARRAY<STRUCT<path, v VARIANT>>`` of the leaves of a JSON text
-    (``max_depth`` levels; see ``flat_fault``). One
-    expression; ``with_flat_entries`` is the faster staged form."""
-    entries = _top(F.try_parse_json(value))
-    for _ in range(max_depth - 1):
-        entries = _expand(_annotate(entries), sep)
-    return entries
-
-
-def with_flat_entries(df: DataFrame, value: str, out: str, max_depth: int = MAX_DEPTH,
-                      sep: str = SEPARATOR) -> DataFrame:
-    """Staged flatten: one projection per level, each level expands only
-    rows that still hold a non-empty container (a shallow report stops
-    after its own depth)."""
-    df = df.withColumn(out, _top(F.try_parse_json(F.col(value))))
-    for _ in range(max_depth - 1):
-        df = df.withColumn("_flat_a", _annotate(F.col(out)))
-        df = df.withColumn(out, F.when(F.exists("_flat_a", _is_container),
-                                       _expand(F.col("_flat_a"), sep)).otherwise(F.col(out)))
-    return df.drop("_flat_a")
-
-
-def flat_fault(value: Column, entries: Column) -> Column:
-    """Why a value cannot be flattened whole; NULL if it can."""
+        prefix = F.concat(y["path"], F.lit(sep))
+        return (F.when(F.size(y["m"]) > 0, _members(y["m"], prefix))
+                .when(F.size(y["a"]) > 0, _items(y["a"], prefix))
+                .otherwise(F.array(_entry(y["path"], y["v"], True))))
+    return F.flatten(F.transform(cast, children))
+
+
+def descend(entries: Column, most: Column, sep: str = SEPARATOR) -> Column:
+    """The leaves below first-level entries that nest at most ``most`` deep."""
+    def state(e: Column, open_: bool) -> Column:
+        return F.struct(e.alias("e"), F.lit(open_).alias("open"))
+
+    return F.aggregate(
+        F.array_repeat(F.lit(0), most), state(entries, True),
+        lambda acc, _: F.when(acc["open"] & F.exists(acc["e"], lambda x: ~x["leaf"]),
+                              state(_next_level(acc["e"], sep), True)).otherwise(state(acc["e"], False)),
+        lambda acc: acc["e"])
+
+
+def brackets(text: Column) -> Column:
+    """The opening brackets of a JSON text: it nests no deeper than that."""
+    return F.regexp_count(text, F.lit(r"[\[{]"))
+
+
+def with_flat_entries(df: DataFrame, value: str, out: str, sep: str = SEPARATOR) -> DataFrame:
+    """``out``: ``ARRAY<STRUCT<path, v VARIANT, leaf>>``, the leaves of a JSON
+    object or array; NULL for any other value. ``_flat_v`` stays: the value."""
+    root = F.col("_flat_v")
+    top = F.coalesce(_members(_as(root, "map<string,variant>")), _items(_as(root, "array<variant>")))
+    return df.withColumn("_flat_v", F.try_parse_json(F.col(value))) \
+        .withColumn(out, descend(top, brackets(F.col(value)), sep))
+
+
+def colliding(entries: Column) -> Column:
     paths = F.transform(entries, lambda x: x["path"])
-    return (F.when(entries.isNull(), F.when(F.try_parse_json(value).isNull(), F.lit("undecodable JSON"))
-                   .otherwise(F.lit("no JSON object or array")))
-            .when(F.exists(_annotate(entries), _is_container), F.lit("nested too deeply"))
-            .when(F.size(F.array_distinct(paths)) < F.size(paths), F.lit("colliding key paths")))
+    return F.size(F.array_distinct(paths)) < F.size(paths)
 
 
-def split_flattenable(df: DataFrame, value: str = "value",
-                      max_depth: int = MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
+def split_flattenable(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """``(good, quarantine)``: rows with ``_flat_e`` (their leaf entries),
     and the rows that cannot be flattened, with a ``reason``."""
-    staged = with_flat_entries(df, value, "_flat_e", max_depth)
-    # a generator of one row: else the optimizer would move a filter on the
-    # reason below the levels, each of which it would then repeat many times
-    one = F.array(F.struct(F.col("_flat_e").alias("e"), flat_fault(F.col(value), F.col("_flat_e")).alias("reason")))
-    staged = staged.select(*df.columns, F.explode(one).alias("_s"))
-    good = staged.where(F.col("_s.reason").isNull()).select(*df.columns, F.col("_s.e").alias("_flat_e"))
-    return good, staged.where(F.col("_s.reason").isNotNull()).select(*df.columns, F.col("_s.reason").alias("reason"))
+    staged = tagged(with_flat_entries(df, value, "_flat_e"), df.columns, F.col("_flat_e"), F.when(
+        F.col("_flat_e").isNull(), F.when(F.col("_flat_v").isNull(), F.lit("undecodable JSON"))
+        .otherwise(F.lit("no JSON object or array")))
+        .when(colliding(F.col("_flat_e")), F.lit("colliding key paths")))
+    good = staged.where(F.col("reason").isNull()).select(*df.columns, F.col("e").alias("_flat_e"))
+    return good, staged.where(F.col("reason").isNotNull()).select(*df.columns, "reason")
+
+
+def tagged(df: DataFrame, columns: list[str], entries: Column, reason: Column) -> DataFrame:
+    """``columns``, entries as ``e`` and ``reason``, behind a generator of one
+    row: else the optimizer would move a filter on the reason below the
+    flatten, which it would then repeat."""
+    one = F.array(F.struct(entries.alias("e"), reason.alias("reason")))
+    return df.select(*columns, F.explode(one).alias("_s")).select(*columns, "_s.e", "_s.reason")
 
 
 def leaf_columns(v: Column) -> dict[str, Column]:
@@ -132,28 +129,40 @@ def leaf_columns(v: Column) -> dict[str, Column]:
     }
 
 
-def flatten_map(df: DataFrame, value: str = "value", out: str = "flat",
-                max_depth: int = MAX_DEPTH) -> DataFrame:
+def flatten_map(df: DataFrame, value: str = "value", out: str = "flat") -> DataFrame:
     """One map per flattenable row: ``path -> leaf JSON text`` (strings
     unquoted). The others are in ``split_flattenable``'s quarantine."""
-    good, _ = split_flattenable(df, value, max_depth)
+    good, _ = split_flattenable(df, value)
     return good.withColumn(out, F.map_from_entries(F.transform("_flat_e", lambda x: F.struct(
         x["path"], F.coalesce(F.try_variant_get(x["v"], "$", "string"), F.to_json(x["v"])))))).drop("_flat_e")
 
 
+def flat_members(entries: Column) -> Column:
+    """Leaf entries as the members of a JSON object, each leaf of its own type."""
+    return F.array_join(F.transform(entries, lambda x: F.concat(
+        F.to_json(x["path"].cast("variant")), F.lit(":"), F.coalesce(F.to_json(x["v"]), F.lit("null")))), ",")
+
+
 def flat_json(entries: Column) -> Column:
-    """Leaf entries as one flat JSON object, each leaf of its own type."""
-    return F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda x: F.concat(
-        F.lit('"'), F.regexp_replace(x["path"], r'(["\\])', r"\\$1"), F.lit('":'),
-        F.coalesce(F.to_json(x["v"]), F.lit("null")))), ","), F.lit("}"))
+    """Leaf entries as one flat JSON object."""
+    return F.concat(F.lit("{"), flat_members(entries), F.lit("}"))
 
 
-def flatten_rows(df: DataFrame, keys: list[str], value: str = "value",
-                 max_depth: int = MAX_DEPTH) -> DataFrame:
+def flatten_rows(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """One row per leaf of a flattenable row: ``keys, path, kind, text, num``.
     The others are in ``split_flattenable``'s quarantine."""
-    good, _ = split_flattenable(df.select(*keys, value), value, max_depth)
+    good, _ = split_flattenable(df.select(*keys, value), value)
     rows = good.select(*keys, F.explode("_flat_e").alias("e"))
     leaf = leaf_columns(F.col("e.v"))
     return rows.select(*keys, F.col("e.path").alias("path"),
                        *[c.alias(n) for n, c in leaf.items()])
+
+
+def message_entries(message: Column, sep: str = SEPARATOR) -> Column:
+    """The leaves of a report's ``Message`` (a map of JSON texts), their paths
+    under ``Message``; a body that is no JSON has a NULL value."""
+    bodies = F.transform(F.map_entries(message), lambda e: _entry(
+        F.concat(F.lit("Message" + sep), e["key"]), F.try_parse_json(F.coalesce(e["value"], F.lit("null"))), False))
+    most = F.aggregate(F.map_values(message), F.lit(1), lambda n, text: n + F.coalesce(brackets(text), F.lit(0)))
+    empty = F.array(_entry(F.lit("Message"), F.try_parse_json(F.lit("{}")), True))
+    return F.when(F.size(message) == 0, empty).when(message.isNotNull(), descend(bodies, most, sep))

@@ -14,8 +14,10 @@ from .queries import KEY, KEY_SQL, raw, register, reports, std_reports
 
 # ---------------------------------------------------------------- P-18 --
 
-_FLAT_PATH = ("regexp_replace(regexp_replace(substr(t.fullkey, 3), '\\[(\\d+)\\]', '_\\1', 'g'), "
-              "'\\.', '_', 'g')")
+_FLAT_PATH = (r"regexp_replace(regexp_replace(regexp_replace(t.fullkey, '\[(\d+)\]', '.\1', 'g'), '^\$\.', ''), "
+              r"'\.', '_', 'g')")
+_IS_LEAF = ("(t.type NOT IN ('OBJECT', 'ARRAY') OR (t.type = 'ARRAY' AND json_array_length(t.value) = 0) "
+            "OR (t.type = 'OBJECT' AND len(json_keys(t.value)) = 0))")
 
 
 @register("p18_flatten", with_reports(
@@ -26,9 +28,7 @@ _FLAT_PATH = ("regexp_replace(regexp_replace(substr(t.fullkey, 3), '\\[(\\d+)\\]
     "CASE WHEN t.type = 'VARCHAR' THEN t.value ->> '$' "
     "WHEN t.type IN ('BOOLEAN', 'OBJECT', 'ARRAY') THEN CAST(t.value AS VARCHAR) END AS text, "
     "CASE WHEN t.type IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN CAST(t.atom AS DOUBLE) END AS num "
-    "FROM raw_topic r, json_tree(r.value) t WHERE json_valid(r.value) AND t.fullkey <> '$' AND "
-    "(t.type NOT IN ('OBJECT', 'ARRAY') OR (t.type = 'ARRAY' AND json_array_length(t.value) = 0) "
-    "OR (t.type = 'OBJECT' AND len(json_keys(t.value)) = 0))"))
+    f"FROM raw_topic r, json_tree(r.value) t WHERE json_valid(r.value) AND t.fullkey <> '$' AND {_IS_LEAF}"))
 def p18(spark, sf):
     return flatten.flatten_rows(raw(spark, sf), KEY)
 
@@ -41,9 +41,10 @@ def _awkward(body: str) -> str:
 
 
 @register("d03b_awkward_fates", _awkward(
-    f"SELECT {KEY_SQL}, CAST(CASE event_id % 8 WHEN 1 THEN 2 WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 4 THEN 0 ELSE 1 END "
-    "AS BIGINT) AS reports, CASE event_id % 8 WHEN 2 THEN 'undecodable JSON' WHEN 3 THEN 'undecodable JSON' "
-    "WHEN 4 THEN 'mistyped field' END AS reason FROM awkward_topic"))
+    f"SELECT {KEY_SQL}, CAST(CASE event_id % 10 WHEN 1 THEN 2 WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 4 THEN 0 WHEN 9 THEN 0 ELSE 1 END "
+    "AS BIGINT) AS reports, CASE event_id % 10 WHEN 2 THEN 'undecodable JSON' WHEN 3 THEN 'undecodable JSON' "
+    "WHEN 4 THEN 'mistyped field: MetaData.MMSI' WHEN 9 THEN 'mistyped field: Message.PositionReport.Cog, "
+    "Message.PositionReport.RateOfTurn, Message.PositionReport.Sog' END AS reason FROM awkward_topic"))
 def d03b(spark, sf):
     """Every topic row, as its reports or in quarantine, never neither."""
     good, bad = decode.split_quarantine(fixture.awkward_topic(spark, sf))
@@ -52,12 +53,19 @@ def d03b(spark, sf):
 
 
 @register("p18b_flatten_fates", _awkward(
-    f"SELECT {KEY_SQL}, CASE event_id % 8 WHEN 2 THEN 'undecodable JSON' WHEN 3 THEN 'undecodable JSON' "
-    "WHEN 6 THEN 'nested too deeply' WHEN 7 THEN 'colliding key paths' END AS reason FROM awkward_topic"))
+    f"SELECT r.\"partition\", r.\"offset\", {_FLAT_PATH} AS path, CAST(t.value AS VARCHAR) AS leaf, NULL AS reason "
+    f"FROM awkward_topic r, json_tree(r.value) t WHERE event_id % 10 NOT IN (2, 3, 7) AND t.fullkey <> '$' AND {_IS_LEAF} "
+    f"UNION ALL SELECT {KEY_SQL}, NULL, NULL, CASE event_id % 10 WHEN 7 THEN 'colliding key paths' "
+    "ELSE 'undecodable JSON' END FROM awkward_topic WHERE event_id % 10 IN (2, 3, 7)"))
 def p18b(spark, sf):
-    """Every topic row, flattened (no reason) or in quarantine."""
+    """Every topic row, as its leaves at any depth (numbers as the engines
+    write them) or in quarantine with the reason."""
     good, bad = flatten.split_flattenable(fixture.awkward_topic(spark, sf).select(*KEY, "value"))
-    return good.select(*KEY, F.lit(None).cast("string").alias("reason")).unionByName(bad.select(*KEY, "reason"))
+    leaf = F.regexp_replace(F.to_json("x.v"), r"^(-?\d+\.\d*?)0+$", "$1")
+    rows = good.select(*KEY, F.explode("_flat_e").alias("x")).select(
+        *KEY, F.col("x.path").alias("path"), leaf.alias("leaf"), F.lit(None).cast("string").alias("reason"))
+    none = F.lit(None).cast("string")
+    return rows.unionByName(bad.select(*KEY, none.alias("path"), none.alias("leaf"), "reason"))
 
 
 @register("w05b_queue_fates", _awkward(
@@ -73,8 +81,9 @@ def w05b(spark, sf):
 
 
 @register("k01b_whole_messages", _awkward(
-    f"SELECT {KEY_SQL}, CASE WHEN event_id % 8 = 5 THEN '{{\"Other\":{{\"a\":1}}}}' WHEN event_id % 8 = 4 THEN '{{}}' END AS message "
-    "FROM awkward_topic WHERE event_id % 8 IN (4, 5)"))
+    f"SELECT {KEY_SQL}, CASE WHEN event_id % 10 = 5 THEN '{{\"Other\":{{\"a\":1}}}}' WHEN event_id % 10 = 4 THEN '{{}}' "
+    "ELSE '{\"PositionReport\":{\"Cog\":\"abc\",\"Sog\":[1],\"RateOfTurn\":3000000000,\"Valid\":true}}' END AS message "
+    "FROM awkward_topic WHERE event_id % 10 IN (4, 5, 9)"))
 def k01b(spark, sf):
     """The sink's value keeps a body under any key and is never NULL."""
     rep = decode.decode_reports(fixture.awkward_topic(spark, sf))

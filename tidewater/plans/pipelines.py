@@ -6,7 +6,7 @@ streaming forms of the same chains are in ``tidewater.streaming``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -61,16 +61,62 @@ _Q02_COLS = ["UUID", "Timestamp", "MMSI", "ShipName", "LatReported", "LngReporte
              "SpecialManoeuvre", "MessageType"]
 
 
+REJECTED_TOPIC = ALL_TOPIC + "_rejected"
+_FLAT_COLS = [*KEY, "pos", "UUID", "Message"]
+
+
+def _flattened(decoded: DataFrame) -> DataFrame:
+    """Enriched reports with ``e``, the leaves of their Message (P-18),
+    ``rest``, the other columns as a JSON object, and ``reason``, why a report
+    has no flat form. A reason that is there stays, and its row goes along."""
+    rep = full_enrich(decoded)
+    given = F.col("reason") if "reason" in decoded.columns else F.lit(None).cast("string")
+    keep = [*_FLAT_COLS, *[c for c in ("topic", "value") if c in decoded.columns], "rest"]
+    cols = rep.select(*[c for c in keep if c != "rest"], given.alias("given"),
+                      F.to_json(F.struct(*_Q02_COLS)).alias("rest"), flatten.message_entries(F.col("Message")).alias("e"))
+    reason = F.coalesce(
+        F.col("given"), F.when(F.exists("e", lambda x: x["v"].isNull()), F.lit("undecodable JSON")),
+        F.when(flatten.colliding(F.col("e")), F.lit("colliding key paths")))
+    return flatten.tagged(cols, keep, F.col("e"), reason)
+
+
+def _flat_value() -> Column:
+    members = F.concat_ws(",", flatten.flat_members(F.col("e")),
+                          F.nullif(F.expr("substr(rest, 2, length(rest) - 2)"), F.lit("")))
+    return F.concat(F.lit("{"), members, F.lit("}"))
+
+
 def flat_topic(reports_df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Q-02 whole: the enriched reports flattened (P-18) for one topic, keyed
-    by UUID. Returns ``(rows, quarantine)``; the second holds the reports
+    by UUID. The enriched columns are flat by themselves; only the Message is
+    taken apart. Returns ``(rows, quarantine)``; the second holds the reports
     that cannot be flattened, with a reason."""
-    rep = full_enrich(reports_df)
-    text = rep.select(*KEY, "pos", F.col("UUID").alias("key"),
-                      sinks.report_json(rep.select("Message", *_Q02_COLS)).alias("value"))
-    good, bad = flatten.split_flattenable(text)
-    return good.select(*KEY, "pos", "key", flatten.flat_json(F.col("_flat_e")).alias("value"),
-                       F.lit(ALL_TOPIC).alias("topic")), bad
+    rep = _flattened(reports_df)
+    good = rep.where(F.col("reason").isNull()).select(*KEY, "pos", F.col("UUID").alias("key"), _flat_value().alias("value"),
+                                                      F.lit(ALL_TOPIC).alias("topic"))
+    bad = rep.where(F.col("reason").isNotNull()).select(
+        *KEY, "pos", F.col("UUID").alias("key"), _whole_value().alias("value"), "reason")
+    return good, bad
+
+
+def _whole_value() -> Column:
+    """An unflattened report: its enriched columns and its Message as it is."""
+    message = F.to_json(F.struct("Message"))
+    return F.concat(F.expr("substr(rest, 1, length(rest) - 1)"), F.when(F.col("rest") == "{}", F.lit("")).otherwise(F.lit(",")),
+                    message.substr(F.lit(2), F.length(message)))
+
+
+def flat_or_rejected(raw_rows: DataFrame) -> DataFrame:
+    """Q-02 from topic rows to topic rows, in one pass: ``key, value, topic,
+    reason``. Reports go flat to the enriched topic; values that do not decode
+    whole (as they came, keyed by their place in the log) and reports that
+    cannot be flattened (enriched) go to the rejected topic, with the reason."""
+    rep = _flattened(decode.decode_or_reject(raw_rows))
+    undecoded, unflat = F.col("value").isNotNull() | F.col("pos").isNull(), F.col("reason").isNotNull()
+    return rep.select(
+        F.when(undecoded, F.concat_ws("|", "topic", *KEY)).otherwise(F.col("UUID")).alias("key"),
+        F.when(undecoded, F.col("value")).when(unflat, _whole_value()).otherwise(_flat_value()).alias("value"),
+        F.when(unflat, F.lit(REJECTED_TOPIC)).otherwise(F.lit(ALL_TOPIC)).alias("topic"), "reason")
 
 
 def _q02_sql(flat: bool = False) -> str:

@@ -155,17 +155,19 @@ def form_a_columns(dialect: str) -> list[tuple[str, str]]:
     ]
 
 
-#: Values that must not be lost, by ``event_id % 8``: a report, an array of
-#: two, no value, no JSON, a mistyped field, a body under another key, nesting
-#: beyond the flatten's plan, and key paths that collide.
+#: Values that must not be lost, by ``event_id % 10``: a report, an array of
+#: two, no value, no JSON, a mistyped field, a body under another key, deep
+#: nesting, key paths that collide, deeper nesting, and a body of wrong types.
 AWKWARD = ["obj", "'[' || obj || ',' || obj || ']'", "NULL", "'{bad'",
            """'{"Message":{},"MessageType":"T","MetaData":{"MMSI":"x","latitude":1.5}}'""",
            """'{"Message":{"Other":{"a":1}},"MessageType":"PositionReport","MetaData":{"MMSI":1}}'""",
-           "'" + '{"a":' * 9 + "1" + "}" * 9 + "'", """'{"a_b":1,"a":{"b":2}}'"""]
+           "'" + '{"a":' * 9 + "1" + "}" * 9 + "'", """'{"a_b":1,"a":{"b":2}}'""",
+           "'" + '{"a":' * 40 + '[1,"x",{}]' + "}" * 40 + "'",
+           """'{"Message":{"PositionReport":{"Cog":"abc","Sog":[1],"RateOfTurn":3000000000,"Valid":true}},"MessageType":"PositionReport","MetaData":{"MMSI":1}}'"""]
 
 
 def awkward_columns(dialect: str) -> list[tuple[str, str]]:
-    value = "CASE event_id % 8 " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(AWKWARD)) + " END"
+    value = f"CASE event_id % {len(AWKWARD)} " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(AWKWARD)) + " END"
     return [(a, value if a == "value" else e) for a, e in form_a_columns(dialect)]
 
 

@@ -56,21 +56,11 @@ def enrich_all_stream(raw: DataFrame, **kw) -> StreamingQuery:
 
 
 def full_enrich_stream(raw: DataFrame, **kw) -> StreamingQuery:
-    """Q-02 as a stream: standardise, bin, features, flatten; rows
-    keyed by UUID. Reports that cannot be flattened go, as they are, to a
-    topic of the same name ending in ``_rejected``. Values that do not decode
-    whole are left to ``undecoded_stream``, which is to run beside this one."""
-    rows, bad = batch.flat_topic(decode.split_quarantine(raw)[0])
-    rejected = bad.select("key", "value", F.lit(batch.ALL_TOPIC + "_rejected").alias("topic"))
-    return _stream_rows(rows.select("key", "value", "topic").unionByName(rejected), "q02_full_enrich", **kw)
-
-
-def undecoded_stream(raw: DataFrame, **kw) -> StreamingQuery:
-    """Q-02's values that do not decode whole (no JSON, a mistyped field), as
-    they are, to its rejected topic, keyed by their place in the log."""
-    bad = decode.split_quarantine(raw)[1]
-    return _stream_rows(bad.select(F.concat_ws("|", "topic", "partition", "offset").alias("key"), "value",
-                                   F.lit(batch.ALL_TOPIC + "_rejected").alias("topic")), "q02_undecoded", **kw)
+    """Q-02 as a stream: standardise, bin, features, flatten; rows keyed by
+    UUID. One query with its rejects: each value is parsed once, and what does
+    not decode whole or cannot be flattened goes to the topic of the same name
+    ending in ``_rejected``."""
+    return _stream_rows(batch.flat_or_rejected(raw).select("key", "value", "topic"), "q02_full_enrich", **kw)
 
 
 def route_stream(raw: DataFrame, **kw) -> StreamingQuery:
