@@ -135,3 +135,17 @@ def test_blocks_of_any_size(paths, monkeypatch):
     assert align._unpacked(align._packed(np.array([], np.int64))).tolist() == []
     for numbers in ([0, 5, 2 ** 31], [2 ** 40, 0, 1]):
         assert align._unpacked(align._packed(np.array(numbers, np.int64))).tolist() == numbers
+
+
+def test_chunks_have_the_ids_of_whole_texts(paths):
+    pair = align.Pair(*paths)
+    rng = random.Random(1)
+    parts = [" ", "  ", "\n", "\t", "a", "the", "'s", "'", " '", "1", "23", "é", "漢", "😀", "\xa0", "\x1c", "\x85", "́",
+             "-", "=", "<s>", "▁", "ing", "\r\n", "ﬁ", "​", "\x00"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        want = pair._a.encode(" " + text, add_special_tokens=False).ids, pair._b.encode(text)
+        raw = [b"".join(table[i] for i in ids) for table, ids in zip((pair.bytes_a, pair.bytes_b), want, strict=True)]
+        want = want if raw == [(" " + text).encode()] * 2 else ([], [])
+        a, b = pair.encode([text])[0]
+        assert (a.tolist(), b.tolist()) == tuple(want), repr(text)

@@ -21,7 +21,10 @@ of its texts hold them.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +40,9 @@ from tidewater.llm.common import SLICE_ROWS, arrow_schema, pick, written
 BLOCK_BYTES, BLOCK_TEXTS = 8 << 20, 8192
 #: Products expanded at a time, unless one row alone has more.
 EXPANDED = 1 << 22
+#: Characters of chunks whose ids a task keeps.
+KEPT_CHARS = 3 << 20
+_CUT = re.compile(r"(?<=\S)(?= [\s\S])")
 #: An id pair is one number: A's id above these bits, B's id in them.
 ID_BITS = 31
 
@@ -110,7 +116,15 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Pair:
-    """Both tokenizers, for one task: ids of texts and the bytes of ids."""
+    """Both tokenizers, for one task: ids of texts and the bytes of ids.
+
+    A text with a space before it is cut into chunks, each of which begins
+    with a space that follows no blank and is not the last character. Neither tokenizer has a token across
+    such a place (A's pattern takes no blank after anything else; in B's
+    pieces nothing comes before a blank but blanks), so the ids of a text are
+    those of its chunks, and each chunk is encoded once while it is kept. With
+    files of which that is not known, a text is one chunk.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # the task has one core
@@ -127,31 +141,45 @@ class Pair:
         for entry, at in self._a.get_vocab().items():
             if all(c in letters for c in entry):
                 self.bytes_a[at] = bytes(letters[c] for c in entry)
-        self.bytes_b = [self._piece(i) for i in range(self._b.get_piece_size())]
+        pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode()
+                        for i, p in enumerate(pieces)]
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
         # an id with what may follow it, for the digest: 3 * id + (0 ',', 1 '|', 2 ';')
         self.written = [f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in ",|;"]
-
-    def _piece(self, at: int) -> bytes:
-        piece = self._b.id_to_piece(at)
-        return bytes([int(piece[3:5], 16)]) if self._b.is_byte(at) else piece.replace("▁", " ").encode()
+        split = json.loads(self._a.to_str())
+        apart = split["normalizer"] is None and split["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self._cuts = apart and not any("▁" in p.lstrip("▁") for p in pieces)
+        self._known: dict[str, tuple[bytes, bytes] | None] = {}
+        self._chars = 0
+
+    def _learn(self, chunks: list[str]) -> None:
+        ids_a = [e.ids for e in self._a.encode_batch(chunks, add_special_tokens=False)]
+        ids_b = self._b.encode([c[1:] for c in chunks], num_threads=1)
+        for chunk, a, b in zip(chunks, ids_a, ids_b, strict=True):
+            same = b"".join(map(self.bytes_a.__getitem__, a)) == chunk.encode() == b"".join(map(self.bytes_b.__getitem__, b))
+            self._known[chunk] = (array("i", a).tobytes(), array("i", b).tobytes()) if same else None
+            self._chars += len(chunk)
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B for each text; none where there is no text or the
         bytes of either differ from a space and the text."""
-        given = [t for t in texts if t]
-        ids_a = [e.ids for e in self._a.encode_batch([" " + t for t in given], add_special_tokens=False)]
-        ids_b = self._b.encode(given, num_threads=1) if given else []
-        out, at = [], 0
-        for text in texts:
-            a, b = [], []
-            if text:
-                raw = (" " + text).encode()
-                if b"".join(map(self.bytes_a.__getitem__, ids_a[at])) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b[at])):
-                    a, b = ids_a[at], ids_b[at]
-                at += 1
-            out.append((np.array(a, np.int64), np.array(b, np.int64)))
+        if self._chars > KEPT_CHARS:
+            self._known.clear()
+            self._chars = 0
+        cut = [(_CUT.split(" " + t) if self._cuts else [" " + t]) if t else [] for t in texts]
+        new = list(dict.fromkeys(c for chunks in cut for c in chunks if c not in self._known))
+        if new:
+            self._learn(new)
+        out = []
+        for chunks in cut:
+            found = [self._known[c] for c in chunks]
+            if None in found:
+                found = []
+            out.append(tuple(np.frombuffer(b"".join(x), np.int32).astype(np.int64)
+                             for x in (zip(*found, strict=True) if found else ((), ()))))
         return out
 
 
