@@ -48,14 +48,15 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0,
     Ties go to the smaller vec_id. Fewer candidates give fewer rows. Vectors
     that are null or hold a null or non-finite component, and rows with a
     null vec_id, take no part; only vectors of equal length are compared.
-    Repeated rows count once; unlike vectors of one vec_id are each a query
-    and a candidate. An empty table gives an empty result; other columns are
+    Each of repeated rows is a candidate (a vec_id then takes several ranks)
+    of every query but those of its own vec_id; as queries they are one. Unlike
+    vectors of one vec_id are each a query and a candidate. An empty table gives an empty result; other columns are
     ignored. Scores are exact below 2**53.
     """
     finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
     rows = cut(pick(vectors, vec_id="long", embedding="array<double>")
                .filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
-               .dropDuplicates(["vec_id", "embedding"])
+               .groupBy("vec_id", "embedding").agg(F.least(F.count("*"), F.lit(k)).alias("copies"))
                .withColumn("dim", F.size("embedding")).withColumn("h", F.xxhash64("vec_id", "embedding")))
     asked = F.pmod("vec_id", F.lit(every)) == 0
     n, q = rows.agg(F.count("*"), F.count_if(asked)).first()
@@ -70,7 +71,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0,
         if not len(queries) or not len(candidates):
             return pd.DataFrame(columns=["query_id", "h", "shard", "found"], dtype=object)
         candidates = candidates.sort_values("c_id", kind="stable")
-        ids = candidates["c_id"].to_numpy()
+        ids, copies = candidates["c_id"].to_numpy(), candidates["c_copies"].to_numpy()
         matrix = _matrix(candidates["c_vec"], scale)
         asked = _matrix(queries["q_vec"], scale)
         out = []
@@ -79,7 +80,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0,
             for row, (query, h) in zip(scores, queries[["q_id", "h"]].to_numpy()[at:at + 512], strict=True):
                 row[np.searchsorted(ids, query, "left"):np.searchsorted(ids, query, "right")] = -np.inf
                 places = best(row, ids, k)
-                out.append((query, h, [{"s": -int(row[p]), "i": int(ids[p])} for p in places]))
+                found = [{"s": -int(row[p]), "i": int(ids[p])} for p in places for _ in range(copies[p])]
+                out.append((query, h, found[:k]))
         frame = pd.DataFrame(out, columns=["query_id", "h", "found"])
         frame["shard"] = int(candidates["c_shard"].iloc[0])
         return frame[["query_id", "h", "shard", "found"]]
@@ -87,7 +89,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0,
     def named(df: DataFrame, side: str) -> DataFrame:   # the two sides share no column
         return df.select(*[F.col(c).alias(f"{side}_{n}") for c, n in (
             ("dim", "dim"), ("block", "block"), ("shard", "shard"), ("vec_id", "id"), ("embedding", "vec"))],
-            *([F.col("h").alias("h")] if side == "q" else []))
+            F.col("h").alias("h") if side == "q" else F.col("copies").alias("c_copies"))
 
     lists = named(queries, "q").groupBy("q_dim", "q_block", "q_shard").cogroup(
         named(candidates, "c").groupBy("c_dim", "c_block", "c_shard")).applyInPandas(
@@ -103,14 +105,14 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0,
         (-F.col("x.s")).alias("score"))
 
 
-#: The contract in DuckDB, over vectors of distinct vec_id.
+#: The contract in DuckDB.
 ORACLE_SQL = """
 WITH v AS (
   SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  SELECT q.vec_id AS query_id, q.e AS query, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM (SELECT DISTINCT vec_id, e FROM v) q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5"""
