@@ -16,14 +16,14 @@ import re
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import map_lists, pick
 
 UNKNOWN = "und"
 #: Bounds of the training sample: documents a language (in expectation), and
-#: distinct windows with their language.
+#: distinct windows, shared out equally among the languages, one each at least.
 FIT_DOCS = 300
 FIT_WINDOWS = 800
 #: The most bytes a window labels, and those it only reads on either side.
@@ -277,9 +277,10 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOWS) -> tuple[Network | None, list[str]]:
     """Learn from text and lang of documents that are not held out and have
     a lang. All such documents are counted by language; of each language
-    about ``fit_docs`` are drawn by a hash, and of their windows at most
-    ``fit_windows`` distinct ones, again by a hash, reach the driver, with
-    how often they occur. Languages weigh the same."""
+    about ``fit_docs`` are drawn by a hash, and of their distinct windows its
+    share of ``fit_windows``, at least one, again by a hash, with how often
+    they occur: so many windows and one count a language reach the driver. A
+    language is learned however rare it is. Languages weigh the same."""
     rows = pick(docs, doc_id="long", lang="string", text="string").filter(
         F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -294,7 +295,8 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOW
 
     found = map_lists(rows.filter(drawn).select("lang", "text"), make, "lang string, pieces array<binary>") \
         .select("lang", F.explode("pieces").alias("piece")).groupBy("lang", "piece").agg(F.count("*").alias("n")) \
-        .orderBy(F.xxhash64("lang", "piece"), "lang", "piece").limit(fit_windows).collect()
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("lang", "piece"), "piece"))) \
+        .where(F.col("place") <= max(1, fit_windows // len(counts))).orderBy("lang", "place").collect()
     languages = sorted({r["lang"] for r in found})
     if not languages:
         return None, []
