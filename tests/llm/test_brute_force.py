@@ -342,7 +342,10 @@ def test_top_k_awkward(spark):
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in rows(top_k(df, k=3, query_rows=2, shard_rows=2, fan_in=2)))
     s = lambda a, b: int(sum(np.floor(256 * x) * np.floor(256 * y) for x, y in zip(a, b)))
     assert got == [(0, 1, 2, s([1, .5], [1, .5])), (0, 2, 3, s([1, .5], [1, .5])), (0, 3, 50, 0),
-                   (50, 1, 0, 0), (50, 2, 1, 0), (50, 3, 2, 0)]
+                   (50, 1, 0, 0), (50, 2, 0, 0), (50, 3, 1, 0)]      # both rows of 0 are candidates
+    twice = spark.createDataFrame([(1, [1.0]), (7, [2.0]), (7, [2.0]), (9, [1.5])], "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in rows(top_k(twice, k=2, every=1)))
+    assert got == [(1, 1, 7), (1, 2, 7), (7, 1, 9), (7, 2, 1), (9, 1, 7), (9, 2, 7)]
     assert rows(top_k(df.filter("vec_id < 0"))) == []
 
 
@@ -400,6 +403,21 @@ def test_languages_told_apart_by_marks(spark):
         assert len(mine) > 8 and np.mean([got[d] == k for d in mine]) > 0.9, k
 
 
+def test_no_language_is_lost_in_the_fit(spark):
+    """Four common languages of long texts and ten rare ones of short texts."""
+    from tidewater.llm.langid import fit
+    rng = np.random.default_rng(8)
+    word = {f"l{k:02}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(30)] for k in range(14)}
+    data, at = [], 0
+    for k, name in enumerate(sorted(word)):
+        for _ in range(200 if k < 4 else 9):
+            at += 1
+            data.append((at, " ".join(rng.choice(word[name], 600 if k < 4 else 12)), name))
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    _, languages = fit(df, fit_windows=140)
+    assert languages == sorted(word)
+
+
 def test_gru_gradients_by_difference():
     from tidewater.llm.langid import Network, gradients
     rng = np.random.default_rng(2)
@@ -439,3 +457,19 @@ def test_quality_awkward(spark):
     assert len(rows(quality.classify(own, graded))) == len(given)
     empty = rows(quality.classify(own, graded.filter("doc_id < 0")))
     assert len(empty) == len(given) and all(r["kept"] is None for r in empty)
+
+
+def test_quality_looks_at_whole_chunks_and_uses_every_rating():
+    from tidewater.llm import quality
+    same = "a" * quality.SHAPE_CHARS
+    assert quality.features_of(same + "0_0") != quality.features_of(same + "A_A")
+    assert len(quality.features_of("-" * 200)) == 4 and quality.features_of("-" * 64) == quality.features_of("-")
+
+
+def test_quality_of_few_documents_among_many_ratings(spark):
+    from tidewater.llm import quality
+    good, bad = "a clear and well made sentence about harbours", "BUY now!!! $$$ win win win"
+    docs = spark.createDataFrame([(i * 1000, f"{(good, bad)[i % 2]} {i}") for i in range(60)], "doc_id long, text string")
+    graded = spark.range(100_000).selectExpr("id AS doc_id", "CASE WHEN id % 1000 <> 0 THEN 1 WHEN id % 2000 = 0 THEN 2 ELSE 0 END AS grade")
+    got = {r["doc_id"]: r["tail_prob"] for r in rows(quality.classify(docs, graded, fit_docs=200))}
+    assert min(v for d, v in got.items() if d % 2000 == 0) > max(v for d, v in got.items() if d % 2000) + 0.2

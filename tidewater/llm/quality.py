@@ -33,8 +33,10 @@ BITS = 18
 REPEATED = 1 << BITS
 #: Length of a document's vector of hashed features.
 SCALE = 3.0
-#: Features that fewer of the fitted documents have get no weight.
+#: Features that fewer of the fitted documents have get no weight; of few
+#: documents one more than a twentieth has to do.
 LEAST_DOCS = 10
+SHAPE_CHARS = 64
 #: Rated documents that the classifier is fitted on, at most.
 FIT_DOCS = 12_000
 #: Chunks whose features a task keeps.
@@ -50,11 +52,14 @@ class Model(NamedTuple):
 
 
 def features_of(chunk: str) -> tuple[int, ...]:
-    """Hashed features of one chunk."""
-    shape = chunk[:64]
-    for pattern, mark in _SHAPES:
-        shape = pattern.sub(mark, shape)
-    out = ["s:" + _REPEAT.sub(r"\1", shape)]
+    """Hashed features of one chunk: a shape for each 64 characters of it,
+    and its words."""
+    out = []
+    for at in range(0, len(chunk), SHAPE_CHARS):
+        shape = chunk[at:at + SHAPE_CHARS]
+        for pattern, mark in _SHAPES:
+            shape = pattern.sub(mark, shape)
+        out.append("s:" + _REPEAT.sub(r"\1", shape))
     out += ["w:" + w for w in _CORE.findall(chunk.lower())]
     return tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) >> 32 - BITS for x in out)
 
@@ -91,7 +96,7 @@ def train(vectors: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_gr
     rng = np.random.default_rng(seed)
     size = REPEATED + 1
     w, seen_w = np.zeros(size), np.full(size, 1e-6)
-    common = np.bincount(np.concatenate([at for at, _ in vectors]), minlength=size) >= LEAST_DOCS
+    common = np.bincount(np.concatenate([at for at, _ in vectors]), minlength=size) >= min(LEAST_DOCS, 1 + len(vectors) // 20)
     vectors = [(at[common[at]], x[common[at]]) for at, x in vectors]
     share = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades)) / len(grades), 0.01, 0.99)[:-1]
     start = np.log(share / (1 - share))
@@ -140,8 +145,11 @@ def grades_of(labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, graded: DataFrame, n_grades: int = 3, fit_docs: int = FIT_DOCS) -> Model | None:
     """Fitted on the ``fit_docs`` rated documents that come first by a hash;
-    only their features reach the driver. None without a rated text."""
-    drawn = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
+    only their features reach the driver. Ratings of documents that are not
+    there take no place among them. None without a rated text."""
+    there = pick(docs, doc_id="long").withColumnRenamed("doc_id", "d")
+    drawn = graded.join(there, F.col("doc_id") == F.col("d"), "left_semi") \
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
     rows = pick(docs, doc_id="long", text="string").join(
         drawn.withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d")).select("grade", "text")
 
