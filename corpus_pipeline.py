@@ -17,6 +17,9 @@ from tidewater.llm.queries import vocabulary_path
 
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
+#: Score from which a predicted language takes the place of a given one.
+SURE = 0.9
+
 
 def _documents(docs: DataFrame) -> DataFrame:
     return pick(docs, **COLUMNS)
@@ -24,9 +27,11 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents without a language (null or no letter) go; a
-    document without a lang gets the predicted one."""
+    document gets the predicted lang where it has none, or where the
+    prediction is sure and says otherwise."""
+    sure = F.col("lang").isNull() | (F.col("score") >= SURE)
     return langid.with_languages(docs).filter(F.col("lang_pred") != langid.UNKNOWN) \
-        .withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+        .withColumn("lang", F.when(sure, F.col("lang_pred")).otherwise(F.col("lang"))).select(*COLUMNS)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
