@@ -3,10 +3,12 @@ Spark and DuckDB give identical results, the snap stays near the input,
 parents agree with direct ids, special UTM zones apply."""
 
 import math
+import random
 
 import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidewater.functions import geo
 from tidewater.operators import binning
@@ -82,3 +84,39 @@ def test_hexagon_is_nearest_center(spark, points):
         for dq, dr in [(1, 0), (-1, 0), (0, 1), (0, -1), (1, -1), (-1, 1)]:
             nx, ny = center(q + dq, r + dr)
             assert own <= math.hypot(x - nx, y - ny) + 1e-6
+
+
+def _ups(lat, lng):
+    """Easting and northing by the closed formula of polar stereography."""
+    e, a, k0 = math.sqrt(geo.WGS84_F * (2 - geo.WGS84_F)), geo.WGS84_A, 0.994
+    phi = math.radians(abs(lat))
+    t = math.tan(math.pi / 4 - phi / 2) / ((1 - e * math.sin(phi)) / (1 + e * math.sin(phi))) ** (e / 2)
+    rho = 2 * a * k0 * t / math.sqrt((1 + e) ** (1 + e) * (1 - e) ** (1 - e))
+    return 2e6 + rho * math.sin(math.radians(lng)), 2e6 - math.copysign(1, lat) * rho * math.cos(math.radians(lng))
+
+
+def test_polar_squares(spark):
+    # both poles, and a worked example of the published grid manual
+    golden = {(90.0, 0.0): "ZAH00000000", (-90.0, 0.0): "BAN00000000",
+              (84 + 17 / 60 + 14.042 / 3600, -(132 + 14 / 60 + 52.761 / 3600)): "YTM30122677"}
+    rng = random.Random(9)
+    points = list(golden) + [(rng.choice([1, -1]) * rng.uniform(84.001, 89.99), rng.uniform(-180, 180)) for _ in range(300)]
+    points += [(-80.5, 10.0), (-80.0, 10.0), (83.999, 10.0), (84.0, 10.0)]
+    df = spark.createDataFrame(points, "Lat double, Lng double")
+    got = {(r["Lat"], r["Lng"]): r["MGRS"] for r in binning.with_mgrs(df).collect()}
+    assert all(got[p] == square for p, square in golden.items())
+    for lat, lng in points[3:303]:
+        east, north = _ups(lat, lng)
+        assert got[lat, lng][3:] == f"{int(east) % 100000 // 10:04}{int(north) % 100000 // 10:04}"
+        assert got[lat, lng][0] == ("YZ" if lat > 0 else "AB")[east >= 2e6]
+    assert [got[p][0] for p in points[303:]] == ["B", "3", "3", "Z"]
+
+
+def test_bins_can_be_filtered(spark):
+    """A filter on a bin stays above its codec, so it compiles at once."""
+    df = spark.range(100).selectExpr("id", "id * 0.7 - 35 AS Lat", "id * 1.3 - 65 AS Lng")
+    cell = binning.with_s2(df).collect()[40]
+    assert [r["id"] for r in binning.with_s2(df).where(F.col("S2") == cell["S2"]).collect()] == [40]
+    binned = binning.bin_location(df)
+    found = binned.where(F.col("MGRS").isNotNull() & (F.col("hex_q") > 0) & (F.col("S2") != 5)).count()
+    assert 0 < found < 100

@@ -38,6 +38,17 @@ MGRS_BANDS = "CDEFGHJKLMNPQRSTUVWX"
 MGRS_COLUMN_SETS = ["ABCDEFGH", "JKLMNPQR", "STUVWXYZ"]
 MGRS_ROWS = "ABCDEFGHJKLMNPQRSTUV"
 
+# Fixed values of the polar squares of MGRS (UPS): letters of the 100 km
+# columns west and east of the pole and of the rows, which leave some out;
+# metres of the first column and row; scale at the pole, metres of the pole.
+UPS_WEST_COLUMNS = "JKLPQRSTUXYZ"
+UPS_EAST_COLUMNS = "ABCFGHJKLPQR"
+UPS_ROWS = "ABCDEFGHJKLMNPQRSTUVWXYZ"
+UPS_WEST_EASTING, UPS_EAST_EASTING = 800000, 2000000
+UPS_SOUTH_NORTHING, UPS_NORTH_NORTHING = 800000, 1300000
+UPS_K0 = 0.994
+UPS_POLE = 2000000.0
+
 # Hexagon grid: equal-area cylindrical projection of the authalic sphere.
 HEX_EARTH_RADIUS = 6371007.2
 HEX_EDGE_METERS = 450.0
@@ -240,7 +251,9 @@ def _krueger():
 def mgrs_stages(d: Dialect, lat: str, lng: str, out: str, p: str = "_mg_",
                 digits: int = 4) -> list[Stage]:
     """G-07: MGRS reference with ``digits`` easting and northing digits
-    (4 = 10 m squares), truncated; NULL outside the UTM latitudes."""
+    (4 = 10 m squares), truncated. Beyond the UTM latitudes (84 N, 80 S) the
+    square is of the polar stereographic grid, which has no zone: A and B in
+    the south, Y and Z in the north, west and east of Greenwich."""
     big_a, alpha, e2n = _krueger()
     ka = _d(UTM_K0 * big_a)
     zone = (f"CASE WHEN {lat} >= 56 AND {lat} < 64 AND {lng} >= 3 AND {lng} < 12 THEN 32 "
@@ -274,11 +287,44 @@ def mgrs_stages(d: Dialect, lat: str, lng: str, out: str, p: str = "_mg_",
                      f"CASE WHEN {p}zone % 2 = 0 THEN 5 ELSE 0 END) % 20 AS INTEGER) + 1, 1)"),
          (f"{p}ed", f"lpad(CAST({d.div(f'{p}ei % 100000', str(scale))} AS STRING), {digits}, '0')"),
          (f"{p}nd", f"lpad(CAST({d.div(f'{p}ni % 100000', str(scale))} AS STRING), {digits}, '0')")],
-        [(out, f"CASE WHEN {p}band IS NOT NULL THEN lpad(CAST({p}zone AS STRING), 2, '0') || "
-               f"{p}band || {p}col || {p}row || {p}ed || {p}nd END")],
+        [(f"{p}utm", f"CASE WHEN {p}band IS NOT NULL THEN lpad(CAST({p}zone AS STRING), 2, '0') || "
+                     f"{p}band || {p}col || {p}row || {p}ed || {p}nd END")],
+    ] + _polar_stages(d, lat, lng, f"{p}polar", f"{p}p", digits) + [
+        [(out, f"coalesce({p}utm, {p}polar)")],
+    ]
+
+
+def _polar_stages(d: Dialect, lat: str, lng: str, out: str, p: str, digits: int) -> list[Stage]:
+    """The polar square of a point beyond the UTM latitudes, else NULL. The
+    distance from the pole is ``2 a k0 t / sqrt((1+e)^(1+e) (1-e)^(1-e))``,
+    t being the tangent of half the conformal colatitude."""
+    e = math.sqrt(WGS84_F * (2 - WGS84_F))
+    reach = 2 * WGS84_A * UPS_K0 / math.sqrt((1 + e) ** (1 + e) * (1 - e) ** (1 - e))
+    scale = 10 ** (5 - digits)
+    # sine of the absolute latitude, kept off 1, where the logarithm ends; the pole is set apart
+    sin = f"least(sin(radians(abs({lat}))), {_d(1 - 2.0 ** -53)})"
+    first = f"CASE WHEN {p}w THEN {UPS_WEST_EASTING} ELSE {UPS_EAST_EASTING} END"
+    low = f"CASE WHEN {lat} >= 0 THEN {UPS_NORTH_NORTHING} ELSE {UPS_SOUTH_NORTHING} END"
+    return [
+        [(f"{p}on", f"({lat} >= 84 AND {lat} <= 90) OR ({lat} < -80 AND {lat} >= -90)"), (f"{p}s", sin),
+         (f"{p}l", f"radians({lng})")],
+        [(f"{p}r", f"CASE WHEN abs({lat}) >= 90 THEN 0.0 ELSE {_d(reach)} * "
+                   f"exp({_d(e)} * atanh({_d(e)} * {p}s) - atanh({p}s)) END")],
+        [(f"{p}e", f"CAST(floor({_d(UPS_POLE)} + {p}r * sin({p}l)) AS BIGINT)"),
+         (f"{p}n", f"CAST(floor({_d(UPS_POLE)} + CASE WHEN {lat} >= 0 THEN -1 ELSE 1 END * {p}r * cos({p}l)) AS BIGINT)")],
+        [(f"{p}w", f"{p}e < {UPS_EAST_EASTING}")],
+        [(f"{p}c", d.div(f"({p}e - {first})", "100000")), (f"{p}k", d.div(f"({p}n - {low})", "100000"))],
+        [(out, f"CASE WHEN {p}on THEN CASE WHEN {lat} >= 0 THEN CASE WHEN {p}w THEN 'Y' ELSE 'Z' END "
+               f"ELSE CASE WHEN {p}w THEN 'A' ELSE 'B' END END || "
+               f"substr(CASE WHEN {p}w THEN '{UPS_WEST_COLUMNS}' ELSE '{UPS_EAST_COLUMNS}' END, CAST({p}c AS INTEGER) + 1, 1) || "
+               f"substr('{UPS_ROWS}', CAST({p}k AS INTEGER) + 1, 1) || "
+               f"lpad(CAST({d.div(f'({p}e % 100000)', str(scale))} AS STRING), {digits}, '0') || "
+               f"lpad(CAST({d.div(f'({p}n % 100000)', str(scale))} AS STRING), {digits}, '0') END")],
     ]
 
 
+
+
 # -------------------------------------------------------------- hexagons --
 
 def hex_stages(lat: str, lng: str, q_out: str, r_out: str, p: str = "_hx_",

@@ -20,27 +20,35 @@ S2_LEVEL = 14
 ROLLUP_LEVELS = (12, 14, 15, 20)
 
 
+def settled(df: DataFrame, before: list[str], outs: list[str]) -> DataFrame:
+    """``before`` and the computed ``outs``, behind a generator of one row: a
+    filter on a bin then stays above the codec. Pushed below, it would repeat
+    every stage of the chain in itself, growing without measure."""
+    one = F.array(F.struct(*outs))
+    return df.select(*before, F.explode(one).alias("_bin")).select(*before, *[F.col(f"_bin.{c}").alias(c) for c in outs])
+
+
 def snap(df: DataFrame, lat: str = "Lat", lng: str = "Lng") -> DataFrame:
     """P-20 + G-01: keep the reported coordinates as ``LatReported`` /
     ``LngReported`` and replace ``Lat`` / ``Lng`` with the centre of the
     level-20 S2 cell, rounded to 5 decimals."""
     df = df.withColumnRenamed(lat, "LatReported").withColumnRenamed(lng, "LngReported")
-    return geo.apply_stages(df, geo.snap_stages(SPARK, "LatReported", "LngReported", lat, lng))
+    return settled(geo.apply_stages(df, geo.snap_stages(SPARK, "LatReported", "LngReported", lat, lng)), df.columns, [lat, lng])
 
 
 def with_s2(df: DataFrame, level: int = S2_LEVEL, lat: str = "Lat", lng: str = "Lng",
             out: str = "S2") -> DataFrame:
     """G-02 codec: S2 cell id at ``level`` as a signed 64-bit pattern
     (``out``) and as unsigned decimal text (``out + '_text'``)."""
-    df = geo.apply_stages(df, geo.s2_cell_id(SPARK, lat, lng, level, out, f"_{out}_"))
-    return df.withColumn(f"{out}_text", F.expr(geo.unsigned_text(SPARK, out)))
+    cells = geo.apply_stages(df, geo.s2_cell_id(SPARK, lat, lng, level, out, f"_{out}_"))
+    return settled(cells, df.columns, [out]).withColumn(f"{out}_text", F.expr(geo.unsigned_text(SPARK, out)))
 
 
 def with_hex(df: DataFrame, lat: str = "Lat", lng: str = "Lng") -> DataFrame:
     """G-04 codec: hexagon axial coordinates ``hex_q``, ``hex_r`` (450 m
     edge on the equal-area cylinder) and a text id ``hex_id``."""
-    df = geo.apply_stages(df, geo.hex_stages(lat, lng, "hex_q", "hex_r"))
-    return df.withColumn("hex_id", F.concat_ws(":", F.lit("hex450"), F.col("hex_q").cast("string"),
+    cells = geo.apply_stages(df, geo.hex_stages(lat, lng, "hex_q", "hex_r"))
+    return settled(cells, df.columns, ["hex_q", "hex_r"]).withColumn("hex_id", F.concat_ws(":", F.lit("hex450"), F.col("hex_q").cast("string"),
                                                F.col("hex_r").cast("string")))
 
 
@@ -56,8 +64,8 @@ def with_wkt(df: DataFrame, lat: str = "Lat", lng: str = "Lng", out: str = "WKT"
 
 def with_mgrs(df: DataFrame, lat: str = "Lat", lng: str = "Lng", out: str = "MGRS",
               digits: int = 4) -> DataFrame:
-    """G-07 codec."""
-    return geo.apply_stages(df, geo.mgrs_stages(SPARK, lat, lng, out, digits=digits))
+    """G-07 codec: MGRS squares, polar ones beyond 84 N and 80 S."""
+    return settled(geo.apply_stages(df, geo.mgrs_stages(SPARK, lat, lng, out, digits=digits)), df.columns, [out])
 
 
 def bin_location(df: DataFrame, lat: str = "Lat", lng: str = "Lng") -> DataFrame:
@@ -87,19 +95,21 @@ def s2_density(binned: DataFrame, cell: str = "S2", vessel: str = "MMSI") -> Dat
 
 
 def s2_rollup(snapped: DataFrame, levels: tuple[int, ...] = ROLLUP_LEVELS,
-              lat: str = "Lat", lng: str = "Lng") -> DataFrame:
-    """G-03: report counts per S2 cell at several levels, with each cell's
-    centre. Counted once at the finest level (by face and truncated i, j),
-    the finest cell id is computed on that (much smaller) table, and every
-    level is derived from it in one pass: parent id by bit mask, centre from
-    the truncated i, j. No per-level re-scan, no union."""
+              lat: str = "Lat", lng: str = "Lng", vessel: str = "MMSI") -> DataFrame:
+    """G-03: reports and distinct vessels per S2 cell at several levels, with
+    each cell's centre. Rows are shuffled once, to reports per vessel and
+    finest cell (by face and truncated i, j; pre-counted in every task). The
+    finest cell id is computed on that (much smaller) table, and every level
+    is derived from it in one pass: parent id by bit mask, centre from the
+    truncated i, j; a vessel counts once in a cell of any level. No per-level
+    re-scan, no union."""
     finest = max(levels)
     shift = geo.S2_MAX_LEVEL - finest
-    ij = geo.apply_stages(snapped.select(lat, lng), geo.s2_face_ij(lat, lng, "_r_"),
+    ij = geo.apply_stages(snapped.select(lat, lng, F.col(vessel).alias("vessel")), geo.s2_face_ij(lat, lng, "_r_"),
                           keep=["_r_face", "_r_i", "_r_j"])
     leaf = (ij.groupBy(F.col("_r_face").alias("_l_face"),
                        F.shiftleft(F.shiftright("_r_i", shift), shift).alias("_l_i"),
-                       F.shiftleft(F.shiftright("_r_j", shift), shift).alias("_l_j"))
+                       F.shiftleft(F.shiftright("_r_j", shift), shift).alias("_l_j"), "vessel")
             .agg(F.count(F.lit(1)).alias("reports")))
     fine = geo.apply_stages(
         leaf, geo.s2_hilbert(SPARK, "_l_", finest)
@@ -112,10 +122,11 @@ def s2_rollup(snapped: DataFrame, levels: tuple[int, ...] = ROLLUP_LEVELS,
               + [[("center_lat", SPARK.round_even("_c_lat", geo.CENTER_DIGITS)),
                   ("center_lng", SPARK.round_even("_c_lng", geo.CENTER_DIGITS))]])
     cells = geo.apply_stages(per_level, stages)
-    return (cells.groupBy("level", "cell", "center_lat", "center_lng")
-            .agg(F.sum("reports").alias("reports"))
+    each = cells.groupBy("level", "cell", "center_lat", "center_lng", "vessel").agg(F.sum("reports").alias("reports"))
+    return (each.groupBy("level", "cell", "center_lat", "center_lng")
+            .agg(F.sum("reports").alias("reports"), F.count("vessel").alias("vessels"))
             .select("level", "cell", F.expr(geo.unsigned_text(SPARK, "cell")).alias("cell_text"),
-                    "center_lat", "center_lng", "reports"))
+                    "center_lat", "center_lng", "reports", "vessels"))
 
 
 def hex_density(binned: DataFrame) -> DataFrame:
@@ -126,12 +137,8 @@ def hex_density(binned: DataFrame) -> DataFrame:
 
 def mgrs_density(binned: DataFrame, prefix_only: bool = False) -> DataFrame:
     """G-07 aggregate: reports per 10 m square, or per 100 km square
-    (zone, band and the two letters) with ``prefix_only``. Reports outside
-    the UTM latitudes have no square and are counted under NULL.
-
-    No filter is placed on the computed square: Catalyst would push it down
-    through the codec's projection chain and inline every stage into it.
-    Filter bins after they are written, or on the input coordinates.
-    """
-    key = F.substring("MGRS", 1, 5) if prefix_only else F.col("MGRS")
+    (zone, band and the two letters; a polar square has no zone) with
+    ``prefix_only``."""
+    letters = F.when(F.col("MGRS").rlike("^[0-9]"), 5).otherwise(3)
+    key = F.col("MGRS").substr(F.lit(1), letters) if prefix_only else F.col("MGRS")
     return binned.groupBy(key.alias("square")).agg(F.count(F.lit(1)).alias("reports"))

@@ -61,7 +61,7 @@ def _g03_sql() -> str:
     snap_chain, snap_last = geo.duckdb_chain("vr", _SNAP, "sn")
     face_chain, face_last = geo.duckdb_chain(snap_last, geo.s2_face_ij("Lat", "Lng", "_r_"), "fc")
     leaf = (f"leaf AS (SELECT _r_face AS _l_face, (_r_i >> {shift}) << {shift} AS _l_i, "
-            f"(_r_j >> {shift}) << {shift} AS _l_j, count(*) AS reports FROM {face_last} GROUP BY ALL)")
+            f"(_r_j >> {shift}) << {shift} AS _l_j, MMSI, count(*) AS reports FROM {face_last} GROUP BY ALL)")
     fine_chain, fine_last = geo.duckdb_chain(
         "leaf", geo.s2_hilbert(DUCKDB, "_l_", finest)
         + [[("_cell_f", DUCKDB.s2_id("_l_face", f"_l_pos{finest}", finest))]], "hf")
@@ -78,7 +78,7 @@ def _g03_sql() -> str:
             f"WHERE {_VALID}),\n" + ",\n".join([snap_chain, face_chain, leaf, fine_chain,
                                                   per_level, cell_chain]))
     body = (f"SELECT level, cell, {geo.unsigned_text(DUCKDB, 'cell')} AS cell_text, center_lat, "
-            f"center_lng, CAST(sum(reports) AS BIGINT) AS reports FROM {cell_last} GROUP BY ALL")
+            f"center_lng, CAST(sum(reports) AS BIGINT) AS reports, count(DISTINCT MMSI) AS vessels FROM {cell_last} GROUP BY ALL")
     return with_reports(body, base)
 
 
@@ -126,11 +126,36 @@ def g07(spark, sf):
 
 
 @register("g07b_mgrs_100km", _chain(
-    "vr", _MG, "mg", "SELECT substr(MGRS, 1, 5) AS square, count(*) AS reports FROM {last} GROUP BY ALL"))
+    "vr", _MG, "mg", "SELECT regexp_extract(MGRS, '^[0-9]*[A-Z]+') AS square, count(*) AS reports FROM {last} GROUP BY ALL"))
 def g07b(spark, sf):
     return binning.mgrs_density(binning.with_mgrs(binning.snap(_valid(spark, sf))), prefix_only=True)
 
 
+# positions of the fixture moved poleward, so that a part lies beyond 84 N and 80 S
+_POLEWARD = "CASE WHEN Lat > 0 THEN least(90.0, Lat + 25.0) ELSE greatest(-90.0, Lat - 25.0) END"
+_MGP = _SNAP + [[("PLat", _POLEWARD)]] + geo.mgrs_stages(DUCKDB, "PLat", "Lng", "MGRS")
+
+
+@register("g07c_polar_squares", _chain(
+    "vr", _MGP, "mp", "SELECT substr(MGRS, 1, 3) AS square, count(*) AS reports, min(MGRS) AS least, max(MGRS) AS greatest "
+    "FROM {last} WHERE regexp_matches(MGRS, '^[ABYZ]') GROUP BY ALL"))
+def g07c(spark, sf):
+    """Reports per polar 100 km square: a filter on the computed square."""
+    moved = binning.snap(_valid(spark, sf)).withColumn("PLat", F.expr(_POLEWARD))
+    squares = binning.with_mgrs(moved, lat="PLat").where(F.col("MGRS").rlike("^[ABYZ]"))
+    return squares.groupBy(F.substring("MGRS", 1, 3).alias("square")).agg(
+        F.count(F.lit(1)).alias("reports"), F.min("MGRS").alias("least"), F.max("MGRS").alias("greatest"))
+
+
+@register("g02b_cell_reports", _chain(
+    "vr", _SNAP + geo.s2_cell_id(DUCKDB, "Lat", "Lng", binning.S2_LEVEL, "S2", "_S2_"), "s2",
+    f"SELECT {KEY_SQL}, S2 FROM {{last}} WHERE S2 % 3 = 0"))
+def g02b(spark, sf):
+    """The reports of some cells: a filter on the computed cell."""
+    cells = binning.with_s2(binning.snap(_valid(spark, sf)))
+    return cells.where(F.col("S2") % 3 == 0).select(*KEY, "S2")
+
+
 @register("g08_binned_record", _chain(
     "vr", _BIN, "bn",
     f"SELECT {KEY_SQL}, LatReported AS lat_reported, LngReported AS lng_reported, Lat AS lat, "
