@@ -41,7 +41,11 @@ BLOCK_BYTES, BLOCK_TEXTS = 8 << 20, 8192
 #: Products expanded at a time, unless one row alone has more.
 EXPANDED = 1 << 22
 #: Characters of chunks whose ids a task keeps.
-KEPT_CHARS = 3 << 20
+KEPT_CHARS = 2 << 20
+# Fixed value: the pattern of byte-level pre-tokenization.
+_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters of which libraries may know different Unicode versions.
+_RARE = re.compile("[^\\x00-\u052f]")
 _CUT = re.compile(r"(?<=\S)(?= [\s\S])")
 #: An id pair is one number: A's id above these bits, B's id in them.
 ID_BITS = 31
@@ -152,27 +156,74 @@ class Pair:
         apart = split["normalizer"] is None and split["pre_tokenizer"] == {
             "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         self._cuts = apart and not any("▁" in p.lstrip("▁") for p in pieces)
+        self._ranked = self._by_rank(split) if self._cuts else None
         self._known: dict[str, tuple[bytes, bytes] | None] = {}
+        self._old: dict[str, tuple[bytes, bytes] | None] = {}
         self._chars = 0
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _by_rank(self, file: dict):
+        """A as an encoder by rank, several times faster, if the file lists
+        its merges in the order of the ids they make; else None."""
+        import tiktoken
+
+        ids = file["model"]["vocab"]
+        made = [ids["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in file["model"]["merges"]]
+        special = {t["id"] for t in file["added_tokens"]}
+        ranks = {b: i for i, b in enumerate(self.bytes_a) if b and i not in special}
+        if made != sorted(made) or len(ranks) != 256 + len(made) or min(made) != 256:
+            return None
+        return tiktoken.Encoding("ranked", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def _apart(self, chunks: list[str]) -> None:
+        """Learn chunks one by one."""
         ids_a = [e.ids for e in self._a.encode_batch(chunks, add_special_tokens=False)]
         ids_b = self._b.encode([c[1:] for c in chunks], num_threads=1)
         for chunk, a, b in zip(chunks, ids_a, ids_b, strict=True):
             same = b"".join(map(self.bytes_a.__getitem__, a)) == chunk.encode() == b"".join(map(self.bytes_b.__getitem__, b))
             self._known[chunk] = (array("i", a).tobytes(), array("i", b).tobytes()) if same else None
-            self._chars += len(chunk)
+
+    def _together(self, chunks: list[str]) -> bool:
+        """Learn common chunks as one text; False if their bytes do not come
+        back or a token stands across two of them."""
+        text = "".join(chunks)
+        raw, sides = text.encode(), []
+        stops = np.cumsum([len(c.encode()) for c in chunks])
+        for ids, table, size in ((self._ranked(text), self.bytes_a, self.size_a),
+                                 (self._b.encode(text[1:]), self.bytes_b, self.size_b)):
+            if b"".join(map(table.__getitem__, ids)) != raw:
+                return False
+            ids = np.array(ids, np.int32)
+            ends = np.cumsum(size[ids])
+            at = np.searchsorted(ends, stops)
+            if (ends[at] != stops).any():
+                return False
+            cuts = (4 * np.concatenate(([0], at + 1))).tolist()
+            held = ids.tobytes()
+            sides.append([held[x:y] for x, y in zip(cuts, cuts[1:], strict=False)])
+        self._known.update(zip(chunks, zip(*sides, strict=True), strict=True))
+        return True
+
+    def _learn(self, chunks: list[str]) -> None:
+        common = [c for c in chunks if not _RARE.search(c)] if self._ranked else []
+        if common and not self._together(common):
+            common = []
+        if len(common) < len(chunks):
+            self._apart([c for c in chunks if c not in self._known])
+        self._chars += sum(map(len, chunks))
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B for each text; none where there is no text or the
         bytes of either differ from a space and the text."""
-        if self._chars > KEPT_CHARS:
-            self._known.clear()
-            self._chars = 0
+        if self._chars > KEPT_CHARS:   # what is asked for again comes back from the old ones
+            self._old, self._known, self._chars = self._known, {}, 0
         cut = [(_CUT.split(" " + t) if self._cuts else [" " + t]) if t else [] for t in texts]
-        new = list(dict.fromkeys(c for chunks in cut for c in chunks if c not in self._known))
-        if new:
-            self._learn(new)
+        new = {c for chunks in cut for c in chunks} - self._known.keys()
+        again = new & self._old.keys()
+        for c in again:
+            self._known[c] = self._old[c]
+            self._chars += len(c)
+        if len(new) > len(again):
+            self._learn(sorted(new - again))
         out = []
         for chunks in cut:
             found = [self._known[c] for c in chunks]
