@@ -86,6 +86,16 @@ def cumulative_rate(raw: DataFrame, every: int = RATE_EVERY, ts: str = "timestam
             .withColumn("rate", F.when(F.col("elapsed_s") > 0, F.col("n") / F.col("elapsed_s"))))
 
 
+def flush_counts(raw: DataFrame, flush: str = FLUSH_INTERVAL, ts: str = "timestamp") -> DataFrame:
+    """Messages per ``flush`` window of arrival time: count, first arrival and
+    bytes. All three add up, so rows of one window may come in parts."""
+    return (raw.groupBy(F.window(ts, flush).alias("f"))
+            .agg(F.count(F.lit(1)).alias("flush_count"), F.min(ts).alias("first_ts"),
+                 F.sum(F.octet_length("value")).alias("bytes"))
+            .select(F.col("f.start").alias("flush_start"), F.col("f.end").alias("flush_end"),
+                    "flush_count", "first_ts", "bytes"))
+
+
 def interval_stats(raw: DataFrame, seconds: int = 60, flush: str = FLUSH_INTERVAL,
                    ts: str = "timestamp") -> DataFrame:
     """A-07: per interval, messages and bytes, running total, overall rate since the
@@ -96,11 +106,11 @@ def interval_stats(raw: DataFrame, seconds: int = 60, flush: str = FLUSH_INTERVA
     interval. One read: the running total and the first arrival come from a
     window over the interval table, one row a minute.
     """
-    flushes = (raw.groupBy(F.window(ts, flush).alias("f"))
-               .agg(F.count(F.lit(1)).alias("flush_count"), F.min(ts).alias("first_ts"),
-                    F.sum(F.octet_length("value")).alias("bytes"))
-               .select(F.col("f.start").alias("flush_start"), F.col("f.end").alias("flush_end"),
-                       "flush_count", "first_ts", "bytes"))
+    return stats_of_flushes(flush_counts(raw, flush, ts), seconds)
+
+
+def stats_of_flushes(flushes: DataFrame, seconds: int = 60) -> DataFrame:
+    """A-07 from ``flush_counts``."""
     intervals = (flushes.groupBy(F.window("flush_start", f"{seconds} seconds").alias("w"))
                  .agg(F.sum("flush_count").alias("messages"), F.min("first_ts").alias("first_ts"), F.sum("bytes").alias("bytes"),
                       F.max_by(F.struct("flush_end", "flush_count"), "flush_end").alias("last"))

@@ -13,11 +13,16 @@ query resumes where it stopped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import aggregates, decode, ordering, standardize, stateful
+from ..operators import aggregates, decode, standardize, stateful
 from ..plans import pipelines as batch
 from ..session import checkpoint_root
 from ..sinks import state as state_sink
@@ -190,80 +195,77 @@ def reenvelope_stream(raw: DataFrame, out_path: str, name: str = "q07_reenvelope
     return w.start()
 
 
-def keyed_collect_stream(raw: DataFrame, item, state_root: str, out_path: str,
-                         name: str = "w04_keyed_collect", max_items: int = stateful.COLLECT_MAX_ITEMS,
-                         timeout_seconds: int = stateful.COLLECT_TIMEOUT_SECONDS,
-                         trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """W-04 as a stream (``foreachBatch``): lists of at most ``max_items``
-    items in arrival order, cut by gaps longer than ``timeout_seconds``.
-
-    A one-row carried state (current session id, items of it already
-    written, last arrival, the open list of fewer than ``max_items`` items)
-    is prepended to each micro-batch; every closed list is written under
-    ``batch_id=<n>`` and the new state as version ``v=<n>``, so a retried
-    batch rewrites both exactly. A list closes when it is full or when a
-    later message opens a new session.
-    """
-    spark = raw.sparkSession
-    order = stateful.MESSAGE_ORDER
-    ts = order[0]
+def _collector(max_items: int, timeout_us: int, order: list[str], wall_clock: bool):
+    """The keyed collect of one key's rows of a micro-batch, after its state:
+    (session, items of it in closed lists, last arrival, the open list)."""
+    columns = ["key", "session", "chunk", "n_items", "first_arrival", "last_arrival", "items"]
 
-    def process(batch_df: DataFrame, batch_id: int) -> None:
-        s = batch_df.sparkSession
-        msgs = batch_df.select(*order, item.alias("_item")).persist()   # read several times below
-        try:
-            collect(s, msgs, batch_id)
-        finally:
-            msgs.unpersist()
+    def lists(key: str, found: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame([(key, session, chunk, len(items), *(pd.Timestamp(t, unit="us") for t in (at[0], at[-1])), items)
+                             for session, chunk, at, items in found], columns=columns)
 
-    def collect(s: SparkSession, msgs: DataFrame, batch_id: int) -> None:
-        carry = state_sink.read_version(s, state_root, before=batch_id)
-        session0, chunk0 = 1, 0          # numbering of the first local session
-        if carry is not None:
-            c = carry.first()
-            opened = carry.select(F.explode("open").alias("o")).select(
-                *[F.col(f"o.{k}").alias(k) for k in order], F.col("o._item").alias("_item"))
-            first_new = msgs.agg(F.min(ts)).first()[0]
-            gap_ok = first_new is not None and \
-                (first_new - c["last_ts"]).total_seconds() <= timeout_seconds
-            if len(c["open"]) > 0 or gap_ok:
-                session0, chunk0 = c["session"], c["emitted"] // max_items
-            else:
-                session0 = c["session"] + 1
-            msgs = opened.unionByName(msgs)
-        lists = stateful.keyed_collect(msgs, F.struct(*order, "_item"), max_items=max_items,
-                                       timeout_seconds=timeout_seconds)
-        lists = lists.withColumns({
-            "chunk": F.col("chunk") + F.when(F.col("session") == 1, F.lit(chunk0)).otherwise(0),
-            "session": F.col("session") + F.lit(session0 - 1),
-        })
-        last = lists.agg(F.max_by(F.struct("session", "chunk", "n_items", "last_arrival"),
-                                  F.struct("session", "chunk")).alias("l")).first()["l"]
-        if last is None:
+    def collect(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        session, closed, last, open_at, open_items = state.get if state.exists else (0, 0, None, [], [])
+        open_at, open_items = list(open_at), list(open_items)
+        if state.hasTimedOut:   # idle by the clock: the list closes, and with it the session
+            state.update((session, closed + len(open_items), -1, [], []))
+            if open_items:
+                yield lists(key[0], [(session, closed // max_items, open_at, open_items)])
             return
-        is_open = ((F.col("session") == last["session"]) & (F.col("chunk") == last["chunk"])
-                   & (F.col("n_items") < max_items))
-        (lists.where(~is_open)
-         .select("key", "session", "chunk", "n_items", "first_arrival", "last_arrival",
-                 F.transform("items", lambda x: x["_item"]).alias("items"),
-                 F.lit(batch_id).alias("batch_id"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
-        full = last["n_items"] >= max_items
-        state = lists.where(F.col("session") == last["session"]) \
-            .where(F.col("chunk") == last["chunk"]).select(
-                F.lit(last["session"]).cast("long").alias("session"),
-                F.lit(last["chunk"] * max_items + (max_items if full else 0)).cast("long")
-                .alias("emitted"),
-                F.col("last_arrival").alias("last_ts"),
-                (F.filter("items", lambda x: F.lit(False)) if full else F.col("items")).alias("open"))
-        state_sink.write_version(state, state_root, batch_id)
-
-    w = (raw.writeStream.queryName(name).foreachBatch(process)
-         .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+        rows = pd.concat(list(frames)).sort_values(order, kind="stable")
+        at = rows["_us"].to_numpy()
+        before = np.concatenate(([last if last is not None else 0], at[:-1]))
+        starts = at - before > timeout_us
+        starts[0] |= last is None or last < 0
+        sessions = session + np.cumsum(starts)
+        head = closed + len(open_items)                 # place of the first row, were it in the open session
+        here = np.arange(len(at))
+        begun = np.maximum.accumulate(np.where(starts, here, -1))
+        place = np.where(begun < 0, head + here, here - begun)
+        at = np.concatenate((np.array(open_at, np.int64), at))
+        items = open_items + rows["_item"].tolist()
+        sessions = np.concatenate((np.full(len(open_at), session), sessions))
+        chunks = np.concatenate((np.full(len(open_at), closed // max_items), place // max_items))
+        cuts = [0, *(np.flatnonzero((np.diff(sessions) != 0) | (np.diff(chunks) != 0)) + 1).tolist(), len(at)]
+        found = [(int(sessions[i]), int(chunks[i]), at[i:j].tolist(), items[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
+        session, chunk, open_at, open_items = found[-1]
+        full = len(open_items) >= max_items
+        state.update((session, (chunk + full) * max_items, int(at[-1]), [] if full else open_at, [] if full else open_items))
+        if wall_clock and not full:
+            state.setTimeoutDuration(timeout_us // 1000)
+        sent = found if full else found[:-1]
+        if sent:
+            yield lists(key[0], sent)
+    return collect
+
+
+def keyed_collect_stream(raw: DataFrame, item: Column, name: str = "w04_keyed_collect",
+                         max_items: int = stateful.COLLECT_MAX_ITEMS,
+                         timeout_seconds: int = stateful.COLLECT_TIMEOUT_SECONDS, key: Column | None = None,
+                         wall_clock: bool = False, **kw) -> StreamingQuery:
+    """W-04 as a stream: lists of at most ``max_items`` items of a key (all
+    under ``ALL`` unless ``key`` says otherwise) in arrival order, cut by gaps
+    longer than ``timeout_seconds``. Spark's state store holds for each key
+    its session, the items of it already sent, the last arrival and the open
+    list of fewer than ``max_items`` items.
+
+    A list is sent when it is full or when a later message opens a session;
+    with ``wall_clock`` also when no message came for ``timeout_seconds`` of
+    processing time. A message that comes in a later micro-batch than a newer
+    one joins what is open then; none is dropped. One key's messages of a
+    micro-batch meet in one task, as the order under one key asks: bound the
+    micro-batch (``max_per_trigger``).
+    """
+    order = stateful.MESSAGE_ORDER
+    rows = raw.select((F.lit("ALL") if key is None else key.cast("string")).alias("key"), *order,
+                      F.unix_micros(order[0]).alias("_us"), item.alias("_item"))
+    kind = rows.schema["_item"].dataType.simpleString()
+    out = rows.groupBy("key").applyInPandasWithState(
+        _collector(max_items, timeout_seconds * 1_000_000, order, wall_clock),
+        f"key string, session bigint, chunk bigint, n_items bigint, first_arrival timestamp, last_arrival timestamp, items array<{kind}>",
+        f"session bigint, closed bigint, last bigint, open_at array<bigint>, open_items array<{kind}>", "append",
+        GroupStateTimeout.ProcessingTimeTimeout if wall_clock else GroupStateTimeout.NoTimeout)
+    return _start(out, name, **kw)
 
 
 def cumulative_rate_stream(raw: DataFrame, state_root: str, out_path: str,
@@ -300,58 +302,28 @@ def cumulative_rate_stream(raw: DataFrame, state_root: str, out_path: str,
     return w.start()
 
 
-def interval_stats_stream(raw: DataFrame, state_root: str, out_path: str, seconds: int = 60,
-                          flush: str = stateful.FLUSH_INTERVAL, watermark: str = WATERMARK,
+def interval_stats_stream(raw: DataFrame, path: str, flush: str = stateful.FLUSH_INTERVAL,
                           name: str = "a07_interval_stats", trigger: dict | None = None,
                           checkpoint: str | None = None) -> StreamingQuery:
-    """A-07 as a stream: two chained event-time window aggregations (flush
-    windows, then intervals over their ``window_time``) in append mode with
-    a watermark; the running total and the first arrival are carried across
-    micro-batches in ``foreachBatch`` (one-row state, version per batch)."""
-    spark = raw.sparkSession
-    flushes = (raw.withWatermark("timestamp", watermark)
-               .groupBy(F.window("timestamp", flush).alias("f"))
-               .agg(F.count(F.lit(1)).alias("flush_count"), F.min("timestamp").alias("first_ts")))
-    intervals = (flushes.groupBy(F.window(F.window_time("f"), f"{seconds} seconds").alias("w"))
-                 .agg(F.sum("flush_count").alias("messages"),
-                      F.max_by(F.struct(F.col("f.end").alias("end"), "flush_count"), F.col("f.end"))
-                      .alias("last"),
-                      F.min("first_ts").alias("first_ts"))
-                 .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                         "messages", F.col("last.flush_count").alias("last_flush_count"),
-                         F.col("last.end").alias("last_flush_end"), "first_ts"))
-
+    """A-07 as a stream: each micro-batch adds its messages per flush window
+    to the table at ``path`` (counts, first arrivals and bytes add up); a
+    micro-batch run again writes its part again. There is no watermark: a late
+    message counts in its own window, and ``interval_stats_of`` restates the
+    totals from there on. Nothing waits for a window to end."""
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        s = batch_df.sparkSession
-        carry = state_sink.read_version(s, state_root, before=batch_id)
-        stats = batch_df.agg(F.min("first_ts").alias("t0"), F.sum("messages").alias("n")).first()
-        total, first = 0, stats["t0"]
-        if carry is not None:
-            c = carry.first()
-            total = c["total"]
-            first = min(x for x in (c["first_ts"], stats["t0"]) if x is not None) \
-                if (c["first_ts"] or stats["t0"]) else None
-        if stats["n"]:
-            run = ordering.running(batch_df, [], ["window_start"], "messages", "_run")
-            since_start = (F.unix_micros("window_end") - F.unix_micros(F.lit(first))) / F.lit(1e6)
-            since_flush = (F.unix_micros("window_end") - F.unix_micros("last_flush_end")) / F.lit(1e6)
-            out = run.select(
-                "window_start", "window_end", "messages",
-                (F.col("_run") + F.lit(total)).alias("total_messages"),
-                F.when(since_start > 0, (F.col("_run") + F.lit(total)) / since_start)
-                .otherwise(F.lit(0.0)).alias("overall_rate"),
-                "last_flush_count",
-                F.when(since_flush > 0, F.col("last_flush_count") / since_flush)
-                .otherwise(F.lit(0.0)).alias("last_flush_rate"),
-                F.lit(batch_id).alias("batch_id"))
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(out_path))
-        state = s.range(1).select(F.lit(total + (stats["n"] or 0)).cast("long").alias("total"),
-                                  F.lit(first).cast("timestamp").alias("first_ts"))
-        state_sink.write_version(state, state_root, batch_id)
+        (aggregates.flush_counts(batch_df, flush).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
-    w = (intervals.writeStream.queryName(name).outputMode("append").foreachBatch(process)
-         .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
+    w = (raw.writeStream.queryName(name).foreachBatch(process)
+         .option("checkpointLocation", checkpoint or checkpoint_for(raw.sparkSession, name)))
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def interval_stats_of(spark: SparkSession, path: str, seconds: int = 60) -> DataFrame:
+    """The interval statistics of all messages that ``interval_stats_stream``
+    has seen, the last interval too."""
+    parts = spark.read.parquet(path).groupBy("flush_start", "flush_end").agg(
+        F.sum("flush_count").alias("flush_count"), F.min("first_ts").alias("first_ts"), F.sum("bytes").alias("bytes"))
+    return aggregates.stats_of_flushes(parts, seconds)
