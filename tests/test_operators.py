@@ -58,7 +58,8 @@ def test_area_filter_paths_agree(spark):
                                "id int, Lat double, Lng double")
     boxes = sources.boxes_frame(spark, [[[10, -30], [-20, 40]], [[50, 100], [60, 120]]])
     a = {r["id"] for r in sources.area_filter(df, boxes).collect()}
-    b = {r["id"] for r in sources.area_filter(df, boxes, broadcast_limit=0).collect()}
+    b = {r["id"] for r in df.where("(Lat BETWEEN -20 AND 10 AND Lng BETWEEN -30 AND 40) OR "
+                                   "(Lat BETWEEN 50 AND 60 AND Lng BETWEEN 100 AND 120)").collect()}
     assert a == b and len(a) > 0
 
 
@@ -155,3 +156,32 @@ def test_timed_collect_lists_items_in_arrival_order(spark):
     names = [d[3] for d in data]
     assert got == {(0, 0): names[:120], (0, 1): names[120:240], (0, 2): names[240:251], (10, 0): names[251:253],
                    (30, 0): names[253:]}
+
+
+def test_area_filter_of_any_size(spark):
+    """Boxes of all sizes, few and many, across the antimeridian and beyond the globe's edge, against DuckDB."""
+    import random
+
+    import duckdb
+    rng = random.Random(4)
+    points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(1500)] + \
+        [(90.0, 180.0), (-90.0, -180.0), (0.0, 0.0), (None, 1.0), (float("nan"), 1.0), (91.0, 10.0), (10.0, 181.0)] * 2
+    frame = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(points)], "id int, Lat double, Lng double")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (id INTEGER, Lat DOUBLE, Lng DOUBLE)")
+    con.executemany("INSERT INTO p VALUES (?, ?, ?)", [(i, a, b) for i, (a, b) in enumerate(points)])
+    for n in (3, 50_000):
+        boxes = []
+        for i in range(n):
+            h, w = (10 ** rng.uniform(-3, 1.2 if n < 10 else -0.5) for _ in range(2))
+            lat, lng = rng.uniform(-90, 90), rng.uniform(-180, 180)
+            boxes.append((i, lat, min(lat + h, 90.0), lng, lng + w if lng + w <= 180 else lng + w - 360))
+        boxes += [(n, 0.0, 0.0, 0.0, 0.0), (n + 1, -95.0, -85.0, -180.0, 180.0), (n + 2, 40.0, 95.0, 170.0, -170.0)]
+        table = spark.createDataFrame(boxes, "box_id int, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
+        got = sorted(r["id"] for r in sources.area_filter(frame, table).collect())
+        import pandas as pd
+        con.register("b", pd.DataFrame(boxes, columns=["box_id", "lat_lo", "lat_hi", "lng_lo", "lng_hi"]))
+        want = [r[0] for r in con.execute(
+            "SELECT id FROM p WHERE EXISTS (SELECT 1 FROM b WHERE Lat BETWEEN lat_lo AND lat_hi AND CASE WHEN lng_lo <= lng_hi "
+            "THEN Lng BETWEEN lng_lo AND lng_hi ELSE (Lng BETWEEN lng_lo AND 180) OR (Lng BETWEEN -180 AND lng_hi) END) ORDER BY id").fetchall()]
+        assert got == want and 0 < len(got) < len(points)

@@ -26,9 +26,16 @@ def test_decode_parses_value_once(spark):
     assert plan.count("from_json(") == 1
 
 
-def test_area_filter_is_broadcast_semi_join(spark):
+def test_area_filter_looks_up_cells(spark):
+    """Marks by equality, one read of the reports, no nested loop: with few boxes and, by cell, with many."""
+    from tidewater.sources import topics
     plan = _plan(QUERIES["s07_area_filter"](spark, SF_SMALL))
-    assert "BroadcastNestedLoopJoin" in plan and "LeftSemi" in plan
+    assert "NestedLoop" not in plan and plan.count("ExistenceJoin") == len(topics.COVER_LEVELS)
+    assert plan.split("== Initial Plan ==")[0].count("FileScan") == 1
+    many = spark.range(1000).selectExpr("id * 0.1D - 50 AS lat_lo", "id * 0.1D - 49.9 AS lat_hi", "-1D AS lng_lo", "1D AS lng_hi")
+    points = spark.range(1000).selectExpr("id * 0.17D - 85 AS Lat", "id * 0.001D AS Lng")
+    with_merge = topics.area_filter(points, many.hint("merge"))
+    assert "NestedLoop" not in _plan(with_merge)
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))

@@ -11,15 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ordering
 from ..operators.decode import parsed
 from ..schemas import REPORT, TOPIC_ROW
 
-BOX_BROADCAST_LIMIT = 10_000
-BOX_BUCKET_DEGREES = 1.0
+#: Levels of the cells that cover boxes: level L halves the globe L times in
+#: either direction. A box is covered at the finest level at which it is at most
+#: CELLS_ACROSS cells wide and high, or at the coarsest.
+COVER_LEVELS = (6, 10, 14, 18)
+CELLS_ACROSS = 16
 
 # The collector's configured area of interest (whole world)
 # and the producer's two boxes, corners as [lat, lng] in either order.
@@ -111,7 +114,8 @@ def topic_catalogue(raw: DataFrame) -> DataFrame:
 
 def boxes_frame(spark: SparkSession, boxes: Iterable) -> DataFrame:
     """Area of interest as a table ``box_id, lat_lo, lat_hi, lng_lo, lng_hi``
-    (corners in either order)."""
+    (corners in either order). A table of one's own may have ``lng_lo`` above
+    ``lng_hi``: such a box crosses the antimeridian."""
     rows = []
     for i, ((a_lat, a_lng), (b_lat, b_lng)) in enumerate(boxes):
         rows.append((i, float(min(a_lat, b_lat)), float(max(a_lat, b_lat)),
@@ -120,33 +124,62 @@ def boxes_frame(spark: SparkSession, boxes: Iterable) -> DataFrame:
         rows, "box_id int, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
 
 
-def area_filter(df: DataFrame, boxes: DataFrame, lat: str = "Lat", lng: str = "Lng",
-                broadcast_limit: int = BOX_BROADCAST_LIMIT) -> DataFrame:
-    """S-07: keep reports inside any box (edges inclusive).
-
-    Up to ``broadcast_limit`` boxes: a broadcast left-semi join on the range
-    condition (each task checks its rows against the small box list). Beyond
-    it: boxes are cut into ``BOX_BUCKET_DEGREES`` grid cells, reports are
-    tagged with their cell, and an equi-join on the cell plus the range
-    condition does the work with a normal shuffle join.
+def _cell(value: Column, low: float, span: float, level: Column | int) -> Column:
+    """Number of the row or column of a coordinate at a level, from 0; never
+    falling as the coordinate rises, and beyond the globe that of its edge."""
+    count = F.lit(float(1 << level)) if isinstance(level, int) else F.pow(F.lit(2.0), level)
+    at = F.floor((value - F.lit(low)) / F.lit(span) * count)
+    return F.least(F.greatest(at, F.lit(0)), count - 1).cast("long")
+
+
+def _cell_id(row: Column, column: Column) -> Column:
+    return F.shiftleft(row, 32).bitwiseOR(column)
+
+
+def cover_cells(boxes: DataFrame) -> DataFrame:
+    """``level, cell, inside, lat_lo, lat_hi, lng_lo, lng_hi``: the cells that
+    cover the boxes. A cell ``inside`` a box (between its first and last row
+    and column) needs no further check, and is listed once however many boxes
+    hold it; the others come with the bounds of their box."""
+    west = F.struct(F.col("lng_lo").alias("lo"), F.lit(180.0).alias("hi"))
+    east = F.struct(F.lit(-180.0).alias("lo"), F.col("lng_hi").alias("hi"))
+    own = F.struct(F.col("lng_lo").alias("lo"), F.col("lng_hi").alias("hi"))
+    parts = boxes.select("lat_lo", "lat_hi", F.explode(
+        F.when(F.col("lng_lo") > F.col("lng_hi"), F.array(west, east)).otherwise(F.array(own))).alias("p")) \
+        .select("lat_lo", "lat_hi", F.col("p.lo").alias("lng_lo"), F.col("p.hi").alias("lng_hi")).distinct()
+    level = F.lit(COVER_LEVELS[0])
+    for finer in COVER_LEVELS[1:]:
+        high = _cell(F.col("lat_hi"), -90.0, 180.0, finer) - _cell(F.col("lat_lo"), -90.0, 180.0, finer)
+        wide = _cell(F.col("lng_hi"), -180.0, 360.0, finer) - _cell(F.col("lng_lo"), -180.0, 360.0, finer)
+        level = F.when((high < CELLS_ACROSS) & (wide < CELLS_ACROSS), F.lit(finer)).otherwise(level)
+    placed = parts.withColumn("level", level)
+    ends = {f"{side}{end}": _cell(F.col(f"{name}_{edge}"), low, span, F.col("level"))
+            for side, name, low, span in (("r", "lat", -90.0, 180.0), ("c", "lng", -180.0, 360.0))
+            for end, edge in ((0, "lo"), (1, "hi"))}
+    cells = placed.withColumns(ends).withColumn("r", F.explode(F.sequence("r0", "r1"))) \
+        .withColumn("c", F.explode(F.sequence("c0", "c1")))
+    inside = (F.col("r") > F.col("r0")) & (F.col("r") < F.col("r1")) & (F.col("c") > F.col("c0")) & (F.col("c") < F.col("c1"))
+    bounds = [F.when(~inside, F.col(b)).alias(b) for b in ("lat_lo", "lat_hi", "lng_lo", "lng_hi")]
+    return cells.select("level", _cell_id(F.col("r"), F.col("c")).alias("cell"), inside.alias("inside"), *bounds).distinct()
+
+
+def area_filter(df: DataFrame, boxes: DataFrame, lat: str = "Lat", lng: str = "Lng") -> DataFrame:
+    """S-07: keep reports inside any box (edges inclusive; a box whose
+    ``lng_lo`` is above its ``lng_hi`` crosses the antimeridian).
+
+    The boxes are covered by cells of a few levels, and a report looks up its
+    own cell of each level: equality joins on the cell, one for each level, that
+    only mark the report, in one pass over the reports. Spark sends the cells to
+    all tasks where they are few, and deals both sides by cell where they are
+    many; the plan is the same, and no report meets a box far from it.
     """
-    cond = (F.col(lat).between(F.col("lat_lo"), F.col("lat_hi"))
-            & F.col(lng).between(F.col("lng_lo"), F.col("lng_hi")))
-    n_boxes = boxes.count()
-    if n_boxes <= broadcast_limit:
-        return df.join(F.broadcast(boxes), cond, "left_semi")
-    g = BOX_BUCKET_DEGREES
-    cells = boxes.select(
-        "*", F.explode(F.sequence(F.floor(F.col("lat_lo") / g), F.floor(F.col("lat_hi") / g)))
-        .alias("_blat")).select(
-        "*", F.explode(F.sequence(F.floor(F.col("lng_lo") / g), F.floor(F.col("lng_hi") / g)))
-        .alias("_blng"))
-    tagged = df.withColumn("_blat", F.floor(F.col(lat) / g)).withColumn("_blng", F.floor(F.col(lng) / g))
-    r, b = tagged.alias("r"), cells.alias("b")
-    on = ((F.col("r._blat") == F.col("b._blat")) & (F.col("r._blng") == F.col("b._blng"))
-          & F.col(f"r.{lat}").between(F.col("b.lat_lo"), F.col("b.lat_hi"))
-          & F.col(f"r.{lng}").between(F.col("b.lng_lo"), F.col("b.lng_hi")))
-    return r.join(b, on, "left_semi").drop("_blat", "_blng")
+    cells = cover_cells(boxes)
+    outs = [F.col(c) for c in df.columns]
+    marks = {f"_c{v}": _cell_id(_cell(F.col(lat), -90.0, 180.0, v), _cell(F.col(lng), -180.0, 360.0, v)) for v in COVER_LEVELS}
+    found = " OR ".join(
+        f"EXISTS (SELECT 1 FROM {{cells}} c WHERE c.level = {v} AND c.cell = d._c{v} AND (c.inside OR "
+        f"(d.`{lat}` BETWEEN c.lat_lo AND c.lat_hi AND d.`{lng}` BETWEEN c.lng_lo AND c.lng_hi)))" for v in COVER_LEVELS)
+    return df.sparkSession.sql(f"SELECT * FROM {{rows}} d WHERE {found}", rows=df.withColumns(marks), cells=cells).select(*outs)
 
 
 def mmsi_filter(df: DataFrame, mmsis: Sequence[str] | DataFrame, col: str = "MMSI") -> DataFrame:
