@@ -72,3 +72,17 @@ def test_ordered_queries_read_and_shuffle_little(spark, key):
     reads, shuffles = LIMITS[key]
     assert final.count("FileScan") <= reads, final
     assert len(re.findall(r"[^d]Exchange hashpartitioning", final)) <= shuffles, final
+
+
+def test_log_range_opens_only_the_folders_it_needs(spark, scratch):
+    from tidewater.sources import topics
+    rows = spark.range(4000).selectExpr("CAST(NULL AS STRING) AS key", "repeat('x', 10) AS value", "'t' AS topic", "CAST(id % 2 AS INT) AS partition",
+                                        "id div 2 AS offset", "timestamp_seconds(id) AS timestamp")
+    topics.write_log(rows, f"{scratch}/log", block=100)
+    got = topics.log_range(spark, f"{scratch}/log", "t", 1, 350, 1495, block=100)
+    assert sorted(r["offset"] for r in got.collect()) == list(range(350, 499))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    got = topics.log_range(spark, f"{scratch}/log", "t", 1, 350, 1495, block=100)
+    filters = re.findall(r"PartitionFilters: \[[^\]]*\]", _plan(got))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert filters and all(re.search(r"block#\d+L? >= 3\b", f) and re.search(r"block#\d+L? <= 4\b", f) for f in filters)

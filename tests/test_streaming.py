@@ -91,15 +91,23 @@ def test_throughput_stream(spark, topic_dir, scratch):
 
 
 def test_change_status_stream(spark, topic_dir, scratch):
-    out, root = f"{scratch}/status", f"{scratch}/state"
-    q = streams.change_status_stream(_stream(spark, topic_dir), root, out, trigger=NOW,
-                                     checkpoint=f"{scratch}/ck")
-    q.awaitTermination()
-    got = spark.read.parquet(out)
-    ref = stateful.change_status(standardize.enrich_metadata(
-        decode.decode_reports(_batch(spark, topic_dir))))
-    cols = ["partition", "offset", "status"]
-    assert _rows(got, cols) == _rows(ref, cols)
+    """Micro-batches by queries that start again from their checkpoint."""
+    for part in _parts(spark, topic_dir, scratch, 4):
+        part.coalesce(1).write.mode("append").parquet(f"{scratch}/raw")
+        streams.change_status_stream(_stream(spark, f"{scratch}/raw"), sink="parquet", path=f"{scratch}/status", trigger=NOW,
+                                     checkpoint=f"{scratch}/ck").awaitTermination()
+    ref = stateful.change_status(standardize.enrich_metadata(decode.decode_reports(_batch(spark, topic_dir))))
+    cols = ["partition", "offset", "MMSI", "Lat", "Lng", "status"]
+    assert _rows(spark.read.parquet(f"{scratch}/status"), cols) == _rows(ref, cols)
+    assert ref.select("status").distinct().count() == 3
+
+
+def test_upsert_stream(spark, topic_dir, scratch):
+    from tidewater.sinks import state as state_sink
+    streams.upsert_stream(_stream(spark, topic_dir), f"{scratch}/state", trigger=NOW, checkpoint=f"{scratch}/ck").awaitTermination()
+    ref = state_sink.batch_positions(standardize.enrich_metadata(decode.decode_reports(_batch(spark, topic_dir))))
+    cols = ["key", "latitude", "longitude"]
+    assert _rows(state_sink.read_state(spark, f"{scratch}/state"), cols) == _rows(ref, cols)
 
 
 def test_full_enrich_stream(spark, topic_dir, scratch):

@@ -10,7 +10,8 @@ from ..sinks import topics as sinks
 from ..sources import fixture
 from ..sources import topics as sources
 from .oracle import with_reports
-from .queries import KEY, KEY_SQL, raw, register, reports, std_reports
+from ..session import scratch_path
+from .queries import KEY, KEY_SQL, ORACLE, raw, register, reports, std_reports
 
 # ---------------------------------------------------------------- P-18 --
 
@@ -106,6 +107,20 @@ def s04(spark, sf):
     return df.select(*KEY, F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
 
 
+S04_ERROR = "event_id % 1009 = 700"
+
+
+@register("s04b_until_error", with_reports(
+    f"SELECT {KEY_SQL}, timestamp FROM raw_topic WHERE json_valid(value) AND (timestamp, \"offset\", \"partition\") < "
+    f"(SELECT min((timestamp, \"offset\", \"partition\")) FROM raw_topic WHERE {S04_ERROR}) "
+    "ORDER BY timestamp, \"offset\", \"partition\" LIMIT 1000"))
+def s04b(spark, sf):
+    """Up to 1,000 good messages, but none from the first source error on."""
+    event_id = F.col("offset") * 3 + F.col("partition")      # as the fixture numbers them
+    df = sources.bounded_read(raw(spark, sf), 1000, error=event_id % 1009 == 700)
+    return df.select(*KEY, F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
 S05_PARTITION, S05_OFFSET, S05_MAX_BYTES = 0, 1000, 100_000
 
 
@@ -119,6 +134,29 @@ def s05(spark, sf):
     return df.select(*KEY, "running_bytes")
 
 
+S05_BLOCK = 512
+
+
+def _s05_log(spark, sf) -> str:
+    path = scratch_path(spark, "topic-log")
+    sources.write_log(raw(spark, sf), path, S05_BLOCK)
+    return path
+
+
+@register("s05b_log_range", ORACLE["s05_offset_range"])
+def s05b(spark, sf):
+    """S-05 from files written by ranges of offsets."""
+    df = sources.log_range(spark, _s05_log(spark, sf), "raw", S05_PARTITION, S05_OFFSET, S05_MAX_BYTES, S05_BLOCK)
+    return df.select(*KEY, "running_bytes")
+
+
+@register("s06b_log_catalogue", with_reports(
+    f"SELECT topic, \"partition\", \"offset\" // {S05_BLOCK} AS block, count(*) AS records, min(\"offset\") AS min_offset, "
+    "max(\"offset\") AS max_offset, CAST(sum(strlen(value)) AS BIGINT) AS bytes FROM raw_topic GROUP BY ALL"))
+def s06b(spark, sf):
+    return sources.log_catalogue(spark, _s05_log(spark, sf))
+
+
 @register("s06_topic_catalogue", with_reports(
     "SELECT topic, \"partition\", count(*) AS records, min(\"offset\") AS min_offset, "
     "max(\"offset\") AS max_offset FROM raw_topic GROUP BY ALL"))

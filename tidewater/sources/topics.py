@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import ordering
@@ -87,12 +87,68 @@ def read_json_array_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema(REPORT).json(path)
 
 
-def bounded_read(raw: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
+def bounded_read(raw: DataFrame, n: int, order: list[str] | None = None, error: Column | None = None) -> DataFrame:
     """S-04: the first ``n`` decodable messages in arrival order; values that
-    do not decode are skipped. ``orderBy().limit()`` is planned as a
-    distributed top-k (each task keeps ``n`` rows)."""
+    do not decode are skipped. ``error`` marks the rows with which the source
+    reports an error (a partition that ended, a lost broker): the first of them
+    ends the read, and it and all that arrived after it are absent. Its place
+    is a scalar, known before the rows are read, so the leading column of the
+    order bounds the scan. ``orderBy().limit()`` is planned as a distributed
+    top-k (each task keeps ``n`` rows)."""
     order = order or ["timestamp", "offset", "partition"]
-    return raw.where(parsed("value").isNotNull()).orderBy(*order).limit(n)
+    rows = raw
+    if error is not None:
+        place = F.struct(*order)
+        first = raw.where(F.coalesce(error, F.lit(False))).select(F.min(place)).scalar()
+        lead = raw.where(F.coalesce(error, F.lit(False))).select(F.min(order[0])).scalar()
+        rows = raw.where(lead.isNull() | ((F.col(order[0]) <= lead) & (place < first)))
+    return rows.where(parsed("value").isNotNull()).orderBy(*order).limit(n)
+
+
+#: Offsets of one partition that a folder of a topic log holds.
+LOG_BLOCK = 1 << 16
+
+
+def write_log(rows: DataFrame, path: str, block: int = LOG_BLOCK) -> None:
+    """Topic rows added to files that can be read by offset: a folder for each
+    topic, partition and ``block`` of offsets, in offset order, the size of
+    each value beside it (for ``log_catalogue``)."""
+    sized = rows.withColumn("bytes", F.coalesce(F.octet_length("value"), F.lit(0)).cast("long")) \
+        .withColumn("block", F.floor(F.col("offset") / block).cast("long"))
+    (sized.repartition("topic", "partition", "block").sortWithinPartitions("topic", "partition", "block", "offset")
+     .write.mode("append").partitionBy("topic", "partition", "block").parquet(path))
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The topic rows of a log, with ``block`` and ``bytes``; a filter on
+    topic, partition or block leaves out whole folders."""
+    return spark.read.parquet(path).withColumns({
+        "topic": F.col("topic").cast("string"), "partition": F.col("partition").cast("int"),
+        "block": F.col("block").cast("long")})
+
+
+def log_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """S-06 by folder: records, first and last offset and bytes of each block;
+    no value is read."""
+    return (read_log(spark, path).groupBy("topic", "partition", "block")
+            .agg(F.count(F.lit(1)).alias("records"), F.min("offset").alias("min_offset"),
+                 F.max("offset").alias("max_offset"), F.sum("bytes").alias("bytes")))
+
+
+def log_range(spark: SparkSession, path: str, topic: str, partition: int, offset: int, max_bytes: int,
+              block: int = LOG_BLOCK) -> DataFrame:
+    """S-05 from a log: only folders that can hold a record of the answer are
+    opened. The first is the offset's; the last is where the bytes of the
+    whole blocks after the first reach the bound, taken from the sizes of the
+    one partition (two numbers reach the driver)."""
+    first = offset // block
+    rows = read_log(spark, path).where((F.col("topic") == topic) & (F.col("partition") == partition) & (F.col("block") >= first))
+    sizes = rows.groupBy("block").agg(F.sum(F.when(F.col("offset") >= offset, F.col("bytes")).otherwise(0)).alias("bytes"))
+    upto = sizes.withColumn("upto", F.sum("bytes").over(Window.orderBy("block")))   # one row a block
+    last = upto.where(F.col("upto") > max_bytes).agg(F.min("block")).first()[0]
+    if last is not None:
+        rows = rows.where(F.col("block") <= last)
+    return offset_range(rows.drop("block", "bytes"), topic, partition, offset, max_bytes)
 
 
 def offset_range(raw: DataFrame, topic: str, partition: int, offset: int, max_bytes: int) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import aggregates, decode, standardize, stateful
+from ..operators import aggregates, decode, route, standardize, stateful
 from ..plans import pipelines as batch
 from ..session import checkpoint_root
 from ..sinks import state as state_sink
@@ -116,46 +116,43 @@ def throughput_stream(raw: DataFrame, seconds: int = 60, name: str = "q06_throug
     return _start(w, name, mode="append" if watermark else "update", **kw)
 
 
-def change_status_stream(raw: DataFrame, state_root: str, out_path: str,
-                         name: str = "w02_change_status", trigger: dict | None = None,
-                         checkpoint: str | None = None) -> StreamingQuery:
-    """W-02 + W-07 as a stream with ``foreachBatch``: inside each
-    micro-batch a report is compared with the vessel's previous valid
-    position (``lag``), the batch's first report per vessel with the stored
-    state; statuses are appended to ``out_path`` and the state table at
-    ``state_root`` is upserted to a new version (idempotent per batch id)."""
-    spark = raw.sparkSession
-    std = standardize.enrich_metadata(decode.decode_reports(raw))
+def _classify(order: list[str]):
+    """The status of each report of one vessel, after its state: the last
+    valid position."""
+    def classify(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(frames)).sort_values(order, kind="stable")
+        lat, lng = rows["Lat"].to_numpy(), rows["Lng"].to_numpy()
+        known = state.exists
+        first = state.get if known else (lat[0], lng[0])
+        moved = (lat != np.concatenate(([first[0]], lat[:-1]))) | (lng != np.concatenate(([first[1]], lng[:-1])))
+        status = np.where(moved, "moved", "unchanged").astype(object)
+        if not known:
+            status[0] = "new"
+        state.update((float(lat[-1]), float(lng[-1])))
+        yield rows[["partition", "offset", "pos"]].assign(MMSI=key[0], Lat=lat, Lng=lng, status=status)
+    return classify
+
+
+def change_status_stream(raw: DataFrame, name: str = "w02_change_status", **kw) -> StreamingQuery:
+    """W-02 as a stream: a report is compared with the vessel's previous valid
+    position, which Spark's state store keeps: one position a vessel. Vessels
+    are dealt over the tasks; a vessel's reports of a micro-batch meet in one."""
+    std = route.valid_positions(standardize.enrich_metadata(decode.decode_reports(raw))).where(F.col("MMSI").isNotNull())
+    order = stateful.REPORT_ORDER
+    out = std.select("MMSI", *order, "Lat", "Lng").groupBy("MMSI").applyInPandasWithState(
+        _classify(order), "partition int, offset bigint, pos int, MMSI string, Lat double, Lng double, status string",
+        "lat double, lng double", "append", GroupStateTimeout.NoTimeout)
+    return _start(out, name, **kw)
 
-    def process(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()   # read several times below
-        try:
-            classify(batch_df, batch_id)
-        finally:
-            batch_df.unpersist()
 
-    def classify(batch_df: DataFrame, batch_id: int) -> None:
-        s = batch_df.sparkSession
-        prev = state_sink.read_state(s, state_root, before=batch_id)
-        statuses = stateful.change_status(batch_df)
-        if prev is not None:
-            known = prev.select(F.col("key").alias("_k"), F.col("latitude").alias("_slat"),
-                                F.col("longitude").alias("_slng"))
-            statuses = (statuses.join(known, state_sink.state_key(F.col("MMSI")) == F.col("_k"), "left")
-                        .withColumn("status", F.when(
-                            (F.col("status") == "new") & F.col("_k").isNotNull(),
-                            F.when((F.col("Lat") != F.col("_slat")) | (F.col("Lng") != F.col("_slng")),
-                                   F.lit("moved")).otherwise(F.lit("unchanged")))
-                            .otherwise(F.col("status")))
-                        .drop("_k", "_slat", "_slng"))
-        (statuses.select("partition", "offset", "pos", "MMSI", "Lat", "Lng", "status",
-                         F.lit(batch_id).alias("batch_id"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
-        state_sink.write_upsert(s, state_root, batch_df, version=batch_id)
-
-    w = (std.writeStream.queryName(name).foreachBatch(process)
-         .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
+def upsert_stream(raw: DataFrame, state_root: str, name: str = "w07_upsert", trigger: dict | None = None,
+                  checkpoint: str | None = None) -> StreamingQuery:
+    """W-07 as a stream: each micro-batch's last positions are merged into the
+    table at ``state_root``, a version per batch id."""
+    std = standardize.enrich_metadata(decode.decode_reports(raw))
+    w = (std.writeStream.queryName(name)
+         .foreachBatch(lambda rows, batch_id: state_sink.write_upsert(rows.sparkSession, state_root, rows, version=batch_id) and None)
+         .option("checkpointLocation", checkpoint or checkpoint_for(raw.sparkSession, name)))
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
