@@ -185,3 +185,28 @@ def test_area_filter_of_any_size(spark):
             "SELECT id FROM p WHERE EXISTS (SELECT 1 FROM b WHERE Lat BETWEEN lat_lo AND lat_hi AND CASE WHEN lng_lo <= lng_hi "
             "THEN Lng BETWEEN lng_lo AND lng_hi ELSE (Lng BETWEEN lng_lo AND 180) OR (Lng BETWEEN -180 AND lng_hi) END) ORDER BY id").fetchall()]
         assert got == want and 0 < len(got) < len(points)
+
+
+def test_json_array_file_read_in_splits(spark, scratch):
+    """One file read by many tasks, with quotes, braces and backslashes in strings, equals multiLine."""
+    import random
+    rng = random.Random(6)
+    parts = ['"', "\\", "}", "{", "[", "]", ",", "é", "a", "\n", "\\\\", "},{", '\\"']
+    reports = [{"Message": {"T": {"x": "".join(rng.choice(parts) for _ in range(rng.randrange(12))), "y": [{"z": i}, {}]}},
+                "MessageType": "".join(rng.choice(parts) for _ in range(4)), "MetaData": {"MMSI": i, "ShipName": "\\"}}
+               for i in range(3000)]
+    for name, text in (("flat", json.dumps(reports)), ("wide", json.dumps(reports, indent=1, ensure_ascii=False)), ("none", " [ ]\n")):
+        with open(f"{scratch}/{name}.json", "w") as f:
+            f.write(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+    try:
+        for name in ("flat", "wide"):
+            got = sources.read_json_array_split(spark, f"{scratch}/{name}.json")
+            assert spark.read.option("lineSep", "}").text(f"{scratch}/{name}.json").rdd.getNumPartitions() > 10
+            rows = sorted((r["number"], r["MessageType"], r["MetaData"]["MMSI"], json.loads(r["Message"]["T"])["x"]) for r in got.collect())
+            assert rows == [(i, r["MessageType"], i, r["Message"]["T"]["x"]) for i, r in enumerate(reports)]
+            whole = sources.read_json_array_file(spark, f"{scratch}/{name}.json")
+            assert sorted(map(str, got.drop("file", "number", "Message").collect())) == sorted(map(str, whole.drop("Message").collect()))
+        assert sources.read_json_array_split(spark, f"{scratch}/none.json").collect() == []
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

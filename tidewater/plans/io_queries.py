@@ -107,6 +107,25 @@ def s04(spark, sf):
     return df.select(*KEY, F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
 
 
+S03_REPORTS = 1000
+
+
+@register("s03_json_array_files", with_reports(
+    "SELECT MessageType, MMSI, ShipName, latitude, longitude, time_utc FROM (SELECT mtype AS MessageType, mmsi AS MMSI, "
+    "ship AS ShipName, CAST(lat_t AS DOUBLE) AS latitude, CAST(lng_t AS DOUBLE) AS longitude, time_text AS time_utc FROM fx5)"))
+def s03(spark, sf):
+    """Files of one JSON array each, written from the whole table, read back
+    by several tasks a file."""
+    path = scratch_path(spark, "arrays")
+    objs = fixture.report_objects(fixture.read_events(spark, sf))
+    arrays = objs.groupBy(F.expr(f"event_id div {S03_REPORTS}").alias("g")).agg(F.collect_list("obj").alias("o"))
+    arrays.select("g", F.concat(F.lit("["), F.array_join("o", ",\n "), F.lit("]")).alias("value")) \
+        .write.partitionBy("g").text(path)
+    reports = sources.read_json_array_split(spark, path)
+    return reports.select("MessageType", "MetaData.MMSI", "MetaData.ShipName", "MetaData.latitude", "MetaData.longitude",
+                          "MetaData.time_utc")
+
+
 S04_ERROR = "event_id % 1009 = 700"
 
 

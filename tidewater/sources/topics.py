@@ -83,10 +83,60 @@ def read_topic_batch(spark: SparkSession, topics: str | Sequence[str], *,
 def read_json_array_file(spark: SparkSession, path: str) -> DataFrame:
     """S-03: a file holding one JSON array of reports, one row per report.
     ``multiLine`` reads each file whole, so it suits files of bounded size;
-    for large dumps write one report per line and drop ``multiLine``."""
+    ``read_json_array_split`` reads large ones by many tasks."""
     return spark.read.option("multiLine", True).schema(REPORT).json(path)
 
 
+#: A string of JSON text, also one that its piece does not close.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|$)'
+_PLACE = ["file", "split"]
+
+
+def _carried(pieces: DataFrame, value: Column, out: str) -> DataFrame:
+    """Pieces with ``out``, the sum of ``value`` over all pieces before in the
+    file: those of the same split by a window in it, the earlier splits by
+    their totals (one row a split)."""
+    whole = pieces.groupBy(*_PLACE).agg(F.sum(value).alias("_t"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carry = whole.withColumn("_carry", F.coalesce(F.sum("_t").over(earlier), F.lit(0))).drop("_t")
+    before = Window.partitionBy(*_PLACE).orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    return pieces.join(carry, _PLACE).withColumn(out, F.col("_carry") + F.coalesce(F.sum(value).over(before), F.lit(0))).drop("_carry")
+
+
+def read_json_array_split(spark: SparkSession, path: str) -> DataFrame:
+    """S-03 for files of any size: the reports of JSON arrays of objects, each
+    file read by as many tasks as it has splits (text, cut at closing braces).
+
+    A piece's part in the text depends on all before it in three sums: of
+    quotes (odd: it begins in a string), of brackets outside strings (where
+    the depth comes back to one, a report ends) and of ended reports (the
+    number of the report a piece belongs to). Each is carried over the splits
+    by one row a split; the pieces of a report meet by its number. Columns
+    ``file``, ``number`` (from 0) and those of a report.
+    """
+    lines = spark.read.option("lineSep", "}").text(path)
+    pieces = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("n"), "value")
+    # quotes that no odd number of backslashes precedes
+    quotes = F.regexp_count("value", F.lit(r'(?<!\\)(?:\\\\)*+"'))
+    pieces = _carried(pieces, quotes, "q")
+    inside = F.when(F.col("q") % 2 == 1, F.lit('"')).otherwise(F.lit(""))
+    plain = F.regexp_replace(F.concat(inside, F.col("value")), _STRING, "")
+    open_end = (F.col("q") + quotes) % 2                     # the brace that ends the piece is in a string
+    deeper = F.regexp_count(plain, F.lit(r"[\[{]")) - F.regexp_count(plain, F.lit(r"[\]}]")) - (1 - open_end)
+    pieces = pieces.withColumns({"deeper": deeper, "open_end": open_end}).drop("q")
+    pieces = _carried(pieces, F.col("deeper"), "depth")
+    ends = ((F.col("open_end") == 0) & (F.col("depth") + F.col("deeper") == 1)).cast("int")
+    pieces = _carried(pieces.withColumn("ends", ends).drop("open_end", "deeper", "depth"), F.col("ends"), "number")
+    whole = pieces.groupBy("file", "number").agg(
+        F.sort_array(F.collect_list(F.struct("split", "n", "value"))).alias("p"), F.max("ends").alias("ended")) \
+        .where(F.col("ended") == 1)                          # what follows the last report is the array's end
+    text = F.concat(F.array_join(F.transform("p", lambda x: x["value"]), "}"), F.lit("}"))
+    text = F.regexp_replace(text, r"^[\s,]*\[?\s*(?=\{)", "")
+    return whole.select("file", "number", F.from_json(text, REPORT).alias("r")).select("file", "number", "r.*")
+
+
 def bounded_read(raw: DataFrame, n: int, order: list[str] | None = None, error: Column | None = None) -> DataFrame:
     """S-04: the first ``n`` decodable messages in arrival order; values that
     do not decode are skipped. ``error`` marks the rows with which the source
