@@ -80,23 +80,40 @@ def test_producer_options():
     assert "kafka.batch.num.messages" not in opts
 
 
-def test_state_upsert_versions(spark, scratch):
+def test_state_upsert(spark, scratch):
     rows = [("a", 1.0, 2.0, "2024-01-01 00:00:00", 0, 0, 0),
             ("a", 3.0, 4.0, "2024-01-01 00:01:00", 1, 0, 0),
             ("b", 5.0, 6.0, "2024-01-01 00:00:30", 2, 0, 0)]
     df = spark.createDataFrame(rows, "MMSI string, Lat double, Lng double, t string, offset long, "
                                      "partition int, pos int").withColumn(
         "arrival_ts", F.to_timestamp("t"))
-    root = f"{scratch}/state"
-    state_sink.write_upsert(spark, root, df.limit(0), version=0)
-    state_sink.write_upsert(spark, root, df, version=1)
+    table = "state_of_test"
+    assert state_sink.read_state(spark, table) is None
+    state_sink.write_upsert(spark, table, df.limit(0), buckets=3)
+    state_sink.write_upsert(spark, table, df)
     later = spark.createDataFrame([("b", 7.0, 8.0, "2024-01-01 00:05:00", 3, 0, 0)], df.schema[:-1]) \
         .withColumn("arrival_ts", F.to_timestamp("t"))
-    state_sink.write_upsert(spark, root, later, version=2)
-    st_ = {r["key"]: (r["latitude"], r["longitude"])
-           for r in state_sink.read_state(spark, root).collect()}
-    assert st_ == {"mmsi:a": (3.0, 4.0), "mmsi:b": (7.0, 8.0)}
-    assert state_sink.lookup(state_sink.read_state(spark, root), "a").count() == 1
+    for batch in (later, later, df):      # a batch again, and an older one, change nothing
+        before = state_sink.read_state(spark, table)
+        state_sink.write_upsert(spark, table, batch)
+        assert before.count() == 2        # a reader keeps what it opened
+    state = state_sink.read_state(spark, table)
+    assert {r["key"]: (r["latitude"], r["longitude"]) for r in state.collect()} == {"mmsi:a": (3.0, 4.0), "mmsi:b": (7.0, 8.0)}
+    assert state_sink.lookup(state, "a").count() == 1
+    merge = state_sink.upsert_positions(state.hint("merge"), df)._jdf.queryExecution().executedPlan().toString()
+    side = merge[merge.index("SortMergeJoin"):]
+    assert "FullOuter" in side and "Exchange" not in side[:side.index("FileScan")]
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__next")      # the writer was lost before the last step
+    assert state_sink.read_state(spark, table).count() == 2
+    many = df.limit(1).drop("MMSI").crossJoin(spark.range(60).selectExpr("CAST(id AS STRING) AS MMSI"))
+    state_sink.write_upsert(spark, table, many)
+    for name in ("maxPartitionBytes", "openCostInBytes"):           # each file a task of its own
+        spark.conf.set(f"spark.sql.files.{name}", 1 << 20)
+    state = state_sink.read_state(spark, table)
+    assert state.rdd.getNumPartitions() == 3 and state_sink.lookup(state, "7").rdd.getNumPartitions() == 1
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.unset(f"spark.sql.files.{name}")
+    spark.sql(f"DROP TABLE {table}")
 
 
 def test_topic_sink_round_trip(spark, scratch):

@@ -104,10 +104,11 @@ def test_change_status_stream(spark, topic_dir, scratch):
 
 def test_upsert_stream(spark, topic_dir, scratch):
     from tidewater.sinks import state as state_sink
-    streams.upsert_stream(_stream(spark, topic_dir), f"{scratch}/state", trigger=NOW, checkpoint=f"{scratch}/ck").awaitTermination()
+    streams.upsert_stream(_stream(spark, topic_dir), "w07_of_stream", trigger=NOW, checkpoint=f"{scratch}/ck").awaitTermination()
     ref = state_sink.batch_positions(standardize.enrich_metadata(decode.decode_reports(_batch(spark, topic_dir))))
     cols = ["key", "latitude", "longitude"]
-    assert _rows(state_sink.read_state(spark, f"{scratch}/state"), cols) == _rows(ref, cols)
+    assert _rows(state_sink.read_state(spark, "w07_of_stream"), cols) == _rows(ref, cols)
+    spark.sql("DROP TABLE w07_of_stream")
 
 
 def test_full_enrich_stream(spark, topic_dir, scratch):
@@ -206,13 +207,13 @@ def test_keyed_collect_by_vessel_and_out_of_order(spark, scratch):
 
 def test_cumulative_rate_stream_equals_batch(spark, topic_dir, scratch):
     from tidewater.operators import aggregates
-    out, root = f"{scratch}/marks", f"{scratch}/count"
-    q = streams.cumulative_rate_stream(_stream(spark, topic_dir), root, out, every=37,
-                                       trigger=NOW, checkpoint=f"{scratch}/ck")
-    q.awaitTermination()
-    got = _rows(spark.read.parquet(out), ["n", "arrival_ts", "elapsed_s"])
-    ref = _rows(aggregates.cumulative_rate(_batch(spark, topic_dir), every=37),
-                ["n", "arrival_ts", "elapsed_s"])
+    for part in _parts(spark, topic_dir, scratch, 4):
+        part.coalesce(1).write.mode("append").parquet(f"{scratch}/raw")
+        streams.cumulative_rate_stream(_stream(spark, f"{scratch}/raw"), every=37, sink="parquet", path=f"{scratch}/marks",
+                                       trigger=NOW, checkpoint=f"{scratch}/ck").awaitTermination()
+    cols = ["n", "arrival_ts", "elapsed_s", "rate"]
+    got = _rows(spark.read.parquet(f"{scratch}/marks"), cols)
+    ref = _rows(aggregates.cumulative_rate(_batch(spark, topic_dir), every=37), cols)
     assert got == ref and len(ref) > 20
 
 

@@ -8,6 +8,7 @@ UTC wall-clock ``TIMESTAMP_NTZ``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -478,13 +479,12 @@ def _two_halves(spark, sf):
 def _stored(spark, sf):
     """The state table after an upsert of each half, in reverse order too:
     the older arrivals of a late batch change nothing."""
-    from ..session import scratch_path
     from ..sinks import state
-    root = scratch_path(spark, "w07-state")
+    table = f"w07_state_{uuid.uuid4().hex[:12]}"
     early, late = _two_halves(spark, sf)
     for batch in (early, late, early):
-        state.write_upsert(spark, root, batch, keep=2)
-    return state.read_state(spark, root)
+        state.write_upsert(spark, table, batch)
+    return state.read_state(spark, table)
 
 
 _W07_SQL = (

@@ -1,9 +1,10 @@
-"""Keyed position state: upsert ``mmsi:<MMSI> -> {latitude, longitude}``.
+"""Keyed position state (W-07): ``mmsi:<MMSI> -> {latitude, longitude}``.
 
-The state is a parquet table in versioned folders under a root in the shared
-checkpoint area: each upsert writes ``v=<n+1>`` from ``v=<n>`` and the new
-batch, so a failed write never damages the current version and readers keep
-a consistent snapshot. Lookups are filters on ``key`` (pushed to the scan).
+The state is a table bucketed and sorted by ``key``, so an upsert shuffles
+the batch's few positions to the buckets and never the state, and a lookup
+reads one bucket. The newer arrival wins, so merging a batch again changes
+nothing: a retried micro-batch is safe. The merged table is written beside
+the current one and takes its name when it is whole.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.stateful import REPORT_ORDER, current_positions
+from ..session import scratch_path
 
-KEEP_VERSIONS = 5
 STATE_COLUMNS = ["key", "latitude", "longitude", "arrival_ts"]
 
 
@@ -33,7 +34,7 @@ def batch_positions(reports: DataFrame, key: str = "MMSI", lat: str = "Lat",
 def upsert_positions(state: DataFrame | None, reports: DataFrame) -> DataFrame:
     """W-07 merge: full outer join of the state with the batch's last
     positions on ``key``; the newer arrival wins. Both sides have one row per
-    key, so the join is 1:1 (sort-merge or hash on ``key``)."""
+    key, so the join is 1:1."""
     new = batch_positions(reports)
     if state is None:
         return new
@@ -45,71 +46,39 @@ def upsert_positions(state: DataFrame | None, reports: DataFrame) -> DataFrame:
           for c in STATE_COLUMNS])
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions (``v=<n>`` folders with ``_SUCCESS``) under ``root``,
-    listed through the Hadoop file system of the path (local, HDFS, object
-    stores), the same one Spark writes with."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return []
-    out = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith("v=") and name[2:].isdigit() and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete version (older than ``before`` when given)."""
-    versions = [v for v in _versions(spark, root) if before is None or v < before]
-    if not versions:
-        return None
-    return spark.read.parquet(f"{root}/v={versions[-1]}")
-
-
-def _keep_newest(spark: SparkSession, root: str, keep: int) -> None:
-    """Remove all but the ``keep`` newest complete versions."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for version in _versions(spark, root)[:-keep]:
-        fs.delete(path(f"{root}/v={version}"), True)
-
-
-def write_upsert(spark: SparkSession, root: str, reports: DataFrame,
-                 version: int | None = None, keep: int = KEEP_VERSIONS) -> str:
-    """Merge a batch into the state at ``root`` and publish a new version.
-
-    With ``version`` (a stream's batch id) the merge reads the newest version
-    below it and overwrites ``v=<version>``: a retried batch rewrites the
-    same version from the same input, so the state stays exact. The ``keep``
-    (2 or more) newest versions stay, for retries and readers."""
-    versions = _versions(spark, root)
-    if version is None:
-        version = (versions[-1] + 1) if versions else 0
-    merged = upsert_positions(read_state(spark, root, before=version), reports)
-    out = f"{root}/v={version}"
-    merged.write.mode("overwrite").parquet(out)
-    _keep_newest(spark, root, keep)
-    return out
+def _following(table: str) -> str:
+    return f"{table}__next"
 
 
-def lookup(state: DataFrame, mmsi: str) -> DataFrame:
-    """Point lookup by vessel."""
-    return state.where(F.col("key") == F.lit(f"mmsi:{mmsi}"))
+def read_state(spark: SparkSession, table: str) -> DataFrame | None:
+    """The state of that name, None if there is none. A merged table that
+    lost its writer before it took the name takes it now: it is only there
+    once it is whole."""
+    if not spark.catalog.tableExists(table):
+        if not spark.catalog.tableExists(_following(table)):
+            return None
+        spark.sql(f"ALTER TABLE {_following(table)} RENAME TO {table}")
+    return spark.table(table)
 
 
-def read_version(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """Newest complete version of any small versioned table (``v=<n>``)."""
-    return read_state(spark, root, before)
+def write_upsert(spark: SparkSession, table: str, reports: DataFrame, buckets: int | None = None) -> None:
+    """Merge a batch into the state table of that name. A new table takes
+    ``buckets`` (the session's shuffle partitions), a known one keeps its own.
+    Files lie under the shared folder; those of the merged state are new, and
+    those of the former stay for its readers."""
+    known = read_state(spark, table)
+    if known is not None:
+        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        buckets = int(described["Num Buckets"])
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    merged, following = upsert_positions(known, reports), _following(table)
+    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    merged.repartition(buckets, "key").write.bucketBy(buckets, "key").sortBy("key") \
+        .option("path", scratch_path(spark, table)).saveAsTable(following)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
 
 
-def write_version(df: DataFrame, root: str, version: int) -> str:
-    """Write ``df`` as version ``v=<version>`` (overwrite: retries are exact)."""
-    out = f"{root}/v={version}"
-    df.write.mode("overwrite").parquet(out)
-    return out
+def lookup(state: DataFrame, mmsi: str) -> DataFrame:
+    """Point lookup by vessel: one bucket of a bucketed state is read."""
+    return state.where(F.col("key") == F.lit(f"mmsi:{mmsi}"))

@@ -145,13 +145,16 @@ def change_status_stream(raw: DataFrame, name: str = "w02_change_status", **kw)
     return _start(out, name, **kw)
 
 
-def upsert_stream(raw: DataFrame, state_root: str, name: str = "w07_upsert", trigger: dict | None = None,
+def upsert_stream(raw: DataFrame, table: str, name: str = "w07_upsert", trigger: dict | None = None,
                   checkpoint: str | None = None) -> StreamingQuery:
     """W-07 as a stream: each micro-batch's last positions are merged into the
-    table at ``state_root``, a version per batch id."""
+    state table of that name; merging a micro-batch again changes nothing."""
     std = standardize.enrich_metadata(decode.decode_reports(raw))
-    w = (std.writeStream.queryName(name)
-         .foreachBatch(lambda rows, batch_id: state_sink.write_upsert(rows.sparkSession, state_root, rows, version=batch_id) and None)
+
+    def process(rows: DataFrame, batch_id: int) -> None:
+        state_sink.write_upsert(rows.sparkSession, table, rows)
+
+    w = (std.writeStream.queryName(name).foreachBatch(process)
          .option("checkpointLocation", checkpoint or checkpoint_for(raw.sparkSession, name)))
     if trigger:
         w = w.trigger(**trigger)
@@ -265,38 +268,33 @@ def keyed_collect_stream(raw: DataFrame, item: Column, name: str = "w04_keyed_co
     return _start(out, name, **kw)
 
 
-def cumulative_rate_stream(raw: DataFrame, state_root: str, out_path: str,
-                           every: int = aggregates.RATE_EVERY, name: str = "a06_cumulative_rate",
-                           trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """A-06 as a stream (``foreachBatch``): the message count and the first
-    arrival are carried as a one-row state (version ``v=<batch id>``); each
-    micro-batch continues the count and reports every ``every``-th
-    message with its rate since the first arrival."""
-    spark = raw.sparkSession
-
-    def process(batch_df: DataFrame, batch_id: int) -> None:
-        s = batch_df.sparkSession
-        carry = state_sink.read_version(s, state_root, before=batch_id)
-        batch_df = batch_df.select("timestamp", "offset", "partition")
-        stats = batch_df.agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("t0")).first()
-        count, first = 0, stats["t0"]
-        if carry is not None:
-            c = carry.first()
-            count, first = c["count"], c["first_ts"] or stats["t0"]
-        if stats["n"]:
-            marks = aggregates.cumulative_rate(batch_df, every=every, offset=count, start=first)
-            (marks.withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(out_path))
-        state = s.range(1).select(F.lit(count + stats["n"]).cast("long").alias("count"),
-                                  F.lit(first).cast("timestamp").alias("first_ts"))
-        state_sink.write_version(state, state_root, batch_id)
-
-    w = (raw.writeStream.queryName(name).foreachBatch(process)
-         .option("checkpointLocation", checkpoint or checkpoint_for(spark, name)))
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+def _marker(every: int, order: list[str]):
+    def mark(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(frames)).sort_values(order, kind="stable")
+        count, first = state.get if state.exists else (0, int(rows["_us"].iloc[0]))
+        n = count + 1 + np.arange(len(rows))
+        at = np.flatnonzero(n % every == 0)
+        state.update((int(n[-1]), first))
+        if len(at):
+            elapsed = (rows["_us"].to_numpy()[at] - first) / 1e6
+            yield pd.DataFrame({"n": n[at], "arrival_ts": rows[order[0]].to_numpy()[at], "elapsed_s": elapsed,
+                                "rate": np.where(elapsed > 0, n[at] / np.where(elapsed > 0, elapsed, 1), np.nan)})
+    return mark
+
+
+def cumulative_rate_stream(raw: DataFrame, every: int = aggregates.RATE_EVERY, name: str = "a06_cumulative_rate",
+                           **kw) -> StreamingQuery:
+    """A-06 as a stream: Spark's state store holds the message count and the
+    first arrival; each micro-batch continues the count and reports every
+    ``every``-th message with its rate since the first arrival. The places of
+    a micro-batch's messages (three columns) meet in one task, as one count
+    over all asks for."""
+    order = stateful.MESSAGE_ORDER
+    rows = raw.select(F.lit("ALL").alias("key"), *order, F.unix_micros(order[0]).alias("_us"))
+    out = rows.groupBy("key").applyInPandasWithState(
+        _marker(every, order), "n bigint, arrival_ts timestamp, elapsed_s double, rate double", "n bigint, first bigint",
+        "append", GroupStateTimeout.NoTimeout).withColumn("rate", F.nanvl("rate", F.lit(None).cast("double")))
+    return _start(out, name, **kw)
 
 
 def interval_stats_stream(raw: DataFrame, path: str, flush: str = stateful.FLUSH_INTERVAL,
