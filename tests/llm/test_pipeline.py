@@ -1,5 +1,6 @@
 """The corpus pipeline against brute force, and operators on empty tables."""
 
+import random
 from collections import Counter
 
 
@@ -109,3 +110,40 @@ def test_mix_reruns_agree(spark):
     from tidewater.llm import queries as q
     one, two = (sorted(map(str, rows(q.op7_mixing(spark, SF)))) for _ in range(2))
     assert one == two
+
+
+def test_stages_on_no_rows_and_clashing_columns(spark):
+    shape = "doc_id long, text string, lang string, source string, n_chars long, lang_pred string, copies int, fp long, part long, row_hash long"
+    given = [(1, "ein kleiner Satz mit Worten " * 4, "de", "s", 1, "x", 9, 9, 9, 9), (2, None, None, None, None, None, None, None, None, None),
+             (None, "another sentence of some words " * 4, "en", None, 1, "x", 9, 9, 9, 9)]
+    for data in ([], given):
+        docs = spark.createDataFrame(data, shape)
+        for name, stage in cp.STAGES:
+            out = rows(stage(spark, docs, SF))
+            assert (len(out) == 0) == (not data), name
+            if out and name != cp.STAGES[-1][0]:
+                assert set(out[0]) == set(cp.COLUMNS), name
+
+
+def test_a_sure_prediction_takes_the_place_of_lang(spark):
+    rng = random.Random(3)
+    words = {"aa": ["ka", "pa", "ta", "ma"], "oo": ["xo", "zo", "vo", "wo"]}
+    data = [(i, " ".join(rng.choice(words[k]) for _ in range(80)), k, "s", 1) for i, k in enumerate(["aa", "oo"] * 60)]
+    data += [(1000, data[0][1], "oo", "s", 1), (1001, data[1][1], None, "s", 1), (1002, "12 34", "aa", "s", 1)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["lang"] for r in rows(cp.keep_known_languages(spark, docs, SF))}
+    assert got == {d: ("aa" if "a" in t else "oo") for d, t, *_ in data if d != 1002}
+
+
+def test_mixing_without_ids(spark):
+    from tidewater.llm import mixing
+    data = [(None, " ".join(["w"] * (1 + i % 7)), "a" if i % 3 else None, 5) for i in range(400)] + [(7, "x y", "a", 5)] * 3
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, size int")
+    got = rows(mixing.mix(docs))
+    again = rows(mixing.mix(docs.repartition(5)))
+    key = lambda r: (r["source"] or "", r["size"], r["row_hash"], r["taken"])
+    assert sorted(map(key, got)) == sorted(map(key, again)) and len(got) == len(data)
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+    for source in ("a", None):
+        mine = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 7
