@@ -1,6 +1,6 @@
 """Operations of a large-scale training-data pipeline.
 
-Ten operators over documents, conversations and embeddings, each a module
+Thirteen operators over documents, conversations and embeddings, each a module
 of its own; ``queries`` applies them to the given tables. Nothing outside
 this subpackage imports it.
 """
