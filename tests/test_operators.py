@@ -227,3 +227,27 @@ def test_json_array_file_read_in_splits(spark, scratch):
         assert sources.read_json_array_split(spark, f"{scratch}/none.json").collect() == []
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_json_array_splits_are_scanned_in_order(spark, scratch):
+    """Pieces are not shuffled to be put in order, only one row a split is; reports longer than a split meet."""
+    reports = [{"Message": {"T": {"x": "}\\\"" * (i % 7), "y": [i, {"z": "[{" * (i % 3)}]}}, "MessageType": "\\" * (i % 4) + "\"{" * (i % 5),
+                "MetaData": {"MMSI": i, "ShipName": "é}" * (i % 90)}} for i in range(50)]
+    text = json.dumps(reports, ensure_ascii=False)
+    for k in range(2):
+        with open(f"{scratch}/{k}.json", "w") as f:
+            f.write(text)
+    want = sorted((i, r["MessageType"], i, r["MetaData"]["ShipName"], json.dumps(r["Message"]["T"])) for i, r in enumerate(reports))
+    try:
+        for size in (197, 128 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 0 if size < 1000 else 4 << 20)
+            got = sources.read_json_array_split(spark, scratch)
+            windows = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
+            assert windows and not any("split#" in x.split("], [")[1] for x in windows)
+            rows = sorted((r["file"][-6:], r["number"], r["MessageType"], r["MetaData"]["MMSI"], r["MetaData"]["ShipName"],
+                           json.dumps(json.loads(r["Message"]["T"]))) for r in got.collect())
+            assert rows == [(f"{k}.json", *w) for k in range(2) for w in want]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
