@@ -251,3 +251,38 @@ def test_json_array_splits_are_scanned_in_order(spark, scratch):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_small_file_is_worked_on_by_many_tasks(spark):
+    """The rows of one file (one row group) are dealt out before reports are made of them and taken apart."""
+    from tidewater.plans import pipelines
+    for query in (pipelines.q02b,):
+        plan = query(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        dealt = [i for i, line in enumerate(plan.splitlines()) if "RepartitionByExpression" in line]
+        assert dealt and dealt[0] > [i for i, line in enumerate(plan.splitlines()) if "Generate " in line][0]
+    rows = fixture.raw_topic(spark, SF_SMALL)
+    assert rows.exceptAll(fixture.raw_topic(spark, SF_SMALL, spread=True)).isEmpty() and fixture.raw_topic(
+        spark, SF_SMALL, spread=True).exceptAll(rows).isEmpty()
+
+
+def test_bins_are_compiled(spark):
+    """The JVM only interprets methods beyond 8,000 bytes; no chain of bins is generated as such a one."""
+    import re
+    from tidewater.operators import binning
+    df = spark.createDataFrame([(float(i % 170 - 85), float(i % 360 - 180), i) for i in range(50)], "Lat double, Lng double, n int")
+    wide = df.selectExpr("*", *[f"cast(n + {k} AS string) AS c{k}" for k in range(9)])
+    binned = binning.bin_location(wide)
+    code = binned._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_no_step_looks_for_containers_below_the_last_bracket(spark):
+    """Nested and flat values keep all their leaves; a flat one takes no step beyond its own level."""
+    texts = ['{"a":1,"b":"x[{"}', '{"a":{"b":[1,{"c":{}}]},"d":[]}', "[[[[1]],2],{}]", "{}", "[]", "5", "{bad", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, value string")
+    got = {r["id"]: None if r["p"] is None else sorted(r["p"]) for r in flatten.with_flat_entries(df, "value", "e").select(
+        "id", F.transform("e", lambda x: x["path"]).alias("p")).collect()}
+    assert got == {0: ["a", "b"], 1: ["a_b_0", "a_b_1_c", "d"], 2: ["0_0_0_0", "0_1", "1"], 3: [], 4: [], 5: None, 6: None, 7: None}
+    flat = flatten.with_flat_entries(spark.createDataFrame([('{"a":1,"b":2}',)], "value string"), "value", "e")
+    assert [x["leaf"] for x in flat.first()["e"]] == [False, False]
