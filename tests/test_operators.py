@@ -255,8 +255,8 @@ def test_json_array_splits_are_scanned_in_order(spark, scratch):
 
 def test_a_small_file_is_worked_on_by_many_tasks(spark):
     """The rows of one file (one row group) are dealt out before reports are made of them and taken apart."""
-    from tidewater.plans import pipelines
-    for query in (pipelines.q02b,):
+    from tidewater.plans import io_queries, pipelines
+    for query in (pipelines.q02b, io_queries.d03b):
         plan = query(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
         dealt = [i for i, line in enumerate(plan.splitlines()) if "RepartitionByExpression" in line]
         assert dealt and dealt[0] > [i for i, line in enumerate(plan.splitlines()) if "Generate " in line][0]
@@ -265,6 +265,18 @@ def test_a_small_file_is_worked_on_by_many_tasks(spark):
         spark, SF_SMALL, spread=True).exceptAll(rows).isEmpty()
 
 
+def test_awkward_reports_are_made_where_they_are_held(spark):
+    made = fixture.report_objects(fixture.read_events(spark, SF_SMALL), "event_id % 10 IN (0, 1)")
+    assert made.where("(obj IS NOT NULL) <> (event_id % 10 IN (0, 1))").isEmpty()
+    held = fixture.awkward_topic(spark, SF_SMALL).where("offset * 3 + partition < 20").collect()
+    texts = {r["event_id"]: r["obj"] for r in fixture.report_objects(fixture.read_events(spark, SF_SMALL)).where(
+        "event_id < 20").collect()}
+    for r in held:
+        e = r["offset"] * 3 + r["partition"]
+        if e % 10 < 2:
+            assert r["value"] == (texts[e] if e % 10 == 0 else f"[{texts[e]},{texts[e]}]")
+
+
 def test_bins_are_compiled(spark):
     """The JVM only interprets methods beyond 8,000 bytes; no chain of bins is generated as such a one."""
     import re
